@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import Panel
 from ..functions import count_where, ratio, verdict
-from ..session import materialise, sized_broadcast
+from ..session import settle
 
 HEMISPHERES = ("Left", "Right")
 
@@ -20,24 +20,24 @@ def ontology_closure(edges: DataFrame) -> DataFrame:
              SELECT e.parent, u.descendant, u.distance + 1
              FROM up u JOIN {edges} e ON e.acronym = u.ancestor WHERE e.parent IS NOT NULL)
            SELECT ancestor, descendant, distance FROM up""", edges=edges)
-    return materialise(closure)[0]
+    return settle(closure, "closure")
 
 
 def excluded_closure(closure: DataFrame, excluded: DataFrame) -> DataFrame:
     """Excluded acronyms and all they contain; an unknown acronym excludes itself."""
-    below = closure.join(F.broadcast(excluded.select(F.col("acronym").alias("ancestor"))), "ancestor")
+    below = closure.join(excluded.select(F.col("acronym").alias("ancestor")), "ancestor")
     return below.select(F.col("descendant").alias("acronym")).union(excluded.select("acronym")).distinct()
 
 
 def exclude_regions(rows: DataFrame, closure: DataFrame, excluded: DataFrame) -> DataFrame:
-    return rows.join(sized_broadcast(excluded_closure(closure, excluded)), "acronym", "left_anti")
+    return rows.join(excluded_closure(closure, excluded), "acronym", "left_anti")
 
 
 def frontier_leaves(present: DataFrame, closure: DataFrame) -> DataFrame:
     """Present (section, acronym) pairs without a present strict descendant."""
     below = present.select("section", F.col("acronym").alias("descendant"))
     strict = closure.where(F.col("distance") > 0).select("ancestor", "descendant")
-    covered = (below.join(sized_broadcast(strict), "descendant")
+    covered = (below.join(strict, "descendant")
                .select("section", F.col("ancestor").alias("acronym")).distinct())
     return present.select("section", "acronym").distinct().join(covered, ["section", "acronym"], "left_anti")
 
@@ -47,12 +47,12 @@ def included_leaves(present: DataFrame, closure: DataFrame, excluded: DataFrame,
     """(section, region, leaf): frontier leaves at or below each region, exclusions removed."""
     leaves = exclude_regions(frontier_leaves(present, closure), closure, excluded)
     pairs = (leaves.withColumnRenamed("acronym", "leaf")
-             .join(sized_broadcast(closure.select(F.col("ancestor").alias("region"),
-                                                  F.col("descendant").alias("leaf"))), "leaf"))
+             .join(closure.select(F.col("ancestor").alias("region"),
+                                                  F.col("descendant").alias("leaf")), "leaf"))
     if regions is None:
         pairs = pairs.where(F.col("region") == F.col("leaf"))
     else:
-        pairs = pairs.join(sized_broadcast(regions.select(F.col("acronym").alias("region"))), "region")
+        pairs = pairs.join(regions.select(F.col("acronym").alias("region")), "region")
     return pairs.select("section", "region", "leaf")
 
 
@@ -71,18 +71,18 @@ def region_readout(region_rows: DataFrame, closure: DataFrame, excluded: DataFra
     Parent rows are never read; ``both`` is recomputed from sums and always present.
     """
     rows = region_rows.where(F.col("hemisphere").isin(*HEMISPHERES))
-    present = materialise(rows.select("section", "acronym").distinct())[0]
+    present = rows.select("section", "acronym").distinct()
     pairs = included_leaves(present, closure, excluded, regions)
     counts = panel.count_columns
     sums = [F.sum("area_mm2").alias("area_mm2")] + [F.sum(c).cast("long").alias(c) for c in counts]
-    joined = rows.withColumnRenamed("acronym", "leaf").join(sized_broadcast(pairs), ["section", "leaf"])
+    joined = rows.withColumnRenamed("acronym", "leaf").join(pairs, ["section", "leaf"])
     agg = (joined.groupingSets([["section", "region", "hemisphere"], ["section", "region"]],
                                "section", "region", "hemisphere").agg(*sums))
     side = F.when(F.col("hemisphere").isNull(), "both").otherwise(F.substring("hemisphere", 1, 1))
     empty = (F.col("area_mm2") <= 0) & (sum(F.col(c) for c in counts) == 0)
     agg = agg.withColumn("hemisphere", side).where((F.col("hemisphere") == "both") | ~empty)
     level = level_of_region(pairs, frontier_leaves(present, closure))
-    agg = agg.join(sized_broadcast(level), ["section", "region"])
+    agg = agg.join(level, ["section", "region"])
     out = ["section", "region", "hemisphere", "level", F.round("area_mm2", 6).alias("area_mm2")]
     for c in counts:
         out += [c, ratio(c, "area_mm2").alias(c.replace("_count", "_density"))]
@@ -96,7 +96,7 @@ def region_readout(region_rows: DataFrame, closure: DataFrame, excluded: DataFra
 def ancestor_rollup(own: DataFrame, closure: DataFrame, counts: list[str]) -> DataFrame:
     """Each region's own bucket plus those of all it contains, per section."""
     up = closure.select("ancestor", F.col("descendant").alias("acronym"))
-    return (own.join(sized_broadcast(up), "acronym").groupBy("section", F.col("ancestor").alias("region"))
+    return (own.join(up, "acronym").groupBy("section", F.col("ancestor").alias("region"))
             .agg(*[F.sum(c).cast("long").alias(c) for c in counts]))
 
 
@@ -138,7 +138,7 @@ def warn_empty_regions(rollup: DataFrame, anchor_count: str) -> DataFrame:
 
 def division_of(closure: DataFrame, divisions: DataFrame) -> DataFrame:
     """Nearest ancestor-or-self that is a division root; NULL when there is none."""
-    hit = (closure.join(sized_broadcast(divisions.select(F.col("acronym").alias("ancestor"))), "ancestor")
+    hit = (closure.join(divisions.select(F.col("acronym").alias("ancestor")), "ancestor")
            .groupBy("descendant").agg(F.min_by("ancestor", "distance").alias("division")))
     every = closure.where(F.col("distance") == 0).select("descendant")
     return every.join(hit, "descendant", "left").select(F.col("descendant").alias("acronym"), "division")
@@ -157,7 +157,7 @@ def label_presence_mask(labels: DataFrame, edges: DataFrame, projects: list[str]
 
 def focus_sets(closure: DataFrame, roots: DataFrame) -> DataFrame:
     """(focus, acronym): named root sets expanded to all members; unknown roots drop out."""
-    return (closure.join(sized_broadcast(roots.select("focus", F.col("acronym").alias("ancestor"))), "ancestor")
+    return (closure.join(roots.select("focus", F.col("acronym").alias("ancestor")), "ancestor")
             .select("focus", F.col("descendant").alias("acronym")).distinct())
 
 
@@ -168,7 +168,7 @@ def term_resolution(terms: DataFrame, edges: DataFrame) -> DataFrame:
     itself an acronym drops out unless the kind is 'collision'; ``clash`` marks lookup keys
     claimed by more than one term.
     """
-    known = sized_broadcast(edges.select("acronym").distinct())
+    known = (edges.select("acronym").distinct())
     members = (terms.select("term", F.explode("members").alias("acronym")).join(known, "acronym")
                .groupBy("term").agg(F.array_sort(F.collect_set("acronym")).alias("m")))
     alias = terms.select("term", "kind", F.explode_outer("also").alias("acronym"))
@@ -185,7 +185,7 @@ def term_resolution(terms: DataFrame, edges: DataFrame) -> DataFrame:
 
 def confusable_groups(groups: DataFrame, edges: DataFrame) -> DataFrame:
     """Groups with at least two acronyms that exist."""
-    good = groups.join(sized_broadcast(edges.select("acronym").distinct()), "acronym")
+    good = groups.join(edges.select("acronym").distinct(), "acronym")
     return (good.groupBy("grp").agg(F.count_distinct("acronym").alias("n"),
                                     F.concat_ws(",", F.array_sort(F.collect_set("acronym"))).alias("members"))
             .where(F.col("n") >= 2))

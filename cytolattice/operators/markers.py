@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import GateBands, Panel
 from ..functions import (ROBUST_SCALE, above_chance, count_where, dbl, finite, in_band, ratio, verdict)
-from ..session import sized_broadcast
+from ..session import settle
 from .quantiles import grouped_mad
 
 SECTION_ROW = "__section__"
@@ -66,7 +66,7 @@ def widen(cuts: DataFrame, panel: Panel, keys: tuple[str, ...] = ("section",),
 def with_stats(cells: DataFrame, panel: Panel, keys: tuple[str, ...] = ("section",)) -> DataFrame:
     """Cells with ``<marker>_median``, ``<marker>_robust_sd`` and ``<marker>_n`` of their section."""
     wide = widen(robust_threshold(cells, panel, 0.0, keys), panel, keys, ("median", "robust_sd", "n"))
-    return cells.join(sized_broadcast(wide), list(keys), "left")
+    return cells.join(settle(wide), list(keys), "left")
 
 
 def cut_at(marker: str, k) -> Column:
@@ -93,7 +93,7 @@ def classify_cells(cells: DataFrame, panel: Panel, k: float | None = None,
                    keys: tuple[str, ...] = ("section",)) -> DataFrame:
     """Compound class per cell from per-section cuts; exclusion wins."""
     cuts = widen(robust_threshold(cells, panel, k, keys), panel, keys)
-    joined = cells.join(sized_broadcast(cuts), list(keys), "left")
+    joined = cells.join(settle(cuts), list(keys), "left")
     flags = {m.name: F.coalesce(dbl(m.measure) >= F.col(f"{m.name}_threshold"), F.lit(False))
              for m in panel.markers}
     return joined.withColumn("class", class_from_flags(panel, flags, F.col("excluded")))
@@ -103,7 +103,7 @@ def reclassify_by_scope(cells: DataFrame, panel: Panel, scope: tuple[str, ...],
                         k: float | None = None) -> DataFrame:
     """Cuts per image or per ROI; a marker's absolute cut wins.  No exclusion class here."""
     cuts = widen(robust_threshold(cells.withColumn("excluded", F.lit(False)), panel, k, scope), panel, scope)
-    joined = cells.join(sized_broadcast(cuts), list(scope), "left")
+    joined = cells.join(settle(cuts), list(scope), "left")
     flags = {}
     for m in panel.markers:
         cut = F.lit(float(m.absolute)) if m.absolute is not None else F.col(f"{m.name}_threshold")
@@ -130,7 +130,7 @@ def threshold_selfcheck(cells: DataFrame, panel: Panel, k: float | None = None)
     """n, median, robust SD, cut, positive fraction and a verdict per section and marker."""
     cuts = robust_threshold(cells, panel, k)
     pos = (long_measures(cells, panel, ["section"])
-           .join(sized_broadcast(cuts.select("section", "marker", "threshold")), ["section", "marker"])
+           .join(settle(cuts.select("section", "marker", "threshold")), ["section", "marker"])
            .groupBy("section", "marker").agg(count_where(F.col("value") >= F.col("threshold")).alias("n_pos")))
     frac = ratio("n_pos", "n")
     text = (F.when(F.col("threshold").isNull(), "CHECK: no data")
@@ -146,7 +146,7 @@ def marker_summary(cells: DataFrame, panel: Panel, ks: list[float]) -> DataFrame
     """n, median, MAD, robust SD, cut, positives and positive share per section, marker and k."""
     sweep = k_sweep(cells, panel, ks)
     stats = robust_threshold(cells, panel, 0.0).select("section", "marker", "n", "median", "mad", "robust_sd")
-    return sweep.join(sized_broadcast(stats), ["section", "marker"]).select(
+    return sweep.join(stats, ["section", "marker"]).select(
         "section", "marker", "k", "n", "median", "mad", "robust_sd", "threshold",
         F.col("count").alias("n_pos"), ratio("count", "n").alias("frac_pos"))
 
@@ -163,9 +163,9 @@ def k_sweep(cells: DataFrame, panel: Panel, ks: list[float], bridge: DataFrame |
     """threshold, count and percent per section (and per bridged region group), marker and k."""
     stats = robust_threshold(cells, panel, 0.0).select("section", "marker", "median", "robust_sd")
     keys = ["section"] + (["region"] if bridge is not None else [])
-    rows = long_measures(cells if bridge is None else cells.join(sized_broadcast(bridge), "acronym"),
+    rows = long_measures(cells if bridge is None else cells.join(bridge, "acronym"),
                          panel, keys)
-    rows = rows.join(sized_broadcast(stats), ["section", "marker"])
+    rows = rows.join(settle(stats), ["section", "marker"])
     group = keys + ["marker", "median", "robust_sd"]
     cut = [F.col("median") + F.lit(float(k)) * F.col("robust_sd") for k in ks]
     agg = rows.groupBy(*group).agg(F.count("*").alias("n"),
@@ -183,7 +183,7 @@ def k_whiskers(cells: DataFrame, panel: Panel, ks: list[float], marker: str, bri
     ordered = sorted(ks)
     lo, mid, hi = ordered[0], ordered[len(ordered) // 2], ordered[-1]
     one = with_stats(cells, panel).where(~F.col("excluded") & finite(f"{marker}_bgsub"))
-    agg = (one.join(sized_broadcast(bridge), "acronym").groupBy("section", "region").agg(
+    agg = (one.join(bridge, "acronym").groupBy("section", "region").agg(
         F.count("*").alias("n"),
         *[count_where(positive_at(marker, k)).alias(f"n_{tag}")
           for tag, k in (("mid", mid), ("strict", hi), ("lenient", lo))]))
@@ -255,7 +255,7 @@ def region_readout_at_k(cells: DataFrame, panel: Panel, target: str, condition:
         count_where(F.col("_cp") & F.col("_tp")).alias("double_n"))
     base = region.groupBy("section").agg(ratio(F.sum("target_n"), F.sum("t_n")).alias("baseline"))
     raw = ratio("double_n", "denom")
-    return region.join(sized_broadcast(base), "section").select(
+    return region.join(base, "section").select(
         "section", "acronym", "n", "target_n", ratio("target_n", "t_n").alias("target_frac"),
         F.col("baseline").alias("baseline_frac"), "condition_n", "double_n", raw.alias("reactivation_raw"),
         ratio(raw, "baseline").alias("enrichment"))
@@ -277,7 +277,7 @@ def k_split_counts(cells: DataFrame, panel: Panel, ks: list[float], locked_k: fl
                                F.col(f"_a{i}").alias("activity_n"), F.col(f"_d{i}").alias("double_n"))
                       for i, k in enumerate(ks)])
     out = rows.groupBy("acronym").agg(F.count("*").alias("n"), *aggs)
-    kept = out.join(sized_broadcast(rollup_n), "acronym").where(F.col("n") == F.col("N_rollup"))
+    kept = out.join(rollup_n, "acronym").where(F.col("n") == F.col("N_rollup"))
     return (kept.select("acronym", "n", F.inline(items))
             .withColumn("tagged_pct", 100.0 * ratio("tagged_n", "n"))
             .withColumn("activity_pct", 100.0 * ratio("activity_n", "n"))

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..session import sized_broadcast
+from ..session import settle
 
 SKETCH_ACCURACY = 20_000
 BRACKET = 2.0 / SKETCH_ACCURACY
@@ -58,7 +58,7 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
         F.count("_v").alias("n"),
         F.percentile_approx("_v", [float(p) for p in ps], SKETCH_ACCURACY).alias("_q"))
     sketch = sketch.select(*keys, "n", *[F.col("_q")[i].alias(f"_p{i}") for i in range(len(ps))])
-    small = sized_broadcast(sketch)
+    small = settle(sketch)
     joined = data.join(small, keys)
     pairs = [(F.col(f"_p{2 * i}"), F.col(f"_p{2 * i + 1}")) for i in range(len(probs))]
     inside = reduce(lambda a, b: a | b, [(F.col("_v") >= lo) & (F.col("_v") <= hi) for lo, hi in pairs])
@@ -76,14 +76,14 @@ def histogram_quantiles(counts: DataFrame, keys: list[str], value: str, weight:
     total = counts.groupBy(*keys).agg(F.sum(weight).alias("n"))
     v = F.col(value).cast("double")
     runs = counts.groupBy(*keys, v.alias("_min")).agg(F.sum(weight).alias("_cnt"))
-    runs = (runs.join(sized_broadcast(total), keys)
+    runs = (runs.join(settle(total), keys)
             .withColumn("_max", F.col("_min")).withColumn("_gap", F.lit(0)))
     return _interpolate(runs, keys, probs, names)
 
 
 def grouped_mad(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """n, median and raw MAD (median of absolute deviations) per group."""
-    med = sized_broadcast(grouped_quantiles(df, keys, value, [0.5], ["median"]))
+    med = settle(grouped_quantiles(df, keys, value, [0.5], ["median"]))
     dev = (df.where(F.col(value).isNotNull()).join(med.drop("n"), keys)
            .select(*keys, F.abs(F.col(value) - F.col("median")).alias("_dev")))
     mad = grouped_quantiles(dev, keys, "_dev", [0.5], ["mad"])

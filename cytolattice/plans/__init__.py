@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("cell_queries",)
+MODULES = ("cell_queries", "region_queries")
 
 
 def load_all():

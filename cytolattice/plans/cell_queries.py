@@ -93,8 +93,7 @@ def sink_ksweep_tidy(spark, d):
     SELECT section, region, count(*) AS n FROM fx_cells c JOIN bridge b ON c.acronym = b.acronym
     WHERE NOT excluded GROUP BY section, region""")
 def region_group_bridge(spark, d):
-    from ..session import sized_broadcast
-    return tidy(cells(spark, d).where(~F.col("excluded")).join(sized_broadcast(bridge(spark, d)), "acronym")
+    return tidy(cells(spark, d).where(~F.col("excluded")).join(bridge(spark, d), "acronym")
                 .groupBy("section", "region").agg(F.count("*").alias("n")))
 
 

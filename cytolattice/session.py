@@ -1,14 +1,11 @@
-"""Session helpers: the shared folder, size-checked broadcasts, deterministic draws."""
+"""Session helpers: the shared folder, settled intermediate tables and lineage cuts."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-# A side is broadcast only after its row count was found to be at or below this.
-BROADCAST_ROW_LIMIT = 500_000
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,16 +40,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialise(df: DataFrame) -> tuple[DataFrame, int]:
-    """Persist a result that several branches reuse and return it with its row count."""
-    kept = df.persist()
-    return kept, kept.count()
-
-
-def sized_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint behind a row count; above the limit the plain side is returned.
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Write a result once to the shared folder and read it back.
 
-    Beyond the limit Spark shuffles both sides and adaptive execution splits skewed keys.
+    The plan above it starts from a file scan, survives lost executors and is computed once.
+    Its size is known, so a join broadcasts it only when it is below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
     """
-    kept, rows = materialise(df)
-    return F.broadcast(kept) if rows <= limit else kept
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
