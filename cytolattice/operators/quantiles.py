@@ -88,3 +88,32 @@ def grouped_mad(df: DataFrame, keys: list[str], value: str) -> DataFrame:
            .select(*keys, F.abs(F.col(value) - F.col("median")).alias("_dev")))
     mad = grouped_quantiles(dev, keys, "_dev", [0.5], ["mad"])
     return med.join(mad.drop("n"), keys)
+
+
+def ranked_values(df: DataFrame, keys: list[str], value: str, wanted: DataFrame) -> DataFrame:
+    """Quantile per key where each key asks for its own probability (``wanted``: keys, prob).
+
+    An equi-depth ladder from one sketch gives the rung pair around the wanted rank; only values
+    between the two rungs are counted by value.
+    """
+    rungs = 512
+    v = F.col(value).cast("double")
+    data = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    ladder = data.groupBy(*keys).agg(
+        F.count("_v").alias("n"),
+        F.percentile_approx("_v", [i / rungs for i in range(rungs + 1)], SKETCH_ACCURACY).alias("_q"))
+    lo = F.greatest(F.floor((F.col("prob") - BRACKET) * rungs), F.lit(0)).cast("int")
+    hi = F.least(F.ceil((F.col("prob") + BRACKET) * rungs), F.lit(rungs)).cast("int")
+    bounds = settle(ladder.join(wanted, keys).select(
+        *keys, "n", "prob", F.get("_q", lo).alias("_p0"), F.get("_q", hi).alias("_p1")))
+    inside = (F.col("_v") >= F.col("_p0")) & (F.col("_v") <= F.col("_p1"))
+    gap = 2 * (F.col("_v") > F.col("_p1")).cast("int") + F.when(inside, 1).otherwise(0)
+    runs = (data.join(bounds, keys).withColumn("_gap", gap).withColumn("_bin", F.when(inside, F.col("_v")))
+            .groupBy(*keys, "n", "prob", "_gap", "_bin")
+            .agg(F.count("*").alias("_cnt"), F.min("_v").alias("_min"), F.max("_v").alias("_max")))
+    order = W.partitionBy(*keys).orderBy("_gap", "_min", "_max")
+    runs = (runs.withColumn("_hi", F.sum("_cnt").over(order.rowsBetween(W.unboundedPreceding, 0)))
+            .withColumn("_lo", F.col("_hi") - F.col("_cnt")))
+    h = (F.col("n") - 1) * F.col("prob")
+    out = runs.groupBy(*keys, "n", "prob").agg(_pick(F.floor(h)).alias("_a"), _pick(F.ceil(h)).alias("_b"))
+    return out.select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * (h - F.floor(h))).alias("cut"))
