@@ -6,6 +6,10 @@ not depend on partitioning and can be repeated in SQL.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..config import Panel
@@ -72,3 +76,367 @@ def anchor_floor(cells: DataFrame, keys: list[str], minimum: int = 200) -> DataF
            .groupBy(*keys).agg(F.avg(flag("activity")).alias("_hit")))
     out = base.join(hit, keys, "left").join(cut, keys, "left")
     return out.select(*keys, "cut", F.when(F.col("_ok") >= minimum, ratio("_hit", "_base")).alias("anchor_floor"))
+
+
+# ---- shuffled labels ------------------------------------------------------------------------
+
+def _share(t, n) -> Column:
+    """Probability whose rank lies half-way between the t-th and the next value."""
+    return F.least((dbl(t) - 0.5) / F.greatest(dbl(n) - 1, F.lit(1.0)), F.lit(1.0))
+
+
+def shuffled_control(cells: DataFrame, keys: list[str], seed: int = 0) -> DataFrame:
+    """Above-chance after permuting the tagged labels.
+
+    A permutation makes the tagged set a random subset of its size: the T cells with the lowest
+    draws.  The T-th draw is found as a quantile, so nothing is sorted globally.
+    """
+    c = settle(chance_counts(cells, keys))
+    rows = cells.select(*keys, "activity", draw("cell_id", seed).cast("double").alias("_d"))
+    want = c.where((F.col("tagged_n") > 0) & (F.col("activity_n") > 0)).select(*keys, _share("tagged_n", "n").alias("prob"))
+    cut = settle(quantile_cut(rows, keys, "_d", want))
+    hit = (rows.join(cut, keys).groupBy(*keys)
+           .agg(count_where((F.col("_d") <= F.col("cut")) & F.col("activity")).alias("_hit")))
+    return c.join(hit, keys, "left").select(
+        *keys, "n", "tagged_n", "activity_n", above_chance("n", "tagged_n", "activity_n", "_hit").alias("shuffled"))
+
+
+# ---- k against chance -------------------------------------------------------------------------
+
+K_LADDER = (1.5, 2.0, 2.5, 3.0, 4.0, 5.0, 7.0, 10.0)
+
+
+def k_vs_chance(cells: DataFrame, panel: Panel, ks: tuple[float, ...] = K_LADDER, strict: bool = True,
+                seed: int = 0) -> DataFrame:
+    """Pooled sweep: counts, above-chance, shuffled control and anchor floor at each k.
+
+    Cuts come from the pooled values; positivity is strict by default.  A handful of per-k
+    numbers (cuts and counts) travels through the driver, never rows.
+    """
+    roles = panel.roles()
+    t, a = f"{roles.tagged}_bgsub", f"{roles.activity}_bgsub"
+    rows = cells.where(finite(t) & finite(a)).withColumn("_all", F.lit("all")).withColumn("excluded", F.lit(False))
+    stats = {r.marker: r for r in markers.robust_threshold(rows, panel, 0.0, ("_all",)).collect()}
+    rows = rows.withColumn("_d", draw("cell_id", seed).cast("double"))
+
+    def above(col_name, marker, k):
+        cut = F.lit(stats[marker]["median"]) + F.lit(float(k)) * F.lit(stats[marker]["robust_sd"])
+        return dbl(col_name) > cut if strict else dbl(col_name) >= cut
+
+    pos = {k: (above(t, roles.tagged, k), above(a, roles.activity, k)) for k in ks}
+    first = rows.agg(F.count("*").alias("n"), F.count(F.when(finite("anchor_mean"), 1)).alias("ok"),
+                     *[count_where(pos[k][0]).alias(f"t{i}") for i, k in enumerate(ks)]).first()
+    live = [i for i, _ in enumerate(ks) if 0 < first[f"t{i}"] < first["n"]]
+    n = first["n"]
+    floor_cut, draw_cut = {}, {}
+    if live:
+        got = grouped_quantiles(rows.where(finite("anchor_mean")), [], "anchor_mean",
+                                [1 - first[f"t{i}"] / n for i in live], [f"c{i}" for i in live]).first()
+        floor_cut = {i: got[f"c{i}"] for i in live} if first["ok"] >= 200 else {}
+        got = grouped_quantiles(rows, [], "_d", [min((first[f"t{i}"] - 0.5) / max(n - 1, 1), 1.0) for i in live],
+                                [f"c{i}" for i in live]).first()
+        draw_cut = {i: got[f"c{i}"] for i in live}
+    aggs = [F.count("*").alias("n")]
+    false = F.lit(False)
+    for i, k in enumerate(ks):
+        tp, ap = pos[k]
+        pseudo = finite("anchor_mean") & (dbl("anchor_mean") > F.lit(floor_cut[i])) if i in floor_cut else false
+        drawn = F.col("_d") <= F.lit(draw_cut[i]) if i in draw_cut else (F.lit(True) if first[f"t{i}"] == n else false)
+        aggs += [count_where(tp).alias(f"t{i}"), count_where(ap).alias(f"a{i}"), count_where(tp & ap).alias(f"d{i}"),
+                 count_where(drawn & ap).alias(f"s{i}"), count_where(pseudo).alias(f"p{i}"), count_where(pseudo & ap).alias(f"q{i}")]
+    items = F.array(*[F.struct(
+        F.lit(float(k)).alias("k"), F.col(f"t{i}").alias("tagged_n"), F.col(f"a{i}").alias("activity_n"),
+        F.col(f"d{i}").alias("double_n"), above_chance("n", f"t{i}", f"a{i}", f"s{i}").alias("shuffled"),
+        above_chance("n", f"p{i}", f"a{i}", f"q{i}").alias("anchor_floor")) for i, k in enumerate(ks)])
+    out = rows.agg(*aggs).select("n", F.inline(items))
+    ac = above_chance("n", "tagged_n", "activity_n", "double_n")
+    return out.select("k", "n", "tagged_n", "activity_n", "double_n",
+                      (100.0 * ratio("tagged_n", "n")).alias("tagged_pct"), (100.0 * ratio("activity_n", "n")).alias("activity_pct"),
+                      (100.0 * ratio("double_n", "tagged_n")).alias("reactivation_pct"), ac.alias("above_chance"),
+                      "shuffled", "anchor_floor", ratio(ac, "anchor_floor").alias("real_over_floor"))
+
+
+def k_vs_chance_verdict(sweep: DataFrame) -> DataFrame:
+    """STOP / FALLS / RISES / FLAT from the first and last k, and whether the floor rises too."""
+    ok = sweep.where(F.col("above_chance").isNotNull())
+    s = ok.agg(F.count("*").alias("points"), F.min_by("above_chance", "k").alias("lo"), F.max_by("above_chance", "k").alias("hi"),
+               F.max(F.abs(F.col("shuffled") - 1.0)).alias("off"), F.min_by("anchor_floor", "k").alias("floor_lo"),
+               F.max_by("anchor_floor", "k").alias("floor_hi"))
+    text = (F.when(F.col("points") < 2, "too few points").when(F.col("off") > 0.15, "STOP")
+            .when(F.col("hi") < F.col("lo") * 0.8, "FALLS").when(F.col("hi") > F.col("lo") * 1.2, "RISES").otherwise("FLAT"))
+    return s.select("points", "lo", "hi", text.alias("verdict"),
+                    F.coalesce(F.col("floor_hi") > F.col("floor_lo") * 1.2, F.lit(False)).alias("floor_rises"))
+
+
+# ---- local baseline -------------------------------------------------------------------------------
+
+def region_members(cells: DataFrame, members: DataFrame | None, minimum: int = 500) -> DataFrame:
+    """Cells with the ``region`` they serve.
+
+    With ``members`` (region, acronym) a region takes the cells of all its members; without, each
+    acronym of at least ``minimum`` cells stands for itself.
+    """
+    if members is not None:
+        return cells.join(members, "acronym")
+    big = settle(cells.groupBy("acronym").agg(F.count("*").alias("_n")).where(F.col("_n") >= minimum).select("acronym"))
+    return cells.join(big, "acronym").withColumn("region", F.col("acronym"))
+
+
+def local_sections(rows: DataFrame, k: int, cap: int | None = None) -> DataFrame:
+    """Per region and section: tagged n, observed and local activity; unusable sections drop out."""
+    from .neighbours import knn_unlabelled
+    rows = settle(rows.select("region", "section", "cell_id", "x", "y", "tagged", "activity"), "region-cells")
+    keyed = rows.withColumn("section", F.concat_ws("\u0001", "region", "section"))
+    near = knn_unlabelled(keyed, k, cap).where(F.col("local_rate").isNotNull())
+    part = F.split(F.col("section"), "\u0001")
+    loc = near.groupBy(part[0].alias("region"), part[1].alias("section")).agg(F.avg("local_rate").alias("local_rate"))
+    obs = rows.where("tagged").groupBy("region", "section").agg(F.count("*").alias("tagged_n"), F.avg(flag("activity")).alias("observed"))
+    return settle(obs.join(loc, ["region", "section"]), "local-sections")
+
+
+def local_chance(sections: DataFrame) -> DataFrame:
+    """Sections pooled by tagged cells: observed, local chance and their ratio per region."""
+    n = F.sum("tagged_n")
+    return sections.groupBy("region").agg(
+        F.count("*").alias("n_sections"), n.cast("long").alias("tagged_n"),
+        (F.sum(F.col("observed") * F.col("tagged_n")) / n).alias("observed"),
+        (F.sum(F.col("local_rate") * F.col("tagged_n")) / n).alias("local_chance"),
+        ratio(F.sum(F.col("observed") * F.col("tagged_n")), F.sum(F.col("local_rate") * F.col("tagged_n"))).alias("above_chance_local"))
+
+
+def local_chance_order(table: DataFrame) -> DataFrame:
+    return table.orderBy(F.col("above_chance_local").desc_nulls_last(), "region")
+
+
+def bootstrap_sections(sections: DataFrame, n_boot: int = 1000, seed: int = 0, minimum: int = 3) -> DataFrame:
+    """2.5 / 97.5 percentiles of the ratio over resampled sections, per region.
+
+    Each replicate draws as many sections as the region has; replicates are generated rows over
+    the small section table.
+    """
+    w = W.partitionBy("region")
+    ranked = sections.withColumn("_i", F.row_number().over(w.orderBy("section")) - 1).withColumn("_s", F.count("*").over(w))
+    ranked = ranked.where(F.col("_s") >= minimum)
+    slots = ranked.select("region", "_s", F.col("_i").alias("_slot"),
+                          F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("_b"))
+    base = ((F.col("_b") + 1).cast("long") * 1_000_003 + F.col("_slot") * 7919 + seed) % PRIME
+    for _ in range(2):
+        base = (base * F.lit(STEP).cast("long") + 11) % PRIME
+    picks = slots.select("region", "_b", (base % F.col("_s")).cast("int").alias("_i"))
+    j = picks.join(ranked.select("region", "_i", "tagged_n", "observed", "local_rate"), ["region", "_i"])
+    reps = j.groupBy("region", "_b").agg(ratio(F.sum(F.col("observed") * F.col("tagged_n")),
+                                               F.sum(F.col("local_rate") * F.col("tagged_n"))).alias("r"))
+    q = reps.where(F.col("r").isNotNull()).groupBy("region").agg(F.percentile("r", F.array(F.lit(0.025), F.lit(0.975))).alias("q"))
+    return q.select("region", F.col("q")[0].alias("ci_lo"), F.col("q")[1].alias("ci_hi"), F.lit("section-level").alias("ci_scheme"))
+
+
+@F.pandas_udf("struct<lo: double, hi: double>")
+def _binomial_interval(n: pd.Series, p: pd.Series) -> pd.DataFrame:
+    """2.5 / 97.5 percent points of a binomial share: what resampling 0/1 cells converges to."""
+    lo, hi = [], []
+    for size, share in zip(n, p):
+        if not size or share is None or math.isnan(share):
+            lo.append(None), hi.append(None)
+            continue
+        if share <= 0 or share >= 1:
+            lo.append(float(share)), hi.append(float(share))
+            continue
+        size = int(size)
+        sd = math.sqrt(size * share * (1 - share))
+        a, b = max(0, int(size * share - 9 * sd - 9)), min(size, int(size * share + 9 * sd + 9))
+        k = np.arange(a, b + 1, dtype=float)
+        step = np.log((size - k[:-1]) / (k[:-1] + 1)) + math.log(share / (1 - share))
+        logs = np.concatenate([[0.0], np.cumsum(step)])
+        pmf = np.exp(logs - logs.max())
+        cdf = np.cumsum(pmf / pmf.sum())
+        lo.append(float(k[np.searchsorted(cdf, 0.025)]) / size)
+        hi.append(float(k[min(np.searchsorted(cdf, 0.975), len(k) - 1)]) / size)
+    return pd.DataFrame({"lo": lo, "hi": hi})
+
+
+def bootstrap_cells(table: DataFrame, baseline: str = "local_chance") -> DataFrame:
+    """Within-section interval: tagged cells resampled, divided by the baseline.
+
+    Resampling n 0/1 cells is a binomial draw on (n, p), so its percentiles are computed, not drawn.
+    """
+    q = _binomial_interval(dbl("tagged_n"), dbl("observed"))
+    out = table.withColumn("_q", q)
+    return out.select("region", "tagged_n", "observed", baseline, ratio("_q.lo", baseline).alias("ci_lo"),
+                      ratio("_q.hi", baseline).alias("ci_hi"), F.lit("cell-level: within-section precision only").alias("ci_scheme"))
+
+
+# ---- rotation ---------------------------------------------------------------------------------------
+
+def rotation_null(cells: DataFrame, n_rot: int = 200, near: int = 25, seed: int = 0, cap: int | None = None) -> DataFrame:
+    """Tagged points rotated about their section's centroid; activity of the nearest cells there.
+
+    Cells carry ``region``.  One angle per section and rotation.  A section needs ten cells.
+    """
+    from .neighbours import knn_join
+    rows = cells.select("region", F.concat_ws("\u0001", "region", "section").alias("section"), "cell_id", dbl("x").alias("x"),
+                        dbl("y").alias("y"), "tagged", "activity")
+    rows = settle(rows, "rotate")
+    mid = rows.groupBy("region", "section").agg(F.avg("x").alias("_cx"), F.avg("y").alias("_cy"), F.count("*").alias("_n"),
+                                                 count_where(F.col("tagged")).alias("_t"))
+    mid = settle(mid.where((F.col("_n") >= 10) & (F.col("_t") > 0)))
+    q = rows.where("tagged").join(mid.drop("region"), "section").select(
+        "section", "cell_id", "x", "y", "_cx", "_cy", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_rot - 1))).alias("rot"))
+    u = ((F.col("rot") + 1).cast("long") * 1_000_003 + F.col("_n") * 7919 + seed) % PRIME
+    for _ in range(2):
+        u = (u * F.lit(STEP).cast("long") + 11) % PRIME
+    th = 2 * F.pi() * u / F.lit(float(PRIME))
+    dx, dy = F.col("x") - F.col("_cx"), F.col("y") - F.col("_cy")
+    # Query ids carry the rotation so that one search serves all rotations.
+    q = q.select("section", (F.col("cell_id") * n_rot + F.col("rot")).alias("qid"),
+                 (F.col("_cx") + dx * F.cos(th) - dy * F.sin(th)).alias("x"), (F.col("_cy") + dx * F.sin(th) + dy * F.cos(th)).alias("y"))
+    pool = rows.join(mid.select("section"), "section", "left_semi").select(
+        "section", F.col("cell_id").alias("pid"), "x", "y", F.col("activity").cast("double").alias("w"))
+    nn = knn_join(q, pool, near, cap).join(mid.select("section", "region", "_n"), "section")
+    m = F.least(F.lit(near), F.col("_n") - 1).cast("int")
+    act = F.aggregate(F.slice("nn", F.lit(1), m), F.lit(0.0), lambda s, e: s + e["w"]) / m
+    null = nn.select("region", F.pmod("qid", F.lit(n_rot)).alias("rot"), act.alias("act")).groupBy("region", "rot").agg(F.avg("act").alias("null_rate"))
+    obs = rows.where("tagged").groupBy("region").agg(F.avg(flag("activity")).alias("observed"))
+    out = null.join(obs, "region").groupBy("region", "observed").agg(
+        F.avg("null_rate").alias("null_mean"), count_where(F.col("null_rate") >= F.col("observed")).alias("_ge"), F.count("*").alias("_r"))
+    return out.select("region", "observed", "null_mean", ratio("observed", "null_mean").alias("ratio"),
+                      ((F.col("_ge") + 1) / (F.col("_r") + 1)).alias("p"))
+
+
+# ---- fitted expectation -----------------------------------------------------------------------------------
+
+COVARIATES = ("x1", "x2", "x3")
+
+
+def covariates(cells: DataFrame, tagged_measure: str) -> DataFrame:
+    """log1p of tagged intensity, local density and nucleus area (negatives clipped to zero)."""
+    clip = lambda c: F.log1p(F.greatest(dbl(c), F.lit(0.0)))
+    return (cells.where(finite(tagged_measure) & finite("nucleus_area_um2"))
+            .withColumn("x1", clip(tagged_measure)).withColumn("x2", F.log1p(dbl("local_density")))
+            .withColumn("x3", clip("nucleus_area_um2")))
+
+
+def fit_logistic(rows: DataFrame, l2: float = 1e-4, rounds: int = 40, tolerance: float = 1e-9):
+    """Ridge logistic fit per ``region`` on x1..x3, all regions in one pass per Newton round.
+
+    A round is one grouped sum (gradient, curvature, loss), combined before the shuffle, so a
+    region holding most rows costs no more than the rest.  Returns (scaling, {region: beta}).
+    """
+    spark = rows.sparkSession
+    scale = rows.groupBy("region").agg(*[f(c).alias(f"{c}_{t}") for c in COVARIATES for t, f in (("mu", F.avg), ("sd", F.stddev_pop))])
+    for c in COVARIATES:
+        scale = scale.withColumn(f"{c}_sd", F.when(F.col(f"{c}_sd") > 0, F.col(f"{c}_sd")).otherwise(1.0))
+    scale = settle(scale, "scale")
+    z = settle(standardise(rows, scale).select("region", flag("activity").cast("double").alias("y"), *COVARIATES), "design")
+    names = [r.region for r in scale.select("region").collect()]        # bounded by the region list
+    beta = {r: np.zeros(4) for r in names}
+    best, step, loss = dict(beta), {r: None for r in names}, {r: float("inf") for r in names}
+    todo = set(names)
+    for _ in range(rounds):
+        if not todo:
+            break
+        b = spark.createDataFrame([(r, *map(float, beta[r])) for r in sorted(todo)], "region string, b0 double, b1 double, b2 double, b3 double")
+        xs = [F.lit(1.0)] + [F.col(c) for c in COVARIATES]
+        eta = sum(F.col(f"b{i}") * x for i, x in enumerate(xs))
+        j = z.join(F.broadcast(b), "region").withColumn("_e", eta).withColumn("_p", 1 / (1 + F.exp(-F.col("_e"))))
+        wgt = F.col("_p") * (1 - F.col("_p"))
+        nll = F.greatest(F.col("_e"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("_e"))) - F.col("y") * F.col("_e")
+        got = j.groupBy("region").agg(
+            F.sum(nll).alias("nll"), *[F.sum((F.col("_p") - F.col("y")) * xs[i]).alias(f"g{i}") for i in range(4)],
+            *[F.sum(wgt * xs[i] * xs[k]).alias(f"h{i}{k}") for i in range(4) for k in range(i, 4)]).collect()
+        for r in got:
+            k, bb = r["region"], beta[r["region"]]
+            now = r["nll"] + l2 * float(bb[1:] @ bb[1:])
+            if now > loss[k] + 1e-12 * abs(loss[k]):
+                step[k] = step[k] / 2                       # overshot: halve the last step
+                beta[k] = best[k] + step[k]
+            else:
+                best[k], loss[k] = bb, now
+                g = np.array([r[f"g{i}"] for i in range(4)]) + 2 * l2 * np.concatenate([[0.0], bb[1:]])
+                h = np.zeros((4, 4))
+                for i in range(4):
+                    for m in range(i, 4):
+                        h[i, m] = h[m, i] = r[f"h{i}{m}"]
+                h += np.diag([1e-12, 2 * l2, 2 * l2, 2 * l2])
+                step[k] = -np.linalg.solve(h, g)
+                beta[k] = bb + step[k]
+            if np.abs(step[k]).max() < tolerance:
+                todo.discard(k)
+    return scale, best
+
+
+def standardise(rows: DataFrame, scale: DataFrame) -> DataFrame:
+    out = rows.join(scale, "region")
+    for c in COVARIATES:
+        out = out.withColumn(c, (F.col(c) - F.col(f"{c}_mu")) / F.col(f"{c}_sd"))
+    return out
+
+
+def predict(rows: DataFrame, scale: DataFrame, beta: dict) -> DataFrame:
+    spark = rows.sparkSession
+    b = spark.createDataFrame([(r, *map(float, v)) for r, v in sorted(beta.items())], "region string, b0 double, b1 double, b2 double, b3 double")
+    eta = F.col("b0") + sum(F.col(f"b{i + 1}") * F.col(c) for i, c in enumerate(COVARIATES))
+    return standardise(rows, scale).join(F.broadcast(b), "region").withColumn("probability", 1 / (1 + F.exp(-eta)))
+
+
+def fitted_expectation(rows: DataFrame, minimum: int = 200) -> DataFrame:
+    """Observed against fitted activity of tagged cells; the model sees only not-tagged cells.
+
+    ``rows``: region, tagged, activity, x1..x3 (see ``covariates``).
+    """
+    rows = settle(rows.select("region", "tagged", "activity", *COVARIATES), "covariates")
+    size = rows.groupBy("region").agg(count_where(~F.col("tagged")).alias("n_negative"), count_where(F.col("tagged")).alias("n_tagged"))
+    usable = settle(size.where((F.col("n_negative") >= minimum) & (F.col("n_tagged") > 0)), "usable")
+    neg = rows.where("NOT tagged").join(usable.select("region"), "region", "left_semi")
+    scale, beta = fit_logistic(neg)
+    if not beta:
+        return usable.select("region", "n_tagged", *[F.lit(None).cast("double").alias(c) for c in ("observed", "expected", "ratio")])
+    pos = predict(rows.where("tagged"), scale, beta)
+    out = pos.groupBy("region").agg(F.count("*").alias("n_tagged"), F.avg(flag("activity")).alias("observed"), F.avg("probability").alias("expected"))
+    return out.withColumn("ratio", ratio("observed", "expected"))
+
+
+def validate_extrapolation(rows: DataFrame, measure: str, holdout: float = 0.10, minimum: int = 1000, tail: int = 50) -> DataFrame:
+    """Fit below the upper intensity quantile of not-tagged cells, compare above it."""
+    neg = settle(rows.where("NOT tagged").select("region", "tagged", "activity", dbl(measure).alias("_m"), *COVARIATES), "negatives")
+    cut = grouped_quantiles(neg, ["region"], "_m", [1 - holdout], ["cut"]).where(F.col("n") >= minimum).drop("n")
+    both = settle(neg.join(settle(cut), "region"), "split")
+    hi = both.where(F.col("_m") > F.col("cut"))
+    enough = settle(hi.groupBy("region").agg(F.count("*").alias("_n")).where(F.col("_n") >= tail).select("region"))
+    lo = both.where(F.col("_m") <= F.col("cut")).join(enough, "region", "left_semi")
+    scale, beta = fit_logistic(lo)
+    if not beta:
+        return enough.select("region", F.lit(0).cast("long").alias("holdout_n"), *[F.lit(None).cast("double").alias(c) for c in ("predicted", "actual", "pred_over_actual")])
+    out = predict(hi.join(enough, "region", "left_semi"), scale, beta).groupBy("region").agg(
+        F.count("*").alias("holdout_n"), F.avg("probability").alias("predicted"), F.avg(flag("activity")).alias("actual"))
+    return out.withColumn("pred_over_actual", ratio("predicted", "actual"))
+
+
+def expected_overlap(rows: DataFrame, minimum: int = 500) -> DataFrame:
+    """Per region: n, observed, expected, fitted and naive ratios, resampled interval."""
+    size = rows.groupBy("region").agg(F.count("*").alias("n_cells"))
+    keep = settle(size.where(F.col("n_cells") >= minimum))
+    used = rows.join(keep.select("region"), "region", "left_semi")
+    fit = fitted_expectation(used).withColumnRenamed("ratio", "above_chance_fitted")
+    out = keep.join(fit, "region").join(naive_ratio(used, ["region"]).withColumnRenamed("naive", "above_chance_naive"), "region")
+    q = _binomial_interval(dbl("n_tagged"), dbl("observed"))
+    out = out.withColumn("_q", q)
+    return out.select("region", "n_cells", "n_tagged", "observed", "expected", "above_chance_fitted", "above_chance_naive",
+                      ratio("_q.lo", "expected").alias("ci_lo"), ratio("_q.hi", "expected").alias("ci_hi"))
+
+
+def chance_compare(rows: DataFrame, k: int = 100, n_rot: int = 200, n_boot: int = 200, min_cells: int = 500,
+                   min_tagged: int = 30, cap: int | None = None) -> DataFrame:
+    """One row per region with every baseline.  Small regions are removed before the searches."""
+    size = rows.groupBy("region").agg(F.count("*").alias("n_cells"), count_where(F.col("tagged")).alias("n_tagged"))
+    keep = settle(size.where((F.col("n_cells") >= min_cells) & (F.col("n_tagged") >= min_tagged)))
+    used = settle(rows.join(keep.select("region"), "region", "left_semi"), "compare")
+    sections = local_sections(used, k, cap)
+    loc = local_chance(sections).select("region", F.col("above_chance_local").alias("local"))
+    ci = bootstrap_sections(sections, n_boot).select("region", "ci_lo", "ci_hi")
+    fit = fitted_expectation(used).select("region", F.col("ratio").alias("fitted"))
+    rot = rotation_null(used, n_rot, cap=cap).select("region", F.col("ratio").alias("rotation"), F.col("p").alias("rotation_p"))
+    floor = anchor_floor(used, ["region"]).select("region", "anchor_floor")
+    out = keep
+    for part in (naive_ratio(used, ["region"]), loc, fit, floor, rot, ci):
+        out = out.join(part, "region", "left")
+    return out

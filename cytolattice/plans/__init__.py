@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("cell_queries", "region_queries", "table_queries", "spatial_queries")
+MODULES = ("cell_queries", "region_queries", "table_queries", "spatial_queries", "chance_queries")
 
 
 def load_all():

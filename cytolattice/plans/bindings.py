@@ -52,8 +52,8 @@ VIEWS = {
                CAST(0 AS DOUBLE), CAST(10004 AS DOUBLE)""",
     "fx_drawn": """
         SELECT CAST(s_suppkey AS BIGINT) AS shape_id, concat('R', s_suppkey % 10) AS roi_name,
-               CAST((s_suppkey * 997) % 9000 AS DOUBLE) AS x0, CAST((s_suppkey * 997) % 9000 + 700 AS DOUBLE) AS x1,
-               CAST((s_suppkey * 613) % 9000 AS DOUBLE) AS y0, CAST((s_suppkey * 613) % 9000 + 500 AS DOUBLE) AS y1,
+               CAST((s_suppkey * 997) % 9000 AS DOUBLE) AS x0, CAST((s_suppkey * 997) % 9000 + 1700 AS DOUBLE) AS x1,
+               CAST((s_suppkey * 613) % 9000 AS DOUBLE) AS y0, CAST((s_suppkey * 613) % 9000 + 1500 AS DOUBLE) AS y1,
                CAST(s_suppkey % 3 AS BIGINT) AS z
         FROM {supplier}""",
     "fx_pixels": """
