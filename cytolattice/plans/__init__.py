@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ("cell_queries", "region_queries", "table_queries", "spatial_queries", "chance_queries")
+MODULES = ("cell_queries", "region_queries", "table_queries", "spatial_queries", "chance_queries", "pixel_queries",
+           "io_queries")
 
 
 def load_all():
