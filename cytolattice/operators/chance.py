@@ -10,7 +10,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..config import Panel
 from ..functions import above_chance, count_where, dbl, finite, ratio
@@ -230,7 +230,7 @@ def bootstrap_sections(sections: DataFrame, n_boot: int = 1000, seed: int = 0, m
     return q.select("region", F.col("q")[0].alias("ci_lo"), F.col("q")[1].alias("ci_hi"), F.lit("section-level").alias("ci_scheme"))
 
 
-@F.pandas_udf("struct<lo: double, hi: double>")
+@F.pandas_udf(T.StructType([T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType())]))
 def _binomial_interval(n: pd.Series, p: pd.Series) -> pd.DataFrame:
     """2.5 / 97.5 percent points of a binomial share: what resampling 0/1 cells converges to."""
     lo, hi = [], []

@@ -35,12 +35,12 @@ def export_cells(spark, d):
 
 
 @query("scan_cells", """SELECT section, class, CASE WHEN cell_id % 50 = 0 THEN '(no region)' ELSE acronym END AS acronym, count(*) AS n,
-    count(*) FILTER (cell_id % 40 <> 0) AS fos_n, round(sum(tdt_bgsub), 3) AS tdt_sum FROM classed GROUP BY 1, 2, 3""")
+    count(*) FILTER (cell_id % 40 <> 0) AS fos_n, round(sum(tdt_bgsub), 6) AS tdt_sum FROM classed GROUP BY 1, 2, 3""")
 def scan_cells(spark, d):
     path = write_stems(export_cells(spark, d), scratch_path(spark, "percell"))
     back = RD.scan_cells(spark, path)
     return tidy(back.groupBy("section", "class", "acronym").agg(F.count("*").alias("n"), F.count("fos_bgsub").alias("fos_n"),
-                                                                F.round(F.sum("tdt_bgsub"), 3).alias("tdt_sum")))
+                                                                F.sum("tdt_bgsub").alias("tdt_sum")))
 
 
 @query("scan_roi_cells", """SELECT concat(section, '_MIP.ome.tiff - ', section) AS image, count(*) AS n, count(*) FILTER (cell_id % 40 <> 0) AS fos_n FROM fx_cells GROUP BY section""")
@@ -88,7 +88,7 @@ def sink_append_reference(spark, d):
     return tidy(spark.read.parquet(path).groupBy("marker").agg(F.count("*").alias("n"), F.sum("cnt").alias("cnt"), F.sum("ingest").alias("ingest")))
 
 
-@query("sink_cells", """SELECT section, count(*) AS n, round(sum(tdt_bgsub), 3) AS tdt_sum, count(*) FILTER (animal = 'A1997' AND cell_id % 2 = 0) AS rewritten
+@query("sink_cells", """SELECT section, count(*) AS n, round(sum(tdt_bgsub), 6) AS tdt_sum, count(*) FILTER (animal = 'A1997' AND cell_id % 2 = 0) AS rewritten
     FROM fx_cells WHERE animal <> 'A1997' OR cell_id % 2 = 0 GROUP BY section""")
 def sink_cells(spark, d):
     """A second write replaces only the sections it brings."""
@@ -96,7 +96,7 @@ def sink_cells(spark, d):
     S.write_sections(S.cells_to_sink(c).withColumn("pass", F.lit(1)), path, ["animal", "section"])
     S.write_sections(S.cells_to_sink(c.where("animal = 'A1997' AND cell_id % 2 = 0")).withColumn("pass", F.lit(2)), path, ["animal", "section"])
     return tidy(spark.read.parquet(path).groupBy("section").agg(
-        F.count("*").alias("n"), F.round(F.sum("tdt_bgsub"), 3).alias("tdt_sum"), E.count_where(F.col("pass") == 2).alias("rewritten")))
+        F.count("*").alias("n"), F.sum("tdt_bgsub").alias("tdt_sum"), E.count_where(F.col("pass") == 2).alias("rewritten")))
 
 
 @query("sink_region_table", f"SELECT section, hemisphere, acronym, round(area_mm2, 6) AS area_mm2, {COUNT_SQL} FROM region_rows")
