@@ -177,7 +177,7 @@ def region_members(cells: DataFrame, members: DataFrame | None, minimum: int = 5
     acronym of at least ``minimum`` cells stands for itself.
     """
     if members is not None:
-        return cells.join(members, "acronym")
+        return cells.join(settle(members, "members"), "acronym")
     big = settle(cells.groupBy("acronym").agg(F.count("*").alias("_n")).where(F.col("_n") >= minimum).select("acronym"))
     return cells.join(big, "acronym").withColumn("region", F.col("acronym"))
 

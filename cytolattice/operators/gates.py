@@ -170,7 +170,7 @@ def density_matrix(raw: DataFrame, bands: GateBands) -> DataFrame:
     cortex = [F.col(n.replace(" ", "_").lower()) for n in bands.cortex]
     mean = sum(cortex) / len(cortex)
     limit = piv.agg((F.avg(mean) * bands.white_matter_ratio_max).alias("limit_line"))
-    return piv.join(F.broadcast(limit), F.lit(True))      # the limit is one row
+    return piv.withColumn("limit_line", limit.scalar())
 
 
 def area_stats(cells: DataFrame, keys: list[str], width: float = 10.0) -> DataFrame:

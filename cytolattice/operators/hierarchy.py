@@ -26,7 +26,7 @@ def ontology_closure(edges: DataFrame) -> DataFrame:
 def excluded_closure(closure: DataFrame, excluded: DataFrame) -> DataFrame:
     """Excluded acronyms and all they contain; an unknown acronym excludes itself."""
     below = closure.join(excluded.select(F.col("acronym").alias("ancestor")), "ancestor")
-    return below.select(F.col("descendant").alias("acronym")).union(excluded.select("acronym")).distinct()
+    return settle(below.select(F.col("descendant").alias("acronym")).union(excluded.select("acronym")).distinct(), "excluded")
 
 
 def exclude_regions(rows: DataFrame, closure: DataFrame, excluded: DataFrame) -> DataFrame:

@@ -292,8 +292,8 @@ def detector_gate_counts(cells: DataFrame, first: str, second: str, cuts: dict[s
     counts = cells.groupBy("section").agg(
         F.count("*").alias("n"), count_where(a).alias("first_n"), count_where(b).alias("second_n"),
         count_where(a & b).alias("double_n"))
-    total = area.agg(F.sum("area_mm2").alias("total_area_mm2"))
-    return counts.join(F.broadcast(total), F.lit(True)).select(
+    total = area.agg(F.sum("area_mm2").alias("total_area_mm2")).scalar()
+    return counts.withColumn("total_area_mm2", total).select(
         "section", "n", "first_n", "second_n", "double_n",
         ratio("double_n", "second_n").alias("ratio"), ratio("n", "total_area_mm2").alias("density"))
 

@@ -35,13 +35,29 @@ def contains(shape: Column, x: Column, y: Column, ring: bool) -> Column:
     return box & (shape["ring"].isNull() | in_ring(shape["ring"], x, y))
 
 
-def shape_tiles(shapes: DataFrame, tile: float, keys: list[str], order: list[str]) -> DataFrame:
-    """(keys, tx, ty, shapes[]): per tile the reaching shapes, best ``order`` first."""
+TILE_LIMIT = 4096          # shapes one tile row may list
+
+
+def shape_tiles(shapes: DataFrame, tile: float, keys: list[str], order: list[str], limit: int | None = None) -> tuple[DataFrame, bool]:
+    """(keys, tx, ty, shapes[]) with the best ``order`` first, and whether any tile was split.
+
+    A tile reached by more than ``limit`` shapes is spread over several rows, so no list grows with
+    the data; its points then meet several rows and their answers are merged.
+    """
+    limit = limit or TILE_LIMIT
     span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / tile), F.floor(F.col(hi) / tile))
     body = [c for c in shapes.columns if c not in keys and c not in order]
     rows = shapes.select(*keys, F.struct(*order, *body).alias("_s"), F.explode(span("x0", "x1")).alias("tx"), "y0", "y1")
     rows = rows.select(*keys, "_s", "tx", F.explode(span("y0", "y1")).alias("ty"))
-    return settle(rows.groupBy(*keys, "tx", "ty").agg(F.array_sort(F.collect_list("_s")).alias("shapes")), "tiles")
+    spot = [*keys, "tx", "ty"]
+    crowded = settle(rows.groupBy(*spot).agg(F.count("*").alias("_n")).where(F.col("_n") > limit), "crowded")
+    split = not crowded.isEmpty()
+    if split:
+        rows = rows.join(crowded, spot, "left").withColumn(
+            "_part", F.pmod(F.xxhash64("_s"), F.coalesce(F.ceil(F.col("_n") / limit), F.lit(1))))
+        spot = [*spot, "_part"]
+    lists = rows.groupBy(*spot).agg(F.array_sort(F.collect_list("_s")).alias("shapes"))
+    return settle(lists.drop("_part"), "tiles"), split
 
 
 def _lookup(points: DataFrame, tiles: DataFrame, tile: float, keys: list[str], ring: bool) -> DataFrame:
@@ -52,6 +68,19 @@ def _lookup(points: DataFrame, tiles: DataFrame, tile: float, keys: list[str], r
     return joined.withColumn("hits", hits).drop("tx", "ty", "shapes")
 
 
+def _best(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str], order: list[str], ring: bool,
+          limit: int | None = None) -> DataFrame:
+    """Points with ``best``: the first containing shape in ``order``, or NULL.
+
+    Rows must be distinct (they carry an id) for the merge over split tiles.
+    """
+    tiles, split = shape_tiles(shapes, tile, keys, order, limit)
+    hit = _lookup(points, tiles, tile, keys, ring).withColumn("best", F.get("hits", F.lit(0))).drop("hits")
+    if split:
+        hit = hit.groupBy(*points.columns).agg(F.min("best").alias("best"))
+    return hit
+
+
 def _prepare(shapes: DataFrame, area: bool = True) -> tuple[DataFrame, bool]:
     ring = "ring" in shapes.columns
     if area and "area" not in shapes.columns:
@@ -59,39 +88,39 @@ def _prepare(shapes: DataFrame, area: bool = True) -> tuple[DataFrame, bool]:
     return shapes, ring
 
 
-def point_in_region(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str] | None = None) -> DataFrame:
+def point_in_region(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str] | None = None,
+                    limit: int | None = None) -> DataFrame:
     """Smallest region holding each point; NULL when none does."""
-    keys = keys or []
     shapes, ring = _prepare(shapes)
-    tiles = shape_tiles(shapes, tile, keys, ["area", "region_id"])
-    hit = _lookup(points, tiles, tile, keys, ring)
-    return hit.withColumn("region_id", F.get("hits", F.lit(0))["region_id"]).drop("hits")
+    hit = _best(points, shapes, tile, keys or [], ["area", "region_id"], ring, limit)
+    return hit.withColumn("region_id", F.col("best.region_id")).drop("best")
 
 
-def first_owner_shape(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str] | None = None) -> DataFrame:
+def first_owner_shape(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str] | None = None,
+                      limit: int | None = None) -> DataFrame:
     """First shape in drawing order (``shape_id``) that holds each point."""
-    keys = keys or []
     shapes, ring = _prepare(shapes, area=False)
-    tiles = shape_tiles(shapes, tile, keys, ["shape_id"])
-    hit = _lookup(points, tiles, tile, keys, ring)
-    return hit.withColumn("owner", F.get("hits", F.lit(0))["shape_id"]).drop("hits")
+    hit = _best(points, shapes, tile, keys or [], ["shape_id"], ring, limit)
+    return hit.withColumn("owner", F.col("best.shape_id")).drop("best")
 
 
-def exclusion_semi_join(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str] | None = None) -> DataFrame:
+def exclusion_semi_join(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str] | None = None,
+                        limit: int | None = None) -> DataFrame:
     """``excluded`` is true for points inside any of the shapes."""
-    keys = keys or []
     shapes, ring = _prepare(shapes, area=False)
     order = ["shape_id"] if "shape_id" in shapes.columns else ["region_id"]
-    hit = _lookup(points, shape_tiles(shapes, tile, keys, order), tile, keys, ring)
-    return hit.withColumn("excluded", F.coalesce(F.size("hits") > 0, F.lit(False))).drop("hits")
+    hit = _best(points, shapes, tile, keys or [], order, ring, limit)
+    return hit.withColumn("excluded", F.col("best").isNotNull()).drop("best")
 
 
-def cells_in_shape(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str] | None = None) -> DataFrame:
+def cells_in_shape(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str] | None = None,
+                   limit: int | None = None) -> DataFrame:
     """One row per (point, shape) containment; a point in two shapes counts in both."""
     keys = keys or []
     shapes, ring = _prepare(shapes, area=False)
-    hit = _lookup(points, shape_tiles(shapes, tile, keys, ["shape_id"]), tile, keys, ring)
-    cols = [c for c in points.columns]
+    tiles, _ = shape_tiles(shapes, tile, keys, ["shape_id"], limit)
+    hit = _lookup(points, tiles, tile, keys, ring)
+    cols = points.columns
     return hit.select(*cols, F.explode("hits").alias("s")).select(*cols, "s.shape_id", "s.roi_name")
 
 
@@ -101,7 +130,8 @@ def geometric_leaf(shapes: DataFrame, tile: float, keys: list[str] | None = None
     shapes, ring = _prepare(shapes)
     own = shapes.select(*keys, F.col("region_id").alias("small_id"), F.col("area").alias("small_area"),
                         ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"))
-    hit = _lookup(own, shape_tiles(shapes, tile, keys, ["area", "region_id"]), tile, keys, ring)
+    tiles, _ = shape_tiles(shapes, tile, keys, ["area", "region_id"])
+    hit = _lookup(own, tiles, tile, keys, ring)
     parents = (hit.select(*keys, "small_id", "small_area", F.explode("hits").alias("s"))
                .where((F.col("s.area") > F.col("small_area")) & (F.col("s.region_id") != F.col("small_id")))
                .select(*keys, F.col("s.region_id").alias("region_id")).distinct())

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as E
 from ..operators import markers as M
 from ..operators import rollup as R
+from ..session import settle
 from .bindings import BANDS, K, PANEL, view
 from .registry import query, tidy
 
@@ -17,15 +18,20 @@ def cells(spark, d):
     return view(spark, d, "fx_cells")
 
 
+def stored_cells(spark, d):
+    """The cells written once, as an export would be; operators that pass over them repeatedly read this."""
+    return settle(cells(spark, d), "cells")
+
+
 def classed(spark, d):
-    return M.classify_cells(cells(spark, d), PANEL)
+    return M.classify_cells(stored_cells(spark, d), PANEL)
 
 
 def bridge(spark, d):
     """Named groups of acronyms, from the tree's parents and two hand-made overlaps."""
     edges = view(spark, d, "fx_edges").where(F.col("parent").isNotNull() & (F.col("parent") != "root"))
-    return edges.select(F.col("parent").alias("region"), "acronym").unionByName(
-        edges.select(F.concat(F.lit("G_"), F.substring("acronym", 1, 1)).alias("region"), "acronym"))
+    return settle(edges.select(F.col("parent").alias("region"), "acronym").unionByName(
+        edges.select(F.concat(F.lit("G_"), F.substring("acronym", 1, 1)).alias("region"), "acronym")), "bridge")
 
 
 BRIDGE_SQL = """SELECT parent AS region, acronym FROM fx_edges WHERE parent IS NOT NULL AND parent <> 'root'
@@ -39,7 +45,7 @@ def p(m, k):
 @query("robust_threshold", """SELECT section, marker, n, round(med, 6) AS median, round(mad, 6) AS mad,
     round(sd, 6) AS robust_sd, CAST(1.0 AS DOUBLE) AS k, round(med + 1.0 * sd, 6) AS threshold FROM stats""")
 def robust_threshold(spark, d):
-    return tidy(M.robust_threshold(cells(spark, d), PANEL))
+    return tidy(M.robust_threshold(stored_cells(spark, d), PANEL))
 
 
 @query("classify_cells", "SELECT cell_id, section, class FROM classed")
@@ -56,7 +62,7 @@ def classify_cells(spark, d):
            WHEN n_pos / n > 0.5 THEN 'CHECK: more than half positive' ELSE 'PASS' END AS verdict
     FROM stats s JOIN pos p ON s.section = p.section AND s.marker = p.marker""")
 def threshold_selfcheck(spark, d):
-    return tidy(M.threshold_selfcheck(cells(spark, d), PANEL))
+    return tidy(M.threshold_selfcheck(stored_cells(spark, d), PANEL))
 
 
 _SWEEP = """WITH ks AS (SELECT unnest([0.55, 1.0, 1.45])::DOUBLE AS k)
@@ -74,7 +80,7 @@ _SWEEP = """WITH ks AS (SELECT unnest([0.55, 1.0, 1.45])::DOUBLE AS k)
     FROM long m JOIN stats s ON m.section = s.section AND m.marker = s.marker CROSS JOIN ks
     GROUP BY m.section, m.region, m.marker, k, med, sd""")
 def k_sweep(spark, d):
-    c = cells(spark, d)
+    c = stored_cells(spark, d)
     return tidy(M.k_sweep(c, PANEL, KS).unionByName(M.k_sweep(c, PANEL, KS, bridge(spark, d))))
 
 
@@ -83,7 +89,7 @@ def sink_ksweep_tidy(spark, d):
     from ..sources import writers as S
     from ..session import scratch_path
     path = scratch_path(spark, "ksweep")
-    S.write_csv(M.k_sweep(cells(spark, d), PANEL, KS), path)
+    S.write_csv(M.k_sweep(stored_cells(spark, d), PANEL, KS), path)
     back = spark.read.csv(path, header=True, schema="section string, region string, marker string, k double, "
                                                     "threshold double, count bigint, pct double")
     return tidy(back)
@@ -104,7 +110,7 @@ def region_group_bridge(spark, d):
     SELECT *, round(100.0 * n_mid / n, 6) AS pct_mid, round(100.0 * n_strict / n, 6) AS pct_strict,
       round(100.0 * n_lenient / n, 6) AS pct_lenient FROM a""")
 def k_whiskers(spark, d):
-    return tidy(M.k_whiskers(cells(spark, d), PANEL, KS, "tdt", bridge(spark, d)))
+    return tidy(M.k_whiskers(stored_cells(spark, d), PANEL, KS, "tdt", bridge(spark, d)))
 
 
 @query("marker_summary", """WITH ks AS (SELECT unnest([0.55, 1.0, 1.45])::DOUBLE AS k)
@@ -113,13 +119,13 @@ def k_whiskers(spark, d):
       count(*) FILTER (v >= med + k * sd) AS n_pos, round(count(*) FILTER (v >= med + k * sd) / count(*), 6) AS frac_pos
     FROM meas m JOIN stats s ON m.section = s.section AND m.marker = s.marker CROSS JOIN ks GROUP BY m.section, m.marker, k""")
 def marker_summary(spark, d):
-    return tidy(M.marker_summary(cells(spark, d), PANEL, KS))
+    return tidy(M.marker_summary(stored_cells(spark, d), PANEL, KS))
 
 
 @query("section_threshold_join", f"""SELECT section, count(*) AS n, count(*) FILTER ({p('fos', 1.0)}) AS fos_pos,
     count(*) FILTER ({p('tdt', 1.0)}) AS tdt_pos FROM cells_s WHERE NOT excluded GROUP BY section""")
 def section_threshold_join(spark, d):
-    rows = M.with_stats(cells(spark, d), PANEL).where(~F.col("excluded"))
+    rows = M.with_stats(stored_cells(spark, d), PANEL).where(~F.col("excluded"))
     return tidy(rows.groupBy("section").agg(
         F.count("*").alias("n"), *[E.count_where(M.positive_at(m, K)).alias(f"{m}_pos") for m in ("fos", "tdt")]))
 
@@ -132,7 +138,7 @@ _COND = """WITH ks AS (SELECT unnest([0.5, 0.75, 1.0])::DOUBLE AS k)
 
 @query("conditional_rate", f"SELECT section, k, numer, denom, round(CASE WHEN denom > 0 THEN numer / denom END, 6) AS rate FROM ({_COND})")
 def conditional_rate(spark, d):
-    return tidy(M.conditional_rate(cells(spark, d), PANEL, "fos", "tdt", list(LADDER)))
+    return tidy(M.conditional_rate(stored_cells(spark, d), PANEL, "fos", "tdt", list(LADDER)))
 
 
 def _bands():
@@ -144,7 +150,7 @@ def _bands():
     CASE WHEN max(rate) IS NULL THEN 'N/A' WHEN (max(rate) - min(rate)) * 100 <= 10 THEN 'PASS' ELSE 'FLAG' END AS status
     FROM (SELECT section, k, CASE WHEN denom > 0 THEN numer / denom END AS rate FROM ({_COND})) GROUP BY section""")
 def k_stability_swing(spark, d):
-    return tidy(M.k_stability(cells(spark, d), PANEL, "fos", "tdt", _bands()))
+    return tidy(M.k_stability(stored_cells(spark, d), PANEL, "fos", "tdt", _bands()))
 
 
 @query("k_stability_matrix", f"""WITH r AS (SELECT section, k, CASE WHEN denom > 0 THEN 100.0 * numer / denom END AS rate FROM ({_COND})),
@@ -153,14 +159,14 @@ def k_stability_swing(spark, d):
     SELECT section, round(k_0_5, 6) AS k_0_5, round(k_0_75, 6) AS k_0_75, round(k_1, 6) AS k_1, round(s, 6) AS swing_pp,
       CASE WHEN s <= 10 THEN 'PASS' ELSE 'FLAG' END AS stable FROM w""")
 def k_stability_matrix(spark, d):
-    return tidy(M.k_stability_matrix(cells(spark, d), PANEL, "fos", "tdt", _bands()))
+    return tidy(M.k_stability_matrix(stored_cells(spark, d), PANEL, "fos", "tdt", _bands()))
 
 
 @query("section_counts_at_k", f"""SELECT section, count(*) AS total, count(*) FILTER (excluded) AS excluded_n,
     count(*) FILTER (NOT excluded AND {p('fos', 1.0)}) AS fos_pos, count(*) FILTER (NOT excluded AND {p('tdt', 1.0)}) AS tdt_pos,
     count(*) FILTER (NOT excluded AND {p('fos', 1.0)} AND {p('tdt', 1.0)}) AS double_pos FROM cells_s GROUP BY section""")
 def section_counts_at_k(spark, d):
-    return tidy(M.section_counts_at_k(cells(spark, d), PANEL, K))
+    return tidy(M.section_counts_at_k(stored_cells(spark, d), PANEL, K))
 
 
 _AT_K = f"""SELECT section, acronym, count(*) AS n, count(*) FILTER (NOT excluded) AS t_n,
@@ -177,13 +183,13 @@ _AT_K_OUT = f"""WITH r AS ({_AT_K}), b AS (SELECT section, sum(target_n) / sum(t
     round(baseline_frac, 6) AS baseline_frac, condition_n, double_n, round(reactivation_raw, 6) AS reactivation_raw,
     round(enrichment, 6) AS enrichment FROM ({_AT_K_OUT})""")
 def region_readout_at_k(spark, d):
-    return tidy(M.region_readout_at_k(cells(spark, d), PANEL, "fos", "tdt", K))
+    return tidy(M.region_readout_at_k(stored_cells(spark, d), PANEL, "fos", "tdt", K))
 
 
 @query("rank_by_evidence", f"""SELECT acronym, round(avg(target_frac), 6) AS mean_value, CAST(sum(n) AS BIGINT) AS n
     FROM ({_AT_K_OUT}) GROUP BY acronym HAVING sum(n) >= 200 ORDER BY avg(target_frac) DESC NULLS LAST, acronym LIMIT 15""")
 def rank_by_evidence(spark, d):
-    return tidy(R.rank_by_evidence(M.region_readout_at_k(cells(spark, d), PANEL, "fos", "tdt", K), "target_frac"))
+    return tidy(R.rank_by_evidence(M.region_readout_at_k(stored_cells(spark, d), PANEL, "fos", "tdt", K), "target_frac"))
 
 
 @query("series_totals", f"""WITH r AS (SELECT section, count(*) AS total, count(*) FILTER (excluded) AS excluded_n,
@@ -194,7 +200,7 @@ def rank_by_evidence(spark, d):
       round(avg(double_pos / tdt_pos), 6) AS rate_mean, round(min(double_pos / tdt_pos), 6) AS rate_min,
       round(max(double_pos / tdt_pos), 6) AS rate_max FROM r""")
 def series_totals(spark, d):
-    c = cells(spark, d)
+    c = stored_cells(spark, d)
     return tidy(R.series_totals(M.section_counts_at_k(c, PANEL, K), M.conditional_rate(c, PANEL, "fos", "tdt", [K])))
 
 
@@ -211,7 +217,7 @@ _ROLL_N = "SELECT acronym, count(*) AS n_rollup FROM fx_cells WHERE acronym NOT
       round(CASE WHEN tagged_n > 0 AND activity_n > 0 THEN (double_n::DOUBLE * n) / (tagged_n::DOUBLE * activity_n) END, 6) AS overlap
     FROM a JOIN rn ON a.acronym = rn.acronym AND a.n = rn.n_rollup""")
 def k_split_counts(spark, d):
-    c = cells(spark, d)
+    c = stored_cells(spark, d)
     from .bindings import table
     gone = table(spark, d, "region").where("r_regionkey = 0").select(F.col("r_name").alias("acronym"))
     roll = (c.join(F.broadcast(gone), "acronym", "left_anti").groupBy("acronym")
@@ -242,7 +248,7 @@ def detector_gate_counts(spark, d):
 def reclassify_by_scope(spark, d):
     from ..config import Marker, Panel
     panel = Panel(markers=(Marker("fos", "nuclear"), Marker("tdt", "whole-cell", absolute=300.0)), k_robust=K)
-    out = M.reclassify_by_scope(cells(spark, d), panel, ("section", "acronym"))
+    out = M.reclassify_by_scope(stored_cells(spark, d), panel, ("section", "acronym"))
     return tidy(out.groupBy("section", "acronym", "class").agg(F.count("*").alias("n")))
 
 
@@ -280,7 +286,7 @@ def crop_cells(spark, d):
     count(*) AS positives FROM cells_s WHERE NOT excluded AND {p('tdt', 1.0)} GROUP BY floor(y / 512), floor(x / 512)
     ORDER BY count(*) DESC, floor(y / 512), floor(x / 512) LIMIT 6""")
 def dense_tiles(spark, d):
-    return tidy(M.dense_tiles(cells(spark, d), PANEL, "tdt", K, 512.0, 6))
+    return tidy(M.dense_tiles(stored_cells(spark, d), PANEL, "tdt", K, 512.0, 6))
 
 
 @query("category_counts", """SELECT section, acronym, count(*) FILTER (class <> 'Excluded') AS anchor_count,

@@ -8,7 +8,7 @@ from ..operators import markers as M
 from ..operators import neighbours as N
 from ..session import settle
 from .bindings import PANEL, view
-from .cell_queries import cells, classed
+from .cell_queries import cells, classed, stored_cells
 from .region_queries import closure
 from .registry import CTES, query, tidy
 
@@ -95,14 +95,14 @@ _KVC = f"""WITH s AS (SELECT median(tdt_bgsub) AS tm, median(fos_bgsub) AS fm FR
     round(CASE WHEN tagged_n > 0 THEN 100.0 * double_n / tagged_n END, 6) AS reactivation_pct, round(ac, 6) AS above_chance, round(sh, 6) AS shuffled, round(fl, 6) AS anchor_floor,
     round(CASE WHEN fl > 0 THEN ac / fl END, 6) AS real_over_floor FROM r""")
 def k_vs_chance(spark, d):
-    return tidy(C.k_vs_chance(cells(spark, d), PANEL, CHANCE_KS))
+    return tidy(C.k_vs_chance(stored_cells(spark, d), PANEL, CHANCE_KS))
 
 
 @query("k_vs_chance_verdict", f"""{_KVC}, v AS (SELECT count(*) AS points, arg_min(ac, k) AS lo, arg_max(ac, k) AS hi, max(abs(sh - 1)) AS off, arg_min(fl, k) AS f0, arg_max(fl, k) AS f1 FROM r WHERE ac IS NOT NULL)
     SELECT points, round(lo, 6) AS lo, round(hi, 6) AS hi, CASE WHEN points < 2 THEN 'too few points' WHEN off > 0.15 THEN 'STOP' WHEN hi < lo * 0.8 THEN 'FALLS' WHEN hi > lo * 1.2 THEN 'RISES' ELSE 'FLAT' END AS verdict,
       coalesce(f1 > f0 * 1.2, FALSE) AS floor_rises FROM v""")
 def k_vs_chance_verdict(spark, d):
-    return tidy(C.k_vs_chance_verdict(C.k_vs_chance(cells(spark, d), PANEL, CHANCE_KS)))
+    return tidy(C.k_vs_chance_verdict(C.k_vs_chance(stored_cells(spark, d), PANEL, CHANCE_KS)))
 
 
 CTES["local_sec"] = """SELECT region, section, count(*) AS tagged_n, avg(act::INT) AS observed, avg(rate) AS local_rate FROM (

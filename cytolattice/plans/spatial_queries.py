@@ -10,7 +10,7 @@ from ..operators import rollup as R
 from ..operators import spatial as S
 from ..operators import tables as T
 from .bindings import PANEL, table, view
-from .cell_queries import cells, classed
+from .cell_queries import cells, classed, stored_cells
 from .registry import CTES, query, tidy
 
 TILE = 2000.0
@@ -146,12 +146,12 @@ _SELF = """SELECT section, cell_id, CASE WHEN count(*) = 20 THEN avg(sqrt(d2)) E
 
 @query("knn_self", f"SELECT section, cell_id, round(md, 6) AS mean_distance FROM ({_SELF})")
 def knn_self(spark, d):
-    return tidy(N.knn_self(cells(spark, d), 20))
+    return tidy(N.knn_self(stored_cells(spark, d), 20))
 
 
 @query("local_density", f"SELECT section, cell_id, round(coalesce(CASE WHEN md > 0 THEN 1 / md END, 0.0), 6) AS local_density FROM ({_SELF})")
 def local_density(spark, d):
-    return tidy(N.local_density(cells(spark, d), 20))
+    return tidy(N.local_density(stored_cells(spark, d), 20))
 
 
 _BLOB = "SELECT concat('A', 1995 + part % 7, '_s', 1 + part % 4) AS section, part * 3 + ascii(marker) % 3 AS blob_id, x, y FROM fx_objects"

@@ -12,7 +12,7 @@ from ..operators import tables as T
 from ..session import settle
 from ..sources import writers as S
 from .bindings import BANDS, K, PANEL, table, view
-from .cell_queries import LADDER, _AT_K_OUT, _COND, cells, classed
+from .cell_queries import LADDER, _AT_K_OUT, _COND, cells, classed, stored_cells
 from .registry import query, tidy
 
 GATE_BANDS = replace(BANDS, k_values=LADDER, advisory=("ventricle_density", "k_swing_pp"))
@@ -73,7 +73,7 @@ def gate_area_peak(spark, d):
 
 @query("gate_k_stability", _one("k_swing_pp"))
 def gate_k_stability(spark, d):
-    return tidy(G.gate_k_stability(cells(spark, d), PANEL, GATE_BANDS, "fos", "tdt"))
+    return tidy(G.gate_k_stability(stored_cells(spark, d), PANEL, GATE_BANDS, "fos", "tdt"))
 
 
 @query("gate_white_matter", _one("white_matter_density"))
@@ -107,7 +107,7 @@ _TABLE_COLS = ", ".join(
 
 
 def gate_table_df(spark, d):
-    return G.gate_table(G.gate_rows(cells(spark, d), raw(spark, d), PANEL, GATE_BANDS, "fos", "tdt"))
+    return G.gate_table(G.gate_rows(stored_cells(spark, d), raw(spark, d), PANEL, GATE_BANDS, "fos", "tdt"))
 
 
 _OVERALL = """CASE WHEN bool_or(status = 'FLAG' AND NOT advisory) THEN 'FLAG' ELSE 'PASS' END"""
@@ -440,11 +440,10 @@ _OVR = """SELECT n_nationkey AS ordinal, concat('I', n_nationkey % 5) AS match_k
 
 
 def _overrides(spark, d):
-    odd = F.col("n_nationkey") % 2 == 1
-    return table(spark, d, "nation").where("n_nationkey % 5 IN (2, 4)").select(
-        F.col("n_nationkey").alias("ordinal"), F.concat(F.lit("I"), F.col("n_nationkey") % 5).alias("match_key"),
-        F.when(~odd, "absolute").alias("mode"), F.when(odd, F.lit(0.3)).alias("span_frac"),
-        F.when(~odd, (F.lit(1000) + F.col("n_nationkey")).cast("double")).alias("absolute"))
+    """Override list, as a configuration would hold it."""
+    rows = table(spark, d, "nation").where("n_nationkey % 5 IN (2, 4)").orderBy("n_nationkey").select("n_nationkey").collect()
+    return [{"match_key": f"I{k % 5}", **({"span_frac": 0.3} if k % 2 else {"mode": "absolute", "absolute": 1000.0 + k})}
+            for k in (r.n_nationkey for r in rows)]
 
 
 @query("threshold_override", f"""WITH o AS ({_OVR}), i AS (SELECT DISTINCT image FROM fx_roi_counts),
@@ -459,10 +458,8 @@ def threshold_override(spark, d):
       FROM nation WHERE n_nationkey < 8), i AS (SELECT DISTINCT image FROM fx_roi_counts)
     SELECT i.image, coalesce((SELECT b.block FROM b WHERE b.match_key = i.image), (SELECT arg_min(b.block, b.ordinal) FROM b WHERE contains(i.image, b.match_key))) AS block FROM i""")
 def settings_resolve(spark, d):
-    k = F.col("n_nationkey")
-    blocks = table(spark, d, "nation").where("n_nationkey < 8").select(
-        k.alias("ordinal"), F.when(k < 5, F.concat(F.lit("I"), k * 11)).otherwise(F.concat(F.lit("I"), k % 5 + 1)).alias("match_key"),
-        F.concat(F.lit("block"), k).alias("block"))
+    rows = table(spark, d, "nation").where("n_nationkey < 8").orderBy("n_nationkey").select("n_nationkey").collect()
+    blocks = [(f"I{k * 11}" if k < 5 else f"I{k % 5 + 1}", f"block{k}") for k in (r.n_nationkey for r in rows)]
     return T.settings_resolve(roi(spark, d).select("image").distinct(), blocks)
 
 
@@ -492,7 +489,7 @@ _DS = f"""WITH md AS (SELECT animal, bin * 5 + 2.5::DOUBLE AS area_modal_um2 FRO
 def descriptor(spark, d):
     from ..operators import chance as C
     f = settle(M.role_flags(classed(spark, d), PANEL).withColumn("dataset", F.col("animal")))
-    cuts = M.robust_threshold(cells(spark, d), PANEL).where("marker = 'tdt'").select(
+    cuts = M.robust_threshold(stored_cells(spark, d), PANEL).where("marker = 'tdt'").select(
         E.slice_identity("section")["animal"].alias("dataset"), "threshold")
     modal = G.histogram_mode(f, ["dataset"], "nucleus_area_um2", 5.0, F.least(F.col("_max"), F.lit(300.0)))
     floor = C.anchor_floor(f, ["dataset"]).select("dataset", F.col("anchor_floor").alias("floor"))
@@ -531,7 +528,7 @@ def plateau_diff(spark, d):
     r AS (SELECT CAST(sum(n) AS BIGINT) AS n, round(sum(target_n) / sum(n), 4) AS target_frac, round(sum(condition_n) / sum(n), 4) AS condition_frac FROM ({_AT_K_OUT}))
     SELECT * FROM g CROSS JOIN r""")
 def tuning_readout(spark, d):
-    return tidy(T.tuning_readout(gate_table_df(spark, d), M.region_readout_at_k(cells(spark, d), PANEL, "fos", "tdt", K)))
+    return tidy(T.tuning_readout(gate_table_df(spark, d), M.region_readout_at_k(stored_cells(spark, d), PANEL, "fos", "tdt", K)))
 
 
 @query("export_pairing", """SELECT coalesce(c.section, r.section) AS stem, c.n AS cell_rows, r.n AS region_rows,

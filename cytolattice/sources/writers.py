@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions import PAIR_METRICS, mm_to_um, nan_to_null
 
+MAX_COLUMNS = 5_000
 IDENTITY = ("grp", "animal", "region", "level", "hemisphere", "n_slices", "projects", "N_source")
 
 
@@ -63,11 +64,13 @@ def wide_pivot(df: DataFrame, metric: str, labels: list[str]) -> DataFrame:
 
 
 def wide_pivots(df: DataFrame, hemisphere: str = "both") -> dict[str, DataFrame]:
-    """One pivot per density and metric column.  The label list is bounded by the animals."""
+    """One pivot per density and metric column.  Labels are columns, so their number is checked."""
     sub = df.where(F.col("hemisphere") == hemisphere)
     label = F.concat_ws(":", "grp", "animal") if "grp" in df.columns else F.col("animal")
     sub = sub.withColumn("label", label)
-    labels = [r.label for r in sub.select("label").distinct().orderBy("label").limit(10_000).collect()]
+    labels = [r.label for r in sub.select("label").distinct().orderBy("label").limit(MAX_COLUMNS + 1).collect()]
+    if len(labels) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} animals do not fit a wide table; use the long one")
     metrics = [c for c in df.columns if c.endswith("_density") or c in ("tagging_rate", "activity_rate") + PAIR_METRICS]
     names = [f"wide__{m}" for m in metrics]
     if len(set(names)) != len(names):
