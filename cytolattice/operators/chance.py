@@ -18,17 +18,24 @@ from ..session import settle
 from . import markers
 from .quantiles import grouped_quantiles
 
-# Multiplicative generator of period 2^31 - 1; ids below the modulus map one to one.
+# Arithmetic modulo the prime 2^31 - 1, repeatable in SQL.
 PRIME = 2_147_483_647
 STEP = 48_271
 
 
+def mix(x: Column) -> Column:
+    """A fixed scramble of [0, PRIME): linear step, then the fifth power.
+
+    5 does not divide PRIME - 1, so the map is one to one: distinct ids never tie.
+    """
+    y = (x * F.lit(STEP).cast("long") + 11) % PRIME
+    sq = (y * y) % PRIME
+    return (((sq * sq) % PRIME) * y) % PRIME
+
+
 def draw(id_col, seed: int) -> Column:
     """Pseudo-random long in [0, PRIME) from an id and a seed."""
-    base = (F.col(id_col).cast("long") % PRIME + F.lit(seed).cast("long")) % PRIME
-    for _ in range(3):
-        base = (base * F.lit(STEP).cast("long") + F.lit(11).cast("long")) % PRIME
-    return base
+    return mix((F.col(id_col).cast("long") % PRIME + F.lit(seed).cast("long")) % PRIME)
 
 
 def flag(c: str) -> Column:
@@ -219,9 +226,7 @@ def bootstrap_sections(sections: DataFrame, n_boot: int = 1000, seed: int = 0, m
     ranked = ranked.where(F.col("_s") >= minimum)
     slots = ranked.select("region", "_s", F.col("_i").alias("_slot"),
                           F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("_b"))
-    base = ((F.col("_b") + 1).cast("long") * 1_000_003 + F.col("_slot") * 7919 + seed) % PRIME
-    for _ in range(2):
-        base = (base * F.lit(STEP).cast("long") + 11) % PRIME
+    base = mix(((F.col("_b") + 1).cast("long") * 1_000_003 + F.col("_slot") * 7919 + seed) % PRIME)
     picks = slots.select("region", "_b", (base % F.col("_s")).cast("int").alias("_i"))
     j = picks.join(ranked.select("region", "_i", "tagged_n", "observed", "local_rate"), ["region", "_i"])
     reps = j.groupBy("region", "_b").agg(ratio(F.sum(F.col("observed") * F.col("tagged_n")),
@@ -281,9 +286,7 @@ def rotation_null(cells: DataFrame, n_rot: int = 200, near: int = 25, seed: int
     mid = settle(mid.where((F.col("_n") >= 10) & (F.col("_t") > 0)))
     q = rows.where("tagged").join(mid.drop("region"), "section").select(
         "section", "cell_id", "x", "y", "_cx", "_cy", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_rot - 1))).alias("rot"))
-    u = ((F.col("rot") + 1).cast("long") * 1_000_003 + F.col("_n") * 7919 + seed) % PRIME
-    for _ in range(2):
-        u = (u * F.lit(STEP).cast("long") + 11) % PRIME
+    u = mix(((F.col("rot") + 1).cast("long") * 1_000_003 + F.col("_n") * 7919 + seed) % PRIME)
     th = 2 * F.pi() * u / F.lit(float(PRIME))
     dx, dy = F.col("x") - F.col("_cx"), F.col("y") - F.col("_cy")
     # Query ids carry the rotation so that one search serves all rotations.

@@ -36,10 +36,11 @@ _CNT = """count(*) AS n, count(*) FILTER (tagged) AS tagged_n, count(*) FILTER (
 _AC = "round(CASE WHEN tagged_n > 0 AND activity_n > 0 THEN double_n::DOUBLE * n / (tagged_n::DOUBLE * activity_n) END, 6)"
 
 
-def lcg(expr, times=3, add=11):
-    for _ in range(times):
-        expr = f"(({expr}) * 48271 + {add}) % {P}"
-    return expr
+def mixed(expr):
+    """SQL of the library's scramble."""
+    y = f"((({expr}) * 48271 + 11) % {P})"
+    sq = f"(({y} * {y}) % {P})"
+    return f"((({sq} * {sq}) % {P}) * {y}) % {P}"
 
 
 @query("above_chance", f"SELECT section, n, tagged_n, activity_n, double_n, {_AC} AS above_chance FROM (SELECT section, {_CNT} FROM flagged GROUP BY section)")
@@ -70,7 +71,7 @@ def anchor_floor(spark, d):
     return tidy(C.anchor_floor(served(spark, d), ["region"]).select("region", "anchor_floor"))
 
 
-@query("shuffled_control", f"""WITH o AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY {lcg('cell_id + 0')}) AS rn, count(*) FILTER (tagged) OVER (PARTITION BY section) AS t FROM flagged),
+@query("shuffled_control", f"""WITH o AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY {mixed('cell_id')}) AS rn, count(*) FILTER (tagged) OVER (PARTITION BY section) AS t FROM flagged),
     c AS (SELECT section, count(*) AS n, count(*) FILTER (tagged) AS tagged_n, count(*) FILTER (activity) AS activity_n, count(*) FILTER (activity AND rn <= t) AS double_n FROM o GROUP BY section)
     SELECT section, n, tagged_n, activity_n, {_AC} AS shuffled FROM c""")
 def shuffled_control(spark, d):
@@ -81,7 +82,7 @@ _KVC = f"""WITH s AS (SELECT median(tdt_bgsub) AS tm, median(fos_bgsub) AS fm FR
     s2 AS (SELECT any_value(tm) AS tm, any_value(fm) AS fm, CAST(1.4826 AS DOUBLE) * median(abs(tdt_bgsub - tm)) AS ts, CAST(1.4826 AS DOUBLE) * median(abs(fos_bgsub - fm)) AS fs FROM fx_cells CROSS JOIN s),
     ks AS (SELECT unnest([0.5, 0.8, 1.0, 1.2])::DOUBLE AS k),
     f AS (SELECT k, cell_id, anchor_mean, tdt_bgsub > tm + k * ts AS tagged, fos_bgsub > fm + k * fs AS activity,
-      row_number() OVER (PARTITION BY k ORDER BY {lcg('cell_id + 0')}) AS rn, row_number() OVER (PARTITION BY k ORDER BY anchor_mean) - 1 AS an FROM fx_cells CROSS JOIN s2 CROSS JOIN ks),
+      row_number() OVER (PARTITION BY k ORDER BY {mixed('cell_id')}) AS rn, row_number() OVER (PARTITION BY k ORDER BY anchor_mean) - 1 AS an FROM fx_cells CROSS JOIN s2 CROSS JOIN ks),
     t AS (SELECT k, count(*) AS n, count(*) FILTER (tagged) AS tagged_n, (count(*) - 1) * (1 - count(*) FILTER (tagged) / count(*)) AS h FROM f GROUP BY k),
     c AS (SELECT f.k, any_value(n) AS n, any_value(tagged_n) AS tagged_n, max(anchor_mean) FILTER (an = floor(h)) + (max(anchor_mean) FILTER (an = ceil(h)) - max(anchor_mean) FILTER (an = floor(h))) * (any_value(h) - floor(any_value(h))) AS cut
       FROM f JOIN t ON t.k = f.k GROUP BY f.k),
@@ -131,7 +132,7 @@ def local_chance_order(spark, d):
 
 
 _BOOT = f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY region ORDER BY section) - 1 AS i, count(*) OVER (PARTITION BY region) AS s FROM local_sec),
-    p AS (SELECT region, b, ({lcg('((b + 1) * 1000003 + i * 7919 + 0) % ' + str(P), 2)}) % s AS i FROM r CROSS JOIN (SELECT unnest(range(0, 200)) AS b) WHERE s >= 3),
+    p AS (SELECT region, b, ({mixed('((b + 1) * 1000003 + i * 7919) % ' + str(P))}) % s AS i FROM r CROSS JOIN (SELECT unnest(range(0, 200)) AS b) WHERE s >= 3),
     q AS (SELECT p.region, b, sum(observed * tagged_n) / sum(local_rate * tagged_n) AS v FROM p JOIN r ON r.region = p.region AND r.i = p.i GROUP BY p.region, b)
     SELECT region, round(quantile_cont(v, 0.025), 6) AS ci_lo, round(quantile_cont(v, 0.975), 6) AS ci_hi, 'section-level' AS ci_scheme FROM q WHERE v IS NOT NULL GROUP BY region"""
 
@@ -151,7 +152,7 @@ def bootstrap_cells(spark, d):
 
 
 _ROT = f"""WITH m AS (SELECT region, section, avg(x) AS cx, avg(y) AS cy, count(*) AS n, count(*) FILTER (tagged) AS t FROM served GROUP BY region, section),
-    q AS (SELECT s.region, s.section, s.cell_id, r, n, x - cx AS dx, y - cy AS dy, cx, cy, 2 * pi() * ({lcg('((r + 1) * 1000003 + n * 7919 + 0) % ' + str(P), 2)}) / {P}.0::DOUBLE AS th
+    q AS (SELECT s.region, s.section, s.cell_id, r, n, x - cx AS dx, y - cy AS dy, cx, cy, 2 * pi() * ({mixed('((r + 1) * 1000003 + n * 7919) % ' + str(P))}) / {P}.0::DOUBLE AS th
       FROM served s JOIN m ON m.region = s.region AND m.section = s.section CROSS JOIN (SELECT unnest(range(0, 3)) AS r) WHERE tagged AND n >= 10),
     w AS (SELECT region, section, cell_id, r, n, cx + dx * cos(th) - dy * sin(th) AS x, cy + dx * sin(th) + dy * cos(th) AS y FROM q),
     d AS (SELECT w.region, w.r, w.cell_id, w.n, p.activity, row_number() OVER (PARTITION BY w.region, w.r, w.cell_id ORDER BY (w.x - p.x) ** 2 + (w.y - p.y) ** 2, p.cell_id) AS rn
