@@ -10,3 +10,10 @@ Every operator is a plain function from DataFrames to a DataFrame.  Sub-packages
 """
 
 __version__ = "0.1.0"
+
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Kernels used inside tasks travel with the job, so executors need no installed copy of the package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
