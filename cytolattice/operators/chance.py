@@ -308,6 +308,7 @@ def rotation_null(cells: DataFrame, n_rot: int = 200, near: int = 25, seed: int
 # ---- fitted expectation -----------------------------------------------------------------------------------
 
 COVARIATES = ("x1", "x2", "x3")
+MAX_MODELS = 20_000        # regions fitted at once: five numbers each travel per round
 
 
 def covariates(cells: DataFrame, tagged_measure: str) -> DataFrame:
@@ -330,7 +331,9 @@ def fit_logistic(rows: DataFrame, l2: float = 1e-4, rounds: int = 40, tolerance:
         scale = scale.withColumn(f"{c}_sd", F.when(F.col(f"{c}_sd") > 0, F.col(f"{c}_sd")).otherwise(1.0))
     scale = settle(scale, "scale")
     z = settle(standardise(rows, scale).select("region", flag("activity").cast("double").alias("y"), *COVARIATES), "design")
-    names = [r.region for r in scale.select("region").collect()]        # bounded by the region list
+    names = [r.region for r in scale.select("region").limit(MAX_MODELS + 1).collect()]
+    if len(names) > MAX_MODELS:
+        raise ValueError(f"more than {MAX_MODELS} regions to fit; fit them in batches")
     beta = {r: np.zeros(4) for r in names}
     best, step, loss = dict(beta), {r: None for r in names}, {r: float("inf") for r in names}
     todo = set(names)
