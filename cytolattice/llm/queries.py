@@ -63,7 +63,7 @@ def _cover(k: int) -> str:
 ORACLES = {
     "op2_repetition": rf"""WITH words AS (SELECT doc_id, coalesce(text, '') AS text,
             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
-            list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+            [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM documents),
         three AS ({_cover(3)}), cover AS ({_cover(repetition.MIN_WORDS)}),
         long AS (SELECT DISTINCT doc_id FROM ({_windows(repetition.MAX_LONGEST + 1)})),
         base AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
