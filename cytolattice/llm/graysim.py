@@ -26,10 +26,10 @@ from pyspark.sql.functions import pandas_udf
 
 from ..session import settle
 from .components import components
-from .text import lowered_words
+from .text import lowered_words, row_key
 
 NODE_CAP = 4096
-PAIRS_AT_ONCE = 2_000_000
+PAIRS_AT_ONCE = 500_000
 MASK = (1 << 64) - 1
 
 
@@ -254,10 +254,13 @@ def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scheme: Scheme = SIMILAR) -> DataFrame:
     """The documents with the smallest id of each component, with their own columns.
 
-    Of rows with one id the first read stays; a null id comes last.
+    Rows that are equal in all columns count as one; of others with one id one stays; a null id comes last.
     """
-    rows = settle(with_fingerprint(docs.withColumn("_row", F.monotonically_increasing_id()), scheme, text, "_"), "fingerprinted")
-    by = F.struct(F.col(f"`{doc_id}`").isNull().alias("none"), F.col(f"`{doc_id}`").alias("id"), F.col("_row").alias("row"))
-    light = rows.select(*[F.col(f"_{c}").alias(c) for c in scheme.columns], by.alias("by"))
-    stay = class_roots(light, scheme, "by").select(F.col("root_by.row").alias("_row")).distinct()
-    return rows.join(stay, "_row", "left_semi").drop("_row", *[f"_{c}" for c in scheme.columns])
+    id_ = F.col(f"`{doc_id}`")
+    plain = docs.select(id_.alias("id"), row_key(docs).alias("key"), F.col(f"`{text}`").alias("text"))
+    rows = settle(with_fingerprint(plain, scheme).drop("text"), "fingerprints")
+    by = F.struct(F.col("id").isNull().alias("none"), "id", "key").alias("by")
+    stay = class_roots(rows.select(*scheme.columns, by), scheme, "by").select(F.col("root_by.id").alias("_id"), F.col("root_by.key").alias("_key_kept")).distinct()
+    keyed = docs.withColumn("_key", row_key(docs))
+    left = keyed.join(stay, keyed[f"`{doc_id}`"].eqNullSafe(stay["_id"]) & (keyed["_key"] == stay["_key_kept"]), "left_semi")
+    return left.dropDuplicates([doc_id, "_key"]).drop("_key")

@@ -14,13 +14,15 @@ like the results are replaced.  The driver holds the list of sources with their
 import math
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from ..session import settle
+from .text import parts as batch_parts, row_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS, SHARD_SLOTS, MAX_USES, ROWS_A_BUCKET, SEED = 128, 4096, 3, 32_768, 11
@@ -98,27 +100,25 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
         shard_slots: int = SHARD_SLOTS, seed: int = SEED, keep: bool = True) -> DataFrame:
     """The documents with ``size``, ``source_size``, ``target``, ``taken`` (words) and ``parts``.
 
-    ``parts`` lists what the mix takes: (use, shard, first word, end word).  With ``keep`` false only the id, the source
-    and the results are carried.
+    ``parts`` lists what the mix takes: (use, first word, end word, shard).  With ``keep`` false only the id, the source
+    and the results are carried, and the texts are read once.
     """
     spark = docs.sparkSession
-    size = F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long")
-    c = F.crc32(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))
     carried = docs.drop("size", "source_size", "target", "taken", "parts")
     if not keep:
-        carried = carried.select(F.col(f"`{doc_id}`"), F.col(f"`{source}`"))
-    own = docs.select(*[docs[f"`{x}`"] for x in carried.columns], size.alias("size"), c.alias("_crc"), F.monotonically_increasing_id().alias("_row"))
-    kept = settle(own, "documents")
-    light = kept.select("_row", F.col(f"`{doc_id}`").cast("string").alias("id"), F.col(f"`{source}`").alias("source"), "size", "_crc")
+        carried = docs.select(F.col(f"`{doc_id}`"), F.col(f"`{source}`"), F.col(f"`{text}`"))
+    size = F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long")
+    light = settle(carried.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{source}`").alias("source"), size.alias("size"), row_key(carried).alias("key"),
+                                  F.monotonically_increasing_id().alias("_row")), "sizes")
     sources = source_table(light, weights, block_words)
     shards = max(1, math.ceil(sum(s[4] for s in sources) / shard_slots))
     names = spark.createDataFrame([(i, *s, zlib.crc32(repr(s[0]).encode()) + seed) for i, s in enumerate(sources)],
                                   "number int, source string, source_size long, target double, blocks long, slots long, seed long")
     # Places of the documents among their source's words: running sums in buckets, then over the buckets' totals.
-    buckets = max(1, math.ceil(kept.count() / ROWS_A_BUCKET))
+    buckets = max(1, math.ceil(light.count() / ROWS_A_BUCKET))
     dealt = (light.join(names.select("number", "source"), light["source"].eqNullSafe(names["source"])).drop("source")
-             .withColumn("bucket", F.pmod(F.xxhash64("id", "_crc", F.lit(seed)), F.lit(buckets))))
-    inner = "partition by number, bucket order by id, _crc, size, _row rows between unbounded preceding and 1 preceding"
+             .withColumn("bucket", F.pmod(F.xxhash64("id", "key", F.lit(seed)), F.lit(buckets))))
+    inner = "partition by number, bucket order by id, key, size, _row rows between unbounded preceding and 1 preceding"
     within = dealt.withColumn("before", F.expr(f"coalesce(sum(size) over ({inner}), 0)"))
     ahead = dealt.groupBy("number", "bucket").agg(F.sum("size").alias("total")).withColumn(
         "base", F.expr("coalesce(sum(total) over (partition by number order by bucket rows between unbounded preceding and 1 preceding), 0)"))
@@ -147,9 +147,30 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
              .select("number", "shard", "use", block_of(F.col("t") % F.col("blocks"), "blocks", F.xxhash64("seed", "use")).alias("block")))
     parts = (lying.join(slots, ["number", "block"]).groupBy("_row")
              .agg(F.sum(F.col("end") - F.col("first")).alias("taken"), F.sort_array(F.collect_list(F.struct("use", "first", "end", "shard"))).alias("parts")))
-    named = names.select(F.col("source").alias("_source"), "source_size", "target")
-    out = kept.join(named, kept[f"`{source}`"].eqNullSafe(named["_source"])).join(parts, "_row", "left")
-    return out.withColumn("taken", F.coalesce("taken", F.lit(0).cast("long"))).drop("_row", "_crc", "_source")
+    named = names.select("number", "source_size", "target")
+    told = laid.select("_row", "number", "size").join(named, "number").drop("number").join(parts, "_row", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
+    told = light.select("_row", "id", "key", *(["source"] * (not keep))).join(told, "_row")
+    if not keep:
+        return told.select(F.col("id").alias(doc_id), F.col("source").alias(source), "size", "source_size", "target", "taken", "parts")
+    # Equal rows have one name; they are told apart by their number among their equals, on both sides.
+    told = told.withColumn("_copy", F.expr("row_number() over (partition by id, key order by _row)")).withColumnsRenamed({"id": "_id", "key": "_told"})
+    keyed = carried.withColumn("_key", row_key(carried))
+    keyed = keyed.withColumn("_copy_no", F.row_number().over(Window.partitionBy(F.col(f"`{doc_id}`"), "_key").orderBy("_key")))
+    same = keyed[f"`{doc_id}`"].eqNullSafe(told["_id"]) & (keyed["_key"] == told["_told"]) & (keyed["_copy_no"] == told["_copy"])
+    return keyed.join(told, same).drop("_row", "_id", "_told", "_copy", "_copy_no", "_key")
+
+
+def cut_runs(text, size, taken):
+    """The runs of words that ``taken`` lists, neighbouring parts of one use joined."""
+    cuts = []
+    for p in taken:
+        if cuts and cuts[-1][0] == p["use"] and cuts[-1][2] == p["first"]:
+            cuts[-1][2] = p["end"]
+        else:
+            cuts.append([p["use"], p["first"], p["end"]])
+    whole = [c[1] == 0 and c[2] == size for c in cuts]
+    spans = None if all(whole) else [m.span() for m in re.finditer("[^\x20\x09-\x0d]+", text)]
+    return [text if w else text[spans[c[1]][0]:spans[c[2] - 1][1]] for c, w in zip(cuts, whole)]
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", **how) -> DataFrame:
@@ -161,18 +182,10 @@ def mixed_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars
     columns = docs.columns
 
     @pandas_udf(T.ArrayType(T.StringType()))
-    def runs(texts: pd.Series, sizes: pd.Series, parts: pd.Series) -> pd.Series:
-        word, out = re.compile("[^\x20\x09-\x0d]+"), []
-        for t, size, taken in zip(texts, sizes, parts):
-            cuts = []
-            for p in taken if taken is not None else ():
-                if cuts and cuts[-1][0] == p["use"] and cuts[-1][2] == p["first"]:
-                    cuts[-1][2] = p["end"]
-                else:
-                    cuts.append([p["use"], p["first"], p["end"]])
-            spans = None if all(c[1] == 0 and c[2] == size for c in cuts) else [m.span() for m in word.finditer(t)]
-            out.append([t if c[1] == 0 and c[2] == size else t[spans[c[1]][0]:spans[c[2] - 1][1]] for c in cuts])
-        return pd.Series(out, dtype=object)
+    def runs(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, sizes, taken in batches:
+            for t, n, p in zip(batch_parts(texts), batch_parts(sizes), batch_parts(taken)):
+                yield pd.Series([cut_runs(*row) for row in zip(t, n, p)], dtype=object)
 
     mixed = mix(docs, text, **how).where("taken > 0").withColumn("_run", F.explode(runs(F.col(f"`{text}`"), "size", "parts")))
     return mixed.withColumn(text, F.col("_run")).withColumn(n_chars, F.length("_run").cast("long")).select(*columns)

@@ -194,10 +194,8 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = 1024, block:
         if last:
             break
         open_ = found.where(F.col("fill") * 100 < capacity * 99).select("item", "length")
-    own = F.when(size >= capacity, -1 - F.col("_item"))
+    alone = kept.where(size >= capacity).select("*", (-1 - F.col("_item")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     if done is None:
-        return kept.select("*", own.alias("sequence_id"), F.lit(0).cast("long").alias("offset")).drop("_item")
+        return alone.drop("_item")
     places = done.select(F.col("item").alias("_item"), "sequence_id", "offset")
-    joined = kept.join(places.withColumnsRenamed({"sequence_id": "_sequence", "offset": "_offset"}), "_item", "left")
-    return (joined.withColumn("sequence_id", F.coalesce(own, "_sequence"))
-            .withColumn("offset", F.coalesce("_offset", F.lit(0).cast("long"))).drop("_item", "_sequence", "_offset"))
+    return alone.unionByName(kept.where(size < capacity).join(places, "_item")).drop("_item")

@@ -26,7 +26,8 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = skipchain.find_personal_data(docs, skipchain.fit_personal_data(docs)).drop("text")
     base = F.filter("spans", lambda s: s["base"])
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in skipchain.KINDS]
+    of_kind = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    counts = [of_kind(k) for k in skipchain.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 

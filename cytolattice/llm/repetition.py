@@ -19,7 +19,7 @@ from pyspark.sql.functions import pandas_udf
 from .text import SPACES, slices, words_of
 
 MIN_WORDS, MAX_COVERED_PERCENT, MAX_LONGEST = 10, 30, 100
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 800_000
 SYMBOLS = b"#*$%&|<>"
 
 FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "repeat_cover", "longest_repeat")

@@ -13,12 +13,15 @@ empty table gives an empty table and a model that adds nothing; columns named li
 
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
+from .text import parts
+
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS, FEATURES, SURE = 2000, 4096, 0.95
 OUTSIDE, LABELS = 0, 5
@@ -293,7 +296,9 @@ def mask_personal_data(docs: DataFrame, text: str = "text", n_chars: str = "n_ch
     model = model or fit_personal_data(docs, text)
 
     @pandas_udf(T.StringType())
-    def mask(batch: pd.Series) -> pd.Series:
-        return pd.Series([masked(t, all_spans(t, model)) if t else t for t in batch], dtype=object)
+    def mask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            for part in parts(batch):
+                yield pd.Series([masked(t, all_spans(t, model)) if t else t for t in part], dtype=object)
 
     return docs.withColumn(text, mask(F.col(f"`{text}`"))).withColumn(n_chars, F.length(F.col(f"`{text}`")).cast("long")).select(*docs.columns)

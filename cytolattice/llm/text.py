@@ -1,4 +1,6 @@
-"""Words of a text, and slices of bounded size of a batch of texts."""
+"""Words of a text, parts of bounded size of a batch of texts, and keys of rows."""
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 SPACES = b" \t\n\x0b\x0c\r"
 UPPER, LOWER = bytes(range(65, 91)), bytes(range(97, 123))
@@ -25,3 +27,13 @@ def slices(texts, chars):
             stop += 1
         yield start, stop
         start = stop
+
+
+def row_key(df: DataFrame) -> Column:
+    """Hash of a whole row; with the row's id it names the row, or several equal rows together."""
+    return F.xxhash64(*[F.col(f"`{n}`") for n, kind in df.dtypes if "map<" not in kind and kind not in ("void", "variant")])
+
+
+def parts(values, rows=500):
+    """Consecutive parts of a batch, so that results of one part are sent before the next is made."""
+    return (values[i:i + rows] for i in range(0, len(values), rows))

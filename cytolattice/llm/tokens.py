@@ -1,9 +1,13 @@
 """Token ids of texts with a public byte-level BPE vocabulary, cut into pieces of bounded length."""
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
+from .text import parts
+
 END_ID = 2
 #: Text that the tokenizer file itself reads as one special token; such texts take the tokenizer's own path.
 SPECIAL = "<|endoftext|>"
@@ -50,11 +54,12 @@ def token_pieces(docs: DataFrame, text: str = "text", capacity: int = 1024, voca
     tokenizer_path, ranks_path = vocabulary or public_vocabulary()
 
     @pandas_udf(T.BinaryType())
-    def ids(batches: "Iterator[pd.Series]") -> "Iterator[pd.Series]":
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import numpy as np
         encode = encoder(tokenizer_path, ranks_path)
         for batch in batches:
-            yield pd.Series([np.array(encode(t or "") + [END_ID], "<u4").tobytes() for t in batch], dtype=object)
+            for part in parts(batch):
+                yield pd.Series([np.array(encode(t or "") + [END_ID], "<u4").tobytes() for t in part], dtype=object)
 
     made = docs.withColumn("_ids", ids(F.col(f"`{text}`"))).withColumn("_n", (F.length("_ids") / 4).cast("long"))
     first = F.expr(f"CASE WHEN _n <= {capacity} THEN _n WHEN _n % {capacity} = 0 THEN {capacity} ELSE _n % {capacity} END")
@@ -65,6 +70,3 @@ def token_pieces(docs: DataFrame, text: str = "text", capacity: int = 1024, voca
             .withColumn("start", start).withColumn("length", length)
             .withColumn("ids", F.expr("substring(_ids, CAST(start * 4 + 1 AS INT), CAST(length * 4 AS INT))"))
             .drop("_ids", "_n", "_first"))
-
-
-from collections.abc import Iterator  # noqa: E402,F401  named in the hints above
