@@ -26,6 +26,7 @@ from .text import parts as batch_parts, row_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS, SHARD_SLOTS, MAX_USES, ROWS_A_BUCKET, SEED = 128, 4096, 3, 32_768, 11
+BROADCAST_SOURCES = 10_000
 
 
 def targets(sizes, weights=(1, 2, 3), most=MAX_USES):
@@ -114,6 +115,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     shards = max(1, math.ceil(sum(s[4] for s in sources) / shard_slots))
     names = spark.createDataFrame([(i, *s, zlib.crc32(repr(s[0]).encode()) + seed) for i, s in enumerate(sources)],
                                   "number int, source string, source_size long, target double, blocks long, slots long, seed long")
+    if len(sources) <= BROADCAST_SOURCES:
+        names = F.broadcast(names)
     # Places of the documents among their source's words: running sums in buckets, then over the buckets' totals.
     buckets = max(1, math.ceil(light.count() / ROWS_A_BUCKET))
     dealt = (light.join(names.select("number", "source"), light["source"].eqNullSafe(names["source"])).drop("source")
