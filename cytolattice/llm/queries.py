@@ -2,25 +2,39 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import graysim, mixing, packing, repetition, skipchain, tokens
+from . import chunkdedup, graysim, lineblocks, mixing, multiindex, packing, repetition, ringshards, siteprior, skipchain, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "repeat_cover", "long_repeat", "kept")
     return repetition.quality_verdict(docs).select("doc_id", *[F.col(f"repetition.{n}") for n in names])
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = lineblocks.extract_main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = tokens.token_pieces(docs).select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = ringshards.ring_shards(_table(spark, sf_dir, "documents").select("doc_id", "text"), 24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = skipchain.find_personal_data(docs, skipchain.fit_personal_data(docs)).drop("text")
@@ -36,17 +50,35 @@ def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graysim.near_components(docs).select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_site_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources stand for hosts and languages for the paths within them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    models = siteprior.fit_classifiers(docs, _table(spark, sf_dir, "labels"))
+    kept = (F.col("quality") >= 0.5) & (F.col("toxic") < 0.5)
+    return siteprior.site_scores(docs, models).select("doc_id", "quality", "toxic", "quality_evidence", "toxic_evidence", kept.alias("kept"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs, keep=False).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_chunk_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chunkdedup.copied_spans(docs).select("doc_id", "start", "end", "n_words", "n_chunks", "first_doc_ids")
+
+
 QUERIES = {
+    "op1_multi_index": op1_multi_index,
     "op2_repetition": op2_repetition,
+    "op3_main_text": op3_main_text,
     "op4_packing": op4_packing,
+    "op5_ring_shards": op5_ring_shards,
     "op6_personal_data": op6_personal_data,
     "op7_near_copies": op7_near_copies,
+    "op8_site_prior": op8_site_prior,
     "op9_mixing": op9_mixing,
+    "op10_chunk_copies": op10_chunk_copies,
 }
 
 
