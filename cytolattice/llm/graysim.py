@@ -164,14 +164,12 @@ def linked_classes(columns, block, radius):
             return
         first, below = np.searchsorted(heads[level + 1], heads[level]), len(heads[level + 1])
         size = np.diff(np.append(first, below))
-        made = size[a] * size[b]
-        cuts = np.flatnonzero(np.diff(np.cumsum(made) // PAIRS_AT_ONCE, prepend=0))
-        for x, y in zip(np.append(0, cuts), np.append(cuts, len(a))):
-            if x == y:
-                continue
-            n = made[x:y]
-            pair = np.repeat(np.arange(x, y), n)
-            k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        upto = np.cumsum(size[a] * size[b])
+        for low in range(0, int(upto[-1]), PAIRS_AT_ONCE):
+            # Pairs of children number low and up, also where one pair of nodes has more than fit at once.
+            k = np.arange(low, min(low + PAIRS_AT_ONCE, int(upto[-1])))
+            pair = np.searchsorted(upto, k, side="right")
+            k = k - (upto[pair] - size[a[pair]] * size[b[pair]])
             p, q = first[a[pair]] + k // size[b[pair]], first[b[pair]] + k % size[b[pair]]
             fresh = p <= q
             p, q, pair = p[fresh], q[fresh], pair[fresh]
