@@ -258,7 +258,5 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     plain = docs.select(id_.alias("id"), row_key(docs).alias("key"), F.col(f"`{text}`").alias("text"))
     rows = settle(with_fingerprint(plain, scheme).drop("text"), "fingerprints")
     by = F.struct(F.col("id").isNull().alias("none"), "id", "key").alias("by")
-    stay = class_roots(rows.select(*scheme.columns, by), scheme, "by").select(F.col("root_by.id").alias("_id"), F.col("root_by.key").alias("_key_kept")).distinct()
-    keyed = docs.withColumn("_key", row_key(docs))
-    left = keyed.join(stay, keyed[f"`{doc_id}`"].eqNullSafe(stay["_id"]) & (keyed["_key"] == stay["_key_kept"]), "left_semi")
-    return left.dropDuplicates([doc_id, "_key"]).drop("_key")
+    stay = class_roots(rows.select(*scheme.columns, by), scheme, "by").select(F.col("root_by.key").alias("_key")).distinct()
+    return docs.withColumn("_key", row_key(docs)).join(stay, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)

@@ -155,12 +155,13 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     told = light.select("_row", "id", "key", *(["source"] * (not keep))).join(told, "_row")
     if not keep:
         return told.select(F.col("id").alias(doc_id), F.col("source").alias(source), "size", "source_size", "target", "taken", "parts")
-    # Equal rows have one name; they are told apart by their number among their equals, on both sides.
-    told = told.withColumn("_copy", F.expr("row_number() over (partition by id, key order by _row)")).withColumnsRenamed({"id": "_id", "key": "_told"})
+    # Equal rows have one name; they are told apart by their number among their equals, on both sides.  The numbers are
+    # compared by two inequalities so that rows stay where the window has dealt them.
+    told = told.withColumn("_copy", F.expr("row_number() over (partition by key order by _row)")).drop("id", "_row").withColumnRenamed("key", "_told")
     keyed = carried.withColumn("_key", row_key(carried))
-    keyed = keyed.withColumn("_copy_no", F.row_number().over(Window.partitionBy(F.col(f"`{doc_id}`"), "_key").orderBy("_key")))
-    same = keyed[f"`{doc_id}`"].eqNullSafe(told["_id"]) & (keyed["_key"] == told["_told"]) & (keyed["_copy_no"] == told["_copy"])
-    return keyed.join(told, same).drop("_row", "_id", "_told", "_copy", "_copy_no", "_key")
+    keyed = keyed.withColumn("_copy_no", F.row_number().over(Window.partitionBy("_key").orderBy("_key")))
+    same = (keyed["_key"] == told["_told"]) & (keyed["_copy_no"] >= told["_copy"]) & (keyed["_copy_no"] <= told["_copy"])
+    return keyed.join(told, same).drop("_told", "_copy", "_copy_no", "_key")
 
 
 def cut_runs(text, size, taken):

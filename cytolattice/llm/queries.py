@@ -2,10 +2,11 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chunkdedup, graysim, lineblocks, mixing, multiindex, packing, repetition, ringshards, siteprior, skipchain, tokens
+from . import chunkdedup, graysim, lineblocks, mixing, multiindex, packing, repetition, ringshards, siteprior, skipchain, text, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text.small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -30,8 +30,16 @@ def slices(texts, chars):
 
 
 def row_key(df: DataFrame) -> Column:
-    """Hash of a whole row; with the row's id it names the row, or several equal rows together."""
-    return F.xxhash64(*[F.col(f"`{n}`") for n, kind in df.dtypes if "map<" not in kind and kind not in ("void", "variant")])
+    """128-bit hash of a whole row: it names the row, or several equal rows together."""
+    columns = [F.col(f"`{n}`") for n, kind in df.dtypes if "map<" not in kind and kind not in ("void", "variant")]
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *columns).alias("b"))
+
+
+def small_batches(spark, rows: int = 1000) -> None:
+    """Texts are long: batches sent to Python workers hold ``rows`` rows, unless the session says otherwise."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, str(rows))
 
 
 def parts(values, rows=500):
