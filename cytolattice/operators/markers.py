@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import GateBands, Panel
 from ..functions import (ROBUST_SCALE, above_chance, count_where, dbl, finite, in_band, ratio, verdict)
@@ -305,10 +305,16 @@ def crop_cells(cells: DataFrame, marker: str, y: float, x: float, size: float) -
 
 
 def dense_tiles(cells: DataFrame, panel: Panel, marker: str, k: float, size: float, n: int) -> DataFrame:
-    """The n tiles with most positives at k."""
+    """For each section the n tiles with most positives at k."""
     pos = classifiable(with_stats(cells, panel), marker).where(positive_at(marker, k))
-    tiles = pos.groupBy(F.floor(F.col("y") / size).alias("ty"), F.floor(F.col("x") / size).alias("tx")).agg(
-        F.count("*").alias("positives"))
-    return (tiles.orderBy(F.desc("positives"), "ty", "tx").limit(n)
-            .select((F.col("ty") * F.lit(float(size))).alias("y0"),
-                    (F.col("tx") * F.lit(float(size))).alias("x0"), "positives"))
+    tiles = pos.groupBy("section", F.floor(F.col("y") / size).alias("ty"), F.floor(F.col("x") / size).alias("tx")).agg(F.count("*").alias("positives"))
+    best = F.row_number().over(Window.partitionBy("section").orderBy(F.desc("positives"), "ty", "tx"))
+    return (tiles.withColumn("rn", best).where(F.col("rn") <= n)
+            .select("section", (F.col("ty") * F.lit(float(size))).alias("y0"), (F.col("tx") * F.lit(float(size))).alias("x0"), "positives"))
+
+
+def section_sample(cells: DataFrame, n: int) -> DataFrame:
+    """n cells of each section by a repeatable draw on their ids."""
+    draw = (F.col("cell_id") * 48271 + 11) % 2147483647
+    rank = F.row_number().over(Window.partitionBy("section").orderBy(draw, "cell_id"))
+    return cells.withColumn("rn", rank).where(F.col("rn") <= n).drop("rn")

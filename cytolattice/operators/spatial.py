@@ -224,7 +224,7 @@ def annulus_background(cells: DataFrame, pixels: DataFrame, radius: float, gap:
         "bgsub", F.col("raw_mean") - F.col("background"))
 
 
-def random_boxes(shapes: DataFrame, sides: list[float], per_region: int = 3, attempts: int = 64, seed: int = 42) -> DataFrame:
+def random_boxes(shapes: DataFrame, sides: list[float], per_region: int = 3, attempts: int = 3000, seed: int = 42) -> DataFrame:
     """Seeded square boxes fully inside each region, largest side first.
 
     Attempts are ranked per (region, side) and side; the candidate list per region is fixed.
@@ -233,7 +233,7 @@ def random_boxes(shapes: DataFrame, sides: list[float], per_region: int = 3, att
     base = shapes.select("region_id", "ordinal", "x0", "x1", "y0", "y1", *(["ring"] if "ring" in shapes.columns else []),
                          F.explode(F.array(*[F.struct(F.lit(i).alias("step"), F.lit(float(s)).alias("side"))
                                              for i, s in enumerate(sides)])).alias("s"))
-    cand = base.select("*", "s.step", "s.side", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))).alias("attempt"))
+    cand = base.select("*", "s.step", "s.side", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(attempts - 1).cast("long"))).alias("attempt"))
     u = ((F.col("ordinal") * 7919 + F.col("step") * 104729 + F.col("attempt") * 1299709 + seed).cast("long") * 48271) % m
     w = (u * 48271 + 11) % m
     wx, wy = F.col("x1") - F.col("x0") - F.col("side"), F.col("y1") - F.col("y0") - F.col("side")

@@ -282,9 +282,9 @@ def crop_cells(spark, d):
     return tidy(M.crop_cells(cells(spark, d), "fos", 1024.0, 2048.0, 512.0).select("cell_id", "section", "x", "y"))
 
 
-@query("dense_tiles", f"""SELECT CAST(floor(y / 512) AS BIGINT) * 512.0::DOUBLE AS y0, CAST(floor(x / 512) AS BIGINT) * 512.0::DOUBLE AS x0,
-    count(*) AS positives FROM cells_s WHERE NOT excluded AND {p('tdt', 1.0)} GROUP BY floor(y / 512), floor(x / 512)
-    ORDER BY count(*) DESC, floor(y / 512), floor(x / 512) LIMIT 6""")
+@query("dense_tiles", f"""SELECT section, CAST(floor(y / 512) AS BIGINT) * 512.0::DOUBLE AS y0, CAST(floor(x / 512) AS BIGINT) * 512.0::DOUBLE AS x0,
+    count(*) AS positives FROM cells_s WHERE NOT excluded AND {p('tdt', 1.0)} GROUP BY section, floor(y / 512), floor(x / 512)
+    QUALIFY row_number() OVER (PARTITION BY section ORDER BY count(*) DESC, floor(y / 512), floor(x / 512)) <= 6""")
 def dense_tiles(spark, d):
     return tidy(M.dense_tiles(stored_cells(spark, d), PANEL, "tdt", K, 512.0, 6))
 
@@ -392,9 +392,7 @@ def union_sections(spark, d):
     return tidy(left.unionByName(right).groupBy("section").agg(F.count("*").alias("n")))
 
 
-@query("section_sample", """SELECT cell_id, section, class FROM classed WHERE class <> 'Excluded'
-    ORDER BY (cell_id * 48271 + 11) % 2147483647, cell_id LIMIT 25""")
+@query("section_sample", """SELECT cell_id, section, class FROM (SELECT *, row_number() OVER (PARTITION BY section ORDER BY (cell_id * 48271 + 11) % 2147483647, cell_id) AS rn
+    FROM classed WHERE class <> 'Excluded') WHERE rn <= 5""")
 def section_sample(spark, d):
-    c = classed(spark, d).where(F.col("class") != "Excluded")
-    draw = (F.col("cell_id") * 48271 + 11) % 2147483647
-    return tidy(c.orderBy(draw, "cell_id").limit(25).select("cell_id", "section", "class"))
+    return tidy(M.section_sample(classed(spark, d).where(F.col("class") != "Excluded"), 5).select("cell_id", "section", "class"))

@@ -377,9 +377,9 @@ def rank_regions(spark, d):
 
 
 @query("region_panels_order", f"""SELECT animal, region, round({_OV}, 6) AS overlap_above_chance FROM animals
-    WHERE hemisphere = 'both' ORDER BY {_OV} DESC NULLS LAST, animal, region LIMIT 40""")
+    WHERE hemisphere = 'both' ORDER BY {_OV} DESC NULLS LAST, animal, region""")
 def region_panels_order(spark, d):
-    return tidy(R.region_panels_order(animal_metrics(spark, d), "overlap_above_chance", 40).select("animal", "region", "overlap_above_chance"))
+    return tidy(R.region_panels_order(animal_metrics(spark, d), "overlap_above_chance").select("animal", "region", "overlap_above_chance"))
 
 
 @query("group_comparison_order", f"""WITH g AS (SELECT CASE WHEN right(animal, 1) IN ('5', '7', '9', '1') THEN 'odd' ELSE 'even' END AS grp, region, {_OV} AS v

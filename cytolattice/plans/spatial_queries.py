@@ -179,7 +179,7 @@ def orphan_radius_sweep(spark, d):
 
 
 _RB = """WITH c AS (SELECT region_id, x0, x1, y0, y1, i AS step, side, attempt, ((o * 7919 + i * 104729 + attempt * 1299709 + 42) * 48271) % 2147483647 AS u
-      FROM (SELECT s.*, n_nationkey AS o FROM fx_shapes s JOIN nation ON n_name = region_id) CROSS JOIN (SELECT unnest([0, 1, 2]) AS i, unnest([2500.0, 1500.0, 400.0])::DOUBLE AS side) CROSS JOIN (SELECT unnest(range(0, 64)) AS attempt)),
+      FROM (SELECT s.*, n_nationkey AS o FROM fx_shapes s JOIN nation ON n_name = region_id) CROSS JOIN (SELECT unnest([0, 1, 2]) AS i, unnest([2500.0, 1500.0, 400.0])::DOUBLE AS side) CROSS JOIN (SELECT unnest(range(0, 3000)) AS attempt)),
     p AS (SELECT *, x0 + floor(greatest(x1 - x0 - side, 1.0) * u / 2147483647) AS bx, y0 + floor(greatest(y1 - y0 - side, 1.0) * ((u * 48271 + 11) % 2147483647) / 2147483647) AS "by" FROM c),
     k AS (SELECT region_id, row_number() OVER (PARTITION BY region_id ORDER BY step, attempt) AS box, side, bx, "by" FROM p
       WHERE bx >= x0 AND bx + side < x1 AND "by" >= y0 AND "by" + side < y1 QUALIFY box <= 3)

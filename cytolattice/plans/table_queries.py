@@ -191,9 +191,9 @@ def flag_slice_outliers(spark, d):
     return tidy(T.flag_slice_outliers(ref(spark, d), "S3", 0.5))
 
 
-@query("outliers_by_abs_z", f"SELECT {_FLAG_OUT} FROM ({_FLAG}) f ORDER BY abs(f.z) DESC, config_tag, marker, class, hemisphere, region LIMIT 20")
+@query("outliers_by_abs_z", f"SELECT {_FLAG_OUT} FROM ({_FLAG}) f ORDER BY abs(f.z) DESC, config_tag, marker, class, hemisphere, region")
 def outliers_by_abs_z(spark, d):
-    return tidy(T.outliers_by_abs_z(T.flag_slice_outliers(ref(spark, d), "S3", 0.5), 20))
+    return tidy(T.outliers_by_abs_z(T.flag_slice_outliers(ref(spark, d), "S3", 0.5)))
 
 
 @query("upsert_by_image", """SELECT slice, count(*) AS n, CAST(sum(cnt) AS BIGINT) AS cnt FROM (
