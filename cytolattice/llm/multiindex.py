@@ -5,8 +5,8 @@ the centroids of each half by its inner product with them and pops pairs from a
 hold enough vectors; the vectors in these cells are then scored exactly and the best are kept.
 
 Centroids are fitted on a bounded sample (``SAMPLE`` rows with the smallest hashes of their id); every row is indexed.
-Cells are dealt out in buckets of about ``BUCKET`` rows; a fuller cell is cut into as many buckets as it needs, so no
-task holds more.  Only the numbers of rows in cells, ``centroids`` squared of them, go to the driver.  Of vectors that are
+Cells are dealt out in buckets of about ``BUCKET`` rows; a fuller cell is cut into as many buckets as it needs.  Queries come in
+blocks of about ``QUERY_BLOCK``, and a task scores one bucket for one block, so no task holds more than both.  Only the numbers of rows in cells, ``centroids`` squared of them, go to the driver.  Of vectors that are
 equal in all components only the ``k + 1`` smallest ids can be among a query's nearest, so only these are kept: nothing
 else is dropped.
 
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import settle
 
-SAMPLE, CENTROIDS, ROUNDS, BUCKET, SHARE, LEAST_CANDIDATES = 20_000, 64, 12, 4096, 0.5, 2000
+SAMPLE, CENTROIDS, ROUNDS, BUCKET, QUERY_BLOCK, SHARE, LEAST_CANDIDATES = 20_000, 64, 12, 4096, 8192, 0.5, 2000
 
 
 def nearest_centroid(x, centroids):
@@ -93,7 +93,7 @@ def sound_vectors(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", centroids: int = CENTROIDS,
-            share: float = SHARE, least: int = LEAST_CANDIDATES, sample: int = SAMPLE, bucket: int = BUCKET, seed: int = 5) -> DataFrame:
+            share: float = SHARE, least: int = LEAST_CANDIDATES, sample: int = SAMPLE, bucket: int = BUCKET, block: int = QUERY_BLOCK, seed: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest found for rows whose id column ``id`` meets ``is_query``.
 
     A query looks at cells holding ``share`` of the distinct vectors, and ``least`` of them at least.
@@ -141,8 +141,13 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", v
                 rows += [(query_id, v, b, cells) for b, cells in by.items()]
             yield pd.DataFrame(rows, columns=["id", "v", "bucket", "cells"]).assign(cell=-1, query=True)
 
+    asked = sound.where(is_query)
+    blocks = max(1, math.ceil(asked.count() / block))
     layout = "id long, v array<double>, cell long, bucket long, query boolean, cells array<long>"
-    rows = index.mapInPandas(home, layout).unionByName(sound.where(is_query).mapInPandas(visit, layout))
+    # A query belongs to one block by its row; every block meets each bucket once.
+    every = index.mapInPandas(home, layout).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    own = asked.mapInPandas(visit, layout).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    rows = every.unionByName(own)
 
     def score(pdf):
         entries, queries = pdf[~pdf["query"]].sort_values(["cell", "id"]), pdf[pdf["query"]]
@@ -156,6 +161,6 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", v
                 out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[best], "score": (x[best] * np.asarray(v)).sum(axis=1)}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    found = rows.groupBy("bucket").applyInPandas(score, "query_id long, vec_id long, score double")
+    found = rows.groupBy("bucket", "block").applyInPandas(score, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -97,6 +97,8 @@ def test_neighbours(spark):
     nan = float("nan")
     rows = [(i, [float(i % 7 - 3), float(i % 5 - 2), 1.0, float(i % 3)]) for i in range(60)] + [(60, None), (61, [0.0] * 4), (62, [nan, 1.0, 1.0, 1.0]), (63, [1.0, None, 1.0, 1.0]), (64, [1.0])]
     t = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    plain = sorted(map(tuple, multiindex.nearest(t, F.col("id") % 20 == 0, k=5).collect()))
+    assert plain == sorted(map(tuple, multiindex.nearest(t, F.col("id") % 20 == 0, k=5, bucket=7, block=1).collect()))
     got = {}
     for r in multiindex.nearest(t, F.col("id") % 20 == 0, k=5).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
