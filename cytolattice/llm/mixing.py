@@ -27,6 +27,7 @@ from .text import parts as batch_parts, row_key
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS, SHARD_SLOTS, MAX_USES, ROWS_A_BUCKET, SEED = 128, 4096, 3, 32_768, 11
 BROADCAST_SOURCES = 10_000
+DRAWN_SLOTS = 10**9
 
 
 def targets(sizes, weights=(1, 2, 3), most=MAX_USES):
@@ -67,6 +68,26 @@ def permuted(index, n, key):
         x[out] = rounds(x[out], half[out], low[out], key[out])
 
 
+def half_of(left, wanted, rng):
+    """How many of ``left`` slots of each source go to a range of shards with ``wanted`` slots; sums to ``wanted``.
+
+    A draw without replacement.  Ranges with more slots than the generator takes (10^9) are split in proportion, with
+    the broken slots dealt at random; the draw's relative deviation there is below 1e-4.
+    """
+    total = int(left.sum())
+    if total < DRAWN_SLOTS:
+        return rng.multivariate_hypergeometric(left, wanted, method="marginals")
+    whole = [int(n) * wanted // total for n in left]
+    broken = np.array([int(n) * wanted % total / total for n in left])
+    missing = wanted - sum(whole)
+    if missing:
+        # As many distinct sources with a broken slot as are missing, likelier the larger the rest.
+        order = np.argsort(np.where(broken > 0, rng.random(len(left)) ** (1 / np.maximum(broken, 1e-12)), -1))[::-1]
+        for i in order[:missing]:
+            whole[i] += 1
+    return np.array(whole, np.int64)
+
+
 def shard_counts(shard, shards, totals, slots, seed):
     """(first slot, slots) of each source in one shard; the same whoever asks.
 
@@ -77,7 +98,7 @@ def shard_counts(shard, shards, totals, slots, seed):
     while high - low > 1:
         middle = (low + high) // 2
         rng = np.random.default_rng([seed, low, high])
-        inner = rng.multivariate_hypergeometric(left, int(min(left.sum(), (middle - low) * slots)), method="marginals")
+        inner = half_of(left, int(min(left.sum(), (middle - low) * slots)), rng)
         if shard < middle:
             high, left = middle, inner
         else:

@@ -84,6 +84,18 @@ def test_permutation_and_shard_counts():
     assert sum(mixing.targets([100, 1, 50])) == pytest.approx(151)
 
 
+def test_huge_totals_are_split_whole():
+    totals, slots, shards = [3 * 10**9, 1, 0, 1_500_000_123, 7], 4096, 0
+    shards = -(-sum(totals) // slots)
+    rng = np.random.default_rng(1)
+    for wanted in (0, 1, sum(totals) // 2, sum(totals)):
+        got = mixing.half_of(np.array(totals), wanted, rng)
+        assert got.sum() == wanted and (got >= 0).all() and (got <= totals).all()
+    picked = [mixing.shard_counts(s, shards, totals, slots, 3) for s in (0, 1, shards // 2, shards - 1)]
+    assert [int(n.sum()) for _, n in picked] == [slots] * 3 + [sum(totals) - slots * (shards - 1)]
+    assert (picked[0][0] + picked[0][1] == picked[1][0]).all() and (picked[-1][0] + picked[-1][1] == totals).all()
+
+
 def test_packing_is_near_the_bound_and_crossover_keeps_items():
     rng = np.random.default_rng(2)
     lengths = rng.integers(1, 1024, 2000)
