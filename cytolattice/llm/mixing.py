@@ -25,7 +25,7 @@ from ..session import settle
 from .text import parts as batch_parts, row_key
 
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK_WORDS, SHARD_SLOTS, MAX_USES, ROWS_A_BUCKET, SEED = 128, 4096, 3, 32_768, 11
+BLOCK_WORDS, SHARD_SLOTS, MAX_USES, ROWS_A_BUCKET, SEED = 128, 4096, 3, 4096, 11
 BROADCAST_SOURCES = 10_000
 DRAWN_SLOTS = 10**9
 
