@@ -52,7 +52,7 @@ def scan_roi_cells(spark, d):
 @query("scan_region_table", f"SELECT section, hemisphere, acronym, acronym <> 'ASIA' AS is_leaf, round(area_mm2, 6) AS area_mm2, {COUNT_SQL} FROM region_rows")
 def scan_region_table(spark, d):
     rows = region_rows(spark, d).drop("animal").withColumn("is_leaf", F.when(F.col("acronym") == "ASIA", "False").otherwise("True"))
-    whole = rows.limit(1).withColumn("hemisphere", F.lit(None).cast("string"))           # a container row, to be dropped
+    whole = rows.where("hemisphere = 'Left' AND acronym = 'ASIA'").withColumn("hemisphere", F.lit(None).cast("string"))           # a container row, to be dropped
     path = write_stems(rows.unionByName(whole), scratch_path(spark, "region-table"), suffix="region_table.tsv")
     return tidy(RD.scan_region_table(spark, path, PANEL).select("section", "hemisphere", "acronym", "is_leaf", "area_mm2", *COUNTS))
 
@@ -88,13 +88,13 @@ def sink_append_reference(spark, d):
     return tidy(spark.read.parquet(path).groupBy("marker").agg(F.count("*").alias("n"), F.sum("cnt").alias("cnt"), F.sum("ingest").alias("ingest")))
 
 
-@query("sink_cells", """SELECT section, count(*) AS n, round(sum(tdt_bgsub), 6) AS tdt_sum, count(*) FILTER (animal = 'A1997' AND cell_id % 2 = 0) AS rewritten
-    FROM fx_cells WHERE animal <> 'A1997' OR cell_id % 2 = 0 GROUP BY section""")
+@query("sink_cells", """SELECT section, count(*) AS n, round(sum(CASE WHEN animal = 'A1997' THEN 2 * tdt_bgsub ELSE tdt_bgsub END), 6) AS tdt_sum,
+    count(*) FILTER (animal = 'A1997') AS rewritten FROM fx_cells GROUP BY section""")
 def sink_cells(spark, d):
     """A second write replaces only the sections it brings."""
     path, c = scratch_path(spark, "cells"), cells(spark, d)
     S.write_sections(S.cells_to_sink(c).withColumn("pass", F.lit(1)), path, ["animal", "section"])
-    S.write_sections(S.cells_to_sink(c.where("animal = 'A1997' AND cell_id % 2 = 0")).withColumn("pass", F.lit(2)), path, ["animal", "section"])
+    S.write_sections(S.cells_to_sink(c.where("animal = 'A1997'").withColumn("tdt_bgsub", 2 * F.col("tdt_bgsub"))).withColumn("pass", F.lit(2)), path, ["animal", "section"])
     return tidy(spark.read.parquet(path).groupBy("section").agg(
         F.count("*").alias("n"), F.sum("tdt_bgsub").alias("tdt_sum"), E.count_where(F.col("pass") == 2).alias("rewritten")))
 
@@ -128,7 +128,7 @@ def scan_ontology(spark, d):
     doc = top.select(F.struct(F.struct(F.lit("root").alias("acronym"), F.lit("name root").alias("name")).alias("data"), "children").alias("root"))
     path = scratch_path(spark, "ontology")
     doc.coalesce(1).write.json(path)
-    return tidy(RD.scan_ontology(spark, path, 5).select("acronym", "parent", "name", "depth"))
+    return tidy(RD.scan_ontology(spark, path).select("acronym", "parent", "name", "depth"))
 
 
 @query("scan_calibration", """SELECT slice, floor_peak AS floor, bright_peak, bright_peak - floor_peak AS span, threshold, unnest([0.1, 0.25])::DOUBLE AS frac,
@@ -155,23 +155,23 @@ def scan_thresholds(spark, d):
     return tidy(RD.scan_thresholds(spark, path).select("image", "mode", "threshold", "override"))
 
 
-@query("scan_roi_counts", "SELECT project, count(*) AS n, CAST(sum(cnt) AS BIGINT) AS cnt FROM fx_roi_counts WHERE left(project, 1) IN ('1', '3') GROUP BY project")
+@query("scan_roi_counts", "SELECT project, count(*) AS n, CAST(sum(cnt) AS BIGINT) AS cnt FROM fx_roi_counts GROUP BY project")
 def scan_roi_counts(spark, d):
     return _roi(spark, d, "cnt", "cnt", "long")
 
 
-@query("scan_roi_area", "SELECT project, count(*) AS n, round(sum(area_mm2), 6) AS area_mm2 FROM fx_roi_counts WHERE left(project, 1) IN ('1', '3') GROUP BY project")
+@query("scan_roi_area", "SELECT project, count(*) AS n, round(sum(area_mm2), 6) AS area_mm2 FROM fx_roi_counts GROUP BY project")
 def scan_roi_area(spark, d):
     return _roi(spark, d, "area_mm2", "area_mm2", "double")
 
 
 def _roi(spark, d, value, name, kind):
     base, rows = scratch_path(spark, "roi"), view(spark, d, "fx_roi_counts")
-    names = sorted(r.project for r in rows.select("project").distinct().collect())
-    for p in names:
-        if p[0] in "13":                            # the other projects have no file yet
-            S.write_csv(rows.where(F.col("project") == p).drop("project"), f"{base}/{p[0]}")
-    back = RD.scan_roi_tables(spark, {p: f"{base}/{p[0]}" for p in names})
+    # One write for all projects; two more are configured but have no file yet.
+    S.write_csv(rows.withColumn("no", F.substring("project", 1, 1)).drop("project").repartition("no"), base, by=["no"])
+    back = RD.scan_roi_tables(spark, {str(i): f"{base}/no={i}" for i in range(1, 8)})
+    names = rows.select("project", F.substring("project", 1, 1).alias("no")).distinct()
+    back = back.withColumnRenamed("project", "no").join(names, "no")
     return tidy(back.groupBy("project").agg(F.count("*").alias("n"), F.sum(F.col(value).cast(kind)).alias(name)))
 
 
@@ -180,7 +180,7 @@ def scan_handcounts(spark, d):
     sheet = view(spark, d, "fx_handcount")
     base = scratch_path(spark, "handcounts")
     S.write_csv(sheet, f"{base}/S1__handcount.tsv", "\t")
-    S.write_csv(sheet.limit(3), f"{base}/S1__handcount.new.tsv", "\t")
+    S.write_csv(sheet.where("box <= 3"), f"{base}/S1__handcount.new.tsv", "\t")
     return tidy(RD.scan_handcounts(spark, f"{base}/*"))
 
 
@@ -192,18 +192,15 @@ def scan_group_map(spark, d):
     return RD.scan_group_map(spark, path, {"A1996": "override"})
 
 
-@query("stream_ingest_sections", """WITH c AS (SELECT *, seq % 3 AS chunk FROM fx_reference WHERE NOT (seq % 3 = 1 AND slice >= 'S15') AND NOT (seq % 3 = 2 AND slice >= 'S12')),
-    w AS (SELECT slice, max(chunk) AS chunk FROM c GROUP BY slice),
-    k AS (SELECT c.* FROM c JOIN w ON w.slice = c.slice AND w.chunk = c.chunk QUALIFY row_number() OVER (PARTITION BY config_tag, c.slice, region, marker, class ORDER BY seq DESC) = 1)
+@query("stream_ingest_sections", """WITH k AS (SELECT * FROM fx_reference QUALIFY row_number() OVER (PARTITION BY config_tag, slice, region, marker, class ORDER BY seq DESC) = 1)
     SELECT slice, count(*) AS n, CAST(sum(cnt) AS BIGINT) AS cnt, max(seq) AS last_seq FROM k GROUP BY slice""")
 def stream_ingest_sections(spark, d):
-    """Three deliveries of exports; a later delivery replaces the sections it brings."""
+    """All rows in three deliveries; each key keeps its last write."""
     ref = view(spark, d, "fx_reference")
     base = scratch_path(spark, "stream")
-    limits = {0: F.lit(True), 1: F.col("slice") < "S15", 2: F.col("slice") < "S12"}
     out = None
-    for i, keep in limits.items():
-        ref.where((F.col("seq") % 3 == i) & keep).write.mode("append").parquet(f"{base}/in")
+    for i in range(3):
+        ref.where(F.col("seq") % 3 == i).write.mode("append").parquet(f"{base}/in")
         out = ingest_all(spark, f"{base}/in", ref.schema, f"{base}/table", f"{base}/ckpt", "slice",
                          ["config_tag", "slice", "region", "marker", "class"], "seq")
     return tidy(out.groupBy("slice").agg(F.count("*").alias("n"), F.sum("cnt").alias("cnt"), F.max("seq").alias("last_seq")))

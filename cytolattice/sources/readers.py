@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..config import Panel
 from ..functions import NO_REGION, acronym_of, hemisphere_of, nan_to_null, ratio, section_of_file, truthy
+from ..session import settle
 
 CELL_COLUMNS = ("class", "region_label", "nucleus_area_um2", "centroid_x_px", "centroid_y_px")
 
@@ -92,27 +94,27 @@ def scan_combined_reference(spark: SparkSession, paths) -> DataFrame:
     return keep_last(df, ["config_tag", "slice", "region", "marker", "class"], "ingest")
 
 
-def ontology_schema(depth: int) -> T.StructType:
-    data = T.StructType([T.StructField(c, T.StringType()) for c in ("acronym", "name", "id", "color_hex_triplet")])
-    node = T.StructType([T.StructField("data", data)])
-    for _ in range(depth):
-        node = T.StructType([T.StructField("data", data), T.StructField("children", T.ArrayType(node))])
-    return node
+NODE = "data struct<acronym:string, name:string, id:string, color_hex_triplet:string>, children array<string>"
 
 
-def scan_ontology(spark: SparkSession, path: str, depth: int = 12) -> DataFrame:
-    """Nested nodes to (acronym, parent, name, depth, color); one level is exploded per step."""
-    level = spark.read.schema(T.StructType([T.StructField("root", ontology_schema(depth))])).option("multiLine", True).json(path)
-    level = level.select(F.col("root.data").alias("d"), F.col("root.children").alias("kids"), F.lit(None).cast("string").alias("parent"))
-    parts = []
-    for i in range(depth + 1):
-        parts.append(level.where("d.acronym IS NOT NULL").select(
-            "d.acronym", "parent", F.coalesce("d.name", "d.acronym").alias("name"), F.lit(i).alias("depth"), F.col("d.color_hex_triplet").alias("color")))
-        if i == depth:
-            break
-        kid = level.select(F.coalesce("d.acronym", "parent").alias("parent"), F.explode("kids").alias("k"))
-        level = kid.select(F.col("k.data").alias("d"), (F.col("k.children") if i < depth - 1 else F.lit(None)).alias("kids"), "parent")
-    return reduce(DataFrame.unionByName, parts)
+def scan_ontology(spark: SparkSession, path: str) -> DataFrame:
+    """Nested nodes to (acronym, parent, name, depth, color), to any depth.
+
+    Children stay JSON text until their level is read, so no schema limits the tree.  A level is
+    written once; the walk ends with the first level without nodes.
+    """
+    doc = spark.read.option("wholetext", True).text(path)
+    level = doc.select(F.from_json("value", "root string")["root"].alias("node"), F.lit(None).cast("string").alias("parent"))
+    parts, depth = [], 0
+    while True:
+        read = settle(level.select(F.from_json("node", NODE).alias("n"), "parent").where("n IS NOT NULL").select("n.*", "parent"), "tree")
+        parts.append(read.where("data.acronym IS NOT NULL").select(
+            "data.acronym", "parent", F.coalesce("data.name", "data.acronym").alias("name"), F.lit(depth).alias("depth"),
+            F.col("data.color_hex_triplet").alias("color")))
+        level = read.select(F.explode("children").alias("node"), F.coalesce("data.acronym", "parent").alias("parent"))
+        depth += 1
+        if level.isEmpty():
+            return reduce(DataFrame.unionByName, parts)
 
 
 CALIBRATION = T.StructType([
@@ -137,16 +139,15 @@ def scan_thresholds(spark: SparkSession, paths) -> DataFrame:
     return df.select("image", "anchor_channel", "mode", _number("span_frac"), _number("threshold"), truthy("override").alias("override"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def scan_roi_tables(spark: SparkSession, projects: dict[str, str]) -> DataFrame | None:
-    """Combined manual-shape tables of several projects; missing files are skipped."""
-    parts = [spark.read.option("header", True).csv(path).withColumn("project", F.lit(name))
-             for name, path in projects.items() if _exists(spark, path)]
+    """Combined manual-shape tables of several projects, whose columns may differ; missing files are skipped."""
+    parts = []
+    for name, path in projects.items():
+        try:
+            parts.append(spark.read.option("header", True).csv(path).withColumn("project", F.lit(name)))
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
     if not parts:
         return None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

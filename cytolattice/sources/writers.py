@@ -10,9 +10,10 @@ MAX_COLUMNS = 5_000
 IDENTITY = ("grp", "animal", "region", "level", "hemisphere", "n_slices", "projects", "N_source")
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """CSV with a header; NULL becomes an empty cell."""
-    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+def write_csv(df: DataFrame, path: str, sep: str = ",", by: list[str] | None = None) -> None:
+    """CSV with a header, a folder per value of ``by``; NULL becomes an empty cell."""
+    out = df.write.mode("overwrite").option("header", True).option("sep", sep)
+    (out.partitionBy(*by) if by else out).csv(path)
 
 
 def write_sections(df: DataFrame, path: str, by: list[str], table_format: str = "parquet") -> None:
@@ -41,8 +42,25 @@ def region_rows_to_reference(region_rows: DataFrame, categories: dict[str, str])
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows of ``new`` replace all earlier rows with the same key; other rows stay."""
-    return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
+    """Rows of ``new`` replace all earlier rows with the same key; other rows stay.
+
+    Both need the same columns: ``upsert_table`` sets a table with others aside.
+    """
+    if set(old.columns) != set(new.columns):
+        raise ValueError(f"columns differ: {sorted(set(old.columns) ^ set(new.columns))}")
+    return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+
+
+def upsert_table(new: DataFrame, key: str, path: str, earlier: str | None = None) -> bool:
+    """Write the next version of a table to ``path``: the one at ``earlier`` with ``new`` upserted.
+
+    An earlier table with other columns is set aside: it stays where it is, and the new version
+    holds ``new`` alone.  True if the two were merged.
+    """
+    old = new.sparkSession.read.parquet(earlier) if earlier else None
+    merge = old is not None and set(old.columns) == set(new.columns)
+    (upsert(old, new, key) if merge else new).write.parquet(path)
+    return merge
 
 
 def long_order(columns: list[str]) -> list[str]:

@@ -1,32 +1,25 @@
-"""Section exports arriving as files, kept as a table where a section's latest export wins."""
+"""Section exports arriving as files: every delivery is appended, and the last write per key wins when read."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..sources.writers import keep_last
 
 
-def stream_sections(spark: SparkSession, source: str, schema: StructType | str, target: str, checkpoint: str,
-                    section: str, key: list[str], seq: str):
-    """Ingest every file not seen yet, then stop.
-
-    Each micro-batch keeps the last row per key and replaces exactly the partitions of the
-    sections it brings, so a batch that is replayed after a failure writes the same table.
-    """
-    def upsert_batch(batch: DataFrame, _batch_id: int) -> None:
-        rows = keep_last(batch, key, seq)
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(section).parquet(target))
-
+def stream_sections(spark: SparkSession, source: str, schema: StructType | str, target: str, checkpoint: str, section: str):
+    """Append every file not seen yet to the table at ``target``, then stop."""
     rows = spark.readStream.schema(schema).parquet(source)
-    return (rows.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return (rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+            .partitionBy(section).outputMode("append").trigger(availableNow=True).start())
 
 
 def ingest_all(spark: SparkSession, source: str, schema, target: str, checkpoint: str, section: str,
                key: list[str], seq: str) -> DataFrame:
-    """Run the stream to completion and read the table back."""
-    stream_sections(spark, source, schema, target, checkpoint, section, key, seq).awaitTermination()
-    return spark.read.parquet(target)
+    """Run the stream to completion and read the table: one row per key, of the greatest ``seq``.
+
+    The table is the same however the deliveries fall into batches; rows not sent again stay.
+    """
+    stream_sections(spark, source, schema, target, checkpoint, section).awaitTermination()
+    return keep_last(spark.read.parquet(target), key, seq)

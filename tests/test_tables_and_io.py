@@ -1,3 +1,5 @@
+import json
+
 from dataclasses import replace
 
 import pytest
@@ -52,8 +54,15 @@ def test_gates_flag_flooded_and_strict(spark):
 
 def test_upsert_and_keep_last(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "image string, n int")
-    new = spark.createDataFrame([("b", 9, "x")], "image string, n int, extra string")
-    assert {tuple(r) for r in S.upsert(old, new, "image").collect()} == {("a", 1, None), ("b", 9, "x")}
+    new = spark.createDataFrame([("b", 9)], "image string, n int")
+    wide = new.withColumn("extra", F.lit("x"))
+    base = scratch_path(spark, "upsert")
+    assert not S.upsert_table(old, "image", f"{base}/1") and S.upsert_table(new, "image", f"{base}/2", f"{base}/1")
+    assert {tuple(r) for r in spark.read.parquet(f"{base}/2").collect()} == {("a", 1), ("b", 9)}
+    assert not S.upsert_table(wide, "image", f"{base}/3", f"{base}/2")
+    assert spark.read.parquet(f"{base}/3").count() == 1 and spark.read.parquet(f"{base}/2").count() == 2
+    with pytest.raises(ValueError):
+        S.upsert(old, wide, "image")
     log = spark.createDataFrame([("k", 1, "old"), ("k", 3, "new"), ("j", 2, "only")], "key string, seq int, v string")
     assert {r.v for r in S.keep_last(log, ["key"], "seq").collect()} == {"new", "only"}
 
@@ -79,9 +88,25 @@ def test_stream_replay_is_idempotent(spark):
     schema = "slice string, k string, v long, seq long"
     spark.createDataFrame([("a", "x", 1, 1), ("a", "x", 2, 2), ("b", "x", 5, 3)], schema).write.mode("append").parquet(f"{base}/in")
     args = (spark, f"{base}/in", schema, f"{base}/t")
+    later = [("a", "y", 7, 4), ("b", "x", 6, 5)]
     first = {(r.slice, r.v) for r in ingest_all(*args, f"{base}/c1", "slice", ["slice", "k"], "seq").collect()}
     again = {(r.slice, r.v) for r in ingest_all(*args, f"{base}/c2", "slice", ["slice", "k"], "seq").collect()}
     assert first == again == {("a", 2), ("b", 5)}
+    # Rows not sent again stay, and one batch gives what two gave.
+    spark.createDataFrame(later, schema).write.mode("append").parquet(f"{base}/in")
+    two = {(r.slice, r.k, r.v) for r in ingest_all(*args, f"{base}/c1", "slice", ["slice", "k"], "seq").collect()}
+    one = {(r.slice, r.k, r.v) for r in ingest_all(spark, f"{base}/in", schema, f"{base}/t1", f"{base}/c3", "slice", ["slice", "k"], "seq").collect()}
+    assert one == two == {("a", "x", 2), ("a", "y", 7), ("b", "x", 6)}
+
+
+def test_ontology_of_any_depth(spark):
+    node = None
+    for i in range(20, 0, -1):
+        node = {"data": {"acronym": f"n{i}"}, "children": [node] if node else []}
+    path = scratch_path(spark, "deep")
+    spark.createDataFrame([(json.dumps({"root": node}),)], "value string").write.text(path)
+    rows = {r.acronym: (r.parent, r.depth) for r in RD.scan_ontology(spark, path).collect()}
+    assert len(rows) == 20 and rows["n1"] == (None, 0) and rows["n20"] == ("n19", 19)
 
 
 def test_long_order():
