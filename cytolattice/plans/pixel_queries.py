@@ -168,14 +168,13 @@ def spread_tiles(spark, d):
 
 
 @query("tissue_bbox", """WITH m AS (SELECT p.section, p.channel, min(floor(y / 4)) AS y0, max(floor(y / 4)) AS y1, min(floor(x / 4)) AS x0, max(floor(x / 4)) AS x1 FROM fx_plane p JOIN otsu o ON o.section = p.section AND o.channel = p.channel
-      WHERE y % 4 = 0 AND x % 4 = 0 AND v > otsu AND y BETWEEN 8 AND 50 AND x BETWEEN 12 AND 40 GROUP BY 1, 2),
+      WHERE y % 4 = 0 AND x % 4 = 0 AND v > otsu GROUP BY 1, 2),
     f AS (SELECT section, channel, y0 * 4 AS y0, least(64, (y1 + 1) * 4) AS y1, x0 * 4 AS x0, least(64, (x1 + 1) * 4) AS x1 FROM m)
     SELECT section, channel, greatest(0, y0 - round_even(0.1::DOUBLE * (y1 - y0), 0))::BIGINT AS y0, least(64, y1 + round_even(0.1::DOUBLE * (y1 - y0), 0))::BIGINT AS y1,
       greatest(0, x0 - round_even(0.1::DOUBLE * (x1 - x0), 0))::BIGINT AS x0, least(64, x1 + round_even(0.1::DOUBLE * (x1 - x0), 0))::BIGINT AS x1 FROM f""")
 def tissue_bbox(spark, d):
     p = plane(spark, d)
-    framed = p.where("y BETWEEN 8 AND 50 AND x BETWEEN 12 AND 40")
-    return tidy(P.tissue_bbox(framed, P.otsu_threshold(p, PL), PL, 4, 64, 64, 10.0))
+    return tidy(P.tissue_bbox(p, P.otsu_threshold(p, PL), PL, 4, 64, 64, 10.0))
 
 
 # ---- stacks and tiles -------------------------------------------------------------------------------
@@ -198,10 +197,10 @@ def focus_score(spark, d):
 
 @query("max_projection", """WITH b AS (SELECT section, arg_max(z, struct_pack(f := focus, z := -z)) AS best_z FROM focus WHERE channel = 'A' GROUP BY section)
     SELECT k.section, k.channel, k.y::BIGINT AS y, k.x::BIGINT AS x, max(v)::BIGINT AS v FROM stack k JOIN b ON b.section = k.section
-    WHERE (channel = 'A' AND z = best_z) OR (channel <> 'A' AND z IN (1, 2, 3)) GROUP BY 1, 2, 3, 4""")
+    WHERE (channel = 'A' AND z = best_z) OR channel <> 'A' GROUP BY 1, 2, 3, 4""")
 def max_projection(spark, d):
     s = stack(spark, d)
-    return tidy(P.max_projection(s, "A", settle(P.sharpest_plane(P.focus_score(s, 2))), [1, 2, 3]))
+    return tidy(P.max_projection(s, "A", settle(P.sharpest_plane(P.focus_score(s, 2)))))
 
 
 CTES["tiled"] = """SELECT channel, section AS tile_section, concat('T', z) AS tile, z, y % 24 AS y, x % 24 AS x, max(v) AS v FROM fx_pixels GROUP BY 1, 2, 3, 4, 5, 6"""

@@ -9,7 +9,7 @@ from ..operators import gates as G
 from ..operators import markers as M
 from ..operators import rollup as R
 from ..operators import tables as T
-from ..session import settle
+from ..session import scratch_path, settle
 from ..sources import writers as S
 from .bindings import BANDS, K, PANEL, table, view
 from .cell_queries import LADDER, _AT_K_OUT, _COND, cells, classed, stored_cells
@@ -197,12 +197,18 @@ def outliers_by_abs_z(spark, d):
 
 
 @query("upsert_by_image", """SELECT slice, count(*) AS n, CAST(sum(cnt) AS BIGINT) AS cnt FROM (
-    SELECT slice, cnt FROM fx_reference WHERE seq % 4 <> 0 AND slice NOT IN (SELECT slice FROM fx_reference WHERE seq % 4 = 0 AND slice < 'S15')
-    UNION ALL SELECT slice, cnt FROM fx_reference WHERE seq % 4 = 0 AND slice < 'S15') GROUP BY slice""")
+    WITH r AS (SELECT concat(slice, '_', CASE WHEN seq % 4 = 0 THEN cnt % 5 ELSE cnt % 9 END) AS slice, cnt, seq % 4 = 0 AS fresh FROM fx_reference)
+    SELECT slice, cnt FROM r WHERE NOT fresh AND slice NOT IN (SELECT slice FROM r WHERE fresh)
+    UNION ALL SELECT slice, cnt FROM r WHERE fresh) GROUP BY slice""")
 def upsert_by_image(spark, d):
-    rows = view(spark, d, "fx_reference").select("seq", "slice", "cnt")
-    out = S.upsert(rows.where("seq % 4 <> 0"), rows.where("seq % 4 = 0 AND slice < 'S15'"), "slice")
-    return tidy(out.groupBy("slice").agg(F.count("*").alias("n"), F.sum("cnt").alias("cnt")))
+    """A quarter of the rows is newer; part of the earlier images comes again."""
+    fresh = F.col("seq") % 4 == 0
+    image = F.concat("slice", F.lit("_"), F.when(fresh, F.col("cnt") % 5).otherwise(F.col("cnt") % 9))
+    rows = view(spark, d, "fx_reference").select(image.alias("slice"), "cnt", fresh.alias("fresh"))
+    base = scratch_path(spark, "upsert")
+    S.upsert_table(rows.where("NOT fresh").drop("fresh"), "slice", f"{base}/1")
+    S.upsert_table(rows.where("fresh").drop("fresh"), "slice", f"{base}/2", f"{base}/1")
+    return tidy(spark.read.parquet(f"{base}/2").groupBy("slice").agg(F.count("*").alias("n"), F.sum("cnt").alias("cnt")))
 
 
 @query("config_tag", """SELECT concat('settings_hash', settings_hash, '_pixel_um', pixel_um, '_marker', marker) AS config_tag, count(*) AS n FROM fx_roi_counts GROUP BY 1""")
@@ -233,9 +239,9 @@ def handcount_pool(spark, d):
     return tidy(T.handcount_pool(sheet(spark, d)))
 
 
-@query("handcount_pending", "SELECT region FROM fx_handcount WHERE box % 3 = 0 GROUP BY region HAVING count(human) = 0")
+@query("handcount_pending", "SELECT region FROM (SELECT concat(region, ' ', box % 3) AS region, human FROM fx_handcount) GROUP BY region HAVING count(human) = 0")
 def handcount_pending(spark, d):
-    return T.handcount_pending(sheet(spark, d).where("box % 3 = 0"))
+    return T.handcount_pending(sheet(spark, d).withColumn("region", F.concat("region", F.lit(" "), F.col("box") % 3)))
 
 
 _HV = f"""SELECT *, CASE WHEN human > 0 THEN machine / human END AS ratio, CASE WHEN machine > 0 AND human > 0 THEN sqrt(1.0 / machine + 1.0 / human) END AS rel_se,
@@ -264,10 +270,10 @@ def handcount_wm_ratio(spark, d):
 
 
 @query("carry_prior_human", """SELECT n.region, n.box, n.machine, o.human AS prior_human FROM fx_handcount n
-    LEFT JOIN (SELECT * FROM fx_handcount WHERE box % 2 = 0 AND human IS NOT NULL) o ON o.region = n.region AND o.box = n.box""")
+    LEFT JOIN (SELECT region, box + box % 2 * 1000000 AS box, human FROM fx_handcount WHERE human IS NOT NULL) o ON o.region = n.region AND o.box = n.box""")
 def carry_prior_human(spark, d):
     s = sheet(spark, d)
-    return tidy(T.carry_prior_human(s.select("region", "box", "machine"), s.where("box % 2 = 0")))
+    return tidy(T.carry_prior_human(s.select("region", "box", "machine"), s.withColumn("box", F.col("box") + F.col("box") % 2 * 1000000)))
 
 
 # ---- calibration -----------------------------------------------------------------------------------------
@@ -387,19 +393,20 @@ def describe_split(spark, d):
     return tidy(T.describe_split(roi(spark, d), ["pixel_um", "marker", "roi_name"], ("pixel_um", "n_z_planes", "anchor_channel")))
 
 
-_ACQ = """SELECT image, min(pixel_um) AS p, min(pixel_um) * 1.5 AS s, 2.0 + min(cnt) AS a, 0.3 * min(cnt) AS e, count(DISTINCT marker) AS z FROM fx_roi_counts GROUP BY image"""
+_ACQ = """SELECT image, min(pixel_um) * (1 + min(cnt) % 4) AS p, min(pixel_um) * 1.5 AS s, 2.0 + min(cnt) AS a, 0.3 * min(cnt) AS e, count(DISTINCT marker) AS z FROM fx_roi_counts GROUP BY image"""
 
 
 @query("acquisition_advisories", f"""WITH v AS (SELECT image, round(10.0 / p, 1) AS nucleus_px, round(s / p, 2) AS sigma_px, round(a / (p * p), 0) AS min_area_px, round(e / p, 2) AS expansion_px, z FROM ({_ACQ})),
-    t AS (SELECT *, concat_ws(' | ', CASE WHEN nucleus_px < 5 THEN 'pixel-limited' END, CASE WHEN sigma_px < 0.8 THEN 'sigma below one pixel' WHEN sigma_px > 6 THEN 'sigma merges nuclei' END,
-      CASE WHEN min_area_px < 6 THEN 'min area admits noise' END, CASE WHEN expansion_px > 0 AND expansion_px < 1 THEN 'expansion near empty' END,
+    t AS (SELECT *, concat_ws(' | ', CASE WHEN nucleus_px < 5 THEN concat('nucleus spans ', nucleus_px, ' px: pixel-limited') WHEN nucleus_px < 10 THEN concat('nucleus spans ', nucleus_px, ' px: below acquisition floor') END,
+      CASE WHEN sigma_px < 0.8 THEN concat('sigma of ', sigma_px, ' px is below one pixel') WHEN sigma_px > 6 THEN concat('sigma of ', sigma_px, ' px merges nuclei') END,
+      CASE WHEN min_area_px < 6 THEN concat('min area of ', min_area_px, ' px admits noise') END, CASE WHEN expansion_px > 0 AND expansion_px < 1 THEN concat('expansion of ', expansion_px, ' px is near empty') END,
       CASE WHEN z > 1 THEN concat(z, ' Z-planes') END) AS x FROM v)
     SELECT image, nucleus_px, sigma_px, min_area_px, expansion_px, CASE WHEN x = '' THEN '-' ELSE x END AS advisories FROM t""")
 def acquisition_advisories(spark, d):
     images = roi(spark, d).groupBy("image").agg(
-        F.min("pixel_um").alias("pixel_um"), (F.min("pixel_um") * 1.5).alias("sigma_um"), (2.0 + F.min("cnt")).alias("min_area_um2"),
+        (F.min("pixel_um") * (1 + F.min("cnt") % 4)).alias("pixel_um"), (F.min("pixel_um") * 1.5).alias("sigma_um"), (2.0 + F.min("cnt")).alias("min_area_um2"),
         (0.3 * F.min("cnt")).alias("cell_expansion_um"), F.count_distinct("marker").alias("n_z_planes"))
-    return tidy(T.acquisition_advisories(images).select("image", "nucleus_px", "sigma_px", "min_area_px", "expansion_px", "advisories"))
+    return tidy(T.acquisition_advisories(images, fine_floor=True).select("image", "nucleus_px", "sigma_px", "min_area_px", "expansion_px", "advisories"))
 
 
 _DR = """SELECT shape_id, z, CASE WHEN shape_id % 4 = 0 THEN roi_name WHEN shape_id % 4 = 1 THEN ' ' END AS nm FROM fx_drawn"""
@@ -412,16 +419,17 @@ def auto_name_shapes(spark, d):
     return tidy(T.auto_name_shapes(s, ["z"], "shape_id"))
 
 
-@query("counts_with_area", """WITH c AS (SELECT project, image, roi_name, CAST(sum(cnt) FILTER (marker = 'F') AS BIGINT) AS "F_count" FROM fx_roi_counts WHERE marker <> 'O' OR image < 'I3' GROUP BY 1, 2, 3),
-    a AS (SELECT project, image, roi_name, sum(area_mm2) FILTER (marker = 'O') AS "O_pos_area_mm2", sum(area_mm2) FILTER (marker = 'F') AS "F_pos_area_mm2" FROM fx_roi_counts WHERE image >= 'I2' GROUP BY 1, 2, 3)
+@query("counts_with_area", """WITH c AS (SELECT project, image, roi_name, CAST(sum(cnt) FILTER (marker = 'F') AS BIGINT) AS "F_count" FROM (SELECT *  REPLACE (CASE WHEN marker = 'O' AND image >= 'I3' THEN concat(image, 'c') ELSE image END AS image) FROM fx_roi_counts) GROUP BY 1, 2, 3),
+    a AS (SELECT project, image, roi_name, sum(area_mm2) FILTER (marker = 'O') AS "O_pos_area_mm2", sum(area_mm2) FILTER (marker = 'F') AS "F_pos_area_mm2" FROM (SELECT *  REPLACE (CASE WHEN image < 'I2' THEN concat(image, 'a') ELSE image END AS image) FROM fx_roi_counts) GROUP BY 1, 2, 3)
     SELECT coalesce(c.project, a.project) AS project, coalesce(c.image, a.image) AS image, coalesce(c.roi_name, a.roi_name) AS roi_name, "F_count",
       round("O_pos_area_mm2", 6) AS "O_pos_area_mm2", round("F_pos_area_mm2", 6) AS "F_pos_area_mm2", round(CASE WHEN "O_pos_area_mm2" > 0 THEN "F_count" / "O_pos_area_mm2" END, 6) AS "F_per_O_area",
       round(CASE WHEN "O_pos_area_mm2" > 0 THEN "F_pos_area_mm2" / "O_pos_area_mm2" END, 6) AS "F_area_per_O_area"
     FROM c FULL JOIN a ON a.project = c.project AND a.image = c.image AND a.roi_name = c.roi_name""")
 def counts_with_area(spark, d):
     keys, r = ["project", "image", "roi_name"], roi(spark, d)
-    counts = r.where("marker <> 'O' OR image < 'I3'").groupBy(*keys).agg(F.sum(F.when(F.col("marker") == "F", F.col("cnt"))).cast("long").alias("F_count"))
-    area = r.where("image >= 'I2'").groupBy(*keys).agg(*[F.sum(F.when(F.col("marker") == m, F.col("area_mm2"))).alias(f"{m}_pos_area_mm2") for m in "OF"])
+    renamed = lambda when, end: r.withColumn("image", F.when(F.expr(when), F.concat("image", F.lit(end))).otherwise(F.col("image")))
+    counts = renamed("marker = 'O' AND image >= 'I3'", "c").groupBy(*keys).agg(F.sum(F.when(F.col("marker") == "F", F.col("cnt"))).cast("long").alias("F_count"))
+    area = renamed("image < 'I2'", "a").groupBy(*keys).agg(*[F.sum(F.when(F.col("marker") == m, F.col("area_mm2"))).alias(f"{m}_pos_area_mm2") for m in "OF"])
     return tidy(T.counts_with_area(counts, area, keys, ["F"], "O"))
 
 
@@ -502,25 +510,29 @@ def dataset_descriptor(spark, d):
     return tidy(descriptor(spark, d))
 
 
-@query("dataset_verdict", f"""WITH ds AS ({_DS}), e AS (SELECT *, 0.46 + (right(dataset, 1)::INT % 3) * 0.004 AS pixel_um, right(dataset, 1)::INT % 2 AS k FROM ds),
-    p AS (SELECT a.dataset AS first, b.dataset AS second, abs(a.pixel_um - b.pixel_um) / greatest(a.pixel_um, b.pixel_um) > 0.02
+@query("dataset_verdict", f"""WITH ds AS ({_DS}), e AS (SELECT *, 0.46 + (right(dataset, 1)::INT % 3) * 0.004 AS pixel_um, right(dataset, 1)::INT % 2 AS k,
+      CASE WHEN right(dataset, 1)::INT % 3 > 0 THEN floor END AS control FROM ds),
+    p AS (SELECT a.dataset AS first, b.dataset AS second, a.control * b.control <> 0 AS own, abs(a.pixel_um - b.pixel_um) / greatest(a.pixel_um, b.pixel_um) > 0.02
         OR abs(a.area_modal_um2 - b.area_modal_um2) / greatest(a.area_modal_um2, b.area_modal_um2) > 0.25 AS geom,
-      abs(a.n_cells - b.n_cells) / greatest(a.n_cells, b.n_cells) > 0.30 AS dens, a.k <> b.k AS sens FROM e a JOIN e b ON a.dataset < b.dataset)
-    SELECT first, second, unnest(['absolute counts', 'positive share', 'raw conditional', 'above chance', 'rank order']) AS metric,
+      abs(a.n_cells - b.n_cells) / greatest(a.n_cells, b.n_cells) > 0.30 AS dens, a.k <> b.k AS sens FROM e a JOIN e b ON right(b.dataset, 4)::INT IN (right(a.dataset, 4)::INT + 1, right(a.dataset, 4)::INT + 2))
+    SELECT first, second, unnest(['absolute counts', 'positive share', 'raw conditional', 'above chance', 'above chance over own control', 'rank order']) AS metric,
       unnest([CASE WHEN geom OR dens THEN 'do not compare' ELSE 'usable' END, CASE WHEN geom OR sens THEN 'weak' ELSE 'usable' END, CASE WHEN sens THEN 'weak' ELSE 'usable' END,
-        CASE WHEN geom OR dens OR sens THEN 'weak' ELSE 'usable' END, 'usable']) AS weight FROM p""")
+        CASE WHEN geom OR dens OR sens THEN 'weak' ELSE 'usable' END, CASE WHEN own THEN 'usable' ELSE 'needs a control region' END, 'usable']) AS weight FROM p""")
 def dataset_verdict(spark, d):
     last = F.substring("dataset", -1, 1).cast("int")
     desc = settle(descriptor(spark, d)).withColumn("pixel_um", 0.46 + (last % 3) * 0.004).withColumn("k", last % 2)
-    return T.dataset_verdict(desc)
+    desc = desc.withColumn("control_above_chance", F.when(last % 3 > 0, F.col("floor")))
+    year = F.substring("dataset", 2, 4).cast("int")
+    later = F.explode(F.array(*[F.concat(F.lit("A"), (year + i).cast("string")) for i in (1, 2)]))
+    return T.dataset_verdict(desc, desc.select(F.col("dataset").alias("first"), later.alias("second")))
 
 
 @query("plateau_diff", """SELECT a.section, n_first, n_second, round(100.0 * abs(n_first - n_second) / n_first, 6) AS pct_diff FROM
     (SELECT section, CAST(sum(cnt) AS BIGINT) AS n_first FROM fx_raw_regions WHERE acronym = 'root' GROUP BY section) a JOIN
-    (SELECT section, CAST(sum(cnt) AS BIGINT) AS n_second FROM fx_raw_regions WHERE acronym = 'CA1' GROUP BY section) b ON b.section = a.section""")
+    (SELECT section, CAST(sum(cnt + cnt % 7) AS BIGINT) AS n_second FROM fx_raw_regions WHERE acronym = 'root' GROUP BY section) b ON b.section = a.section""")
 def plateau_diff(spark, d):
-    r = raw(spark, d)
-    return tidy(T.plateau_diff(r.where("acronym = 'root'"), r.where("acronym = 'CA1'")))
+    root = raw(spark, d).where("acronym = 'root'")
+    return tidy(T.plateau_diff(root, root.withColumn("cnt", F.col("cnt") + F.col("cnt") % 7)))
 
 
 @query("tuning_readout", f"""WITH g AS (SELECT round(avg(v) FILTER (g = 1), 2) AS area_peak, round(avg(v) FILTER (g = 2), 1) AS total_density, count(DISTINCT section) AS slices FROM (
@@ -531,21 +543,25 @@ def tuning_readout(spark, d):
     return tidy(T.tuning_readout(gate_table_df(spark, d), M.region_readout_at_k(stored_cells(spark, d), PANEL, "fos", "tdt", K)))
 
 
+def _renamed(animal, end):
+    """Stems; those of one animal have a name that the other side lacks."""
+    return F.when(F.col("animal") == animal, F.concat("section", F.lit(end))).otherwise(F.col("section")).alias("stem")
+
+
 @query("export_pairing", """SELECT coalesce(c.section, r.section) AS stem, c.n AS cell_rows, r.n AS region_rows,
     CASE WHEN r.n IS NULL THEN 'no regions' WHEN c.n IS NULL THEN 'no cells' ELSE 'paired' END AS status
-    FROM (SELECT section, count(*) AS n FROM fx_cells WHERE animal <> 'A1996' GROUP BY section) c
-    FULL JOIN (SELECT section, count(DISTINCT acronym) AS n FROM fx_cells WHERE animal <> 'A1998' GROUP BY section) r ON r.section = c.section""")
+    FROM (SELECT CASE WHEN animal = 'A1996' THEN concat(section, 'c') ELSE section END AS section, count(*) AS n FROM fx_cells GROUP BY 1) c
+    FULL JOIN (SELECT CASE WHEN animal = 'A1998' THEN concat(section, 'r') ELSE section END AS section, count(DISTINCT acronym) AS n FROM fx_cells GROUP BY 1) r ON r.section = c.section""")
 def export_pairing(spark, d):
     c = cells(spark, d)
-    a = c.where("animal <> 'A1996'").groupBy(F.col("section").alias("stem")).agg(F.count("*").alias("n_rows"))
-    b = c.where("animal <> 'A1998'").groupBy(F.col("section").alias("stem")).agg(F.count_distinct("acronym").alias("n_rows"))
+    a = c.groupBy(_renamed("A1996", "c")).agg(F.count("*").alias("n_rows"))
+    b = c.groupBy(_renamed("A1998", "r")).agg(F.count_distinct("acronym").alias("n_rows"))
     return tidy(T.export_pairing(a, b))
 
 
-@query("stem_difference", """WITH a AS (SELECT DISTINCT section AS stem FROM fx_cells WHERE animal <> 'A1996'), b AS (SELECT DISTINCT section AS stem FROM fx_cells WHERE animal <> 'A1998')
+@query("stem_difference", """WITH a AS (SELECT DISTINCT CASE WHEN animal = 'A1996' THEN concat(section, 'c') ELSE section END AS stem FROM fx_cells), b AS (SELECT DISTINCT CASE WHEN animal = 'A1998' THEN concat(section, 'r') ELSE section END AS stem FROM fx_cells)
     SELECT stem, 'only_first' AS side FROM a WHERE stem NOT IN (SELECT stem FROM b) UNION ALL SELECT stem, 'only_second' FROM b WHERE stem NOT IN (SELECT stem FROM a)
     UNION ALL SELECT stem, 'both' FROM a WHERE stem IN (SELECT stem FROM b)""")
 def stem_difference(spark, d):
     c = cells(spark, d)
-    return T.stem_difference(c.where("animal <> 'A1996'").select(F.col("section").alias("stem")),
-                             c.where("animal <> 'A1998'").select(F.col("section").alias("stem")))
+    return T.stem_difference(c.select(_renamed("A1996", "c")), c.select(_renamed("A1998", "r")))
