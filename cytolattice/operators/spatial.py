@@ -27,6 +27,25 @@ def in_ring(ring: Column, x: Column, y: Column) -> Column:
     return F.aggregate(F.transform(edges, crosses), F.lit(0), lambda s, v: s + v) % 2 == 1
 
 
+def _edge_sum(ring: Column, term) -> Column:
+    """Sum of ``term(a, b, a x b)`` over the ring's edges."""
+    nxt = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+    edges = F.arrays_zip(ring.alias("a"), nxt.alias("b"))
+    cross = lambda a, b: a["x"] * b["y"] - b["x"] * a["y"]
+    return F.aggregate(F.transform(edges, lambda e: term(e["a"], e["b"], cross(e["a"], e["b"]))), F.lit(0.0), lambda s, v: s + v)
+
+
+def ring_area(ring: Column) -> Column:
+    """Shoelace area; NULL without a ring."""
+    return F.abs(_edge_sum(ring, lambda a, b, c: c)) / 2
+
+
+def ring_centre(ring: Column, axis: str) -> Column:
+    """Centroid of the area along one axis; NULL without a ring or without area."""
+    twice = _edge_sum(ring, lambda a, b, c: c)
+    return _edge_sum(ring, lambda a, b, c: (a[axis] + b[axis]) * c) / F.nullif(3 * twice, F.lit(0.0))
+
+
 def contains(shape: Column, x: Column, y: Column, ring: bool) -> Column:
     """Half-open box first, then the exact ring when the shape has one."""
     box = (x >= shape["x0"]) & (x < shape["x1"]) & (y >= shape["y0"]) & (y < shape["y1"])
@@ -72,19 +91,25 @@ def _best(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str], or
           limit: int | None = None) -> DataFrame:
     """Points with ``best``: the first containing shape in ``order``, or NULL.
 
-    Rows must be distinct (they carry an id) for the merge over split tiles.
+    Where tiles were split, positions are looked up and merged, and points join their position's
+    answer: equal point rows stay, and points may have columns of any type.
     """
     tiles, split = shape_tiles(shapes, tile, keys, order, limit)
-    hit = _lookup(points, tiles, tile, keys, ring).withColumn("best", F.get("hits", F.lit(0))).drop("hits")
-    if split:
-        hit = hit.groupBy(*points.columns).agg(F.min("best").alias("best"))
-    return hit
+    spot = [*keys, "x", "y"]
+    rows = points.select(*spot).distinct() if split else points
+    hit = _lookup(rows, tiles, tile, keys, ring).withColumn("best", F.get("hits", F.lit(0))).drop("hits")
+    if not split:
+        return hit
+    merged = hit.groupBy(*spot).agg(F.min("best").alias("best")).select(*[F.col(c).alias(f"_at_{c}") for c in spot], "best")
+    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in spot]
+    return points.join(merged, same, "left").select(*points.columns, "best")
 
 
 def _prepare(shapes: DataFrame, area: bool = True) -> tuple[DataFrame, bool]:
     ring = "ring" in shapes.columns
     if area and "area" not in shapes.columns:
-        shapes = shapes.withColumn("area", (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")))
+        box = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
+        shapes = shapes.withColumn("area", F.coalesce(ring_area(F.col("ring")), box) if ring else box)
     return shapes, ring
 
 
@@ -128,8 +153,9 @@ def geometric_leaf(shapes: DataFrame, tile: float, keys: list[str] | None = None
     """Regions into which no smaller region's centroid falls."""
     keys = keys or []
     shapes, ring = _prepare(shapes)
-    own = shapes.select(*keys, F.col("region_id").alias("small_id"), F.col("area").alias("small_area"),
-                        ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"))
+    middle = lambda c: (F.col(f"{c}0") + F.col(f"{c}1")) / 2
+    centre = lambda c: F.coalesce(ring_centre(F.col("ring"), c), middle(c)) if ring else middle(c)
+    own = shapes.select(*keys, F.col("region_id").alias("small_id"), F.col("area").alias("small_area"), centre("x").alias("x"), centre("y").alias("y"))
     tiles, _ = shape_tiles(shapes, tile, keys, ["area", "region_id"])
     hit = _lookup(own, tiles, tile, keys, ring)
     parents = (hit.select(*keys, "small_id", "small_area", F.explode("hits").alias("s"))

@@ -38,6 +38,37 @@ def point_in_region(spark, d):
     return tidy(S.point_in_region(cells(spark, d), shapes(spark, d), TILE).select("cell_id", "region_id"))
 
 
+# Outlines: diamonds for odd shapes, rectangles for even ones.  Their edges pass between the cells' whole-numbered positions.
+_OUTLINE = """SELECT shape_id AS region_id, x0 + 850.5::DOUBLE AS mx, y0 + 750.25::DOUBLE AS my, (850 - shape_id % 5 * 100)::DOUBLE AS h, 750::DOUBLE AS v,
+    shape_id % 2 = 1 AS diamond FROM fx_drawn"""
+
+
+def outlines(spark, d):
+    s = drawn(spark, d).select(F.col("shape_id").alias("region_id"), (F.col("x0") + 850.5).alias("mx"), (F.col("y0") + 750.25).alias("my"),
+                               (850 - F.col("shape_id") % 5 * 100).cast("double").alias("h"), F.lit(750.0).alias("v"))
+    x0, x1, y0, y1 = F.col("mx") - F.col("h"), F.col("mx") + F.col("h"), F.col("my") - F.col("v"), F.col("my") + F.col("v")
+    ring = lambda *at: F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in at])
+    diamond = ring((x0, F.col("my")), (F.col("mx"), y0), (x1, F.col("my")), (F.col("mx"), y1))
+    box = ring((x0, y0), (x1, y0), (x1, y1), (x0, y1))
+    return s.select("region_id", x0.alias("x0"), x1.alias("x1"), y0.alias("y0"), y1.alias("y1"),
+                    F.when(F.col("region_id") % 2 == 1, diamond).otherwise(box).alias("ring"))
+
+
+@query("point_in_outline", f"""WITH o AS ({_OUTLINE}), f AS (SELECT c.cell_id, arg_min(o.region_id, struct_pack(a := CASE WHEN diamond THEN 2 ELSE 4 END * h * v, b := o.region_id)) AS region_id
+      FROM fx_cells c JOIN o ON CASE WHEN diamond THEN abs(c.x - mx) / h + abs(c.y - my) / v < 1 ELSE abs(c.x - mx) < h AND abs(c.y - my) < v END GROUP BY c.cell_id)
+    SELECT c.cell_id, f.region_id FROM fx_cells c LEFT JOIN f ON f.cell_id = c.cell_id""")
+def point_in_outline(spark, d):
+    """Cells by the smallest outline that holds them; areas and containment are those of the outline, not of its box."""
+    return S.point_in_region(cells(spark, d).select("cell_id", "x", "y"), outlines(spark, d), TILE).select("cell_id", "region_id")
+
+
+@query("outline_leaf", f"""WITH o AS (SELECT *, CASE WHEN diamond THEN 2 ELSE 4 END * h * v AS area FROM ({_OUTLINE}))
+    SELECT region_id FROM o b WHERE NOT EXISTS (SELECT 1 FROM o s WHERE s.area < b.area AND s.region_id <> b.region_id
+      AND CASE WHEN b.diamond THEN abs(s.mx - b.mx) / b.h + abs(s.my - b.my) / b.v < 1 ELSE abs(s.mx - b.mx) < b.h AND abs(s.my - b.my) < b.v END)""")
+def outline_leaf(spark, d):
+    return S.geometric_leaf(outlines(spark, d), TILE)
+
+
 @query("zero_leak", """SELECT section, count(*) FILTER (class <> 'Excluded') AS classified, count(*) FILTER (class <> 'Excluded' AND region_id IS NULL) AS unresolved,
     count(*) FILTER (class <> 'Excluded' AND region_id IS NOT NULL) AS own_total, 'PASS' AS status FROM located GROUP BY section""")
 def zero_leak(spark, d):

@@ -41,6 +41,15 @@ def test_knn_is_exact_whatever_the_leaf_size(spark, clustered, monkeypatch, cap,
     assert got == brute(q, p, 7)
 
 
+def test_knn_with_one_far_outlier(spark, clustered, monkeypatch):
+    q, p = clustered
+    monkeypatch.setattr(N, "LEAF_CAP", 40)
+    p = pd.concat([p, pd.DataFrame({"section": "a", "pid": [7000], "x": [4e5], "y": [-3e5], "w": 1.0})])
+    q = pd.concat([q, pd.DataFrame({"section": "a", "qid": [9100], "x": [3e5], "y": [-2e5]})])
+    got = {r.qid: [e.pid for e in r.nn] for r in N.knn_join(spark.createDataFrame(q), spark.createDataFrame(p), 7).collect()}
+    assert got == brute(q, p, 7)
+
+
 def test_orphans(spark):
     """36 blobs, 6 of them without a nucleus within 6 micrometres."""
     blobs = [("s", i, 10.0 * (i % 6) * 10, 10.0 * (i // 6) * 10) for i in range(36)]
@@ -61,6 +70,17 @@ def test_triangle_ring_and_split_tiles(spark):
     for limit in (None, 3):
         got = {r.cell_id: r.region_id for r in S.point_in_region(pts, shapes, 25.0, limit=limit).collect()}
         assert got == {1: "T", 2: "B", 3: None, 4: "far0"}
+        # Equal point rows stay, and other columns may be maps.
+        twice = pts.union(pts).withColumn("m", F.create_map(F.lit("k"), F.col("cell_id")))
+        assert S.point_in_region(twice, shapes, 25.0, limit=limit).where("region_id = 'B'").count() == 2
+
+
+def test_ring_area_and_centre(spark):
+    ell = [(0.0, 0.0), (4.0, 0.0), (4.0, 1.0), (1.0, 1.0), (1.0, 3.0), (0.0, 3.0)]
+    df = spark.createDataFrame([(ell,), (None,)], "ring array<struct<x:double,y:double>>")
+    ring = F.col("ring")
+    got = [tuple(r) for r in df.select(S.ring_area(ring), S.ring_centre(ring, "x"), S.ring_centre(ring, "y")).collect()]
+    assert got[0] == pytest.approx((6.0, (4 * 2.0 + 2 * 0.5) / 6, (4 * 0.5 + 2 * 2.0) / 6)) and got[1] == (None, None, None)
 
 
 def test_ring_overlap_needs_more_than_boxes(spark):

@@ -67,6 +67,16 @@ def test_upsert_and_keep_last(spark):
     assert {r.v for r in S.keep_last(log, ["key"], "seq").collect()} == {"new", "only"}
 
 
+def test_unmeasured_parameters_are_issues(spark):
+    desc = spark.createDataFrame([("a", 0.5, 30.0, 100, 2.0, 1), ("b", 0.5, 30.0, 101, 2.5, 1), ("c", None, 30.0, 100, None, 1)],
+                                 "dataset string, pixel_um double, area_modal_um2 double, n_cells long, control_above_chance double, k long")
+    pairs = spark.createDataFrame([("a", "b"), ("a", "c")], "first string, second string")
+    got = {(r.second, r.metric): r.weight for r in T.dataset_verdict(desc, pairs).collect()}
+    assert {w for (s, _), w in got.items() if s == "b"} == {"usable"} and len(got) == 12
+    assert got["c", "absolute counts"] == "do not compare" and got["c", "raw conditional"] == got["c", "rank order"] == "usable"
+    assert got["c", "above chance over own control"] == "needs a control region"
+
+
 def test_missing_columns_are_errors(spark):
     path = scratch_path(spark, "bad")
     S.write_csv(spark.range(1).withColumn("class", F.lit("x")), path, "\t")
