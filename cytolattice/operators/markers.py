@@ -151,12 +151,13 @@ def marker_summary(cells: DataFrame, panel: Panel, ks: list[float]) -> DataFrame
         F.col("count").alias("n_pos"), ratio("count", "n").alias("frac_pos"))
 
 
-def build_k_set(spark, k_min: float, k_max: float, k_step: float, k_robust: float) -> DataFrame:
-    """Range of k joined with the configured k; sorted, distinct to 1e-6."""
+def build_k_set(configured: DataFrame, k_min: float, k_max: float, k_step: float) -> DataFrame:
+    """Every k of a ladder joined with those configured (column ``k``, nulls ignored); distinct to 1e-6, with the
+    number of sources that name it."""
     steps = max(int(round((k_max - k_min) / k_step)) + 1, 1)
-    ladder = spark.range(steps).select(F.round(F.lit(float(k_min)) + F.col("id") * F.lit(float(k_step)), 6).alias("k"))
-    own = spark.range(1).select(F.round(F.lit(float(k_robust)), 6).alias("k"))
-    return ladder.unionByName(own).groupBy(F.round("k", 6).alias("k")).agg(F.count("*").alias("sources"))
+    ladder = configured.sparkSession.range(steps).select((F.lit(float(k_min)) + F.col("id") * F.lit(float(k_step))).alias("k"))
+    own = configured.select(F.round(F.col("k").cast("double"), 6).alias("k")).where("k IS NOT NULL").distinct()
+    return ladder.select(F.round("k", 6).alias("k")).unionByName(own).groupBy("k").agg(F.count("*").alias("sources"))
 
 
 def k_sweep(cells: DataFrame, panel: Panel, ks: list[float], bridge: DataFrame | None = None) -> DataFrame:

@@ -90,11 +90,28 @@ def grouped_mad(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return med.join(mad.drop("n"), keys)
 
 
+def sums_before(rows: DataFrame, keys: list[str], order: list[str], amount: str, name: str) -> DataFrame:
+    """``rows`` with the sum of ``amount`` over the rows of the same keys that come before in ``order``.
+
+    Rows are cut into as many ranges of (keys, order) as the session has shuffle partitions; a range is ordered by
+    itself and starts at the total of the ranges before it, so a group of any size is spread over tasks.  Rows must
+    differ in (keys, order) and keys must not be null.
+    """
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = settle(rows.repartitionByRange(ranges, *keys, *order).withColumn("_range", F.spark_partition_id()), "ranged")
+    totals = ranged.groupBy(*keys, "_range").agg(F.sum(amount).alias("_total"))
+    earlier = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    starts = settle(totals.select(*keys, "_range", F.coalesce(
+        F.sum("_total").over(earlier(W.partitionBy(*keys).orderBy("_range"))), F.lit(0)).alias("_start")), "starts")
+    own = F.coalesce(F.sum(amount).over(earlier(W.partitionBy(*keys, "_range").orderBy(*order))), F.lit(0))
+    return ranged.join(starts, [*keys, "_range"]).withColumn(name, F.col("_start") + own).drop("_range", "_start")
+
+
 def ranked_values(df: DataFrame, keys: list[str], value: str, wanted: DataFrame) -> DataFrame:
     """Quantile per key where each key asks for its own probability (``wanted``: keys, prob).
 
     An equi-depth ladder from one sketch gives the rung pair around the wanted rank; only values
-    between the two rungs are counted by value.
+    between the two rungs are counted by value, and ranked range by range.
     """
     rungs = 512
     v = F.col(value).cast("double")
@@ -111,9 +128,7 @@ def ranked_values(df: DataFrame, keys: list[str], value: str, wanted: DataFrame)
     runs = (data.join(bounds, keys).withColumn("_gap", gap).withColumn("_bin", F.when(inside, F.col("_v")))
             .groupBy(*keys, "n", "prob", "_gap", "_bin")
             .agg(F.count("*").alias("_cnt"), F.min("_v").alias("_min"), F.max("_v").alias("_max")))
-    order = W.partitionBy(*keys).orderBy("_gap", "_min", "_max")
-    runs = (runs.withColumn("_hi", F.sum("_cnt").over(order.rowsBetween(W.unboundedPreceding, 0)))
-            .withColumn("_lo", F.col("_hi") - F.col("_cnt")))
+    runs = sums_before(runs, keys, ["_gap", "_min", "_max"], "_cnt", "_lo").withColumn("_hi", F.col("_lo") + F.col("_cnt"))
     h = (F.col("n") - 1) * F.col("prob")
     out = runs.groupBy(*keys, "n", "prob").agg(_pick(F.floor(h)).alias("_a"), _pick(F.ceil(h)).alias("_b"))
     return out.select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * (h - F.floor(h))).alias("cut"))

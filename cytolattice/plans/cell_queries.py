@@ -6,7 +6,7 @@ from ..functions import exprs as E
 from ..operators import markers as M
 from ..operators import rollup as R
 from ..session import settle
-from .bindings import BANDS, K, PANEL, view
+from .bindings import BANDS, K, PANEL, table, view
 from .registry import query, tidy
 
 KS = [0.55, 1.0, 1.45]
@@ -355,10 +355,12 @@ def marker_only_rates(spark, d):
     return tidy(R.marker_only_rates(objects, classed(spark, d), "tdt"))
 
 
-@query("k_set_union", """SELECT k, count(*) AS sources FROM (
-    SELECT round(0.5 + i * 0.25, 6)::DOUBLE AS k FROM range(0, 7) t(i) UNION ALL SELECT DISTINCT 1.0::DOUBLE FROM stats) GROUP BY k""")
+@query("k_set_union", """SELECT k, count(*) AS sources FROM (SELECT round(0.5 + i * 0.25, 6)::DOUBLE AS k FROM range(0, 7) t(i)
+    UNION ALL SELECT DISTINCT round(l_quantity::DOUBLE / 20, 6) FROM lineitem) GROUP BY k""")
 def k_set_union(spark, d):
-    return tidy(M.build_k_set(spark, 0.5, 2.0, 0.25, K))
+    """A ladder and the cut levels that a table of settings names."""
+    named = table(spark, d, "lineitem").select((F.col("l_quantity").cast("double") / 20).alias("k"))
+    return tidy(M.build_k_set(named, 0.5, 2.0, 0.25))
 
 
 @query("split_hemisphere_label", """SELECT CASE WHEN lower(region) LIKE 'left: %' THEN 'Left' WHEN lower(region) LIKE 'right: %' THEN 'Right' ELSE '' END AS hemi,

@@ -226,7 +226,7 @@ def classifiable_n(spark, d):
 
 
 _CN = """SELECT c.animal, p.region, count(*) AS n_classifiable FROM pairs p
-    JOIN fx_cells c ON c.section = p.section AND c.acronym = p.leaf WHERE NOT excluded AND c.cell_id % 5 <> 0 GROUP BY c.animal, p.region"""
+    JOIN fx_cells c ON c.section = p.section AND c.acronym = p.leaf WHERE NOT excluded AND c.fos_bgsub >= 0 GROUP BY c.animal, p.region"""
 _WITH_N = f"""SELECT a.*, CASE WHEN a.hemisphere = 'both' THEN q.n_classifiable END AS n_classifiable
     FROM animals a LEFT JOIN ({_CN}) q ON q.animal = a.animal AND q.region = a.region"""
 
@@ -234,8 +234,8 @@ _WITH_N = f"""SELECT a.*, CASE WHEN a.hemisphere = 'both' THEN q.n_classifiable
 def with_classifiable_n(spark, d):
     rows, cl = region_rows(spark, d), closure(spark, d)
     pairs = H.included_leaves(rows, cl, excluded(spark, d), edges(spark, d))
-    # A fifth of the cells lacks a measure.
-    c = cells(spark, d).withColumn("fos_bgsub", F.when(F.col("cell_id") % 5 != 0, F.col("fos_bgsub")))
+    # A value below the background is no measure.
+    c = cells(spark, d).withColumn("fos_bgsub", F.when(F.col("fos_bgsub") >= 0, F.col("fos_bgsub")))
     joint = M.joint_classifiable(c, PANEL)
     return R.attach_classifiable_n(animals(spark, d), R.classifiable_n(joint, pairs))
 

@@ -326,7 +326,7 @@ def shared_regions(spark, d):
     rank() OVER (ORDER BY round(v, 2)) + (count(*) OVER (PARTITION BY round(v, 2)) - 1) / 2.0::DOUBLE AS "rank" FROM a WHERE v IS NOT NULL""")
 def average_rank(spark, d):
     rows = _overlap(spark, d, "true").where("v IS NOT NULL").select("region", F.round("v", 2).alias("v"))
-    return tidy(T.average_rank(rows.withColumn("_k", F.lit(1)), ["_k"], "v").drop("_k"))
+    return tidy(T.average_rank(rows, [], "v"))
 
 
 @query("rank_agreement", f"""{_TWO}, s AS (SELECT a.region, a.v AS va, b.v AS vb FROM a JOIN b ON b.region = a.region WHERE a.v IS NOT NULL AND b.v IS NOT NULL),
