@@ -275,7 +275,8 @@ def bootstrap_cells(table: DataFrame, baseline: str = "local_chance") -> DataFra
 def rotation_null(cells: DataFrame, n_rot: int = 200, near: int = 25, seed: int = 0, cap: int | None = None) -> DataFrame:
     """Tagged points rotated about their section's centroid; activity of the nearest cells there.
 
-    Cells carry ``region``.  One angle per section and rotation.  A section needs ten cells.
+    Cells carry ``region``.  One angle per section and rotation.  A section needs ten cells.  Rates equal up to
+    rounding (1e-12) count as equal.
     """
     from .neighbours import knn_join
     rows = cells.select("region", F.concat_ws("\u0001", "region", "section").alias("section"), "cell_id", dbl("x").alias("x"),
@@ -286,7 +287,9 @@ def rotation_null(cells: DataFrame, n_rot: int = 200, near: int = 25, seed: int
     mid = settle(mid.where((F.col("_n") >= 10) & (F.col("_t") > 0)))
     q = rows.where("tagged").join(mid.drop("region"), "section").select(
         "section", "cell_id", "x", "y", "_cx", "_cy", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_rot - 1))).alias("rot"))
-    u = mix(((F.col("rot") + 1).cast("long") * 1_000_003 + F.col("_n") * 7919 + seed) % PRIME)
+    # Sections turn independently: the draw starts from the section's name.
+    own = F.conv(F.substring(F.md5("section"), 1, 7), 16, 10).cast("long")
+    u = mix(((F.col("rot") + 1).cast("long") * 1_000_003 + own + seed) % PRIME)
     th = 2 * F.pi() * u / F.lit(float(PRIME))
     dx, dy = F.col("x") - F.col("_cx"), F.col("y") - F.col("_cy")
     # Query ids carry the rotation so that one search serves all rotations.
@@ -300,7 +303,7 @@ def rotation_null(cells: DataFrame, n_rot: int = 200, near: int = 25, seed: int
     null = nn.select("region", F.pmod("qid", F.lit(n_rot)).alias("rot"), act.alias("act")).groupBy("region", "rot").agg(F.avg("act").alias("null_rate"))
     obs = rows.where("tagged").groupBy("region").agg(F.avg(flag("activity")).alias("observed"))
     out = null.join(obs, "region").groupBy("region", "observed").agg(
-        F.avg("null_rate").alias("null_mean"), count_where(F.col("null_rate") >= F.col("observed")).alias("_ge"), F.count("*").alias("_r"))
+        F.avg("null_rate").alias("null_mean"), count_where(F.col("null_rate") >= F.col("observed") - 1e-12).alias("_ge"), F.count("*").alias("_r"))
     return out.select("region", "observed", "null_mean", ratio("observed", "null_mean").alias("ratio"),
                       ((F.col("_ge") + 1) / (F.col("_r") + 1)).alias("p"))
 

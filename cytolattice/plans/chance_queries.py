@@ -12,7 +12,7 @@ from .cell_queries import cells, classed, stored_cells
 from .region_queries import closure
 from .registry import CTES, query, tidy
 
-CHANCE_KS = (0.5, 0.8, 1.0, 1.2)
+CHANCE_KS = (0.3, 0.5, 0.6, 0.8, 0.9, 1.0, 1.1, 1.2)      # the tables hold nothing above 1.4
 P = 2147483647
 
 
@@ -80,7 +80,7 @@ def shuffled_control(spark, d):
 
 _KVC = f"""WITH s AS (SELECT median(tdt_bgsub) AS tm, median(fos_bgsub) AS fm FROM fx_cells),
     s2 AS (SELECT any_value(tm) AS tm, any_value(fm) AS fm, CAST(1.4826 AS DOUBLE) * median(abs(tdt_bgsub - tm)) AS ts, CAST(1.4826 AS DOUBLE) * median(abs(fos_bgsub - fm)) AS fs FROM fx_cells CROSS JOIN s),
-    ks AS (SELECT unnest([0.5, 0.8, 1.0, 1.2])::DOUBLE AS k),
+    ks AS (SELECT unnest([0.3, 0.5, 0.6, 0.8, 0.9, 1.0, 1.1, 1.2])::DOUBLE AS k),
     f AS (SELECT k, cell_id, anchor_mean, tdt_bgsub > tm + k * ts AS tagged, fos_bgsub > fm + k * fs AS activity,
       row_number() OVER (PARTITION BY k ORDER BY {mixed('cell_id')}) AS rn, row_number() OVER (PARTITION BY k ORDER BY anchor_mean) - 1 AS an FROM fx_cells CROSS JOIN s2 CROSS JOIN ks),
     t AS (SELECT k, count(*) AS n, count(*) FILTER (tagged) AS tagged_n, (count(*) - 1) * (1 - count(*) FILTER (tagged) / count(*)) AS h FROM f GROUP BY k),
@@ -132,14 +132,14 @@ def local_chance_order(spark, d):
 
 
 _BOOT = f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY region ORDER BY section) - 1 AS i, count(*) OVER (PARTITION BY region) AS s FROM local_sec),
-    p AS (SELECT region, b, ({mixed('((b + 1) * 1000003 + i * 7919) % ' + str(P))}) % s AS i FROM r CROSS JOIN (SELECT unnest(range(0, 200)) AS b) WHERE s >= 3),
+    p AS (SELECT region, b, ({mixed('((b + 1) * 1000003 + i * 7919) % ' + str(P))}) % s AS i FROM r CROSS JOIN (SELECT unnest(range(0, 1000)) AS b) WHERE s >= 3),
     q AS (SELECT p.region, b, sum(observed * tagged_n) / sum(local_rate * tagged_n) AS v FROM p JOIN r ON r.region = p.region AND r.i = p.i GROUP BY p.region, b)
     SELECT region, round(quantile_cont(v, 0.025), 6) AS ci_lo, round(quantile_cont(v, 0.975), 6) AS ci_hi, 'section-level' AS ci_scheme FROM q WHERE v IS NOT NULL GROUP BY region"""
 
 
 @query("bootstrap_sections", _BOOT)
 def bootstrap_sections(spark, d):
-    return tidy(C.bootstrap_sections(local_sections(spark, d), 200))
+    return tidy(C.bootstrap_sections(local_sections(spark, d), 1000))
 
 
 @query("bootstrap_cells", f"""WITH l AS ({_LOC}), k AS (SELECT region, tagged_n, observed, local_chance, unnest(range(0, tagged_n + 1)) AS k FROM l),
@@ -151,21 +151,22 @@ def bootstrap_cells(spark, d):
     return tidy(C.bootstrap_cells(C.local_chance(local_sections(spark, d))))
 
 
+_OWN = "('0x' || substr(md5(s.region || chr(1) || s.section), 1, 7))::BIGINT"
 _ROT = f"""WITH m AS (SELECT region, section, avg(x) AS cx, avg(y) AS cy, count(*) AS n, count(*) FILTER (tagged) AS t FROM served GROUP BY region, section),
-    q AS (SELECT s.region, s.section, s.cell_id, r, n, x - cx AS dx, y - cy AS dy, cx, cy, 2 * pi() * ({mixed('((r + 1) * 1000003 + n * 7919) % ' + str(P))}) / {P}.0::DOUBLE AS th
-      FROM served s JOIN m ON m.region = s.region AND m.section = s.section CROSS JOIN (SELECT unnest(range(0, 3)) AS r) WHERE tagged AND n >= 10),
+    q AS (SELECT s.region, s.section, s.cell_id, r, n, x - cx AS dx, y - cy AS dy, cx, cy, 2 * pi() * ({mixed(f'((r + 1) * 1000003 + {_OWN}) % {P}')}) / {P}.0::DOUBLE AS th
+      FROM served s JOIN m ON m.region = s.region AND m.section = s.section CROSS JOIN (SELECT unnest(range(0, 200)) AS r) WHERE tagged AND n >= 10),
     w AS (SELECT region, section, cell_id, r, n, cx + dx * cos(th) - dy * sin(th) AS x, cy + dx * sin(th) + dy * cos(th) AS y FROM q),
     d AS (SELECT w.region, w.r, w.cell_id, w.n, p.activity, row_number() OVER (PARTITION BY w.region, w.r, w.cell_id ORDER BY (w.x - p.x) ** 2 + (w.y - p.y) ** 2, p.cell_id) AS rn
       FROM w JOIN served p ON p.region = w.region AND p.section = w.section),
     a AS (SELECT region, r, cell_id, avg(activity::INT) AS act FROM d WHERE rn <= least(25, n - 1) GROUP BY region, r, cell_id),
     z AS (SELECT region, r, avg(act) AS v FROM a GROUP BY region, r), o AS (SELECT region, avg(activity::INT) AS obs FROM served WHERE tagged GROUP BY region)
-    SELECT z.region, round(any_value(obs), 6) AS observed, round(avg(v), 6) AS null_mean, round(any_value(obs) / avg(v), 6) AS ratio, round((count(*) FILTER (v >= obs) + 1) / (count(*) + 1), 6) AS p
+    SELECT z.region, round(any_value(obs), 6) AS observed, round(avg(v), 6) AS null_mean, round(any_value(obs) / avg(v), 6) AS ratio, round((count(*) FILTER (v >= obs - 1e-12) + 1) / (count(*) + 1), 6) AS p
     FROM z JOIN o ON o.region = z.region GROUP BY z.region"""
 
 
 @query("rotation_null", _ROT)
 def rotation_null(spark, d):
-    return tidy(C.rotation_null(served(spark, d), 3))
+    return tidy(C.rotation_null(served(spark, d), 200))
 
 
 def modelled(spark, d):
@@ -192,4 +193,4 @@ def expected_overlap(spark, d):
 
 @query("chance_compare")
 def chance_compare(spark, d):
-    return tidy(C.chance_compare(modelled(spark, d), k=20, n_rot=3, n_boot=200))
+    return tidy(C.chance_compare(modelled(spark, d), k=20, n_rot=200, n_boot=1000))

@@ -156,15 +156,14 @@ def division_of(spark, d):
     return H.division_of(closure(spark, d), div)
 
 
-@query("label_presence_mask", """SELECT e.acronym, coalesce(bit_or(CASE year WHEN 'A1996' THEN 2 WHEN 'A1995' THEN 1 WHEN 'A1997' THEN 4 END), 0)::BIGINT AS mask,
-    count(*) FILTER (year = 'A1995') AS n_0, count(*) FILTER (year = 'A1996') AS n_1, count(*) FILTER (year = 'A1997') AS n_2
-    FROM fx_edges e LEFT JOIN (SELECT acronym, animal AS year FROM fx_cells WHERE animal IN ('A1995', 'A1996', 'A1997')
-      AND NOT (animal = 'A1996' AND excluded)) c ON c.acronym = e.acronym GROUP BY e.acronym""")
+@query("label_presence_mask", """SELECT e.acronym, coalesce(bit_or(CASE project WHEN 'early' THEN 1 WHEN 'late' THEN 2 WHEN 'set aside' THEN 4 END), 0)::BIGINT AS mask,
+    count(*) FILTER (project = 'early') AS n_0, count(*) FILTER (project = 'late') AS n_1, count(*) FILTER (project = 'set aside') AS n_2
+    FROM fx_edges e LEFT JOIN (SELECT acronym, CASE WHEN excluded THEN 'set aside' WHEN animal < 'A1995' THEN 'early' ELSE 'late' END AS project
+      FROM fx_cells) c ON c.acronym = e.acronym GROUP BY e.acronym""")
 def label_presence_mask(spark, d):
-    labels = cells(spark, d).where(F.col("animal").isin("A1995", "A1996", "A1997")
-                                   & ~((F.col("animal") == "A1996") & F.col("excluded")))
-    return tidy(H.label_presence_mask(labels.select("acronym", F.col("animal").alias("project")), edges(spark, d),
-                                      ["A1995", "A1996", "A1997"]))
+    """Three projects made of all cells."""
+    project = F.when(F.col("excluded"), "set aside").when(F.col("animal") < "A1995", "early").otherwise("late")
+    return tidy(H.label_presence_mask(cells(spark, d).select("acronym", project.alias("project")), edges(spark, d), ["early", "late", "set aside"]))
 
 
 @query("focus_sets", """WITH roots AS (SELECT 'west' AS focus, r_name AS acronym FROM region WHERE r_regionkey < 2
