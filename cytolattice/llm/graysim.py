@@ -5,7 +5,9 @@ fingerprints sorted by the Gray rank of the block.  Upper nodes are the runs tha
 topmost pattern is the shuffle key, so Spark deals the upper nodes out, and lower nodes are built inside a task.  A
 pair of nodes is followed down only while the differences added up so far stay within the radius, so whole groups
 are pruned.  With blocks that partition the fingerprint, two fingerprints at ``radius`` < number of blocks agree in
-one block: the search is exact.  With a larger radius it is a filter whose recall follows from the number of blocks.
+one block: the search is exact.  With a larger radius it finds candidates, with a recall that follows from the number
+of blocks, and ``drop_near_copies`` links only those whose shingle sets have the wanted Jaccard similarity: the sets of a
+candidate component are compared with each other, in parts of about ``PART`` sets.
 
 A node with more fingerprints than ``NODE_CAP`` is cut into chunks and every pair of chunks becomes a task of its
 own, so nothing is dropped and no task holds more than two chunks.  A task returns a spanning forest of its
@@ -30,25 +32,29 @@ from .text import lowered_words, row_key
 
 NODE_CAP = 4096
 PAIRS_AT_ONCE = 500_000
+#: Shingle sets and characters of a part of a candidate component.
+PART, PART_CHARS = 512, 1 << 23
 MASK = (1 << 64) - 1
 
 
 class Scheme:
     """How texts become fingerprints and how they are compared.
 
-    ``blocks`` are (first bit, width) of the leading blocks, ``radius`` the greatest number of differing bits.
+    ``blocks`` are (first bit, width) of the leading blocks, ``radius`` the greatest number of differing bits.  With
+    ``least``, a fraction (numerator, denominator), fingerprints are of shingle sets and only find candidates; sets are
+    linked from that Jaccard similarity on.
     """
 
-    def __init__(self, shingle, words, blocks, radius):
-        self.shingle, self.words, self.blocks, self.radius = shingle, words, blocks, radius
+    def __init__(self, shingle, words, blocks, radius, least=None):
+        self.shingle, self.words, self.blocks, self.radius, self.least = shingle, words, blocks, radius, least
         self.columns = [f"f{i}" for i in range(words)]
 
 
 #: 64 bits over three-word shingles, links at two bits or fewer; three blocks make the search exact.
 STRICT = Scheme(3, 1, [(0, 22), (22, 21), (43, 21)], 2)
-#: 256 bits over five-word shingles.  Two texts of Jaccard similarity 0.8 differ in 15 % of the bits on average
-#: (38 of 256, deviation 6), texts without a common shingle in half of them; 21 blocks of 12 bits.
-SIMILAR = Scheme(5, 4, [(12 * i, 12) for i in range(21)], 48)
+#: 256 bits over sets of five-word shingles, linked at Jaccard similarity 0.8.  Sets of that similarity differ in 15 % of
+#: the bits on average (39 of 256, deviation 6) and share none of 32 blocks of 8 bits in one of 20,000 cases.
+SIMILAR = Scheme(5, 4, [(8 * i, 8) for i in range(32)], 72, (4, 5))
 
 
 def shingle_hashes(text, shingle):
@@ -104,6 +110,23 @@ def with_fingerprint(docs: DataFrame, scheme: Scheme, text: str = "text", prefix
     return made.select("*", *[F.col(f"{prefix}_fp")[i].alias(f"{prefix}f{i}") for i in range(words)]).drop(f"{prefix}_fp")
 
 
+def with_shingle_set(docs: DataFrame, scheme: Scheme, text: str = "text") -> DataFrame:
+    """``docs`` with the fingerprint and ``set``, a 128-bit digest that names the text's set of shingles."""
+    shingle, words = scheme.shingle, scheme.words
+
+    @pandas_udf("fp array<long>, name binary")
+    def fingerprint(batch: pd.Series) -> pd.DataFrame:
+        lanes, prints, names = lane_table(), [], []
+        for t in batch:
+            h = np.unique(shingle_hashes(t, shingle))
+            prints.append(np.array([majority(remix(h, i), lanes) for i in range(words)], np.uint64).view(np.int64))
+            names.append(xxhash.xxh3_128_digest(h.tobytes()))
+        return pd.DataFrame({"fp": prints, "name": names})
+
+    made = docs.withColumn("_set", fingerprint(F.col(f"`{text}`")))
+    return made.select("*", *[F.col("_set.fp")[i].alias(c) for i, c in enumerate(scheme.columns)], F.col("_set.name").alias("set")).drop("_set")
+
+
 def block_values(columns, first, width):
     """The bits [first, first + width) of fingerprints given as arrays of uint64 words."""
     word, at = divmod(first, 64)
@@ -147,11 +170,26 @@ def linked_classes(columns, block, radius):
     order = np.lexsort([gray_rank(c) for c in columns[::-1]] + [gray_rank(lead)])
     words = [c[order] for c in columns]
     lead, m = lead[order], len(order)
-    # Levels of the tree: the block itself, then segments of the words; a node is a run with one masked pattern.
-    bits = 8 if radius < 16 else 64
-    segments = [(lead, 0)] + [((w << np.uint64(s)) >> np.uint64(64 - bits), radius) for w in words for s in range(0, 64, bits)]
     heads, change = [np.zeros(1, np.int64)], np.zeros(m, bool)
     change[0] = True
+    if radius >= 16:
+        # So wide a radius prunes no lower node: the words of a run are compared in blocks of rows.
+        parent = np.arange(m)
+        change[1:] = lead[1:] != lead[:-1]
+        begins = np.flatnonzero(change)
+        for low, high in zip(begins.tolist(), [*begins[1:].tolist(), m]):
+            step = max(1, PAIRS_AT_ONCE // (high - low))
+            for at in range(low, high, step):
+                upto = min(high, at + step)
+                differ = sum(np.bitwise_count(w[at:upto, None] ^ w[None, low:upto]).astype(np.uint16) for w in words)
+                a, b = np.nonzero(differ <= radius)
+                a, b = a + at, b + low
+                forest(a[b < a], b[b < a], parent)
+        out = np.empty(m, np.int64)
+        out[order] = order[parent]
+        return out
+    # Levels of the tree: the block itself, then segments of the words; a node is a run with one masked pattern.
+    segments = [(lead, 0)] + [((w << np.uint64(s)) >> np.uint64(56), radius) for w in words for s in range(0, 64, 8)]
     for values, _ in segments:
         change[1:] |= values[1:] != values[:-1]
         heads.append(np.flatnonzero(change))
@@ -206,10 +244,10 @@ def fingerprint_links(prints: DataFrame, scheme: Scheme, n: int) -> DataFrame:
         return F.shiftrightunsigned(left, 64 - p)
 
     nodes = prints.select("k", *columns, F.posexplode(F.array(*[upper(i, *b) for i, b in enumerate(blocks)])).alias("block", "node"))
-    sizes = nodes.groupBy("block", "node").agg(F.count("*").alias("n"))
+    sizes = settle(nodes.groupBy("block", "node").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     chunks = F.ceil(F.col("n") / NODE_CAP)
-    # The table of sizes has 2^top nodes of each block; most of it is needed, so it is joined like any other table.
-    routed = (nodes.join(sizes.where("n > 1"), ["block", "node"])
+    # The table of sizes has 2^top nodes of each block; it is written, so Spark broadcasts it where it is small.
+    routed = (nodes.join(sizes, ["block", "node"])
               .withColumn("own", F.pmod(F.xxhash64("k"), chunks))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
               .select("block", "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "k", *columns))
@@ -249,6 +287,80 @@ def near_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return rows.alias("r").join(roots.alias("c"), same).select("r.*", F.col("c.root_by").alias("component_id"))
 
 
+def exact_classes(sets, least):
+    """For sets given as arrays of distinct hashes: the smallest index each is linked with.
+
+    Links are pairs of Jaccard similarity ``least`` (numerator, denominator) or more, from exact counts of shared hashes.
+    """
+    n, (num, den) = len(sets), least
+    size, parent = np.array([len(x) for x in sets], np.int64), np.arange(len(sets))
+    owner, flat = np.repeat(np.arange(n), size), np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    change = np.append(True, flat[order][1:] != flat[order][:-1])[:len(flat)]
+    begins = np.flatnonzero(change)
+    run, token = np.diff(np.append(begins, len(flat))), np.empty(len(flat), np.int64)
+    token[order] = np.cumsum(change) - 1
+    owners, first = owner[order], np.cumsum(size) - size
+    a, b = [], []
+    for i in range(n):
+        # All owners of the set's hashes: the places of the runs, one after the other.
+        t = token[first[i]:first[i] + size[i]]
+        t = t[run[t] > 1]
+        ends = np.cumsum(run[t])
+        if len(t):
+            shared = np.bincount(owners[np.arange(ends[-1]) + np.repeat(begins[t] - ends + run[t], run[t])], minlength=n)[:i]
+            on = np.flatnonzero((shared > 0) & (den * shared >= num * (size[i] + size[:i] - shared)))
+            a.append(np.full(len(on), i))
+            b.append(on)
+    if a:
+        forest(np.concatenate(a), np.concatenate(b), parent)
+    return parent
+
+
+def exact_links(members: DataFrame, scheme: Scheme) -> DataFrame:
+    """Links (a, b), a spanning forest, of the sets ``k`` of a candidate component ``root`` that are similar enough.
+
+    ``members`` is a written table of k, root and a text of the set.  The parts of a component are searched one by one,
+    then one set of each class found; where that leaves several classes, every set outside the largest one is compared
+    with all sets of its component.  So pairs are left out only where both sets are in one class already.
+    """
+    shingle, least = scheme.shingle, scheme.least
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("k").sort_values("k")
+        to, k = exact_classes([np.unique(shingle_hashes(t, shingle)) for t in pdf["text"]], least), pdf["k"].to_numpy()
+        on = np.flatnonzero(to != np.arange(len(k)))
+        return pd.DataFrame({"a": k[on], "b": k[to[on]]})
+
+    def parts(rows, number, name):
+        n = rows.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / PART), F.ceil(F.sum(F.length("text")) / PART_CHARS)).alias(number))
+        return rows.join(settle(n, "parts"), "root").withColumn(name, F.pmod(F.xxhash64("k"), F.col(number)))
+
+    def classes(rows, links):
+        return rows.join(components(links).select(F.col("node").alias("k"), F.col("root").alias("_class")), "k", "left").withColumn("class", F.coalesce("_class", "k")).drop("_class")
+
+    def found(rows, *by):
+        return settle(rows.groupBy("root", *by).applyInPandas(compare, "a long, b long"), "links")
+
+    members = parts(members.withColumn("text", F.coalesce("text", F.lit(""))), "parts", "part")
+    links = found(members.select("root", "part", "k", "text"), "part")
+    wide = settle(members.where("parts > 1"), "wide")
+    if wide.limit(1).count() == 0:
+        return links
+    heads = classes(wide, links).where("k = class").select("root", "k", "text")
+    links = links.union(found(parts(heads, "n", "part").select("root", "part", "k", "text"), "part"))
+    split = settle(classes(wide, links), "classes")
+    size = settle(split.groupBy("root", "class").agg(F.count("*").alias("n")), "sizes")
+    largest = size.groupBy("root").agg(F.max(F.struct("n", "class")).alias("top"), F.count("*").alias("classes")).where("classes > 1")
+    split = split.join(settle(largest.select("root", F.col("top.class").alias("top")), "largest"), "root")
+    rest = parts(split.where("class != top"), "others", "other")
+    others = settle(rest.select("root", "others").distinct(), "others")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    rows = (split.join(others, "root").withColumn("other", upto("others")).select("root", "part", "other", "k", "text")
+            .union(rest.withColumn("part", upto("parts")).select("root", "part", "other", "k", "text")))
+    return links.union(found(rows, "part", "other"))
+
+
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scheme: Scheme = SIMILAR) -> DataFrame:
     """The documents with the smallest id of each component, with their own columns.
 
@@ -256,7 +368,14 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """
     id_ = F.col(f"`{doc_id}`")
     plain = docs.select(id_.alias("id"), row_key(docs).alias("key"), F.col(f"`{text}`").alias("text"))
-    rows = settle(with_fingerprint(plain, scheme).drop("text"), "fingerprints")
-    by = F.struct(F.col("id").isNull().alias("none"), "id", "key").alias("by")
-    stay = class_roots(rows.select(*scheme.columns, by), scheme, "by").select(F.col("root_by.key").alias("_key")).distinct()
+    rows = settle(with_shingle_set(plain, scheme).drop("text"), "fingerprints")
+    by = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    sets = rows.groupBy("set", *scheme.columns).agg(F.min(by).alias("by"))
+    sets = settle(sets.select(*scheme.columns, "by", F.monotonically_increasing_id().alias("k")), "prints")
+    near = components(settle(fingerprint_links(sets, scheme, sets.count()), "found"))
+    near = settle(near.join(sets, near.node == sets.k).select("k", near.root, F.col("by.key").alias("key")), "candidates")
+    members = settle(plain.select("key", "text").join(near, "key").dropDuplicates(["k"]).select("k", "root", "text"), "members")
+    roots = components(exact_links(members, scheme))
+    stay = (sets.join(roots, sets.k == roots.node, "left").groupBy(F.coalesce("root", "k").alias("root"))
+            .agg(F.min("by").alias("by")).select(F.col("by.key").alias("_key")).distinct())
     return docs.withColumn("_key", row_key(docs)).join(stay, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)

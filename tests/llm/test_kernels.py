@@ -150,3 +150,18 @@ def test_ids_are_those_of_the_tokenizer():
     own, encode = Tokenizer.from_file(tokens.public_vocabulary()[0]), tokens.encoder(*tokens.public_vocabulary())
     for t in ("", "Héllo  wörld\n\n 123", "a<|endoftext|>b", "x" * 3000, "  \t\n ", "日本語 text"):
         assert list(encode(t)) == own.encode(t, add_special_tokens=False).ids
+
+
+def test_exact_classes_match_brute_force():
+    rng = random.Random(8)
+    for _ in range(40):
+        sets = []
+        for _ in range(rng.randrange(1, 25)):
+            x = set(rng.choice(sets)) if sets and rng.random() < 0.7 else {rng.randrange(2**63) for _ in range(rng.randrange(12))}
+            x ^= {rng.randrange(2**63) for _ in range(rng.randrange(3))}
+            sets.append(set(rng.sample(sorted(x), max(0, len(x) - rng.randrange(3)))))
+        arrays = [np.array(sorted(x), np.uint64) for x in sets]
+        pairs = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] & sets[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+        want = np.arange(len(sets))
+        graysim.forest(np.array([i for i, _ in pairs], int), np.array([j for _, j in pairs], int), want)
+        assert (graysim.exact_classes(arrays, (4, 5)) == want).all()

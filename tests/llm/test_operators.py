@@ -107,3 +107,26 @@ def test_neighbours(spark):
         want = sorted(((-sum(a * b for a, b in zip(v, x)), i) for i, x in rows[:60] if i != q))[:5]
         assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(want)]
     assert multiindex.nearest(t.limit(0), F.col("id") % 20 == 0).count() == 0
+
+
+def test_near_copies_follow_the_shingle_sets(spark, monkeypatch):
+    def words(name, n):
+        return [f"{name}{i * 7919 % 10007}" for i in range(n)]
+
+    texts, links = [], {}
+    for c in range(40):
+        own, base = words(f"c{c}q", 200), words(f"b{c}z", 204)
+        for other in (base, base[:178] + own[:26], base[:184] + own[:20]):  # similarity 1, 0.77 and 0.82 to the base
+            texts.append(other)
+        links[3 * c + 2] = 3 * c
+    shingles = [{tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in texts]
+    parent = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(shingles[i] & shingles[j]) >= 4 * len(shingles[i] | shingles[j]):
+                parent = [parent[j] if x == parent[i] else x for x in parent]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = sorted({min(i for i in range(len(texts)) if parent[i] == p) for p in parent})
+    assert sorted(r["doc_id"] for r in graysim.drop_near_copies(docs).collect()) == want
+    monkeypatch.setattr(graysim, "PART", 2)  # components of several parts
+    assert sorted(r["doc_id"] for r in graysim.drop_near_copies(docs).collect()) == want
