@@ -3,8 +3,8 @@
 Markup is stripped to lines: a line is the text of one block of the page.  Text inside elements that never hold an
 article (scripts, styles, menus, headers, footers, sidebars, notices, adverts, forms, comments) has no length of its own, nor has the text of links.  The
 lengths of a sliding window of lines are summed; where the sum rises over a threshold the text surges, where it falls to nothing it
-dives, and the lines between are the article.  Of several such stretches all that an ``article`` or ``main`` element
-encloses stay, else the longest and those as dense near it.
+dives, and the lines between are the article.  Lines that an ``article`` or ``main`` element encloses weigh more: each of
+them, its links too, surges by itself.  Of several stretches the longest and those as dense near it stay, and all with such lines.
 
 Null, empty and unparsable pages give the empty text; rows are judged alone, so ties and repeated rows do not
 matter; an empty table gives an empty table; columns named like the results are replaced.
@@ -172,16 +172,13 @@ def main_text(page, window=WINDOW, surge=SURGE):
         return ""
     found = [(x, x.text()) for x in lines_of(page)]
     found = [(x, t) for x, t in found if t]
-    if any(x.article and not x.beside for x, _ in found):
-        # The page itself marks its article: lines outside have no length, so text dives at its borders.
-        lengths = [0 if x.beside or not x.article else max(1, len(t)) for x, t in found]
-        spans = stretches(lengths, 1, 1)
-    else:
-        lengths = [0 if x.beside else max(0, len(t) - x.linked) for x, t in found]
-        spans = stretches(lengths, window, surge) or stretches(lengths, window, 1)
-        if spans:
-            weight = [sum(lengths[a:b]) for a, b in spans]
-            spans = [s for s, w in zip(spans, weight) if 5 * w >= max(weight)]
+    # The page's own mark is a weight: its lines count with their links and reach the surge alone.
+    lengths = [0 if x.beside else surge + len(t) if x.article else max(0, len(t) - x.linked) for x, t in found]
+    spans = stretches(lengths, window, surge) or stretches(lengths, window, 1)
+    if spans:
+        weight = [sum(lengths[a:b]) for a, b in spans]
+        marked = [any(lengths[i] and found[i][0].article for i in range(a, b)) for a, b in spans]
+        spans = [s for s, w, m in zip(spans, weight, marked) if m or 5 * w >= max(weight)]
     return "\n\n".join(found[i][1] for a, b in spans for i in range(a, b) if lengths[i])
 
 

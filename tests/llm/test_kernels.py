@@ -165,3 +165,9 @@ def test_exact_classes_match_brute_force():
         want = np.arange(len(sets))
         graysim.forest(np.array([i for i, _ in pairs], int), np.array([j for _, j in pairs], int), want)
         assert (graysim.exact_classes(arrays, (4, 5)) == want).all()
+
+
+def test_main_text_outside_a_marked_teaser():
+    body = "".join(f"<div>Paragraph {i} of the body, which is long enough to be text of the article.</div>" for i in range(4))
+    text = lineblocks.main_text(f"<body><article><p>Teaser.</p></article><nav><p>1</p><p>2</p><p>3</p></nav>{body}<main><p>End.</p></main></body>")
+    assert text.startswith("Teaser.") and text.endswith("End.") and text.count("Paragraph") == 4
