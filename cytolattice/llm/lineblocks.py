@@ -4,7 +4,8 @@ Markup is stripped to lines: a line is the text of one block of the page.  Text
 article (scripts, styles, menus, headers, footers, sidebars, notices, adverts, forms, comments) has no length of its own, nor has the text of links.  The
 lengths of a sliding window of lines are summed; where the sum rises over a threshold the text surges, where it falls to nothing it
 dives, and the lines between are the article.  Lines that an ``article`` or ``main`` element encloses weigh more: each of
-them, its links too, surges by itself.  Of several stretches the longest and those as dense near it stay, and all with such lines.
+them, its links too, surges by itself.  All stretches stay, with every line in them that is
+not beside; headings count with their links.
 
 Null, empty and unparsable pages give the empty text; rows are judged alone, so ties and repeated rows do not
 matter; an empty table gives an empty table; columns named like the results are replaced.
@@ -28,6 +29,7 @@ RAW = frozenset("script style noscript template svg math iframe object canvas te
 ASIDE = frozenset("nav footer aside form dialog menu button fieldset figure".split())
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul""".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words in class, id or role that name something beside the article.
 BESIDE = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent notice alert popup modal
@@ -43,12 +45,12 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 
 
 class Line:
-    """Text of one block: pieces, counted length, whether it lies beside the article, and its article number."""
+    """Text of one block: pieces, length of links, whether it lies beside the article, its article number, whether it is a heading."""
 
-    __slots__ = ("pieces", "linked", "beside", "article")
+    __slots__ = ("pieces", "linked", "beside", "article", "heading")
 
-    def __init__(self, beside, article):
-        self.pieces, self.linked, self.beside, self.article = [], 0, beside, article
+    def __init__(self, beside, article, heading):
+        self.pieces, self.linked, self.beside, self.article, self.heading = [], 0, beside, article, heading
 
     def text(self):
         return SPACE.sub(" ", html.unescape("".join(self.pieces))).strip()
@@ -71,13 +73,13 @@ def lines_of(page):
     out, open_, at, n = [], [], 0, len(page)
     counts, unclosed, last_end = Counter(), set(), page.rfind(">")
     depth_beside = depth_article = articles = links = 0
-    line = Line(False, 0)
+    line = Line(False, 0, False)
 
     def cut():
         nonlocal line
         if line.pieces:
             out.append(line)
-        line = Line(depth_beside > 0, articles if depth_article else 0)
+        line = Line(depth_beside > 0, articles if depth_article else 0, any(counts[h] for h in HEADINGS))
 
     def say(text):
         if text:
@@ -173,13 +175,9 @@ def main_text(page, window=WINDOW, surge=SURGE):
     found = [(x, x.text()) for x in lines_of(page)]
     found = [(x, t) for x, t in found if t]
     # The page's own mark is a weight: its lines count with their links and reach the surge alone.
-    lengths = [0 if x.beside else surge + len(t) if x.article else max(0, len(t) - x.linked) for x, t in found]
+    lengths = [0 if x.beside else surge + len(t) if x.article else len(t) if x.heading else max(0, len(t) - x.linked) for x, t in found]
     spans = stretches(lengths, window, surge) or stretches(lengths, window, 1)
-    if spans:
-        weight = [sum(lengths[a:b]) for a, b in spans]
-        marked = [any(lengths[i] and found[i][0].article for i in range(a, b)) for a, b in spans]
-        spans = [s for s, w, m in zip(spans, weight, marked) if m or 5 * w >= max(weight)]
-    return "\n\n".join(found[i][1] for a, b in spans for i in range(a, b) if lengths[i])
+    return "\n\n".join(found[i][1] for a, b in spans for i in range(a, b) if not found[i][0].beside)
 
 
 def extract_main_text(pages: DataFrame, page: str = "html", into: str = "text") -> DataFrame:

@@ -171,3 +171,11 @@ def test_main_text_outside_a_marked_teaser():
     body = "".join(f"<div>Paragraph {i} of the body, which is long enough to be text of the article.</div>" for i in range(4))
     text = lineblocks.main_text(f"<body><article><p>Teaser.</p></article><nav><p>1</p><p>2</p><p>3</p></nav>{body}<main><p>End.</p></main></body>")
     assert text.startswith("Teaser.") and text.endswith("End.") and text.count("Paragraph") == 4
+
+
+def test_main_text_keeps_short_parts_and_linked_lines():
+    long = "".join(f"<p>{'Sentence of the first part. ' * 20}{i}</p>" for i in range(8))
+    link = "<p><a href=x>Link</a></p>"
+    page = f"<body><h2><a href=y>Heading</a></h2>{long}<li><a href=z>Item</a></li><p>{'More of it. ' * 5}</p>{link * 3}<p>{'The closing part. ' * 36}</p></body>"
+    text = lineblocks.main_text(page)
+    assert text.startswith("Heading\n\n") and "\n\nItem\n\n" in text and text.endswith("The closing part.")
