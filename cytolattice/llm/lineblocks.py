@@ -25,8 +25,10 @@ from .text import parts
 WINDOW, SURGE = 3, 40
 
 # Fixed lists: elements by their meaning in the HTML standard.
-RAW = frozenset("script style noscript template svg math iframe object canvas textarea select head title".split())
-ASIDE = frozenset("nav footer aside form dialog menu button fieldset figure".split())
+RAW = frozenset("script style noscript template svg iframe object canvas textarea select head title".split())
+ASIDE = frozenset("nav footer aside form dialog menu button fieldset".split())
+#: Elements beside the article that some sites put around a whole page.
+WRAPS = frozenset("form fieldset dialog".split())
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul""".split())
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
@@ -45,9 +47,9 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 
 
 class Line:
-    """Text of one block: pieces, length of links, whether it lies beside the article, its article number, whether it is a heading."""
+    """Text of one block: pieces, length of links, its innermost mark (later whether it lies beside the article), its article number, whether it is a heading."""
 
-    __slots__ = ("pieces", "linked", "beside", "article", "heading")
+    __slots__ = ("pieces", "linked", "beside", "article", "heading", "said")
 
     def __init__(self, beside, article, heading):
         self.pieces, self.linked, self.beside, self.article, self.heading = [], 0, beside, article, heading
@@ -57,29 +59,62 @@ class Line:
 
 
 def beside(name, attributes, inside_article):
-    """Whether an element holds no article text."""
+    """What marks an element as holding no article text: "tag", "wrap" (a form), "name", "hidden", or nothing.
+
+    A class, id or role counts whole; one with hyphens if each of its parts does.
+    """
     if name in ASIDE or name == "header" and not inside_article:
-        return True
+        return "wrap" if name in WRAPS else "tag"
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return None
+    if "hidden" in attributes.lower().split():
+        return "hidden"
     for m in NAMED.finditer(attributes):
-        if not BESIDE.isdisjoint(WORDS.split(m[1].lower())):
-            return True
-    return "hidden" in attributes.lower().split()
+        for whole in m[1].strip("\"'").lower().split():
+            if all(x in BESIDE for x in WORDS.split(whole) if x != "site") and whole.strip("-_") != "site":
+                return "name"
+    return None
+
+
+def settle_marks(lines, marks):
+    """Decide which marks (parent, kind, encloses main, encloses article) hold, and set ``beside`` of the lines.
+
+    A mark around a ``main`` does not hold, nor around an ``article`` unless another article or main begins outside
+    of all marks.  By name, or as a form, it does not hold around more than half of the text of a page without either.
+    """
+    said, free = [0] * len(marks), False
+    for x in lines:
+        if x.beside >= 0:
+            said[x.beside] += len(x.said)
+        free = free or x.beside < 0 and x.article > 0
+    for i in range(len(marks) - 1, 0, -1):
+        parent, _, main, article = marks[i]
+        if parent >= 0:
+            said[parent] += said[i]
+            marks[parent][2], marks[parent][3] = marks[parent][2] or main, marks[parent][3] or article
+    total, any_marked, off = sum(len(x.said) for x in lines), any(x.article for x in lines), []
+    for (parent, kind, main, article), n in zip(marks, said):
+        holds = kind == "hidden" or not (main or article and not free or not any_marked and kind in ("name", "wrap") and 2 * n > total)
+        off.append(holds or parent >= 0 and off[parent])
+    for x in lines:
+        x.beside = x.beside >= 0 and off[x.beside]
 
 
 def lines_of(page):
     """Lines of a page, markup stripped; one pass over the page."""
     out, open_, at, n = [], [], 0, len(page)
     counts, unclosed, last_end = Counter(), set(), page.rfind(">")
-    depth_beside = depth_article = articles = links = 0
-    line = Line(False, 0, False)
+    depth_article = articles = links = 0
+    marks, mark = [], -1  # the innermost open mark
+    line = Line(-1, 0, False)
 
     def cut():
         nonlocal line
         if line.pieces:
-            out.append(line)
-        line = Line(depth_beside > 0, articles if depth_article else 0, any(counts[h] for h in HEADINGS))
+            line.said = line.text()
+            if line.said:
+                out.append(line)
+        line = Line(mark, articles if depth_article else 0, any(counts[h] for h in HEADINGS))
 
     def say(text):
         if text:
@@ -88,11 +123,12 @@ def lines_of(page):
                 line.linked += len(text)
 
     def close(upto):
-        nonlocal depth_beside, depth_article, links
+        nonlocal depth_article, links, mark
         while len(open_) > upto:
             name, off, art = open_.pop()
             counts[name] -= 1
-            depth_beside -= off
+            if off:
+                mark = marks[mark][0]
             depth_article -= art
             links -= name == "a"
 
@@ -140,13 +176,18 @@ def lines_of(page):
         if not attributes.endswith("/"):
             open_.append((name, off, art))
             counts[name] += 1
-            depth_beside += off
+            if off:
+                marks.append([mark, off, False, False])
+                mark = len(marks) - 1
+            if art and mark >= 0:
+                marks[mark][2 if name == "main" else 3] = True
             articles += art and not depth_article
             depth_article += art
             links += name == "a"
         if name in BLOCKS:
             cut()
     cut()
+    settle_marks(out, marks)
     return out
 
 
@@ -172,8 +213,7 @@ def main_text(page, window=WINDOW, surge=SURGE):
     """The article of a page: its blocks joined by empty lines."""
     if not page:
         return ""
-    found = [(x, x.text()) for x in lines_of(page)]
-    found = [(x, t) for x, t in found if t]
+    found = [(x, x.said) for x in lines_of(page)]
     # The page's own mark is a weight: its lines count with their links and reach the surge alone.
     lengths = [0 if x.beside else surge + len(t) if x.article else len(t) if x.heading else max(0, len(t) - x.linked) for x, t in found]
     spans = stretches(lengths, window, surge) or stretches(lengths, window, 1)

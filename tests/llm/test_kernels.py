@@ -179,3 +179,14 @@ def test_main_text_keeps_short_parts_and_linked_lines():
     page = f"<body><h2><a href=y>Heading</a></h2>{long}<li><a href=z>Item</a></li><p>{'More of it. ' * 5}</p>{link * 3}<p>{'The closing part. ' * 36}</p></body>"
     text = lineblocks.main_text(page)
     assert text.startswith("Heading\n\n") and "\n\nItem\n\n" in text and text.endswith("The closing part.")
+
+
+def test_main_text_in_wrappers_with_telling_names():
+    text = "".join(f"<p>Paragraph {i} of the text, which is long enough to be an article.</p>" for i in range(3))
+    for name in ("page has-sidebar", "no-comments", "with-header", "entry-header", "search", "comments"):
+        assert lineblocks.main_text(f"<div class='{name}'><article>{text}</article></div>").count("Paragraph") == 3
+        assert lineblocks.main_text(f"<div class='{name}'>{text}</div>").count("Paragraph") == 3
+    assert lineblocks.main_text(f"<form id=f><main>{text}</main></form>").count("Paragraph") == 3
+    page = f"<article>{text}<figure><math><mi>x</mi></math><figcaption>Caption</figcaption></figure></article><div class='related'><article>Card</article></div><div id='cookie-banner'>Cookies</div>"
+    got = lineblocks.main_text(page)
+    assert "x" in got and "Caption" in got and "Card" not in got and "Cookies" not in got
