@@ -28,7 +28,7 @@ from .text import slices
 
 UNKNOWN = "und"
 SAMPLE_TEXTS, SAMPLE_PASSAGES, PASSAGE, SEQUENCE_WORDS = 3000, 3, 40, 120
-BUCKETS, GRAMS, AFFIXES = 1 << 18, 4, 3
+BUCKETS, GRAMS, AFFIXES, SLOTS = 1 << 18, 4, 3, 64
 ROUNDS, BATCH, RATE, SHRINK = 4, 64, 0.15, 1e-6
 SLICE_CHARS, BLOCK_WORDS = 800_000, 256
 LANGUAGE = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -252,8 +252,10 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", most:
         return pd.Series([passages_of(t, zlib.crc32(t.encode("utf-8", "surrogatepass"))) for t in texts])
 
     spans = labelled.select("lang", F.xxhash64("text", "lang").alias("h"), cut("text").alias("passages"))
-    order = Window.partitionBy("lang").orderBy("h")                       # Spark keeps the first rows of a language before the shuffle
-    picked = spans.dropDuplicates(["lang", "h"]).withColumn("no", F.row_number().over(order)).where(F.col("no") <= each)
+    # The first of each slot of hashes, then the first of these: no task sees more than twice the sample of a language.
+    first = lambda df, keys, n: df.withColumn("no", F.row_number().over(Window.partitionBy(*keys).orderBy("h"))).where(F.col("no") <= n)
+    spans = spans.withColumn("slot", F.pmod("h", F.lit(SLOTS)))
+    picked = first(first(spans.dropDuplicates(["lang", "h"]), ["lang", "slot"], -(-2 * each // SLOTS)), ["lang"], each)
     wanted = {r["lang"] for r in top}
     passages = [(p, r["lang"]) for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["h"])) if r["lang"] in wanted for p in r["passages"]]
     return fit_passages(passages, sorted(wanted))
