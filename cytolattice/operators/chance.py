@@ -15,27 +15,26 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from ..config import Panel
 from ..functions import above_chance, count_where, dbl, finite, ratio
 from ..session import settle
-from . import markers
+from . import logit, markers
+from .draws import SCRAMBLE as PRIME, STEP, scramble as mix
 from .quantiles import grouped_quantiles
 
-# Arithmetic modulo the prime 2^31 - 1, repeatable in SQL.
-PRIME = 2_147_483_647
-STEP = 48_271
+HALF, LOW = 1 << 32, 1 << 12
+TURNS = 4
 
 
-def mix(x: Column) -> Column:
-    """A fixed scramble of [0, PRIME): linear step, then the fifth power.
+def with_draw(rows: DataFrame, id_col: str, seed: int) -> DataFrame:
+    """Rows with a keyed permutation of their 64-bit ids: halves ``_hi`` and ``_lo`` of 32 bits, and ``_d``, the first 52 bits as a double.
 
-    5 does not divide PRIME - 1, so the map is one to one: distinct ids never tie.
+    A Feistel network is one to one whatever its round function, so distinct ids never get equal halves.
     """
-    y = (x * F.lit(STEP).cast("long") + 11) % PRIME
-    sq = (y * y) % PRIME
-    return (((sq * sq) % PRIME) * y) % PRIME
-
-
-def draw(id_col, seed: int) -> Column:
-    """Pseudo-random long in [0, PRIME) from an id and a seed."""
-    return mix((F.col(id_col).cast("long") % PRIME + F.lit(seed).cast("long")) % PRIME)
+    v = F.col(id_col).cast("long")
+    rows = rows.withColumn("_hi", F.shiftrightunsigned(v, 32)).withColumn("_lo", v.bitwiseAND(F.lit(HALF - 1)))
+    for turn in range(TURNS):
+        y = (F.col("_lo") % PRIME * F.lit(STEP).cast("long") + F.lit(1_000_003 * (TURNS * seed + turn + 1)).cast("long")) % PRIME
+        rows = (rows.withColumn("_y", y).withColumn("_new", F.col("_hi").bitwiseXOR((F.col("_y") * F.col("_y")) % PRIME))
+                .withColumn("_hi", F.col("_lo")).withColumn("_lo", F.col("_new")))
+    return rows.withColumn("_d", (F.col("_hi") * LOW * 256 + F.floor(F.col("_lo") / LOW)).cast("double")).drop("_y", "_new")
 
 
 def flag(c: str) -> Column:
@@ -96,16 +95,23 @@ def shuffled_control(cells: DataFrame, keys: list[str], seed: int = 0) -> DataFr
     """Above-chance after permuting the tagged labels.
 
     A permutation makes the tagged set a random subset of its size: the T cells with the lowest
-    draws.  The T-th draw is found as a quantile, so nothing is sorted globally.
+    draws.  The T-th draw is found as a quantile of the draws' first 52 bits, so nothing is sorted globally; the few cells that
+    share those bits with it are put in order by the rest, then by id.
     """
-    c = settle(chance_counts(cells, keys))
-    rows = cells.select(*keys, "activity", draw("cell_id", seed).cast("double").alias("_d"))
+    c = settle(chance_counts(cells, keys), "counts")
+    rows = with_draw(cells.select(*keys, "cell_id", "activity"), "cell_id", seed)
     want = c.where((F.col("tagged_n") > 0) & (F.col("activity_n") > 0)).select(*keys, _share("tagged_n", "n").alias("prob"))
-    cut = settle(quantile_cut(rows, keys, "_d", want))
-    hit = (rows.join(cut, keys).groupBy(*keys)
-           .agg(count_where((F.col("_d") <= F.col("cut")) & F.col("activity")).alias("_hit")))
-    return c.join(hit, keys, "left").select(
-        *keys, "n", "tagged_n", "activity_n", above_chance("n", "tagged_n", "activity_n", "_hit").alias("shuffled"))
+    cut = settle(quantile_cut(rows, keys, "_d", want), "draws")
+    drawn = rows.join(cut, keys)
+    low = F.col("_d") < F.col("cut")
+    hit = settle(drawn.groupBy(*keys).agg(count_where(low).alias("_below"), count_where(low & F.col("activity")).alias("_hit")), "below")
+    tied = drawn.where(F.col("_d") == F.col("cut")).withColumn(
+        "_no", F.row_number().over(W.partitionBy(*keys).orderBy("_hi", "_lo", "cell_id", "activity")))
+    more = (tied.join(hit, keys).join(c.select(*keys, "tagged_n"), keys).where(F.col("_no") <= F.col("tagged_n") - F.col("_below"))
+            .groupBy(*keys).agg(count_where(F.col("activity")).alias("_more")))
+    out = c.join(hit, keys, "left").join(more, keys, "left")
+    return out.select(*keys, "n", "tagged_n", "activity_n", above_chance(
+        "n", "tagged_n", "activity_n", F.col("_hit") + F.coalesce("_more", F.lit(0))).alias("shuffled"))
 
 
 # ---- k against chance -------------------------------------------------------------------------
@@ -124,7 +130,7 @@ def k_vs_chance(cells: DataFrame, panel: Panel, ks: tuple[float, ...] = K_LADDER
     t, a = f"{roles.tagged}_bgsub", f"{roles.activity}_bgsub"
     rows = cells.where(finite(t) & finite(a)).withColumn("_all", F.lit("all")).withColumn("excluded", F.lit(False))
     stats = {r.marker: r for r in markers.robust_threshold(rows, panel, 0.0, ("_all",)).collect()}
-    rows = rows.withColumn("_d", draw("cell_id", seed).cast("double"))
+    rows = with_draw(rows, "cell_id", seed)
 
     def above(col_name, marker, k):
         cut = F.lit(stats[marker]["median"]) + F.lit(float(k)) * F.lit(stats[marker]["robust_sd"])
@@ -135,7 +141,7 @@ def k_vs_chance(cells: DataFrame, panel: Panel, ks: tuple[float, ...] = K_LADDER
                      *[count_where(pos[k][0]).alias(f"t{i}") for i, k in enumerate(ks)]).first()
     live = [i for i, _ in enumerate(ks) if 0 < first[f"t{i}"] < first["n"]]
     n = first["n"]
-    floor_cut, draw_cut = {}, {}
+    floor_cut, draw_cut, last = {}, {}, {}
     if live:
         got = grouped_quantiles(rows.where(finite("anchor_mean")), [], "anchor_mean",
                                 [1 - first[f"t{i}"] / n for i in live], [f"c{i}" for i in live]).first()
@@ -143,12 +149,19 @@ def k_vs_chance(cells: DataFrame, panel: Panel, ks: tuple[float, ...] = K_LADDER
         got = grouped_quantiles(rows, [], "_d", [min((first[f"t{i}"] - 0.5) / max(n - 1, 1), 1.0) for i in live],
                                 [f"c{i}" for i in live]).first()
         draw_cut = {i: got[f"c{i}"] for i in live}
+        # A cut that is itself a draw is shared by several cells: they are put in order by the draws' last bits.
+        same = rows.where(F.col("_d").isin([float(v) for v in draw_cut.values()])).select("_d", "_hi", "_lo").collect()
+        below = rows.agg(*[count_where(F.col("_d") < F.lit(v)).alias(f"b{i}") for i, v in draw_cut.items()]).first() if same else {}
+        last = {i: sorted((r["_hi"], r["_lo"]) for r in same if r["_d"] == v)[:first[f"t{i}"] - below[f"b{i}"]][-1:]
+                for i, v in draw_cut.items() if same}
     aggs = [F.count("*").alias("n")]
     false = F.lit(False)
     for i, k in enumerate(ks):
         tp, ap = pos[k]
         pseudo = finite("anchor_mean") & (dbl("anchor_mean") > F.lit(floor_cut[i])) if i in floor_cut else false
-        drawn = F.col("_d") <= F.lit(draw_cut[i]) if i in draw_cut else (F.lit(True) if first[f"t{i}"] == n else false)
+        drawn = F.col("_d") < F.lit(draw_cut[i]) if i in draw_cut else (F.lit(True) if first[f"t{i}"] == n else false)
+        for hi, lo in last.get(i, []):
+            drawn = drawn | ((F.col("_d") == F.lit(draw_cut[i])) & (F.struct("_hi", "_lo") <= F.struct(F.lit(hi).alias("_hi"), F.lit(lo).alias("_lo"))))
         aggs += [count_where(tp).alias(f"t{i}"), count_where(ap).alias(f"a{i}"), count_where(tp & ap).alias(f"d{i}"),
                  count_where(drawn & ap).alias(f"s{i}"), count_where(pseudo).alias(f"p{i}"), count_where(pseudo & ap).alias(f"q{i}")]
     items = F.array(*[F.struct(
@@ -270,6 +283,24 @@ def bootstrap_cells(table: DataFrame, baseline: str = "local_chance") -> DataFra
                       ratio("_q.hi", baseline).alias("ci_hi"), F.lit("cell-level: within-section precision only").alias("ci_scheme"))
 
 
+def local_table(rows: DataFrame, k: int, n_boot: int = 1000, seed: int = 0, minimum: int = 3, cap: int | None = None) -> DataFrame:
+    """The local read-out of every region in ``rows``, with an interval and the scheme it comes from.
+
+    Sections are resampled where at least ``minimum`` are usable, tagged cells where there are fewer, and the scheme says so.
+    A region without a usable section keeps its row: no sections, no tagged cells, NULL values and the scheme ``n/a``.
+    """
+    sections = local_sections(rows, k, cap)
+    table = settle(rows.select("region").distinct().join(local_chance(sections), "region", "left"), "local")
+    table = table.withColumn("n_sections", F.coalesce("n_sections", F.lit(0))).withColumn("tagged_n", F.coalesce("tagged_n", F.lit(0)))
+    wide = bootstrap_sections(sections, n_boot, seed, minimum).select("region", F.col("ci_lo").alias("_lo"), F.col("ci_hi").alias("_hi"))
+    out = table.join(wide, "region", "left").withColumn("_q", _binomial_interval(dbl("tagged_n"), dbl("observed")))
+    many = F.col("n_sections") >= minimum
+    few = F.concat(F.lit("cell-level ("), F.col("n_sections"), F.lit(" section(s) -- WITHIN-section precision only)"))
+    scheme = F.when(many, "section-level").when(F.col("tagged_n") > 0, few).otherwise("n/a")
+    bound = lambda side: F.when(many, F.col(f"_{side}")).otherwise(ratio(f"_q.{side}", "local_chance"))
+    return out.select(*table.columns, bound("lo").alias("ci_lo"), bound("hi").alias("ci_hi"), scheme.alias("ci_scheme"))
+
+
 # ---- rotation ---------------------------------------------------------------------------------------
 
 def rotation_null(cells: DataFrame, n_rot: int = 200, near: int = 25, seed: int = 0, cap: int | None = None) -> DataFrame:
@@ -293,14 +324,14 @@ def rotation_null(cells: DataFrame, n_rot: int = 200, near: int = 25, seed: int
     th = 2 * F.pi() * u / F.lit(float(PRIME))
     dx, dy = F.col("x") - F.col("_cx"), F.col("y") - F.col("_cy")
     # Query ids carry the rotation so that one search serves all rotations.
-    q = q.select("section", (F.col("cell_id") * n_rot + F.col("rot")).alias("qid"),
+    q = q.select("section", F.concat_ws("/", "rot", "cell_id").alias("qid"),
                  (F.col("_cx") + dx * F.cos(th) - dy * F.sin(th)).alias("x"), (F.col("_cy") + dx * F.sin(th) + dy * F.cos(th)).alias("y"))
     pool = rows.join(mid.select("section"), "section", "left_semi").select(
         "section", F.col("cell_id").alias("pid"), "x", "y", F.col("activity").cast("double").alias("w"))
     nn = knn_join(q, pool, near, cap).join(mid.select("section", "region", "_n"), "section")
     m = F.least(F.lit(near), F.col("_n") - 1).cast("int")
     act = F.aggregate(F.slice("nn", F.lit(1), m), F.lit(0.0), lambda s, e: s + e["w"]) / m
-    null = nn.select("region", F.pmod("qid", F.lit(n_rot)).alias("rot"), act.alias("act")).groupBy("region", "rot").agg(F.avg("act").alias("null_rate"))
+    null = nn.select("region", F.substring_index("qid", "/", 1).alias("rot"), act.alias("act")).groupBy("region", "rot").agg(F.avg("act").alias("null_rate"))
     obs = rows.where("tagged").groupBy("region").agg(F.avg(flag("activity")).alias("observed"))
     out = null.join(obs, "region").groupBy("region", "observed").agg(
         F.avg("null_rate").alias("null_mean"), count_where(F.col("null_rate") >= F.col("observed") - 1e-12).alias("_ge"), F.count("*").alias("_r"))
@@ -311,7 +342,7 @@ def rotation_null(cells: DataFrame, n_rot: int = 200, near: int = 25, seed: int
 # ---- fitted expectation -----------------------------------------------------------------------------------
 
 COVARIATES = ("x1", "x2", "x3")
-MAX_MODELS = 20_000        # regions fitted at once: five numbers each travel per round
+WHOLE = "__ALL__"           # the region of all cells
 
 
 def covariates(cells: DataFrame, tagged_measure: str) -> DataFrame:
@@ -322,130 +353,72 @@ def covariates(cells: DataFrame, tagged_measure: str) -> DataFrame:
             .withColumn("x3", clip("nucleus_area_um2")))
 
 
-def fit_logistic(rows: DataFrame, l2: float = 1e-4, rounds: int = 40, tolerance: float = 1e-9):
-    """Ridge logistic fit per ``region`` on x1..x3, all regions in one pass per Newton round.
-
-    A round is one grouped sum (gradient, curvature, loss), combined before the shuffle, so a
-    region holding most rows costs no more than the rest.  Returns (scaling, {region: beta}).
-    """
-    spark = rows.sparkSession
-    scale = rows.groupBy("region").agg(*[f(c).alias(f"{c}_{t}") for c in COVARIATES for t, f in (("mu", F.avg), ("sd", F.stddev_pop))])
-    for c in COVARIATES:
-        scale = scale.withColumn(f"{c}_sd", F.when(F.col(f"{c}_sd") > 0, F.col(f"{c}_sd")).otherwise(1.0))
-    scale = settle(scale, "scale")
-    z = settle(standardise(rows, scale).select("region", flag("activity").cast("double").alias("y"), *COVARIATES), "design")
-    names = [r.region for r in scale.select("region").limit(MAX_MODELS + 1).collect()]
-    if len(names) > MAX_MODELS:
-        raise ValueError(f"more than {MAX_MODELS} regions to fit; fit them in batches")
-    beta = {r: np.zeros(4) for r in names}
-    best, step, loss = dict(beta), {r: None for r in names}, {r: float("inf") for r in names}
-    todo = set(names)
-    for _ in range(rounds):
-        if not todo:
-            break
-        b = spark.createDataFrame([(r, *map(float, beta[r])) for r in sorted(todo)], "region string, b0 double, b1 double, b2 double, b3 double")
-        xs = [F.lit(1.0)] + [F.col(c) for c in COVARIATES]
-        eta = sum(F.col(f"b{i}") * x for i, x in enumerate(xs))
-        j = z.join(F.broadcast(b), "region").withColumn("_e", eta).withColumn("_p", 1 / (1 + F.exp(-F.col("_e"))))
-        wgt = F.col("_p") * (1 - F.col("_p"))
-        nll = F.greatest(F.col("_e"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("_e"))) - F.col("y") * F.col("_e")
-        got = j.groupBy("region").agg(
-            F.sum(nll).alias("nll"), *[F.sum((F.col("_p") - F.col("y")) * xs[i]).alias(f"g{i}") for i in range(4)],
-            *[F.sum(wgt * xs[i] * xs[k]).alias(f"h{i}{k}") for i in range(4) for k in range(i, 4)]).collect()
-        for r in got:
-            k, bb = r["region"], beta[r["region"]]
-            now = r["nll"] + l2 * float(bb[1:] @ bb[1:])
-            if now > loss[k] + 1e-12 * abs(loss[k]):
-                step[k] = step[k] / 2                       # overshot: halve the last step
-                beta[k] = best[k] + step[k]
-            else:
-                best[k], loss[k] = bb, now
-                g = np.array([r[f"g{i}"] for i in range(4)]) + 2 * l2 * np.concatenate([[0.0], bb[1:]])
-                h = np.zeros((4, 4))
-                for i in range(4):
-                    for m in range(i, 4):
-                        h[i, m] = h[m, i] = r[f"h{i}{m}"]
-                h += np.diag([1e-12, 2 * l2, 2 * l2, 2 * l2])
-                step[k] = -np.linalg.solve(h, g)
-                beta[k] = bb + step[k]
-            if np.abs(step[k]).max() < tolerance:
-                todo.discard(k)
-    return scale, best
-
-
-def standardise(rows: DataFrame, scale: DataFrame) -> DataFrame:
-    out = rows.join(scale, "region")
-    for c in COVARIATES:
-        out = out.withColumn(c, (F.col(c) - F.col(f"{c}_mu")) / F.col(f"{c}_sd"))
-    return out
-
-
-def predict(rows: DataFrame, scale: DataFrame, beta: dict) -> DataFrame:
-    spark = rows.sparkSession
-    b = spark.createDataFrame([(r, *map(float, v)) for r, v in sorted(beta.items())], "region string, b0 double, b1 double, b2 double, b3 double")
-    eta = F.col("b0") + sum(F.col(f"b{i + 1}") * F.col(c) for i, c in enumerate(COVARIATES))
-    return standardise(rows, scale).join(F.broadcast(b), "region").withColumn("probability", 1 / (1 + F.exp(-eta)))
+def with_whole_project(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Region rows and, as region ``WHOLE``, every cell once."""
+    return rows.unionByName(cells.withColumn("region", F.lit(WHOLE)).select(*rows.columns))
 
 
 def fitted_expectation(rows: DataFrame, minimum: int = 200) -> DataFrame:
     """Observed against fitted activity of tagged cells; the model sees only not-tagged cells.
 
-    ``rows``: region, tagged, activity, x1..x3 (see ``covariates``).
+    ``rows``: region, tagged, activity, x1..x3 (see ``covariates``).  A region without tagged cells or with fewer than ``minimum`` others
+    keeps its row with NULL values; ``converged`` tells whether its fit came to rest.
     """
     rows = settle(rows.select("region", "tagged", "activity", *COVARIATES), "covariates")
-    size = rows.groupBy("region").agg(count_where(~F.col("tagged")).alias("n_negative"), count_where(F.col("tagged")).alias("n_tagged"))
-    usable = settle(size.where((F.col("n_negative") >= minimum) & (F.col("n_tagged") > 0)), "usable")
-    neg = rows.where("NOT tagged").join(usable.select("region"), "region", "left_semi")
-    scale, beta = fit_logistic(neg)
-    if not beta:
-        return usable.select("region", "n_tagged", *[F.lit(None).cast("double").alias(c) for c in ("observed", "expected", "ratio")])
-    pos = predict(rows.where("tagged"), scale, beta)
-    out = pos.groupBy("region").agg(F.count("*").alias("n_tagged"), F.avg(flag("activity")).alias("observed"), F.avg("probability").alias("expected"))
-    return out.withColumn("ratio", ratio("observed", "expected"))
+    size = settle(rows.groupBy("region").agg(count_where(~F.col("tagged")).alias("_neg"), count_where(F.col("tagged")).alias("n_tagged")), "sizes")
+    usable = size.where((F.col("_neg") >= minimum) & (F.col("n_tagged") > 0)).select("region")
+    scale, model = logit.fit_logistic(rows.where("NOT tagged").join(usable, "region", "left_semi"), "region", "activity", COVARIATES)
+    pos = logit.predict(rows.where("tagged"), scale, model, "region", COVARIATES)
+    out = pos.groupBy("region", "converged").agg(F.avg(flag("activity")).alias("observed"), F.avg("probability").alias("expected"))
+    return (size.join(out, "region", "left").withColumn("ratio", ratio("observed", "expected"))
+            .select("region", "n_tagged", "observed", "expected", "ratio", "converged"))
 
 
 def validate_extrapolation(rows: DataFrame, measure: str, holdout: float = 0.10, minimum: int = 1000, tail: int = 50) -> DataFrame:
-    """Fit below the upper intensity quantile of not-tagged cells, compare above it."""
-    neg = settle(rows.where("NOT tagged").select("region", "tagged", "activity", dbl(measure).alias("_m"), *COVARIATES), "negatives")
-    cut = grouped_quantiles(neg, ["region"], "_m", [1 - holdout], ["cut"]).where(F.col("n") >= minimum).drop("n")
-    both = settle(neg.join(settle(cut), "region"), "split")
+    """Fit below the upper intensity quantile of not-tagged cells, compare above it.
+
+    Regions with too few cells, or too few above the quantile, keep their row with NULL values.
+    """
+    rows = settle(rows.select("region", "tagged", "activity", dbl(measure).alias("_m"), *COVARIATES), "validated")
+    neg = rows.where("NOT tagged")
+    cut = settle(grouped_quantiles(neg, ["region"], "_m", [1 - holdout], ["cut"]).where(F.col("n") >= minimum).drop("n"), "cuts")
+    both = neg.join(cut, "region")
     hi = both.where(F.col("_m") > F.col("cut"))
-    enough = settle(hi.groupBy("region").agg(F.count("*").alias("_n")).where(F.col("_n") >= tail).select("region"))
+    enough = settle(hi.groupBy("region").agg(F.count("*").alias("_n")).where(F.col("_n") >= tail).select("region"), "enough")
     lo = both.where(F.col("_m") <= F.col("cut")).join(enough, "region", "left_semi")
-    scale, beta = fit_logistic(lo)
-    if not beta:
-        return enough.select("region", F.lit(0).cast("long").alias("holdout_n"), *[F.lit(None).cast("double").alias(c) for c in ("predicted", "actual", "pred_over_actual")])
-    out = predict(hi.join(enough, "region", "left_semi"), scale, beta).groupBy("region").agg(
+    scale, model = logit.fit_logistic(lo, "region", "activity", COVARIATES)
+    out = logit.predict(hi.drop("cut"), scale, model, "region", COVARIATES).groupBy("region", "converged").agg(
         F.count("*").alias("holdout_n"), F.avg("probability").alias("predicted"), F.avg(flag("activity")).alias("actual"))
-    return out.withColumn("pred_over_actual", ratio("predicted", "actual"))
+    return (rows.select("region").distinct().join(out, "region", "left").withColumn("pred_over_actual", ratio("predicted", "actual"))
+            .select("region", "holdout_n", "predicted", "actual", "pred_over_actual", "converged"))
 
 
 def expected_overlap(rows: DataFrame, minimum: int = 500) -> DataFrame:
-    """Per region: n, observed, expected, fitted and naive ratios, resampled interval."""
+    """Per region of at least ``minimum`` cells: n, observed, expected, fitted and naive ratios, resampled interval.
+
+    A region whose expectation cannot be fitted keeps its counts and naive ratio.
+    """
     size = rows.groupBy("region").agg(F.count("*").alias("n_cells"))
-    keep = settle(size.where(F.col("n_cells") >= minimum))
-    used = rows.join(keep.select("region"), "region", "left_semi")
+    keep = settle(size.where(F.col("n_cells") >= minimum), "kept")
+    used = settle(rows.join(keep.select("region"), "region", "left_semi").select("region", "tagged", "activity", *COVARIATES), "used")
     fit = fitted_expectation(used).withColumnRenamed("ratio", "above_chance_fitted")
-    out = keep.join(fit, "region").join(naive_ratio(used, ["region"]).withColumnRenamed("naive", "above_chance_naive"), "region")
-    q = _binomial_interval(dbl("n_tagged"), dbl("observed"))
-    out = out.withColumn("_q", q)
+    out = keep.join(fit, "region", "left").join(naive_ratio(used, ["region"]).withColumnRenamed("naive", "above_chance_naive"), "region", "left")
+    out = out.withColumn("_q", _binomial_interval(dbl("n_tagged"), dbl("observed")))
     return out.select("region", "n_cells", "n_tagged", "observed", "expected", "above_chance_fitted", "above_chance_naive",
-                      ratio("_q.lo", "expected").alias("ci_lo"), ratio("_q.hi", "expected").alias("ci_hi"))
+                      ratio("_q.lo", "expected").alias("ci_lo"), ratio("_q.hi", "expected").alias("ci_hi"), "converged")
 
 
 def chance_compare(rows: DataFrame, k: int = 100, n_rot: int = 200, n_boot: int = 200, min_cells: int = 500,
                    min_tagged: int = 30, cap: int | None = None) -> DataFrame:
     """One row per region with every baseline.  Small regions are removed before the searches."""
     size = rows.groupBy("region").agg(F.count("*").alias("n_cells"), count_where(F.col("tagged")).alias("n_tagged"))
-    keep = settle(size.where((F.col("n_cells") >= min_cells) & (F.col("n_tagged") >= min_tagged)))
+    keep = settle(size.where((F.col("n_cells") >= min_cells) & (F.col("n_tagged") >= min_tagged)), "kept")
     used = settle(rows.join(keep.select("region"), "region", "left_semi"), "compare")
-    sections = local_sections(used, k, cap)
-    loc = local_chance(sections).select("region", F.col("above_chance_local").alias("local"))
-    ci = bootstrap_sections(sections, n_boot).select("region", "ci_lo", "ci_hi")
+    loc = local_table(used, k, n_boot, cap=cap).select("region", F.col("above_chance_local").alias("local"), "ci_lo", "ci_hi")
     fit = fitted_expectation(used).select("region", F.col("ratio").alias("fitted"))
     rot = rotation_null(used, n_rot, cap=cap).select("region", F.col("ratio").alias("rotation"), F.col("p").alias("rotation_p"))
     floor = anchor_floor(used, ["region"]).select("region", "anchor_floor")
     out = keep
-    for part in (naive_ratio(used, ["region"]), loc, fit, floor, rot, ci):
+    for part in (naive_ratio(used, ["region"]), loc, fit, floor, rot):
         out = out.join(part, "region", "left")
-    return out
+    return out.select("region", "n_cells", "n_tagged", "naive", "local", "fitted", "anchor_floor", "rotation", "rotation_p", "ci_lo", "ci_hi")

@@ -12,15 +12,28 @@ HEMISPHERES = ("Left", "Right")
 
 
 def ontology_closure(edges: DataFrame) -> DataFrame:
-    """(ancestor, descendant, distance), self pairs included."""
-    closure = edges.sparkSession.sql(
-        """WITH RECURSIVE up(ancestor, descendant, distance) AS (
-             SELECT acronym, acronym, 0 FROM {edges}
-             UNION ALL
-             SELECT e.parent, u.descendant, u.distance + 1
-             FROM up u JOIN {edges} e ON e.acronym = u.ancestor WHERE e.parent IS NOT NULL)
-           SELECT ancestor, descendant, distance FROM up""", edges=edges)
-    return settle(closure, "closure")
+    """(ancestor, descendant, distance), self pairs included, of a tree of any depth.
+
+    Every region holds its path upwards and where it goes on.  A round appends the path that begins there, so paths double and the rounds grow with
+    the logarithm of the depth.  Paths that go on after as many steps as there are regions lie above a cycle, which is an error.
+    """
+    paths = edges.select(F.col("acronym").alias("node"), F.array("acronym").alias("path"), F.col("parent").alias("next")).distinct()
+    length, nodes = 1, None
+    while True:
+        onward = paths.select(F.col("node").alias("next"), F.col("path").alias("_more"), F.col("next").alias("_next"))
+        more = F.when(F.col("next").isNotNull(), F.coalesce("_more", F.array("next")))
+        paths = settle(paths.join(onward, "next", "left").select(
+            "node", F.concat("path", F.coalesce(more, F.slice("path", 1, 0))).alias("path"), F.col("_next").alias("next")), "paths")
+        length *= 2
+        going = paths.where("next IS NOT NULL")
+        if going.isEmpty():
+            break
+        nodes = nodes or edges.select("acronym").union(edges.select("parent")).distinct().count()
+        if length > nodes:
+            looped = [r[0] for r in going.orderBy("node").limit(3).collect()]
+            raise ValueError(f"the region tree has a cycle above {', '.join(map(str, looped))}")
+    up = paths.select("node", F.posexplode("path").alias("distance", "ancestor")).select("ancestor", F.col("node").alias("descendant"), "distance")
+    return settle(up.distinct(), "closure")
 
 
 def excluded_closure(closure: DataFrame, excluded: DataFrame) -> DataFrame:

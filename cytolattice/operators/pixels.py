@@ -6,6 +6,8 @@ and channel after one combinable aggregate, whatever the number of pixels.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import ROBUST_SCALE, count_where, dbl, ratio, span_cut
@@ -25,9 +27,13 @@ def java_round(c) -> Column:
 # ---- histograms and peaks -----------------------------------------------------------------
 
 def intensity_histogram(pixels: DataFrame, keys: list[str], bins: int = 512, vmax: int = VMAX) -> DataFrame:
-    """Count per bin on a dense spine of ``bins`` bins over [0, vmax)."""
-    width = vmax // bins
-    got = pixels.groupBy(*keys, F.floor(F.col("v") / width).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+    """Count per bin on a dense spine of ``bins`` bins over [0, vmax).
+
+    Bins are vmax / bins wide, rounded up; values below the first bin or beyond the last one count there, so none is lost.
+    """
+    width = -(-vmax // bins)
+    at = F.least(F.greatest(F.floor(F.col("v") / width), F.lit(0)), F.lit(bins - 1)).cast("long")
+    got = pixels.where("v IS NOT NULL").groupBy(*keys, at.alias("bin")).agg(F.count("*").alias("n"))
     spine = got.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))).alias("bin"))
     return spine.join(got, keys + ["bin"], "left").select(
         *keys, "bin", (F.col("bin") * width).alias("lo"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
@@ -164,17 +170,50 @@ def crop_coverage(pixels: DataFrame, keys: list[str], size: int, cut: float) ->
         F.avg((F.col("v") > cut).cast("int")).alias("frac_above"), F.count("*").alias("n"))
 
 
-def spread_tiles(pixels: DataFrame, keys: list[str], size: int, ignore_below: float, n: int) -> DataFrame:
-    """Mostly-tissue tiles sampled across the score range: one per score bucket.
+SCORE_STEP = 8              # every eighth pixel and row of a window is scored
+
+
+def spread_tiles(pixels: DataFrame, keys: list[str], size: int, ignore_below: float, n: int, every: int = SCORE_STEP) -> DataFrame:
+    """``n`` mostly-tissue windows a plane, spread over its score range and at least two sizes apart.
 
-    The buckets replace a minimum pixel distance.  Only tiles are ranked, never pixels.
+    Windows start at multiples of half their size; a score is the share of every ``every``-th pixel above ``ignore_below``, and more than half
+    makes a candidate.  Of the candidates by score at most 4 n, evenly spread over the ranks, are tried from the highest on: one is taken if no
+    taken one is closer than two sizes in both directions.  If fewer than ``n`` are apart, the first tried of the others fill up.
+    A plane without a candidate gives its middle window, with a NULL score.  Windows are ranked, never pixels; a fold runs over 4 n at most.
     """
-    t = crop_coverage(pixels, keys, size, ignore_below).where(F.col("frac_above") > 0.5)
-    w = W.partitionBy(*keys).orderBy("frac_above", "ty", "tx")
-    b = t.withColumn("bucket", F.ntile(n).over(w))
-    first = W.partitionBy(*keys, "bucket").orderBy(F.desc("frac_above"), "ty", "tx")
-    return (b.withColumn("_r", F.row_number().over(first)).where("_r = 1")
-            .select(*keys, F.col("bucket").cast("long").alias("bucket"), "ty", "tx", F.col("frac_above").alias("score")))
+    edge = pixels.groupBy(*keys).agg((F.max("y") + 1).cast("long").alias("_h"), (F.max("x") + 1).cast("long").alias("_w"))
+    edge = settle(edge.withColumn("_size", F.least(F.lit(size).cast("long"), "_h", "_w")), "planes")
+    edge = edge.withColumn("_step", F.greatest(F.floor(F.col("_size") / 2), F.lit(1)))
+    p = pixels.select(*keys, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), "v").join(edge, keys)
+
+    def starts(c, extent):
+        """Window starts whose window holds the pixel and scores it."""
+        low = F.greatest(F.ceil((F.col(c) - F.col("_size") + 1) / F.col("_step")), F.lit(0))
+        some = F.transform(F.sequence(low, F.greatest(F.floor(F.col(c) / F.col("_step")), low)), lambda k: k * F.col("_step"))
+        return F.filter(some, lambda o: (o <= F.col(c)) & (o + F.col("_size") > F.col(c)) & (o + F.col("_size") <= F.col(extent)) & ((F.col(c) - o) % every == 0))
+
+    w = p.withColumn("ty", F.explode(starts("y", "_h"))).withColumn("tx", F.explode(starts("x", "_w")))
+    scored = w.groupBy(*keys, "ty", "tx", "_size").agg(F.avg((F.col("v") > ignore_below).cast("int")).alias("score")).where(F.col("score") > 0.5)
+    by_plane = W.partitionBy(*keys)
+    ranked = scored.withColumn("_r", F.row_number().over(by_plane.orderBy("score", "ty", "tx")) - 1).withColumn("_m", F.count("*").over(by_plane))
+    k = F.least(F.lit(4 * n), F.col("_m"))
+    place = lambda i: F.when(i == k - 1, F.col("_m") - 1).otherwise(F.rint(i * ((F.col("_m") - 1) / F.greatest(k - 1, F.lit(1)))).cast("long"))
+    tried = ranked.where(F.array_contains(F.transform(F.sequence(F.lit(0), k - 1), place), F.col("_r").cast("long")))
+    tile = F.struct((-F.col("_r")).alias("order"), "ty", "tx", "score", "_size")
+    lists = tried.groupBy(*keys).agg(F.array_sort(F.collect_list(tile)).alias("tried"))
+    none = F.filter("tried", lambda t: F.lit(False))
+
+    def apart(chosen, t):
+        far = F.forall(chosen, lambda c: (F.abs(c["ty"] - t["ty"]) >= 2 * t["_size"]) | (F.abs(c["tx"] - t["tx"]) >= 2 * t["_size"]))
+        return F.when((F.size(chosen) < n) & far, F.concat(chosen, F.array(t))).otherwise(chosen)
+
+    lists = lists.withColumn("chosen", F.aggregate("tried", none, apart))
+    chosen = F.slice(F.concat("chosen", F.array_except("tried", "chosen")), 1, n)
+    out = edge.join(lists.select(*keys, chosen.alias("chosen")), keys, "left")
+    middle = lambda extent: F.floor((F.col(extent) - F.col("_size")) / 2)
+    spare = F.array(F.struct(F.lit(0).cast("int").alias("order"), middle("_h").alias("ty"), middle("_w").alias("tx"), F.lit(None).cast("double").alias("score"), "_size"))
+    return out.select(*keys, F.posexplode(F.coalesce("chosen", spare)).alias("_i", "t")).select(
+        *keys, (F.col("_i") + 1).cast("long").alias("place"), F.col("t.ty").cast("long").alias("y"), F.col("t.tx").cast("long").alias("x"), F.col("t.score").alias("score"))
 
 
 def tissue_bbox(pixels: DataFrame, cuts: DataFrame, keys: list[str], factor: int, full_y: int, full_x: int, margin_percent: float) -> DataFrame:
@@ -242,20 +281,44 @@ def feathered_blend(tiles: DataFrame, margin: int, vmax: int = VMAX - 1) -> Data
     return agg.withColumn("v", F.least(F.greatest(F.rint(F.round("v", 9)), F.lit(0.0)), F.lit(float(vmax))).cast("long"))
 
 
-def flat_field(tiles: DataFrame, radius: int = 1) -> DataFrame:
-    """Illumination shape per channel: per-tile mean-normalised, median per pixel, box-smoothed, mean 1.
+def gaussian_weights(sigma: float, truncate: float = 4.0) -> np.ndarray:
+    """Weights of offsets -r..r with r = int(truncate * sigma + 0.5), summing to 1."""
+    reach = int(truncate * sigma + 0.5)
+    at = np.arange(-reach, reach + 1)
+    w = np.exp(-0.5 * (at / sigma) ** 2) if sigma > 0 else np.ones(1)
+    return w / w.sum()
+
+
+def gaussian_along(field: DataFrame, keys: list[str], fixed: str, along: str, value: str, sigma: float) -> DataFrame:
+    """Gaussian smoothing along one axis, borders reflected; a line of a tile is one array, so a row of the kernel join holds one line."""
+    weights = gaussian_weights(sigma)
+
+    @F.pandas_udf("array<double>")
+    def smooth(lines: pd.Series) -> pd.Series:
+        reach = len(weights) // 2
+        return pd.Series([np.convolve(np.pad(np.asarray(v, float), reach, mode="symmetric"), weights, mode="valid") for v in lines])
+
+    lines = field.groupBy(*keys, fixed).agg(F.array_sort(F.collect_list(F.struct(along, value))).alias("_line"))
+    lines = lines.withColumn("_out", smooth(F.transform("_line", lambda p: p[value])))
+    return lines.select(*keys, fixed, F.inline(F.arrays_zip(F.transform("_line", lambda p: p[along]).alias(along), F.col("_out").alias(value))))
 
-    ``tiles``: channel, tile, y, x, v.  The box average stands in for a Gaussian.
+
+def flat_field(tiles: DataFrame, sigma: float = 20.0) -> DataFrame:
+    """Illumination shape per channel: per-tile mean-normalised, median per pixel, Gaussian-smoothed with reflected borders, mean 1.
+
+    ``tiles``: channel, tile, y, x, v.  A channel without a tile of some brightness, or with tiles of different shapes, has a field of ones.
     """
-    mean = settle(tiles.groupBy("channel", "tile").agg(F.avg("v").alias("_m")).where(F.col("_m") > 1e-6), "tile-means")
+    shape = settle(tiles.groupBy("channel", "tile").agg(F.avg("v").alias("_m"), F.max("y").alias("_y"), F.max("x").alias("_x")), "tiles")
+    sound = shape.groupBy("channel").agg((F.min(F.struct("_y", "_x")) == F.max(F.struct("_y", "_x"))).alias("_same")).where("_same")
+    mean = shape.where(F.col("_m") > 1e-6).join(sound, "channel", "left_semi").select("channel", "tile", "_m")
     norm = tiles.join(mean, ["channel", "tile"]).select("channel", "y", "x", (F.col("v") / F.col("_m")).alias("_r"))
     field = grouped_quantiles(norm, ["channel", "y", "x"], "_r", [0.5], ["f"]).drop("n")
-    row = W.partitionBy("channel", "y").orderBy("x").rangeBetween(-radius, radius)
-    column = W.partitionBy("channel", "x").orderBy("y").rangeBetween(-radius, radius)
-    field = settle(field.withColumn("f", F.avg("f").over(row)).withColumn("f", F.avg("f").over(column)), "field")
-    level = field.groupBy("channel").agg(F.avg("f").alias("_l"))
+    field = gaussian_along(field, ["channel"], "y", "x", "f", sigma)
+    field = settle(gaussian_along(field, ["channel"], "x", "y", "f", sigma), "field")
+    level = field.groupBy("channel").agg(F.avg("f").alias("_l")).where(F.col("_l") > 1e-6)
     out = field.join(level, "channel").select("channel", "y", "x", (F.col("f") / F.col("_l")).alias("field"))
-    return out.withColumn("field", F.when(F.col("field") > 1e-6, F.col("field")).otherwise(1.0))
+    every = tiles.select("channel", "y", "x").distinct().join(out, ["channel", "y", "x"], "left")
+    return every.withColumn("field", F.when(F.col("field") > 1e-6, F.col("field")).otherwise(1.0))
 
 
 def shading_correct(tiles: DataFrame, field: DataFrame, vmax: int = VMAX - 1) -> DataFrame:
@@ -268,8 +331,11 @@ def shading_correct(tiles: DataFrame, field: DataFrame, vmax: int = VMAX - 1) ->
 
 # ---- blobs ----------------------------------------------------------------------------------------
 
+BLOCK = 256                 # side of a block labelled at once
+
+
 def _components(edges: DataFrame) -> DataFrame:
-    """Smallest node id of each node's component, by neighbour minima and pointer jumps.
+    """Smallest node of each node's component, by neighbour minima and pointer jumps.  Nodes may be of any ordered type.
 
     Every round is two equi-joins; labels at least halve their chain per round.  A popular label
     sits on the many side of a many-to-one join, which adaptive execution splits.
@@ -277,36 +343,71 @@ def _components(edges: DataFrame) -> DataFrame:
     both = settle(edges.select("section", "channel", "a", "b").unionByName(
         edges.select("section", "channel", F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     key = ["section", "channel"]
-    labels = settle(both.groupBy(*key, F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
+    labels = both.groupBy(*key, F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label"))
     while True:
+        labels = settle(labels, "labels")
         near = (both.join(labels.select(*key, F.col("node").alias("b"), F.col("label").alias("_l")), key + ["b"])
                 .groupBy(*key, F.col("a").alias("node")).agg(F.min("_l").alias("_near")))
         hook = settle(labels.join(near, key + ["node"]).select(*key, "node", F.col("label").alias("_old"), F.least("label", "_near").alias("label")), "hook")
-        jump = hook.select(*key, F.col("node").alias("label"), F.col("label").alias("_next"))
-        nxt = settle(hook.join(jump, key + ["label"], "left").select(
-            *key, "node", "_old", F.coalesce("_next", F.col("label")).alias("label")), "labels")
-        changed = not nxt.where(F.col("label") != F.col("_old")).isEmpty()
-        labels = nxt.drop("_old")
-        if not changed:
+        if hook.where(F.col("label") != F.col("_old")).isEmpty():
             return labels
+        jump = hook.select(*key, F.col("node").alias("label"), F.col("label").alias("_next"))
+        labels = hook.join(jump, key + ["label"], "left").select(*key, "node", F.coalesce("_next", F.col("label")).alias("label"))
+
+
+def block_labels(y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """For pixels of one block sorted by (y, x): number of the first pixel of each one's 4-connected part."""
+    n = len(y)
+    at = (y - y.min()) * (x.max() - x.min() + 3) + (x - x.min())
+    edges = []
+    for step in (1, int(x.max() - x.min()) + 3):
+        place = np.searchsorted(at, at + step)
+        met = np.flatnonzero(at[np.minimum(place, n - 1)] == at + step)
+        edges.append(np.stack([met, place[met]]))
+    a, b = np.concatenate(edges, axis=1)
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        while True:
+            nxt = new[new]
+            if np.array_equal(nxt, new):
+                break
+            new = nxt
+        if np.array_equal(new, label):
+            return label
+        label = new
 
 
 def label_pixels(pixels: DataFrame) -> DataFrame:
-    """4-connected component label per positive pixel row (section, channel, y, x).
+    """4-connected component per positive pixel (section, channel, y, x): ``blob`` = struct(y, x) of its first pixel by y, then x.
 
-    Horizontal runs are found in each image row, runs touching the next row become edges (an
-    equi-join on the pixel below), and only runs enter the component search.
+    Two levels: pixels of a block of BLOCK x BLOCK are labelled together, a bounded group, and only labels that touch the border of a block enter
+    a component search over the pixels that face each other across borders.  Repeated pixels count once.
     """
     key = ["section", "channel"]
-    w = W.partitionBy(*key, "y").orderBy("x")
     p = pixels.select(*key, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"))
-    p = p.withColumn("_g", F.col("x") - F.row_number().over(w))
-    start = F.min("x").over(W.partitionBy(*key, "y", "_g"))
-    p = settle(p.select(*key, "y", "x", (F.col("y") * F.lit(1 << 24) + start).alias("run")), "runs")
-    below = p.select(*key, (F.col("y") - 1).alias("y"), "x", F.col("run").alias("b"))
-    edges = p.join(below, key + ["y", "x"]).select(*key, F.col("run").alias("a"), "b").distinct()
-    comp = _components(edges).withColumnRenamed("node", "run")
-    return p.join(comp, key + ["run"], "left").select(*key, "y", "x", F.coalesce("label", F.col("run")).alias("blob"))
+    p = p.withColumn("_by", F.floor(F.col("y") / BLOCK)).withColumn("_bx", F.floor(F.col("x") / BLOCK))
+
+    def labelled(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.drop_duplicates(["y", "x"]).sort_values(["y", "x"], ignore_index=True)
+        y, x = block["y"].to_numpy(), block["x"].to_numpy()
+        first = block_labels(y, x)
+        return pd.DataFrame({"section": block["section"], "channel": block["channel"], "y": y, "x": x, "ly": y[first], "lx": x[first]})
+
+    types = dict(pixels.dtypes)
+    local = p.groupBy(*key, "_by", "_bx").applyInPandas(labelled, f"section {types['section']}, channel {types['channel']}, y long, x long, ly long, lx long")
+    local = settle(local.select(*key, "y", "x", F.struct(F.col("ly").alias("y"), F.col("lx").alias("x")).alias("part")), "parts")
+    edges = None
+    for c in ("y", "x"):
+        last = local.where(F.pmod(F.col(c), F.lit(BLOCK)) == BLOCK - 1).select(*key, "y", "x", F.col("part").alias("a"))
+        first = local.where(F.pmod(F.col(c), F.lit(BLOCK)) == 0).withColumn(c, F.col(c) - 1).select(*key, "y", "x", F.col("part").alias("b"))
+        met = last.join(first, key + ["y", "x"]).select(*key, "a", "b")
+        edges = met if edges is None else edges.unionByName(met)
+    comp = _components(edges.distinct()).withColumnRenamed("node", "part")
+    return local.join(comp, key + ["part"], "left").select(*key, "y", "x", F.coalesce("label", F.col("part")).alias("blob"))
 
 
 def connected_blobs(pixels: DataFrame, min_px: int = 1) -> DataFrame:

@@ -1,17 +1,22 @@
 """Containment and overlap of regions, as equi-joins on tiles.
 
-A shape has ``x0, x1, y0, y1`` and optionally ``ring`` (array of x/y vertices).  Each tile lists
-the shapes that reach it; a point looks up one tile and tests only those, so cells are neither
-shuffled nor multiplied when the tile table is small enough for Spark to broadcast, and a crowded
-tile is split by adaptive execution when it is not.
+A shape has ``x0, x1, y0, y1`` and optionally ``ring`` (array of x/y vertices).  Each cell of a quad-tree cover (``shapeindex``) lists
+the shapes that reach it; a point looks up one cell a level and tests only those, so cells are neither
+shuffled nor multiplied when the index is small enough for Spark to broadcast.  ``tile`` is the smallest cell's side for boxes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import count_where
 from ..session import settle
+from .draws import SCRAMBLE, scramble
+from .outlines import box_ring, with_intersection_area
+from .shapeindex import in_cell, look_up, meeting_boxes, shape_index
+
+
+RING = "array<struct<x:double,y:double>>"
 
 
 def in_ring(ring: Column, x: Column, y: Column) -> Column:
@@ -54,37 +59,15 @@ def contains(shape: Column, x: Column, y: Column, ring: bool) -> Column:
     return box & (shape["ring"].isNull() | in_ring(shape["ring"], x, y))
 
 
-TILE_LIMIT = 4096          # shapes one tile row may list
+def _lookup(points: DataFrame, lists: DataFrame, levels: list[int], tile: float, keys: list[str], ring: bool) -> DataFrame:
+    """Points with ``hits``: the shapes that contain them, best first (empty or NULL when none reach)."""
+    x, y = F.col("x"), F.col("y")
 
+    def test(s):
+        box = (x >= s["x0"]) & (x < s["x1"]) & (y >= s["y0"]) & (y < s["y1"])
+        return box & in_cell(s, y, x) if ring else box
 
-def shape_tiles(shapes: DataFrame, tile: float, keys: list[str], order: list[str], limit: int | None = None) -> tuple[DataFrame, bool]:
-    """(keys, tx, ty, shapes[]) with the best ``order`` first, and whether any tile was split.
-
-    A tile reached by more than ``limit`` shapes is spread over several rows, so no list grows with
-    the data; its points then meet several rows and their answers are merged.
-    """
-    limit = limit or TILE_LIMIT
-    span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / tile), F.floor(F.col(hi) / tile))
-    body = [c for c in shapes.columns if c not in keys and c not in order]
-    rows = shapes.select(*keys, F.struct(*order, *body).alias("_s"), F.explode(span("x0", "x1")).alias("tx"), "y0", "y1")
-    rows = rows.select(*keys, "_s", "tx", F.explode(span("y0", "y1")).alias("ty"))
-    spot = [*keys, "tx", "ty"]
-    crowded = settle(rows.groupBy(*spot).agg(F.count("*").alias("_n")).where(F.col("_n") > limit), "crowded")
-    split = not crowded.isEmpty()
-    if split:
-        rows = rows.join(crowded, spot, "left").withColumn(
-            "_part", F.pmod(F.xxhash64("_s"), F.coalesce(F.ceil(F.col("_n") / limit), F.lit(1))))
-        spot = [*spot, "_part"]
-    lists = rows.groupBy(*spot).agg(F.array_sort(F.collect_list("_s")).alias("shapes"))
-    return settle(lists.drop("_part"), "tiles"), split
-
-
-def _lookup(points: DataFrame, tiles: DataFrame, tile: float, keys: list[str], ring: bool) -> DataFrame:
-    """Points with ``hits``: the shapes that contain them, best first (NULL when none reach)."""
-    p = points.withColumn("tx", F.floor(F.col("x") / tile)).withColumn("ty", F.floor(F.col("y") / tile))
-    joined = p.join(tiles, keys + ["tx", "ty"], "left")
-    hits = F.filter("shapes", lambda s: contains(s, F.col("x"), F.col("y"), ring))
-    return joined.withColumn("hits", hits).drop("tx", "ty", "shapes")
+    return look_up(points, lists, levels, tile, keys, test)
 
 
 def _best(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str], order: list[str], ring: bool,
@@ -94,10 +77,10 @@ def _best(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str], or
     Where tiles were split, positions are looked up and merged, and points join their position's
     answer: equal point rows stay, and points may have columns of any type.
     """
-    tiles, split = shape_tiles(shapes, tile, keys, order, limit)
+    lists, levels, split = shape_index(shapes, tile, keys, order, limit)
     spot = [*keys, "x", "y"]
     rows = points.select(*spot).distinct() if split else points
-    hit = _lookup(rows, tiles, tile, keys, ring).withColumn("best", F.get("hits", F.lit(0))).drop("hits")
+    hit = _lookup(rows, lists, levels, tile, keys, ring).withColumn("best", F.get("hits", F.lit(0))).drop("hits")
     if not split:
         return hit
     merged = hit.groupBy(*spot).agg(F.min("best").alias("best")).select(*[F.col(c).alias(f"_at_{c}") for c in spot], "best")
@@ -143,8 +126,8 @@ def cells_in_shape(points: DataFrame, shapes: DataFrame, tile: float, keys: list
     """One row per (point, shape) containment; a point in two shapes counts in both."""
     keys = keys or []
     shapes, ring = _prepare(shapes, area=False)
-    tiles, _ = shape_tiles(shapes, tile, keys, ["shape_id"], limit)
-    hit = _lookup(points, tiles, tile, keys, ring)
+    lists, levels, _ = shape_index(shapes, tile, keys, ["shape_id"], limit)
+    hit = _lookup(points, lists, levels, tile, keys, ring)
     cols = points.columns
     return hit.select(*cols, F.explode("hits").alias("s")).select(*cols, "s.shape_id", "s.roi_name")
 
@@ -156,8 +139,8 @@ def geometric_leaf(shapes: DataFrame, tile: float, keys: list[str] | None = None
     middle = lambda c: (F.col(f"{c}0") + F.col(f"{c}1")) / 2
     centre = lambda c: F.coalesce(ring_centre(F.col("ring"), c), middle(c)) if ring else middle(c)
     own = shapes.select(*keys, F.col("region_id").alias("small_id"), F.col("area").alias("small_area"), centre("x").alias("x"), centre("y").alias("y"))
-    tiles, _ = shape_tiles(shapes, tile, keys, ["area", "region_id"])
-    hit = _lookup(own, tiles, tile, keys, ring)
+    lists, levels, _ = shape_index(shapes, tile, keys, ["area", "region_id"])
+    hit = _lookup(own, lists, levels, tile, keys, ring)
     parents = (hit.select(*keys, "small_id", "small_area", F.explode("hits").alias("s"))
                .where((F.col("s.area") > F.col("small_area")) & (F.col("s.region_id") != F.col("small_id")))
                .select(*keys, F.col("s.region_id").alias("region_id")).distinct())
@@ -184,23 +167,16 @@ def rings_meet(a: Column, b: Column) -> Column:
     return edge | in_ring(a, b[0]["x"], b[0]["y"]) | in_ring(b, a[0]["x"], a[0]["y"])
 
 
-def bbox_overlap_pairs(boxes: DataFrame, tile: float, keys: list[str] | None = None, box_id: str = "shape_id") -> DataFrame:
-    """Unordered pairs of boxes that overlap with positive area.
+def bbox_overlap_pairs(boxes: DataFrame, tile: float, keys: list[str] | None = None, box_id: str = "shape_id", block: int | None = None) -> DataFrame:
+    """Unordered pairs of boxes that overlap with positive area, and of outlines that meet where both have one.
 
-    Boxes meet on shared tiles; a pair is kept only in the tile of its overlap's lower corner,
-    so nothing has to be deduplicated.
+    Boxes meet in the one cell of their overlap's lower corner, so nothing has to be deduplicated; crowded cells are joined in
+    pairs of blocks of ``block`` boxes.
     """
     keys = keys or []
-    span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / tile), F.floor(F.col(hi) / tile))
     extra = ["ring"] if "ring" in boxes.columns else []
-    t = boxes.select(*keys, box_id, "x0", "x1", "y0", "y1", *extra, F.explode(span("x0", "x1")).alias("tx"))
-    t = t.select("*", F.explode(span("y0", "y1")).alias("ty"))
-    a = t.select(*keys, "tx", "ty", *[F.col(c).alias(f"a_{c}") for c in [box_id, "x0", "x1", "y0", "y1", *extra]])
-    b = t.select(*keys, "tx", "ty", *[F.col(c).alias(f"b_{c}") for c in [box_id, "x0", "x1", "y0", "y1", *extra]])
-    cx, cy = F.greatest("a_x0", "b_x0"), F.greatest("a_y0", "b_y0")
-    meet = ((F.col(f"a_{box_id}") < F.col(f"b_{box_id}")) & (cx < F.least("a_x1", "b_x1")) & (cy < F.least("a_y1", "b_y1"))
-            & (F.floor(cx / tile) == F.col("tx")) & (F.floor(cy / tile) == F.col("ty")))
-    pairs = a.join(b, keys + ["tx", "ty"]).where(meet)
+    b = settle(boxes.select(*keys, box_id, "x0", "x1", "y0", "y1", *extra), "boxes")
+    pairs = meeting_boxes(b, b, tile, keys, box_id, **({"block": block} if block else {})).where(F.col(f"a_{box_id}") < F.col(f"b_{box_id}"))
     if extra:
         pairs = pairs.where(F.col("a_ring").isNull() | F.col("b_ring").isNull() | rings_meet(F.col("a_ring"), F.col("b_ring")))
     return pairs.select(*keys, F.col(f"a_{box_id}").alias("first"), F.col(f"b_{box_id}").alias("second"))
@@ -250,31 +226,48 @@ def annulus_background(cells: DataFrame, pixels: DataFrame, radius: float, gap:
         "bgsub", F.col("raw_mean") - F.col("background"))
 
 
-def random_boxes(shapes: DataFrame, sides: list[float], per_region: int = 3, attempts: int = 3000, seed: int = 42) -> DataFrame:
+BOX_LADDER = (150.0, 120.0, 100.0, 80.0, 60.0, 50.0, 40.0)          # micrometres, largest first
+FIRST_ATTEMPTS, GROWTH = 64, 8
+
+
+def _box_candidates(shapes: DataFrame, step: int, side: float, first: int, last: int, seed: int) -> DataFrame:
+    """Attempts ``first`` to ``last`` at boxes of one side whose four corners lie inside their region."""
+    ring = "ring" in shapes.columns
+    own = F.conv(F.substring(F.md5(F.col("region_id").cast("string")), 1, 7), 16, 10).cast("long")
+    tries = shapes.withColumn("attempt", F.explode(F.sequence(F.lit(first).cast("long"), F.lit(last - 1).cast("long"))))
+    u = scramble((own + step * 104729 + F.col("attempt") * 1299709 + seed) % SCRAMBLE)
+    tries = tries.withColumn("_u", u).withColumn("_w", scramble((F.col("_u") + 1) % SCRAMBLE))
+    at = lambda c, draw: F.col(f"{c}0") + F.floor(F.greatest(F.col(f"{c}1") - F.col(f"{c}0") - side, F.lit(1.0)) * F.col(draw) / SCRAMBLE)
+    tries = tries.withColumn("bx", at("x", "_u")).withColumn("by", at("y", "_w"))
+    shape = F.struct("x0", "x1", "y0", "y1", *(["ring"] if ring else []))
+    inside = F.lit(True)
+    for dx, dy in ((0, 0), (1, 0), (0, 1), (1, 1)):
+        inside = inside & contains(shape, F.col("bx") + dx * side, F.col("by") + dy * side, ring)
+    return tries.where(inside).select("region_id", F.lit(step).alias("step"), "attempt", F.lit(float(side)).alias("side"), "bx", "by")
+
+
+def random_boxes(shapes: DataFrame, sides: tuple[float, ...] = BOX_LADDER, per_region: int = 3, attempts: int = 3000, seed: int = 42) -> DataFrame:
     """Seeded square boxes fully inside each region, largest side first.
 
-    Attempts are ranked per (region, side) and side; the candidate list per region is fixed.
+    Rejection sampling in rounds: only regions that still lack boxes try again, GROWTH times as often each time, up to ``attempts`` a side, then with
+    the next side.  Draws depend on the region's id alone, so a region's boxes are those a sequential search would take.
     """
-    m = F.lit(2_147_483_647).cast("long")
-    base = shapes.select("region_id", "ordinal", "x0", "x1", "y0", "y1", *(["ring"] if "ring" in shapes.columns else []),
-                         F.explode(F.array(*[F.struct(F.lit(i).alias("step"), F.lit(float(s)).alias("side"))
-                                             for i, s in enumerate(sides)])).alias("s"))
-    cand = base.select("*", "s.step", "s.side", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(attempts - 1).cast("long"))).alias("attempt"))
-    u = ((F.col("ordinal") * 7919 + F.col("step") * 104729 + F.col("attempt") * 1299709 + seed).cast("long") * 48271) % m
-    w = (u * 48271 + 11) % m
-    wx, wy = F.col("x1") - F.col("x0") - F.col("side"), F.col("y1") - F.col("y0") - F.col("side")
-    cand = (cand.withColumn("bx", F.col("x0") + F.floor(F.greatest(wx, F.lit(1.0)) * u / m))
-            .withColumn("by", F.col("y0") + F.floor(F.greatest(wy, F.lit(1.0)) * w / m)))
-    shape = F.struct("x0", "x1", "y0", "y1", *(["ring"] if "ring" in shapes.columns else []))
-    corners = [(F.col("bx") + a * F.col("side"), F.col("by") + b * F.col("side")) for a in (0, 1) for b in (0, 1)]
-    ok = None
-    for x, y in corners:
-        c = contains(shape, x, y, "ring" in shapes.columns)
-        ok = c if ok is None else ok & c
-    from pyspark.sql import Window as W
-    w_ = W.partitionBy("region_id").orderBy("step", "attempt")
-    return (cand.where(ok).withColumn("box", F.row_number().over(w_)).where(F.col("box") <= per_region)
-            .select("region_id", F.col("box").cast("long").alias("box"), "side", "bx", "by"))
+    shapes = settle(shapes.select("region_id", "x0", "x1", "y0", "y1", *(["ring"] if "ring" in shapes.columns else [])), "box-regions")
+    order = W.partitionBy("region_id").orderBy("step", "attempt")
+    taken = settle(_box_candidates(shapes, 0, 1.0, 0, 1, seed).where(F.lit(False)), "boxes")
+    for step, side in enumerate(sides):
+        # A box never fits where the side is not below both extents.
+        first, size, fits = 0, FIRST_ATTEMPTS, shapes.where((F.col("x1") - F.col("x0") > side) & (F.col("y1") - F.col("y0") > side))
+        while first < attempts:
+            full = taken.groupBy("region_id").agg(F.count("*").alias("_n")).where(F.col("_n") >= per_region)
+            open_ = fits.join(full, "region_id", "left_anti")
+            if open_.isEmpty():
+                break
+            last = min(attempts, first + size)
+            got = taken.unionByName(_box_candidates(open_, step, side, first, last, seed))
+            taken = settle(got.withColumn("box", F.row_number().over(order)).where(F.col("box") <= per_region).drop("box"), "boxes")
+            first, size = last, GROWTH * size
+    return taken.select("region_id", F.row_number().over(order).cast("long").alias("box"), "side", "bx", "by")
 
 
 def count_in_boxes(boxes: DataFrame, points: DataFrame, tile: float) -> DataFrame:
@@ -288,35 +281,44 @@ def count_in_boxes(boxes: DataFrame, points: DataFrame, tile: float) -> DataFram
                       (F.col("machine") / (F.col("side") * F.col("side") / 1e6)).alias("machine_per_mm2"))
 
 
-def greedy_overlap_match(a: DataFrame, b: DataFrame, tile: float, min_frac: float) -> DataFrame:
-    """One-to-one pairs of boxes, best overlap first: intersection over the smaller area.
-
-    Each round accepts every pair that is the best of both its sides and drops what touches it;
-    under a total order that equals the sequential greedy choice.  Both sides: id, x0, x1, y0, y1.
-    """
-    from ..session import cut_lineage
-    both = a.select("id", "x0", "x1", "y0", "y1").withColumn("shape_id", F.concat(F.lit("a"), "id"))
-    other = b.select("id", "x0", "x1", "y0", "y1").withColumn("shape_id", F.concat(F.lit("b"), "id"))
-    span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / tile), F.floor(F.col(hi) / tile))
-
-    def spread(df, tag):
-        t = df.select(*[F.col(c).alias(f"{tag}_{c}") for c in ("id", "x0", "x1", "y0", "y1")], "x0", "x1", "y0", "y1")
-        t = t.select("*", F.explode(span("x0", "x1")).alias("tx")).select("*", F.explode(span("y0", "y1")).alias("ty"))
-        return t.drop("x0", "x1", "y0", "y1")
-
-    j = spread(both, "a").join(spread(other, "b"), ["tx", "ty"])
-    lx, ly = F.greatest("a_x0", "b_x0"), F.greatest("a_y0", "b_y0")
-    w, h = F.least("a_x1", "b_x1") - lx, F.least("a_y1", "b_y1") - ly
+def _overlaps(a: DataFrame, b: DataFrame, tile: float, min_frac: float, digits: int, block: int | None) -> DataFrame:
+    """(a_id, b_id, frac): pairs with at least ``min_frac`` of the smaller area in common.  Only pairs with an outline are cut into slabs."""
+    ringed = "ring" in a.columns or "ring" in b.columns
+    shaped = lambda df: df.select("id", "x0", "x1", "y0", "y1", *(["ring"] if "ring" in df.columns else [F.lit(None).alias("ring").cast(RING)] if ringed else []))
+    j = meeting_boxes(shaped(a), shaped(b), tile, [], "id", **({"block": block} if block else {}))
+    common = (F.least("a_x1", "b_x1") - F.greatest("a_x0", "b_x0")) * (F.least("a_y1", "b_y1") - F.greatest("a_y0", "b_y0"))
     area = lambda t: (F.col(f"{t}_x1") - F.col(f"{t}_x0")) * (F.col(f"{t}_y1") - F.col(f"{t}_y0"))
-    j = j.where((w > 0) & (h > 0) & (F.floor(lx / tile) == F.col("tx")) & (F.floor(ly / tile) == F.col("ty")))
-    cand = j.select("a_id", "b_id", (w * h / F.least(area("a"), area("b"))).alias("frac")).where(F.col("frac") >= min_frac)
-    cand = cut_lineage(cand)
-    done = None
+    if ringed:
+        # The boxes' common area bounds that of the outlines; the pairs left are dealt evenly, since a row costs far more than its bytes tell.
+        for t in "ab":
+            j = j.withColumn(f"_area_{t}", F.coalesce(ring_area(F.col(f"{t}_ring")), area(t)))
+        spark = j.sparkSession
+        parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        j = j.where(common >= (min_frac - 1e-6) * F.least("_area_a", "_area_b")).repartition(parts, "a_id", "b_id")
+        some = F.col("a_ring").isNotNull() | F.col("b_ring").isNotNull()
+        for t in "ab":
+            whole = F.coalesce(f"{t}_ring", box_ring(*[F.col(f"{t}_{c}") for c in ("x0", "x1", "y0", "y1")]))
+            j = j.withColumn(f"_{t}", F.when(some, whole))
+        j = with_intersection_area(j, F.col("_a"), F.col("_b"), "_common")
+        common, area = F.coalesce("_common", common), lambda t: F.col(f"_area_{t}")
+    frac = F.round(common / F.nullif(F.least(area("a"), area("b")), F.lit(0.0)), digits)
+    # Written before the filter: pushed below it, the area would be computed anew for every comparison.
+    return settle(j.select("a_id", "b_id", frac.alias("frac")), "overlaps").where((F.col("frac") >= min_frac) & (F.col("frac") > 0))
+
+
+def greedy_overlap_match(a: DataFrame, b: DataFrame, tile: float, min_frac: float, digits: int = 9, block: int | None = None) -> DataFrame:
+    """One-to-one pairs of shapes, best overlap first: area in common over the smaller area.
+
+    Both sides: id, x0, x1, y0, y1 and, for outlines, ring (NULL for a box).  Each round accepts every pair that is the best of both
+    its sides and drops what touches it; under a total order that equals the sequential greedy choice.  Fractions are compared to
+    ``digits`` digits, then by ids.
+    """
+    cand, done = _overlaps(a, b, tile, min_frac, digits, block), None
     while not cand.isEmpty():
-        order = F.struct(F.col("frac"), -F.col("a_id"), -F.col("b_id"))
-        pa = cand.groupBy("a_id").agg(F.max_by(F.struct("b_id", "frac"), order).alias("m")).select("a_id", "m.b_id", "m.frac")
-        pb = cand.groupBy("b_id").agg(F.max_by("a_id", order).alias("a_id"))
-        won = cut_lineage(pa.join(pb, ["a_id", "b_id"]))
+        order = F.struct(-F.col("frac"), "a_id", "b_id")
+        pa = cand.groupBy("a_id").agg(F.min_by(F.struct("b_id", "frac"), order).alias("m")).select("a_id", "m.b_id", "m.frac")
+        pb = cand.groupBy("b_id").agg(F.min_by("a_id", order).alias("a_id"))
+        won = settle(pa.join(pb, ["a_id", "b_id"]), "matched")
         done = won if done is None else done.unionByName(won)
-        cand = cut_lineage(cand.join(won.select("a_id"), "a_id", "left_anti").join(won.select("b_id"), "b_id", "left_anti"))
+        cand = settle(cand.join(won.select("a_id"), "a_id", "left_anti").join(won.select("b_id"), "b_id", "left_anti"), "overlaps")
     return done if done is not None else cand

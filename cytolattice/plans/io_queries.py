@@ -195,12 +195,12 @@ def scan_group_map(spark, d):
 @query("stream_ingest_sections", """WITH k AS (SELECT * FROM fx_reference QUALIFY row_number() OVER (PARTITION BY config_tag, slice, region, marker, class ORDER BY seq DESC) = 1)
     SELECT slice, count(*) AS n, CAST(sum(cnt) AS BIGINT) AS cnt, max(seq) AS last_seq FROM k GROUP BY slice""")
 def stream_ingest_sections(spark, d):
-    """All rows in three deliveries; each key keeps its last write."""
+    """All rows in three deliveries, with a compaction after two; each key keeps its last write."""
     ref = view(spark, d, "fx_reference")
     base = scratch_path(spark, "stream")
     out = None
     for i in range(3):
         ref.where(F.col("seq") % 3 == i).write.mode("append").parquet(f"{base}/in")
         out = ingest_all(spark, f"{base}/in", ref.schema, f"{base}/table", f"{base}/ckpt", "slice",
-                         ["config_tag", "slice", "region", "marker", "class"], "seq")
+                         ["config_tag", "slice", "region", "marker", "class"], "seq", compact_every=2)
     return tidy(out.groupBy("slice").agg(F.count("*").alias("n"), F.sum("cnt").alias("cnt"), F.max("seq").alias("last_seq")))

@@ -160,11 +160,26 @@ def coverage_verdict(spark, d):
     return tidy(P.crop_coverage(plane(spark, d), PL, 16, 20000.0).select(*PL, "ty", "tx", coverage_band("frac_above").alias("verdict")))
 
 
-@query("spread_tiles", """WITH t AS (SELECT section, channel, CAST(floor(y / 8) AS BIGINT) AS ty, CAST(floor(x / 8) AS BIGINT) AS tx, avg((v > 15000)::INT) AS f FROM fx_plane GROUP BY 1, 2, 3, 4),
-    b AS (SELECT *, ntile(6) OVER (PARTITION BY section, channel ORDER BY f, ty, tx) AS bucket FROM t WHERE f > 0.5)
-    SELECT section, channel, bucket, ty, tx, round(f, 6) AS score FROM b QUALIFY row_number() OVER (PARTITION BY section, channel, bucket ORDER BY f DESC, ty, tx) = 1""")
+_TILES = """WITH e AS (SELECT section, channel, max(y) + 1 AS h, max(x) + 1 AS w, least(12, max(y) + 1, max(x) + 1) AS s FROM fx_plane GROUP BY 1, 2),
+    o AS (SELECT *, unnest(range(0, w - s + 1, s // 2)) AS tx FROM (SELECT *, unnest(range(0, h - s + 1, s // 2)) AS ty FROM e)),
+    c AS (SELECT o.section, o.channel, s, ty, tx, avg((v > 15000)::INT) AS score FROM o JOIN fx_plane p ON p.section = o.section AND p.channel = o.channel AND p.y >= ty AND p.y < ty + s AND p.x >= tx AND p.x < tx + s
+      AND (p.y - ty) % 2 = 0 AND (p.x - tx) % 2 = 0 GROUP BY ALL HAVING avg((v > 15000)::INT) > 0.5),
+    r AS (SELECT *, row_number() OVER (PARTITION BY section, channel ORDER BY score, ty, tx) - 1 AS r, count(*) OVER (PARTITION BY section, channel) AS m FROM c),
+    p AS (SELECT section, channel, CASE WHEN i = k - 1 THEN m - 1 ELSE round_even(i * ((m - 1) / greatest(k - 1, 1)), 0)::BIGINT END AS r
+      FROM (SELECT *, unnest(range(0, k)) AS i FROM (SELECT DISTINCT section, channel, m, least(4 * 6, m) AS k FROM r))),
+    t AS (SELECT r.*, row_number() OVER (PARTITION BY r.section, r.channel ORDER BY r.r DESC) AS k FROM r JOIN p ON p.section = r.section AND p.channel = r.channel AND p.r = r.r),
+    g(section, channel, k, taken) AS (SELECT section, channel, 0::BIGINT, [{'k': 0::BIGINT, 'y': -1000::BIGINT, 'x': -1000::BIGINT}] FROM e
+      UNION ALL SELECT g.section, g.channel, t.k, CASE WHEN len(taken) <= 6 AND len([q FOR q IN taken IF abs(q.y - ty) < 2 * s AND abs(q.x - tx) < 2 * s]) = 0
+        THEN list_append(taken, {'k': t.k, 'y': ty, 'x': tx}) ELSE taken END FROM g JOIN t ON t.section = g.section AND t.channel = g.channel AND t.k = g.k + 1),
+    f AS (SELECT section, channel, arg_max(taken, k) AS taken FROM g GROUP BY 1, 2),
+    n AS (SELECT t.section, t.channel, ty, tx, score, row_number() OVER (PARTITION BY t.section, t.channel ORDER BY list_contains([q.k FOR q IN taken], t.k) DESC, t.k) AS place FROM t JOIN f ON f.section = t.section AND f.channel = t.channel)
+    SELECT e.section, e.channel, coalesce(place, 1) AS place, coalesce(ty, (h - s) // 2)::BIGINT AS y, coalesce(tx, (w - s) // 2)::BIGINT AS x, round(score, 6) AS score
+    FROM e LEFT JOIN n ON n.section = e.section AND n.channel = e.channel WHERE coalesce(place, 1) <= 6"""
+
+
+@query("spread_tiles", _TILES)
 def spread_tiles(spark, d):
-    return tidy(P.spread_tiles(plane(spark, d), PL, 8, 15000.0, 6))
+    return tidy(P.spread_tiles(plane(spark, d), PL, 12, 15000.0, 6, every=2))
 
 
 @query("tissue_bbox", """WITH m AS (SELECT p.section, p.channel, min(floor(y / 4)) AS y0, max(floor(y / 4)) AS y1, min(floor(x / 4)) AS x0, max(floor(x / 4)) AS x1 FROM fx_plane p JOIN otsu o ON o.section = p.section AND o.channel = p.channel
@@ -219,16 +234,19 @@ def feathered_blend(spark, d):
     return tidy(P.feathered_blend(tiled(spark, d), 6))
 
 
-CTES["ff"] = """WITH m AS (SELECT channel, tile_section, tile, avg(v) AS m FROM tiled GROUP BY 1, 2, 3 HAVING avg(v) > 1e-6),
+# Gaussian of sigma 1 over offsets -4..4, borders reflected, along x and then along y of the 24 x 24 tiles.
+_REFLECT = "CASE WHEN {c} + o < 0 THEN -({c} + o) - 1 WHEN {c} + o > 23 THEN 47 - ({c} + o) ELSE {c} + o END"
+CTES["ff"] = f"""WITH m AS (SELECT channel, tile_section, tile, avg(v) AS m FROM tiled GROUP BY 1, 2, 3 HAVING avg(v) > 1e-6),
     f AS (SELECT t.channel, t.y, t.x, median(v / m) AS f FROM tiled t JOIN m ON m.channel = t.channel AND m.tile_section = t.tile_section AND m.tile = t.tile GROUP BY 1, 2, 3),
-    r AS (SELECT channel, y, x, avg(f) OVER (PARTITION BY channel, y ORDER BY x RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS f FROM f),
-    c AS (SELECT channel, y, x, avg(f) OVER (PARTITION BY channel, x ORDER BY y RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS f FROM r)
+    k AS (SELECT o, exp(-0.5 * o * o) / sum(exp(-0.5 * o * o)) OVER () AS g FROM (SELECT unnest(range(-4, 5)) AS o)),
+    r AS (SELECT a.channel, a.y, a.x, sum(g * b.f) AS f FROM f a CROSS JOIN k JOIN f b ON b.channel = a.channel AND b.y = a.y AND b.x = {_REFLECT.format(c="a.x")} GROUP BY 1, 2, 3),
+    c AS (SELECT a.channel, a.y, a.x, sum(g * b.f) AS f FROM r a CROSS JOIN k JOIN r b ON b.channel = a.channel AND b.x = a.x AND b.y = {_REFLECT.format(c="a.y")} GROUP BY 1, 2, 3)
     SELECT c.channel, y, x, c.f / l AS field FROM c JOIN (SELECT channel, avg(f) AS l FROM c GROUP BY channel) a ON a.channel = c.channel"""
 
 
 def field(spark, d):
     t = tiled(spark, d).withColumn("tile", F.concat_ws("/", "section", "tile"))
-    return P.flat_field(t.select("channel", "tile", "y", "x", "v"))
+    return P.flat_field(t.select("channel", "tile", "y", "x", "v"), 1.0)
 
 
 @query("flat_field", "SELECT channel, y::BIGINT AS y, x::BIGINT AS x, round(field, 6) AS field FROM ff")
@@ -254,9 +272,10 @@ def mask(spark, d):
     return plane(spark, d).where("v >= 25000")
 
 
-@query("connected_blobs", "SELECT section, channel, blob, size, round(cx, 6) AS cx, round(cy, 6) AS cy FROM comp WHERE size >= 2")
+@query("connected_blobs", "SELECT section, channel, blob // 16777216 AS blob_y, blob % 16777216 AS blob_x, size, round(cx, 6) AS cx, round(cy, 6) AS cy FROM comp WHERE size >= 2")
 def connected_blobs(spark, d):
-    return tidy(P.connected_blobs(mask(spark, d), 2))
+    found = P.connected_blobs(mask(spark, d), 2)
+    return tidy(found.select("section", "channel", F.col("blob.y").alias("blob_y"), F.col("blob.x").alias("blob_x"), "size", "cx", "cy"))
 
 
 @query("blob_stats", """WITH s AS (SELECT section, channel, size, row_number() OVER (PARTITION BY section, channel ORDER BY size) - 1 AS i, count(*) OVER (PARTITION BY section, channel) AS n FROM comp)

@@ -17,6 +17,15 @@ TILE = 2000.0
 _IN = "x >= {s}.x0 AND x < {s}.x1 AND y >= {s}.y0 AND y < {s}.y1"
 _IN_S = _IN.format(s="s")
 
+
+
+def scrambled(expr):
+    """SQL of the library's scramble."""
+    y = f"((({expr}) * 48271 + 11) % 2147483647)"
+    sq = f"(({y} * {y}) % 2147483647)"
+    return f"((({sq} * {sq}) % 2147483647) * {y}) % 2147483647"
+
+
 CTES["located"] = f"""SELECT c.*, (SELECT arg_min(s.region_id, struct_pack(a := (s.x1 - s.x0) * (s.y1 - s.y0), b := s.region_id)) FROM fx_shapes s
     WHERE c.x >= s.x0 AND c.x < s.x1 AND c.y >= s.y0 AND c.y < s.y1) AS region_id FROM classed c"""
 
@@ -156,6 +165,49 @@ def greedy_overlap_match(spark, d):
     return tidy(S.greedy_overlap_match(boxes(spark, d, "A"), boxes(spark, d, "R"), 200.0, 0.2))
 
 
+# Object outlines: diamonds for odd parts, boxes for even ones.  The common width of two convex outlines is linear between the heights of their
+# vertices and of the points where two of their sides meet, so the middle heights give its exact area.
+_OL = """SELECT part AS id, x AS mx, y AS my, r AS h, r * 0.75 AS v, (part % 2)::DOUBLE AS d FROM fx_objects WHERE marker = '{m}'"""
+_OG = f"""WITH a AS ({_OL.format(m='A')}), b AS ({_OL.format(m='R')}),
+    j AS (SELECT a.id AS ia, b.id AS ib, a.mx AS ax, a.my AS ay, a.h AS ah, a.v AS av, a.d AS ad, b.mx AS bx, b.my AS "by", b.h AS bh, b.v AS bv, b.d AS bd,
+      greatest(a.my - a.v, b.my - b.v) AS lo, least(a.my + a.v, b.my + b.v) AS hi FROM a JOIN b ON abs(a.mx - b.mx) < a.h + b.h AND abs(a.my - b.my) < a.v + b.v),
+    s AS (SELECT unnest([-1, 1])::DOUBLE AS s), e AS (SELECT p.s AS p, q.s AS q, g.s AS g, k.s AS k FROM s p CROSS JOIN s q CROSS JOIN s g CROSS JOIN s k),
+    cut AS (SELECT ia, ib, unnest([lo, hi, ay, "by"]) AS y FROM j UNION SELECT ia, ib,
+      (bx + q * bh * (1 + bd * k * "by" / bv) - ax - p * ah * (1 + ad * g * ay / av)) / nullif(q * bh * bd * k / bv - p * ah * ad * g / av, 0) FROM j CROSS JOIN e),
+    kept AS (SELECT j.*, y, lead(y) OVER (PARTITION BY cut.ia, cut.ib ORDER BY y) AS z FROM cut JOIN j ON j.ia = cut.ia AND j.ib = cut.ib WHERE y BETWEEN lo AND hi),
+    mid AS (SELECT *, ah * (1 - ad * abs((y + z) / 2 - ay) / av) AS wa, bh * (1 - bd * abs((y + z) / 2 - "by") / bv) AS wb FROM kept WHERE z IS NOT NULL),
+    c AS (SELECT ia AS a_id, ib AS b_id, round(sum((z - y) * greatest(least(ax + wa, bx + wb) - greatest(ax - wa, bx - wb), 0))
+      / least(any_value((4 - 2 * ad) * ah * av), any_value((4 - 2 * bd) * bh * bv)), 9) AS frac FROM mid GROUP BY ia, ib),
+    o AS (SELECT a_id, b_id, frac, row_number() OVER (ORDER BY frac DESC, a_id, b_id) AS rn FROM c WHERE frac >= 0.2),
+    g AS (SELECT CAST(0 AS BIGINT) AS rn, CAST([] AS BIGINT[]) AS ua, CAST([] AS BIGINT[]) AS ub, FALSE AS hit
+      UNION ALL SELECT o.rn, CASE WHEN NOT list_contains(ua, a_id) AND NOT list_contains(ub, b_id) THEN list_append(ua, a_id) ELSE ua END,
+        CASE WHEN NOT list_contains(ua, a_id) AND NOT list_contains(ub, b_id) THEN list_append(ub, b_id) ELSE ub END,
+        NOT list_contains(ua, a_id) AND NOT list_contains(ub, b_id) FROM g JOIN o ON o.rn = g.rn + 1)
+    SELECT a_id, b_id, round(frac, 6) AS frac FROM g JOIN o ON o.rn = g.rn WHERE hit"""
+
+
+def object_outlines(spark, d, marker):
+    o = view(spark, d, "fx_objects").where(F.col("marker") == marker)
+    x, y, h, v = F.col("x"), F.col("y"), F.col("r"), F.col("r") * 0.75
+    ring = F.when(F.col("part") % 2 == 1, F.array(*[F.struct(p.alias("x"), q.alias("y")) for p, q in ((x - h, y), (x, y - v), (x + h, y), (x, y + v))]))
+    return o.select(F.col("part").alias("id"), (x - h).alias("x0"), (x + h).alias("x1"), (y - v).alias("y0"), (y + v).alias("y1"), ring.alias("ring"))
+
+
+@query("greedy_outline_match", _OG)
+def greedy_outline_match(spark, d):
+    """One-to-one matches of outlines by intersection area; a NULL ring is a box."""
+    return tidy(S.greedy_overlap_match(object_outlines(spark, d, "A"), object_outlines(spark, d, "R"), 200.0, 0.2))
+
+
+@query("cells_in_outline", f"""WITH o AS ({_OUTLINE}) SELECT region_id AS shape_id, count(*) AS n FROM fx_cells c JOIN o
+    ON CASE WHEN diamond THEN abs(c.x - mx) / h + abs(c.y - my) / v < 1 ELSE abs(c.x - mx) < h AND abs(c.y - my) < v END GROUP BY region_id""")
+def cells_in_outline(spark, d):
+    """Cells in every outline, on a fine index: large outlines are listed in few cells of a higher level."""
+    drawn_outlines = outlines(spark, d).withColumnRenamed("region_id", "shape_id").withColumn("roi_name", F.lit(""))
+    hit = S.cells_in_shape(cells(spark, d).select("cell_id", "x", "y"), drawn_outlines, 50.0)
+    return tidy(hit.groupBy("shape_id").agg(F.count("*").alias("n")))
+
+
 _NN = """SELECT t.section, t.cell_id, p.activity, row_number() OVER (PARTITION BY t.cell_id ORDER BY (t.x - p.x) ** 2 + (t.y - p.y) ** 2, p.cell_id) AS rn,
     (t.x - p.x) ** 2 + (t.y - p.y) ** 2 AS d2 FROM flagged t JOIN flagged p ON p.section = t.section AND t.tagged AND NOT p.tagged"""
 
@@ -209,10 +261,12 @@ def orphan_radius_sweep(spark, d):
     return tidy(N.orphan_radius_sweep(blobs(spark, d), cells(spark, d), 5.0, (300.0, 450.0, 600.0, 800.0, 1200.0)))
 
 
-_RB = """WITH c AS (SELECT region_id, x0, x1, y0, y1, i AS step, side, attempt, ((o * 7919 + i * 104729 + attempt * 1299709 + 42) * 48271) % 2147483647 AS u
-      FROM (SELECT s.*, n_nationkey AS o FROM fx_shapes s JOIN nation ON n_name = region_id) CROSS JOIN (SELECT unnest([0, 1, 2]) AS i, unnest([2500.0, 1500.0, 400.0])::DOUBLE AS side) CROSS JOIN (SELECT unnest(range(0, 3000)) AS attempt)),
-    p AS (SELECT *, x0 + floor(greatest(x1 - x0 - side, 1.0) * u / 2147483647) AS bx, y0 + floor(greatest(y1 - y0 - side, 1.0) * ((u * 48271 + 11) % 2147483647) / 2147483647) AS "by" FROM c),
-    k AS (SELECT region_id, row_number() OVER (PARTITION BY region_id ORDER BY step, attempt) AS box, side, bx, "by" FROM p
+BOX_SIDES = (2500.0, 2000.0, 1800.0, 1500.0, 900.0, 600.0, 400.0)
+_U = "((('0x' || substr(md5(region_id), 1, 7))::BIGINT + i * 104729 + attempt * 1299709 + 42) % 2147483647)"
+_RB = f"""WITH c AS (SELECT *, {scrambled(_U)} AS u, {scrambled("((u + 1) % 2147483647)")} AS w
+      FROM fx_shapes CROSS JOIN (SELECT unnest(range(0, {len(BOX_SIDES)})) AS i, unnest({list(BOX_SIDES)})::DOUBLE AS side) CROSS JOIN (SELECT unnest(range(0, 3000)) AS attempt)),
+    p AS (SELECT *, x0 + floor(greatest(x1 - x0 - side, 1.0) * u / 2147483647) AS bx, y0 + floor(greatest(y1 - y0 - side, 1.0) * w / 2147483647) AS "by" FROM c),
+    k AS (SELECT region_id, row_number() OVER (PARTITION BY region_id ORDER BY i, attempt) AS box, side, bx, "by" FROM p
       WHERE bx >= x0 AND bx + side < x1 AND "by" >= y0 AND "by" + side < y1 QUALIFY box <= 3)
     SELECT k.region_id, k.box, k.side, k.bx, k."by", count(c.cell_id) AS machine, round(count(c.cell_id) / (k.side * k.side / 1e6), 6) AS machine_per_mm2
     FROM k LEFT JOIN fx_cells c ON c.x >= bx AND c.x < bx + side AND c.y >= "by" AND c.y < "by" + side GROUP BY k.region_id, k.box, k.side, k.bx, k."by" """
@@ -220,9 +274,7 @@ _RB = """WITH c AS (SELECT region_id, x0, x1, y0, y1, i AS step, side, attempt,
 
 @query("random_boxes", _RB)
 def random_boxes(spark, d):
-    nat = table(spark, d, "nation").select(F.col("n_name").alias("region_id"), F.col("n_nationkey").cast("long").alias("ordinal"))
-    got = S.random_boxes(shapes(spark, d).join(nat, "region_id"), [2500.0, 1500.0, 400.0])
-    return tidy(S.count_in_boxes(got, cells(spark, d), 500.0))
+    return tidy(S.count_in_boxes(S.random_boxes(shapes(spark, d), BOX_SIDES), cells(spark, d), 500.0))
 
 
 _SPOT = "SELECT concat('P', s_suppkey % 4) AS section, s_suppkey AS cell_id, CAST((s_suppkey * 37) % 64 AS BIGINT) AS x, CAST((s_suppkey * 29) % 64 AS BIGINT) AS y FROM supplier"

@@ -448,10 +448,10 @@ _OVR = """SELECT n_nationkey AS ordinal, concat('I', n_nationkey % 5) AS match_k
 
 
 def _overrides(spark, d):
-    """Override list, as a configuration would hold it."""
-    rows = table(spark, d, "nation").where("n_nationkey % 5 IN (2, 4)").orderBy("n_nationkey").select("n_nationkey").collect()
-    return [{"match_key": f"I{k % 5}", **({"span_frac": 0.3} if k % 2 else {"mode": "absolute", "absolute": 1000.0 + k})}
-            for k in (r.n_nationkey for r in rows)]
+    k = F.col("n_nationkey")
+    return table(spark, d, "nation").where(k % 5 % 2 == 0).where(k % 5 != 0).select(
+        k.alias("ordinal"), F.concat(F.lit("I"), k % 5).alias("match_key"), F.when(k % 2 == 0, "absolute").alias("mode"),
+        F.when(k % 2 == 1, 0.3).alias("span_frac"), F.when(k % 2 == 0, (1000 + k).cast("double")).alias("absolute"))
 
 
 @query("threshold_override", f"""WITH o AS ({_OVR}), i AS (SELECT DISTINCT image FROM fx_roi_counts),
@@ -466,8 +466,9 @@ def threshold_override(spark, d):
       FROM nation WHERE n_nationkey < 8), i AS (SELECT DISTINCT image FROM fx_roi_counts)
     SELECT i.image, coalesce((SELECT b.block FROM b WHERE b.match_key = i.image), (SELECT arg_min(b.block, b.ordinal) FROM b WHERE contains(i.image, b.match_key))) AS block FROM i""")
 def settings_resolve(spark, d):
-    rows = table(spark, d, "nation").where("n_nationkey < 8").orderBy("n_nationkey").select("n_nationkey").collect()
-    blocks = [(f"I{k * 11}" if k < 5 else f"I{k % 5 + 1}", f"block{k}") for k in (r.n_nationkey for r in rows)]
+    k = F.col("n_nationkey")
+    blocks = table(spark, d, "nation").where(k < 8).select(
+        k.alias("ordinal"), F.concat(F.lit("I"), F.when(k < 5, k * 11).otherwise(k % 5 + 1)).alias("match_key"), F.concat(F.lit("block"), k).alias("block"))
     return T.settings_resolve(roi(spark, d).select("image").distinct(), blocks)
 
 
