@@ -22,10 +22,6 @@ def ratio(num, den) -> Column:
     return F.when(col(den) > 0, dbl(num) / dbl(den))
 
 
-def r6(c) -> Column:
-    return F.round(dbl(c), 6)
-
-
 def finite(c) -> Column:
     v = dbl(c)
     return v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
@@ -82,11 +78,6 @@ def slice_identity(entry, animal: str | None = None) -> Column:
 
 # ---- threshold arithmetic ----------------------------------------------------------------
 
-def robust_cut(median, mad, k) -> Column:
-    return col(median) + (F.lit(float(k)) if isinstance(k, (int, float)) else col(k)) * (
-        F.lit(ROBUST_SCALE) * col(mad))
-
-
 def span_cut(floor, bright, frac: float = 0.25) -> Column:
     f, b = dbl(floor), dbl(bright)
     return F.when(b > f, f + F.lit(float(frac)) * (b - f))
@@ -99,24 +90,11 @@ def span_fraction(threshold, floor, bright, clamp: bool = False) -> Column:
     return F.when((raw >= 0) & (raw <= 1), raw) if clamp else raw
 
 
-def k_for_cut(threshold, median, robust_sd) -> Column:
-    sd = dbl(robust_sd)
-    return F.when(sd > 0, (dbl(threshold) - dbl(median)) / sd)
-
-
 def relative_gap(a, b) -> Column:
     hi = F.greatest(F.abs(dbl(a)), F.abs(dbl(b)))
     return F.when(hi > 0, F.abs(dbl(a) - dbl(b)) / hi)
 
 
-def same_regime(a, b, tolerance: float) -> Column:
-    return F.abs(dbl(a) - dbl(b)) <= F.lit(float(tolerance)) * F.greatest(F.abs(dbl(a)), F.abs(dbl(b)))
-
-
-def px2_to_mm2(area_px, pixel_um: float) -> Column:
-    return dbl(area_px) * F.lit((pixel_um * 1e-3) ** 2)
-
-
 def mm_to_um(c) -> Column:
     return dbl(c) * F.lit(1000.0)
 

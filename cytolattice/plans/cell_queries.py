@@ -386,12 +386,12 @@ def slice_identity(spark, d):
         b["animal"].alias("declared_animal"), b["slice_id"].alias("declared_slice_id"), "n"))
 
 
-@query("union_sections", "SELECT section, count(*) AS n FROM fx_cells GROUP BY section")
+@query("union_sections", """SELECT section, acronym, count(*) AS n, CAST(sum(cnt) AS BIGINT) AS exported FROM (
+    SELECT section, acronym, NULL AS cnt FROM fx_cells UNION ALL SELECT section, acronym, cnt FROM fx_raw_regions) GROUP BY section, acronym""")
 def union_sections(spark, d):
-    """Concatenate per-animal frames; the union reads each part once."""
-    c = cells(spark, d)
-    left, right = c.where(F.col("hemisphere") == "Left"), c.where(F.col("hemisphere") == "Right")
-    return tidy(left.unionByName(right).groupBy("section").agg(F.count("*").alias("n")))
+    """Sections of both exports under each other."""
+    both = R.union_frames([cells(spark, d).select("section", "acronym"), view(spark, d, "fx_raw_regions").select("section", "acronym", "cnt")])
+    return tidy(both.groupBy("section", "acronym").agg(F.count("*").alias("n"), F.sum("cnt").alias("exported")))
 
 
 @query("section_sample", """SELECT cell_id, section, class FROM (SELECT *, row_number() OVER (PARTITION BY section ORDER BY (cell_id * 48271 + 11) % 2147483647, cell_id) AS rn

@@ -140,10 +140,11 @@ def area_intensity(spark, d):
     return tidy(areas(spark, d))
 
 
-@query("area_pool_rollup", f"""SELECT roi_name, channel, count(*) AS n_shapes, round(sum(n_px) * 0.25::DOUBLE, 6) AS roi_area_mm2, round(sum(n_pos) * 0.25::DOUBLE, 6) AS pos_area_mm2, sum(intden) AS intden,
-    CAST(sum(n_px) AS BIGINT) AS blob_count, round(sum(n_pos) / sum(n_px), 6) AS area_frac FROM ({_AREA}) WHERE cut IS NOT NULL GROUP BY roi_name, channel""")
+@query("area_pool_rollup", f"""SELECT roi_name, channel, count(*) AS n_shapes, round(sum(n_px) * 0.25::DOUBLE, 6) AS roi_area_mm2, round(sum(CASE WHEN cut IS NOT NULL THEN n_pos END) * 0.25::DOUBLE, 6) AS pos_area_mm2,
+    sum(intden) AS intden, CAST(sum(n_px) AS BIGINT) AS blob_count, round(sum(CASE WHEN cut IS NOT NULL THEN n_pos END) / sum(n_px), 6) AS area_frac FROM ({_AREA}) GROUP BY roi_name, channel""")
 def area_pool_rollup(spark, d):
-    rows = areas(spark, d).where("cut IS NOT NULL").withColumn("blob_count", F.col("n_px"))
+    """A channel without a cut keeps its area and density; its positive area is NULL."""
+    rows = areas(spark, d).withColumn("blob_count", F.col("n_px"))
     rows = rows.withColumn("roi_area_mm2", F.col("roi_area_mm2") * 1e6).withColumn("pos_area_mm2", F.col("pos_area_mm2") * 1e6)
     return tidy(T.area_pool_rollup(rows, ["roi_name", "channel"]))
 

@@ -385,11 +385,14 @@ def region_panels_order(spark, d):
 
 
 @query("group_comparison_order", f"""WITH g AS (SELECT CASE WHEN right(animal, 1) IN ('5', '7', '9', '1') THEN 'odd' ELSE 'even' END AS grp, region, {_OV} AS v
-      FROM animals WHERE hemisphere = 'both')
-    SELECT region, round(max(v) FILTER (grp = 'even'), 6) AS sort_key, round(max(v), 6) AS best, max(v) FILTER (grp = 'even') IS NOT NULL AS in_first FROM g GROUP BY region""")
+      FROM animals WHERE hemisphere = 'both' AND NOT (region LIKE 'A%' AND right(animal, 1) NOT IN ('5', '7', '9', '1'))),
+    s AS (SELECT region, max(v) FILTER (grp = 'even') AS key, max(v) AS best, bool_or(grp = 'even') AS in_first FROM g GROUP BY region)
+    SELECT region, row_number() OVER (ORDER BY in_first, CASE WHEN NOT in_first THEN region END DESC NULLS LAST, key NULLS LAST, region) AS place,
+      round(key, 6) AS sort_key, round(best, 6) AS best, in_first FROM s""")
 def group_comparison_order(spark, d):
-    rows = grouped_animals(spark, d).where(F.col("hemisphere") == "both")
-    return tidy(R.group_comparison_order(rows, "overlap_above_chance", "even"))
+    """Some regions are left out of the first group, so that the later one adds them."""
+    rows = grouped_animals(spark, d).where(F.col("hemisphere") == "both").where(~(F.col("region").startswith("A") & (F.col("grp") == "even")))
+    return tidy(R.group_comparison_order(rows, "overlap_above_chance", ["even", "odd"]))
 
 
 @query("sink_wide_pivots", f"""WITH m AS (SELECT region, concat(CASE WHEN right(animal, 1) IN ('5', '7', '9', '1') THEN 'odd' ELSE 'even' END, ':', animal) AS label,

@@ -13,6 +13,7 @@ from ..session import scratch_path, settle
 from ..sources import writers as S
 from .bindings import BANDS, K, PANEL, table, view
 from .cell_queries import LADDER, _AT_K_OUT, _COND, cells, classed, stored_cells
+from .region_queries import closure
 from .registry import query, tidy
 
 GATE_BANDS = replace(BANDS, k_values=LADDER, advisory=("ventricle_density", "k_swing_pp"))
@@ -490,9 +491,11 @@ _DS = f"""WITH md AS (SELECT animal, bin * 5 + 2.5::DOUBLE AS area_modal_um2 FRO
       pv AS (SELECT animal, 1 - avg(tagged::INT) AS p, count(*) AS n FROM flagged GROUP BY animal),
       o AS (SELECT f.animal, anchor_mean AS v, row_number() OVER (PARTITION BY f.animal ORDER BY anchor_mean) - 1 AS rn, (n - 1) * p AS h FROM flagged f JOIN pv ON pv.animal = f.animal),
       c AS (SELECT animal, max(v) FILTER (rn = floor(h)) + (max(v) FILTER (rn = ceil(h)) - max(v) FILTER (rn = floor(h))) * (any_value(h) - floor(any_value(h))) AS cut FROM o GROUP BY animal),
-      fl AS (SELECT f.animal, avg(activity::INT) FILTER (anchor_mean > cut) / avg(activity::INT) AS floor FROM flagged f JOIN c ON c.animal = f.animal GROUP BY f.animal)
-    SELECT b.animal AS dataset, n_cells, tagged_pct, activity_pct, n_sections, threshold_spread, threshold_med, area_modal_um2, floor
-    FROM b JOIN md ON md.animal = b.animal JOIN th ON th.animal = b.animal JOIN fl ON fl.animal = b.animal"""
+      fl AS (SELECT f.animal, avg(activity::INT) FILTER (anchor_mean > cut) / avg(activity::INT) AS floor FROM flagged f JOIN c ON c.animal = f.animal GROUP BY f.animal),
+    ct AS (SELECT animal, count(*) AS control_n, CASE WHEN count(*) > 200 THEN avg(activity::INT) FILTER (tagged) / nullif(avg(activity::INT), 0) END AS control_above_chance
+      FROM flagged WHERE acronym IN (SELECT descendant FROM closure WHERE ancestor = 'ASIA') GROUP BY animal)
+    SELECT b.animal AS dataset, n_cells, tagged_pct, activity_pct, n_sections, threshold_spread, threshold_med, area_modal_um2, floor, 'ASIA' AS control_region, coalesce(control_n, 0) AS control_n, control_above_chance
+    FROM b LEFT JOIN ct ON ct.animal = b.animal JOIN md ON md.animal = b.animal JOIN th ON th.animal = b.animal JOIN fl ON fl.animal = b.animal"""
 
 
 def descriptor(spark, d):
@@ -502,17 +505,19 @@ def descriptor(spark, d):
         E.slice_identity("section")["animal"].alias("dataset"), "threshold")
     modal = G.histogram_mode(f, ["dataset"], "nucleus_area_um2", 5.0, F.least(F.col("_max"), F.lit(300.0)))
     floor = C.anchor_floor(f, ["dataset"]).select("dataset", F.col("anchor_floor").alias("floor"))
-    return T.dataset_descriptor(f, cuts, modal, floor)
+    asia = closure(spark, d).where("ancestor = 'ASIA'").select(F.col("descendant").alias("acronym"))
+    return T.dataset_descriptor(f, cuts, modal, floor, "ASIA", asia)
 
 
 @query("dataset_descriptor", f"""SELECT dataset, n_cells, round(tagged_pct, 6) AS tagged_pct, round(activity_pct, 6) AS activity_pct, n_sections,
-    round(threshold_spread, 6) AS threshold_spread, round(threshold_med, 6) AS threshold_med, area_modal_um2, round(floor, 6) AS floor FROM ({_DS})""")
+    round(threshold_spread, 6) AS threshold_spread, round(threshold_med, 6) AS threshold_med, area_modal_um2, round(floor, 6) AS floor,
+    control_region, control_n, round(control_above_chance, 6) AS control_above_chance FROM ({_DS})""")
 def dataset_descriptor(spark, d):
     return tidy(descriptor(spark, d))
 
 
 @query("dataset_verdict", f"""WITH ds AS ({_DS}), e AS (SELECT *, 0.46 + (right(dataset, 1)::INT % 3) * 0.004 AS pixel_um, right(dataset, 1)::INT % 2 AS k,
-      CASE WHEN right(dataset, 1)::INT % 3 > 0 THEN floor END AS control FROM ds),
+      CASE WHEN right(dataset, 1)::INT % 3 > 0 THEN control_above_chance END AS control FROM ds),
     p AS (SELECT a.dataset AS first, b.dataset AS second, a.control * b.control <> 0 AS own, abs(a.pixel_um - b.pixel_um) / greatest(a.pixel_um, b.pixel_um) > 0.02
         OR abs(a.area_modal_um2 - b.area_modal_um2) / greatest(a.area_modal_um2, b.area_modal_um2) > 0.25 AS geom,
       abs(a.n_cells - b.n_cells) / greatest(a.n_cells, b.n_cells) > 0.30 AS dens, a.k <> b.k AS sens FROM e a JOIN e b ON right(b.dataset, 4)::INT IN (right(a.dataset, 4)::INT + 1, right(a.dataset, 4)::INT + 2))
@@ -522,12 +527,26 @@ def dataset_descriptor(spark, d):
 def dataset_verdict(spark, d):
     last = F.substring("dataset", -1, 1).cast("int")
     desc = settle(descriptor(spark, d)).withColumn("pixel_um", 0.46 + (last % 3) * 0.004).withColumn("k", last % 2)
-    desc = desc.withColumn("control_above_chance", F.when(last % 3 > 0, F.col("floor")))
+    desc = desc.withColumn("control_above_chance", F.when(last % 3 > 0, F.col("control_above_chance")))
     year = F.substring("dataset", 2, 4).cast("int")
     later = F.explode(F.array(*[F.concat(F.lit("A"), (year + i).cast("string")) for i in (1, 2)]))
     return T.dataset_verdict(desc, desc.select(F.col("dataset").alias("first"), later.alias("second")))
 
 
+@query("dataset_issues", f"""WITH e AS (SELECT *, 0.46 + (right(dataset, 1)::INT % 3) * 0.004 AS pixel_um, CASE WHEN right(dataset, 1)::INT <> 6 THEN 2.0 + (right(dataset, 1)::INT % 2) * 0.1 END AS sigma_um,
+      (right(dataset, 1)::INT % 4)::DOUBLE AS expansion_um FROM ({_DS})),
+    p AS (SELECT a.dataset AS first, b.dataset AS second, unnest(['pixel size', 'sigma', 'cell expansion', 'modal nucleus area']) AS parameter, unnest([0.02, 0.01, 0.01, 0.25])::DOUBLE AS most,
+      unnest([a.pixel_um, a.sigma_um, a.expansion_um, a.area_modal_um2])::DOUBLE AS u, unnest([b.pixel_um, b.sigma_um, b.expansion_um, b.area_modal_um2])::DOUBLE AS v FROM e a JOIN e b ON a.dataset < b.dataset)
+    SELECT first, second, parameter, CASE WHEN u * v <> 0 THEN '!' ELSE '?' END AS severity, round(CASE WHEN u * v <> 0 THEN 100 * abs(u - v) / greatest(abs(u), abs(v)) END, 6) AS gap_percent
+    FROM p WHERE coalesce(u * v = 0, TRUE) OR abs(u - v) / greatest(abs(u), abs(v)) > most""")
+def dataset_issues(spark, d):
+    last = F.substring("dataset", -1, 1).cast("int")
+    desc = settle(descriptor(spark, d)).withColumn("pixel_um", 0.46 + (last % 3) * 0.004)
+    desc = desc.withColumn("sigma_um", F.when(last != 6, 2.0 + (last % 2) * 0.1)).withColumn("expansion_um", (last % 4).cast("double"))
+    names = desc.select(F.col("dataset").alias("first"))
+    return T.dataset_issues(desc, names.join(names.withColumnRenamed("first", "second"), F.col("first") < F.col("second")))
+
+
 @query("plateau_diff", """SELECT a.section, n_first, n_second, round(100.0 * abs(n_first - n_second) / n_first, 6) AS pct_diff FROM
     (SELECT section, CAST(sum(cnt) AS BIGINT) AS n_first FROM fx_raw_regions WHERE acronym = 'root' GROUP BY section) a JOIN
     (SELECT section, CAST(sum(cnt + cnt % 7) AS BIGINT) AS n_second FROM fx_raw_regions WHERE acronym = 'root' GROUP BY section) b ON b.section = a.section""")
