@@ -25,6 +25,7 @@ def main():
              .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     from cytolattice.plans import load_all
+    from cytolattice.session import clear_settled
     queries, _ = load_all()
     only = sys.argv[1:] or HEADLINE
     queries["reference_stats"](spark, sf_dir).write.format("noop").mode("overwrite").save()      # warm the JVM
@@ -33,6 +34,7 @@ def main():
         start = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        clear_settled(spark)
         print(f"{name}: {times[name]}", file=sys.stderr, flush=True)
     spark.stop()
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions import count_where
 from ..session import settle
 from .draws import SCRAMBLE, scramble
-from .outlines import box_ring, with_intersection_area
+from .outlines import box_ring, ring_edges, with_intersection_area
 from .shapeindex import in_cell, look_up, meeting_boxes, shape_index
 
 
@@ -226,6 +226,42 @@ def annulus_background(cells: DataFrame, pixels: DataFrame, radius: float, gap:
         "bgsub", F.col("raw_mean") - F.col("background"))
 
 
+def _edge_distance2(edges: Column, x: Column, y: Column) -> Column:
+    """Squared distance of a point to the nearest edge."""
+    def to(e):
+        dx, dy = e["bx"] - e["ax"], e["by"] - e["ay"]
+        t = F.coalesce(((x - e["ax"]) * dx + (y - e["ay"]) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0))
+        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
+        ex, ey = e["ax"] + t * dx - x, e["ay"] + t * dy - y
+        return ex * ex + ey * ey
+    return F.array_min(F.transform(edges, to))
+
+
+def outline_background(cells: DataFrame, pixels: DataFrame, gap: float, width: float) -> DataFrame:
+    """Cell mean minus the mean of a band around its outline, pixels inside any cell removed.
+
+    ``cells``: section, cell_id, ring.  ``pixels``: section, channel, x, y, v; a pixel lies where its middle lies.  The band holds the pixels
+    outside the outline that are farther than ``gap`` and at most ``gap + width`` from its nearest edge.  A cell meets the pixels of its own
+    box and band only, so the work is that of an equi-join on pixel positions.  Without a pixel in the band the background is NULL.
+    """
+    reach = gap + width
+    at = lambda c, f: f(F.transform("ring", lambda p: p[c]))
+    spots = cells.where("ring IS NOT NULL").select("section", "cell_id", ring_edges(F.col("ring")).alias("_e"), *[
+        F.floor(v).cast("long").alias(n) for n, v in (("_x0", at("x", F.array_min) - reach), ("_x1", at("x", F.array_max) + reach),
+                                                      ("_y0", at("y", F.array_min) - reach), ("_y1", at("y", F.array_max) + reach))])
+    spots = spots.withColumn("x", F.explode(F.sequence("_x0", "_x1"))).withColumn("y", F.explode(F.sequence("_y0", "_y1")))
+    px, py = F.col("x") + 0.5, F.col("y") + 0.5
+    crossed = F.filter("_e", lambda e: ((e["ay"] > py) != (e["by"] > py)) & (px < (e["bx"] - e["ax"]) * (py - e["ay"]) / F.nullif(e["by"] - e["ay"], F.lit(0.0)) + e["ax"]))
+    spots = settle(spots.select("section", "cell_id", "x", "y", (F.size(crossed) % 2 == 1).alias("inside"), _edge_distance2(F.col("_e"), px, py).alias("_d2")), "bands")
+    disc = spots.where("inside")
+    band = spots.where(~F.col("inside") & (F.col("_d2") > gap * gap) & (F.col("_d2") <= reach * reach))
+    clean = band.join(disc.select("section", "x", "y").distinct(), ["section", "x", "y"], "left_anti")
+    flat = pixels.select("section", "channel", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "v")
+    mean = lambda part, name: part.join(flat, ["section", "x", "y"]).groupBy("section", "cell_id", "channel").agg(F.avg("v").alias(name))
+    out = mean(disc, "raw_mean").join(mean(clean, "background"), ["section", "cell_id", "channel"], "left")
+    return out.withColumn("bgsub", F.col("raw_mean") - F.col("background"))
+
+
 BOX_LADDER = (150.0, 120.0, 100.0, 80.0, 60.0, 50.0, 40.0)          # micrometres, largest first
 FIRST_ATTEMPTS, GROWTH = 64, 8
 

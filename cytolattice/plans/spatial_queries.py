@@ -297,6 +297,22 @@ def annulus_background(spark, d):
     return tidy(S.annulus_background(spots(spark, d), view(spark, d, "fx_plane"), 1.0, 1.0, 2.0))
 
 
+@query("outline_background", f"""WITH s AS ({_SPOT}), p AS (SELECT DISTINCT section, x, y FROM fx_plane),
+    e AS (SELECT section, cell_id, x + unnest([-3.0, 0.0, 3.0, 0.0])::DOUBLE AS ax, y + unnest([0.0, -2.0, 0.0, 2.0])::DOUBLE AS ay, x + unnest([0.0, 3.0, 0.0, -3.0])::DOUBLE AS bx, y + unnest([-2.0, 0.0, 2.0, 0.0])::DOUBLE AS "by" FROM s),
+    c AS (SELECT s.section, s.cell_id, p.x, p.y, abs(p.x + 0.5 - s.x) / 3.0 + abs(p.y + 0.5 - s.y) / 2.0 < 1 AS inside FROM s JOIN p ON p.section = s.section AND abs(p.x + 0.5 - s.x) < 7 AND abs(p.y + 0.5 - s.y) < 6),
+    t AS (SELECT c.*, ax, ay, bx, "by", greatest(0, least(1, ((c.x + 0.5 - ax) * (bx - ax) + (c.y + 0.5 - ay) * ("by" - ay)) / ((bx - ax) ** 2 + ("by" - ay) ** 2))) AS u FROM c JOIN e ON e.section = c.section AND e.cell_id = c.cell_id),
+    d AS (SELECT section, cell_id, x, y, any_value(inside) AS inside, sqrt(min((ax + u * (bx - ax) - x - 0.5) ** 2 + (ay + u * ("by" - ay) - y - 0.5) ** 2)) AS far FROM t GROUP BY 1, 2, 3, 4),
+    raw AS (SELECT d.section, cell_id, channel, avg(v) AS raw_mean FROM d JOIN fx_plane f ON f.section = d.section AND f.x = d.x AND f.y = d.y WHERE inside GROUP BY 1, 2, 3),
+    bg AS (SELECT d.section, cell_id, channel, avg(v) AS background FROM d JOIN fx_plane f ON f.section = d.section AND f.x = d.x AND f.y = d.y
+      WHERE NOT inside AND far > 1.05 AND far <= 3.15 AND NOT EXISTS (SELECT 1 FROM d o WHERE o.inside AND o.section = d.section AND o.x = d.x AND o.y = d.y) GROUP BY 1, 2, 3)
+    SELECT raw.section, raw.cell_id, raw.channel, round(raw_mean, 6) AS raw_mean, round(background, 6) AS background, round(raw_mean - background, 6) AS bgsub
+    FROM raw LEFT JOIN bg ON bg.section = raw.section AND bg.cell_id = raw.cell_id AND bg.channel = raw.channel""")
+def outline_background(spark, d):
+    x, y = F.col("x").cast("double"), F.col("y").cast("double")
+    ring = F.array(*[F.struct(p.alias("x"), q.alias("y")) for p, q in ((x - 3, y), (x, y - 2), (x + 3, y), (x, y + 2))])
+    return tidy(S.outline_background(spots(spark, d).select("section", "cell_id", ring.alias("ring")), view(spark, d, "fx_plane"), 1.05, 2.1))
+
+
 @query("double_by_containment", f"""WITH s AS ({_SPOT}) SELECT s.section, s.cell_id FROM s WHERE EXISTS (SELECT 1 FROM fx_plane p
     WHERE p.section = s.section AND p.channel = 'A' AND p.v >= 15000 AND p.x = s.x AND p.y = s.y)""")
 def double_by_containment(spark, d):

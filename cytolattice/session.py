@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths of settled tables by session, until ``clear_settled``.
+_SETTLED: dict[int, list[str]] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
 
@@ -50,4 +54,15 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    _SETTLED.setdefault(id(spark.sparkContext), []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_settled(spark: SparkSession) -> int:
+    """Delete the tables settled so far in this session and return their number; results that still read them must be consumed first."""
+    done = _SETTLED.pop(id(spark.sparkContext), [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in done:
+        at = hadoop(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return len(done)

@@ -181,3 +181,37 @@ def test_no_join_key_of_crowded_boxes_is_over_the_bound(spark):
     pairs = X.meeting_boxes(boxes, boxes, 1e9, [], "shape_id", block=100)
     keys = [line for line in pairs._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
     assert any("_pa" in k and "_pb" in k for k in keys)
+
+
+def test_background_around_an_outline(spark):
+    rng = random.Random(4)
+    ring = [(10.2, 10.1), (20.3, 10.4), (20.1, 14.2), (14.3, 14.1), (14.2, 20.3), (10.1, 20.2)]
+    other = [(23.1, 9.2), (26.3, 9.1), (26.2, 13.3), (23.2, 13.4)]
+    image = {(x, y): rng.randint(0, 100) for x in range(35) for y in range(35)}
+
+    def far(r, x, y):
+        best = 1e9
+        for (ax, ay), (bx, by) in zip(r, r[1:] + r[:1]):
+            t = max(0.0, min(1.0, ((x - ax) * (bx - ax) + (y - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2)))
+            best = min(best, math.hypot(ax + t * (bx - ax) - x, ay + t * (by - ay) - y))
+        return best
+
+    mids = {p: (p[0] + 0.5, p[1] + 0.5) for p in image}
+    disc = [v for p, v in image.items() if inside(ring, *mids[p])]
+    band = [v for p, v in image.items() if not inside(ring, *mids[p]) and 1.0 < far(ring, *mids[p]) <= 4.0 and not inside(other, *mids[p])]
+    cells = spark.createDataFrame([("s", 1, ring), ("s", 2, other), ("s", 3, None)], f"section string, cell_id long, ring {RING}")
+    pixels = spark.createDataFrame([("s", "c", x, y, v) for (x, y), v in image.items()], "section string, channel string, x int, y int, v int")
+    got = {r.cell_id: r for r in S.outline_background(cells, pixels, 1.0, 3.0).collect()}
+    assert set(got) == {1, 2} and got[1].raw_mean == pytest.approx(np.mean(disc)) and got[1].background == pytest.approx(np.mean(band))
+    assert S.outline_background(cells, pixels, 100.0, 1.0).where("cell_id = 1").first().background is None
+
+
+def test_settled_tables_are_cleared(spark):
+    from cytolattice.session import _SETTLED, clear_settled, settle
+    kept = dict(_SETTLED)
+    _SETTLED.clear()
+    t = settle(spark.range(3))
+    assert t.count() == 3 and clear_settled(spark) == 1 and clear_settled(spark) == 0
+    with pytest.raises(Exception):
+        t.count()
+    _SETTLED.update(kept)
