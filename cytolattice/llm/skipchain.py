@@ -3,7 +3,8 @@
 Base rules give emails, addresses, cards and phone numbers.  The field's nodes are the words that hold a digit or
 an ``@``; all other words are observed as outside.  Neighbouring nodes share a chain potential; nodes of equal text, and nodes
 that end in the same seven digits, share skip potentials with their next occurrence however far away.  Weights are fitted by
-pseudo-likelihood on the base rules' own findings in a bounded sample of documents; base findings are then
+pseudo-likelihood on the base rules' own findings in a bounded sample of documents, and on copies of these in which findings are repeated in
+another writing beside unrelated numbers of that writing; base findings are then
 fixed, and loopy belief propagation over a whole document labels the other nodes, so that a number
 found in one place is also found where it is written in another way.  Added spans never touch base spans.
 
@@ -23,7 +24,7 @@ from pyspark.sql.functions import pandas_udf
 from .text import parts
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS, FEATURES, SURE = 2000, 4096, 0.95
+SAMPLE_DOCS, FEATURES, SURE, PERTURBED = 2000, 4096, 0.95, 3
 OUTSIDE, LABELS = 0, 5
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
                                   T.StructField("end", T.LongType()), T.StructField("base", T.BooleanType())]))
@@ -132,6 +133,7 @@ class Graph:
             names = (f"s{self.shapes[i][:24]}", f"d{min(len(digits[i]), 20)}", f"@{'@' in words[i]}", f"p{before[:12]}", f"n{after[:12]}",
                      f"l{len(digits[i]) >= 12 and luhn(digits[i])}", f"c{sum(c.isalpha() for c in bare[i]) > 0}.{bare[i].count('.')}")
             self.hashed.append([zlib.crc32(x.encode()) % features for x in names])
+        self.known = np.ones(self.n, bool)
         self.base, k = np.zeros(self.n, np.int64), 0
         for kind, start, end in spans:
             while k and k < self.n and found[k][1] > start:
@@ -145,6 +147,41 @@ class Graph:
                 j += 1
 
 
+def training_graphs(text, perturb=True):
+    """Graphs to learn from: the text with its base labels, and a perturbed copy in which findings are repeated in another writing.
+
+    What the base rules leave out is no proof of being outside when it shares a skip edge with a finding: such nodes are unknown.  In the copy,
+    a phone is repeated without its sign and a card in dotted groups, labelled like the finding; beside each stands a number of the same writing that
+    ends otherwise, labelled outside.  Only the skip edge tells the two apart, so its weight is learned from them.
+    """
+    spans = base_spans(text)
+    graph = Graph(text, spans)
+    for a, b in graph.skip:
+        for x, y in ((a, b), (b, a)):
+            if graph.base[x] and not graph.base[y]:
+                graph.known[y] = False
+    out = [graph]
+    more, labels = "", {}
+    for kind, start, end in spans if perturb else []:
+        digits = re.sub("[^0-9]", "", text[start:end])
+        if kind < 2 or len(re.sub("[^0-9]", "", text[start:end].split()[-1])) < 7 or len(labels) >= 2 * PERTURBED:
+            continue
+        other = f"{digits[:-7]}{(int(digits[-7:]) + 1 + zlib.crc32(digits.encode()) % 9_999_999) % 10_000_000:07d}"
+        for number, label in ((digits, kind + 1), (other, OUTSIDE)):
+            written = number[-10:] if kind == 3 else ".".join(number[i:i + 4] for i in range(0, len(number), 4))
+            more += " said to be"
+            labels[len(text) + len(more) + 1] = label
+            more += f" {written}"
+    if labels:
+        copy = Graph(text + more, base_spans(text + more))
+        copy.known = np.array([a < len(text) and k for (a, _), k in zip(copy.spans, np.concatenate((graph.known, np.ones(copy.n, bool))))], bool)
+        for i, (a, _) in enumerate(copy.spans):
+            if a in labels and (not copy.base[i] or labels[a] != OUTSIDE):
+                copy.base[i], copy.known[i] = labels[a], True
+        out.append(copy)
+    return out
+
+
 def fit(graphs, rounds=400, rate=2.0, decay=3e-4):
     """(unary FEATURES x LABELS, chain, skip) by pseudo-likelihood on the base labels."""
     unary, chain, skip = np.zeros((FEATURES, LABELS)), np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS))
@@ -157,7 +194,7 @@ def fit(graphs, rounds=400, rate=2.0, decay=3e-4):
     y = np.concatenate([g.base for g in graphs])
     shift = lambda name: np.array([(a + o, b + o) for g, o in zip(graphs, base) for a, b in getattr(g, name)], np.int64).reshape(-1, 2)
     ce, se, n = shift("chain"), shift("skip"), len(y)
-    target = np.eye(LABELS)[y]
+    target, known = np.eye(LABELS)[y], np.concatenate([g.known for g in graphs])[:, None]
     for step in range(rounds):
         score = unary[hashed].sum(axis=1)
         np.add.at(score, ce[:, 1], chain[y[ce[:, 0]]])
@@ -167,7 +204,7 @@ def fit(graphs, rounds=400, rate=2.0, decay=3e-4):
         np.add.at(score, se[:, 0], both[y[se[:, 1]]])
         score -= score.max(axis=1, keepdims=True)
         p = np.exp(score)
-        miss = (target - p / p.sum(axis=1, keepdims=True)) / np.sqrt(n)
+        miss = known * (target - p / p.sum(axis=1, keepdims=True)) / np.sqrt(n)
         gu, gc, gs = np.zeros_like(unary), np.zeros_like(chain), np.zeros_like(skip)
         np.add.at(gu, hashed.ravel(), np.repeat(miss, hashed.shape[1], axis=0))
         np.add.at(gc, y[ce[:, 0]], miss[ce[:, 1]])
@@ -253,19 +290,19 @@ def fit_personal_data(docs: DataFrame, text: str = "text", sample_docs: int = SA
     def features(batches):
         for pdf in batches:
             for text_, pick in zip(pdf["text"], pdf["pick"]):
-                g = Graph(text_, base_spans(text_))
-                yield pd.DataFrame([{"pick": pick, "hashed": np.array(g.hashed, np.int32).tobytes(), "base": g.base.tobytes(),
-                                     "chain": np.array(g.chain, np.int64).tobytes(), "skip": np.array(g.skip, np.int64).tobytes()}])
+                for copy, g in enumerate(training_graphs(text_)):
+                    yield pd.DataFrame([{"pick": pick, "copy": copy, "hashed": np.array(g.hashed, np.int32).tobytes(), "base": g.base.tobytes(), "known": g.known.tobytes(),
+                                         "chain": np.array(g.chain, np.int64).tobytes(), "skip": np.array(g.skip, np.int64).tobytes()}])
 
-    rows = (found.where(F.col("pick") <= cut).mapInPandas(features, "pick long, hashed binary, base binary, chain binary, skip binary")
-            .dropDuplicates(["pick"]).orderBy("pick").collect())
+    rows = (found.where(F.col("pick") <= cut).mapInPandas(features, "pick long, copy int, hashed binary, base binary, known binary, chain binary, skip binary")
+            .dropDuplicates(["pick", "copy"]).orderBy("pick", "copy").collect())
     return fit([_read_back(r) for r in rows])
 
 
 def _read_back(row):
     g = Graph("", [])
     g.base = np.frombuffer(row["base"], np.int64)
-    g.n = len(g.base)
+    g.n, g.known = len(g.base), np.frombuffer(row["known"], bool)
     g.hashed = np.frombuffer(row["hashed"], np.int32).reshape(g.n, -1).tolist() if g.n else []
     g.chain = np.frombuffer(row["chain"], np.int64).reshape(-1, 2).tolist()
     g.skip = np.frombuffer(row["skip"], np.int64).reshape(-1, 2).tolist()
