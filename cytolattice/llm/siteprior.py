@@ -5,7 +5,7 @@ Sites (hosts) and paths within them gather the evidence of their documents by gr
 (n * mean + k * global mean) / (n + k), a path's the same with its site's posterior as the prior; k, the weight of the
 prior in documents, is estimated from the spread between the sites (or paths) by moments, so sparse sites shrink to the global prior and
 sites that do not differ more than chance have no say.  A document's score is its own log-odds plus those of its path's
-posterior, without the document itself, over the global ones.
+posterior, both without the document itself, over the global ones.
 
 The classifier is fitted on at most ``SAMPLE`` labelled documents, those with the smallest hashes of their id; all sums run over all
 documents.  Null and empty texts have no words and score by bias and prior; null sites and paths are groups of their own; null
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from ..session import settle
@@ -132,6 +132,18 @@ def with_evidence(docs: DataFrame, models: dict, text: str = "text") -> DataFram
     return docs.withColumn("_odds", odds(F.col(f"`{text}`"))).select("*", "_odds.*").drop("_odds")
 
 
+def host_of(url) -> Column:
+    """Host of a URL in lower case, without user and port; NULL if there is none."""
+    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    return F.when(host != "", host)
+
+
+def path_of(url, depth: int = 1) -> Column:
+    """The first ``depth`` parts of a URL's path below its host, without query and fragment; NULL if there is no such part."""
+    parts = F.filter(F.split(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1), "/"), lambda p: p != "")
+    return F.when(F.size(parts) >= 1, F.array_join(F.slice(parts, 1, depth), "/"))
+
+
 def prior_weight(n, total, squares, prior):
     """Documents that the prior counts for: within-group variance over between-group variance, by moments.
 
@@ -154,12 +166,14 @@ def site_scores(docs: DataFrame, models: dict, site: str = "source", path: str =
         all_ = sites.agg(F.sum("s").alias("s"), F.sum("n").alias("n")).first()
         mean = min(max((all_["s"] or 0) / (all_["n"] or 1), 1e-6), 1 - 1e-6)
         k_site = sites.agg(prior_weight(F.col("n"), F.col("s"), F.col("q"), F.lit(mean)).alias("k")).first()["k"] or NEVER_OVER
-        sites = sites.select("site", ((F.col("s") + k_site * mean) / (F.col("n") + k_site)).alias("site_mean"))
-        paths = paths.alias("p").join(sites.alias("t"), F.col("p.site").eqNullSafe(F.col("t.site"))).select("p.*", "site_mean")
+        sites = sites.select("site", F.col("n").alias("site_n"), F.col("s").alias("site_s"), ((F.col("s") + k_site * mean) / (F.col("n") + k_site)).alias("site_mean"))
+        paths = paths.alias("p").join(sites.alias("t"), F.col("p.site").eqNullSafe(F.col("t.site"))).select("p.*", "site_n", "site_s", "site_mean")
         k_path = paths.agg(prior_weight(F.col("n"), F.col("s"), F.col("q"), F.col("site_mean")).alias("k")).first()["k"] or NEVER_OVER
-        table = settle(paths.select(F.col("site").alias("_site"), F.col("path").alias("_path"), F.col("n").alias("_n"), F.col("s").alias("_s"), "site_mean"), "posteriors")
+        table = settle(paths.select(F.col("site").alias("_site"), F.col("path").alias("_path"), F.col("n").alias("_n"), F.col("s").alias("_s"), "site_n", "site_s"), "posteriors")
         out = out.join(table, out["site"].eqNullSafe(table["_site"]) & out["path"].eqNullSafe(table["_path"]))
-        q = F.greatest(F.least((F.col("_s") - p + k_path * F.col("site_mean")) / (F.col("_n") - 1 + k_path), F.lit(1 - 1e-6)), F.lit(1e-6))
+        # Neither level counts the document itself, or a site of one document would hear its own evidence twice.
+        site = (F.col("site_s") - p + k_site * mean) / (F.col("site_n") - 1 + k_site)
+        q = F.greatest(F.least((F.col("_s") - p + k_path * site) / (F.col("_n") - 1 + k_path), F.lit(1 - 1e-6)), F.lit(1e-6))
         odds = F.col(f"{name}_odds") + F.log(q / (1 - q)) - float(np.log(mean / (1 - mean)))
-        out = out.withColumn(f"{name}_evidence", p).withColumn(name, 1 / (1 + F.exp(-odds))).drop("_site", "_path", "_n", "_s", "site_mean")
+        out = out.withColumn(f"{name}_evidence", p).withColumn(name, 1 / (1 + F.exp(-odds))).drop("_site", "_path", "_n", "_s", "site_n", "site_s")
     return out.drop(*[f"{n}_odds" for n in models])
