@@ -220,7 +220,7 @@ def k_split_counts(spark, d):
     c = stored_cells(spark, d)
     from .bindings import table
     gone = table(spark, d, "region").where("r_regionkey = 0").select(F.col("r_name").alias("acronym"))
-    roll = (c.join(F.broadcast(gone), "acronym", "left_anti").groupBy("acronym")
+    roll = (c.join(gone, "acronym", "left_anti").groupBy("acronym")
             .agg(F.count("*").alias("N_rollup")))
     return tidy(M.k_split_counts(c, PANEL, KS, K, roll))
 
@@ -341,7 +341,7 @@ def double_tagged_ratio(spark, d):
       round(CASE WHEN list_n > 0 THEN list_pos / list_n END, 6) AS list_rate FROM a""")
 def control_rate(spark, d):
     from .bindings import table
-    tracts = [r.n_name for r in table(spark, d, "nation").where("n_nationkey < 6").select("n_name").collect()]
+    tracts = table(spark, d, "nation").where("n_nationkey < 6").select(F.col("n_name").alias("acronym"))
     return tidy(R.control_rate(classed(spark, d), "fos", "NATION_1", tracts))
 
 

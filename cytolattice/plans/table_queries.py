@@ -265,9 +265,9 @@ def handcount_verdict(spark, d):
     SELECT region, round(m, 6) AS machine_ratio, round(h, 6) AS human_ratio, o AS over_detecting,
       CASE WHEN h > 1.6 THEN 'tissue exceeds band' WHEN m > 1.6 THEN 'machine exceeds band' ELSE 'inside band' END AS band FROM r""")
 def handcount_wm_ratio(spark, d):
-    names = {r.n_nationkey: r.n_name for r in table(spark, d, "nation").select("n_nationkey", "n_name").collect()}
+    names = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("region"))
     v = T.handcount_verdict(T.handcount_pool(sheet(spark, d)), BANDS)
-    return tidy(T.handcount_ratio_to(v, [names[i] for i in (1, 2, 5, 8, 9)], names[7], BANDS.white_matter_ratio_max))
+    return tidy(T.handcount_ratio_to(v, names.where("n_nationkey IN (1, 2, 5, 8, 9)"), names.where("n_nationkey = 7"), BANDS.white_matter_ratio_max))
 
 
 @query("carry_prior_human", """SELECT n.region, n.box, n.machine, o.human AS prior_human FROM fx_handcount n

@@ -9,7 +9,9 @@ DIR = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
           "pages", "benchmark", "labels", "conversations")
 NAMES = ("flagship", "k_sweep", "region_readout", "gate_table", "reference_stats", "point_in_region", "knn_unlabelled",
-         "k_vs_chance", "local_peaks", "area_intensity", "flat_field", "scan_cells", "stream_ingest_sections", "greedy_overlap_match")
+         "k_vs_chance", "local_peaks", "area_intensity", "flat_field", "scan_cells", "stream_ingest_sections", "greedy_overlap_match",
+         "greedy_outline_match", "cells_in_outline", "outline_background", "random_boxes", "spread_tiles", "connected_blobs", "shuffled_control", "local_chance",
+         "fitted_expectation", "threshold_override", "handcount_verdict", "dataset_issues", "union_sections", "group_comparison_order")
 
 
 def norm(rows, cols):
