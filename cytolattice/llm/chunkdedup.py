@@ -127,10 +127,11 @@ def contexts(table: DataFrame, ends: DataFrame, width: int = CONTEXT) -> DataFra
     wanted = ends.distinct().groupBy("row").agg(F.collect_list(F.struct("no", "left")).alias("ends"))
 
     def placed(e):
-        chunk = F.get("chunks", e["no"])
-        return F.struct(e["no"].alias("no"), e["left"].alias("left"), F.when(e["left"], chunk["start"]).otherwise(chunk["end"]).alias("at"))
+        return F.struct(e["no"].alias("no"), e["left"].alias("left"), F.get("starts", F.when(e["left"], e["no"]).otherwise(e["no"] + 1)).alias("at"))
 
-    asked = table.join(wanted, "row").select("row", "text", F.transform("ends", placed).alias("ends"))
+    # The starts of all chunks and the last one's end; nothing else of the chunks is read or shuffled.
+    texts = table.select("row", "text", F.concat("chunks.start", F.array(F.char_length("text"))).alias("starts"))
+    asked = texts.join(wanted, "row").select("row", "text", F.transform("ends", placed).alias("ends"))
 
     @pandas_udf("array<struct<no: int, left: boolean, at: int, context: string>>")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
