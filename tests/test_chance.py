@@ -86,6 +86,21 @@ def test_fitted_expectation_matches_numpy(make):
     assert over.above_chance_fitted == pytest.approx(got.ratio) and over.ci_lo < over.above_chance_fitted < over.ci_hi
 
 
+def test_the_whole_project_is_compared_beside_its_regions(make):
+    pdf, df = make(6, n=2400, lift=2.0)
+    dens = N.local_density(df, 20)
+    cells = C.covariates(df.join(dens.select("cell_id", "local_density"), "cell_id"), "tdt_bgsub")
+    halves = cells.withColumn("region", F.when(F.col("x") < 500, "left").otherwise("right"))
+    got = {r.region: r for r in C.chance_compare(C.with_whole_project(halves, cells), k=20, n_rot=2, n_boot=50).collect()}
+    alone = C.chance_compare(cells.withColumn("region", F.lit(C.WHOLE)), k=20, n_rot=2, n_boot=50).first()
+    assert set(got) == {"left", "right", C.WHOLE}
+    whole, p = got[C.WHOLE], cells.select("tagged", "activity").toPandas()
+    assert whole.n_cells == got["left"].n_cells + got["right"].n_cells == len(p)
+    assert whole.naive == pytest.approx(p.activity[p.tagged].mean() / p.activity.mean())
+    for name in ("naive", "local", "fitted", "anchor_floor", "rotation", "rotation_p"):
+        assert whole[name] == pytest.approx(alone[name]) if alone[name] is not None else whole[name] is None
+
+
 def test_k_sweep_keeps_strictness_and_undefined_points(make):
     _, df = make(5, n=6000, lift=2.0)
     got = {r.k: r for r in C.k_vs_chance(df, PANEL, (0.5, 2.0, 60.0)).collect()}
