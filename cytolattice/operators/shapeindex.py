@@ -65,15 +65,16 @@ def _reduce(edges, turns, odd, cx0, cx1, cy0, cy1):
     return edges[crossing], heights[times % 2 == 1], odd
 
 
-def outline_cover(xs, ys, tile):
-    """Rows (level, tx, ty, inner, odd, turns, edges) of one closed outline."""
+def outline_cover(xs, ys, tile, least: int | None = 0):
+    """Rows (level, tx, ty, inner, odd, turns, edges) of one closed outline; ``least`` is the lowest top level used."""
     points = np.stack([np.asarray(xs, float), np.asarray(ys, float)], axis=1)
     if len(points) < 3 or not np.isfinite(points).all():
         return []
     edges = np.concatenate((points, np.roll(points, -1, axis=0)), axis=1)
     (x0, y0), (x1, y1) = points.min(axis=0), points.max(axis=0)
     extent = max(x1 - x0, y1 - y0)
-    top = max(0, int(np.ceil(np.log(extent / (SPAN * tile)) / np.log(RATIO)))) if extent > 0 else 0
+    top = int(np.ceil(np.log(extent / (SPAN * tile)) / np.log(RATIO))) if extent > 0 else 0
+    top = top if least is None else max(least, top)
     side = tile * float(RATIO) ** top
     span = lambda lo, hi: range(int(np.floor(lo / side)), int(np.floor(hi / side)) + 1)
     waiting = [(top, tx, ty, edges, np.zeros(0), False) for tx in span(x0, x1) for ty in span(y0, y1)]
@@ -92,6 +93,39 @@ def outline_cover(xs, ys, tile):
     return out
 
 
+def children(level, tx, ty, odd, turns, edges, tile):
+    """(row, tx, ty, inner) of the cells one level below border cells, given as arrays; cells outside are left out.
+
+    ``edges`` holds four numbers an edge.  What describes a cell describes the cells below it, so rows need no new edges; a cell that
+    no edge crosses and no bend of an edge to its right reaches lies on one side.
+    """
+    n, side = len(tx), tile * np.power(float(RATIO), level - 1.0)
+    number = lambda lists, per: np.array([len(v) // per for v in lists], dtype=int)
+    e = np.concatenate([np.asarray(v, float) for v in edges] or [np.zeros(0)]).reshape(-1, 4)
+    t = np.concatenate([np.asarray(v, float) for v in turns] or [np.zeros(0)])
+    at_e, at_t = np.repeat(np.arange(n), number(edges, 4)), np.repeat(np.arange(n), number(turns, 1))
+    lo, hi, far = np.minimum(e[:, 1], e[:, 3]), np.maximum(e[:, 1], e[:, 3]), np.abs(e).max(axis=1, initial=0.0)
+    slope = (e[:, 2] - e[:, 0]) / (e[:, 3] - e[:, 1])
+    some = lambda rows, hit: np.bincount(rows, hit, minlength=n)
+    out = []
+    for i in range(RATIO):
+        for j in range(RATIO):
+            x, y = RATIO * tx + i, RATIO * ty + j
+            x0, x1, y0, y1 = x * side, (x + 1) * side, y * side, (y + 1) * side
+            slack = 1e-9 * (np.abs(x0) + np.abs(x1) + np.abs(y0) + np.abs(y1))
+            es, a, b = slack[at_e] + 1e-9 * far, y0[at_e], y1[at_e]
+            live = (hi > a - es) & (lo < b + es)
+            ends = [(np.clip(v, lo, hi) - e[:, 1]) * slope + e[:, 0] for v in (a, b)]
+            right = np.minimum(*ends) > x1[at_e] + es
+            mixed = some(at_e, live & ((~right & (np.maximum(*ends) >= x0[at_e] - es)) | (right & ((lo > a - es) | (hi < b + es)))))
+            mixed = mixed + some(at_t, (t > (y0 - slack)[at_t]) & (t < (y1 + slack)[at_t]))
+            middle = (y0 + y1) / 2
+            parity = odd + some(at_t, t <= middle[at_t]) + some(at_e, right & (lo <= middle[at_e]) & (hi > middle[at_e]))
+            keep = np.nonzero((mixed > 0) | (parity % 2 == 1))[0]
+            out.append((keep, x[keep], y[keep], (mixed == 0)[keep]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
 def _outline_cells(ring: Column, tile: float) -> Column:
     names = ("level", "tx", "ty", "inner", "odd", "turns", "edges")
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions import count_where
 from ..session import settle
 from .draws import SCRAMBLE, scramble
+from .inshapes import totals_in_shapes
 from .outlines import box_ring, ring_edges, with_intersection_area
 from .shapeindex import in_cell, look_up, meeting_boxes, shape_index
 
@@ -132,18 +133,24 @@ def cells_in_shape(points: DataFrame, shapes: DataFrame, tile: float, keys: list
     return hit.select(*cols, F.explode("hits").alias("s")).select(*cols, "s.shape_id", "s.roi_name")
 
 
+def count_in_shapes(points: DataFrame, shapes: DataFrame, tile: float, by: list[str] | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Points inside every shape as ``n``, per shape_id, roi_name and the points' ``by`` columns, without a row per containment."""
+    shape = [*(keys or []), "shape_id", "roi_name"]
+    rings = ["ring"] if "ring" in shapes.columns else []
+    inside = totals_in_shapes(points, shapes.select(*shape, "x0", "x1", "y0", "y1", *rings), tile, keys, by)
+    return inside.groupBy(*shape, *(by or [])).agg(F.sum("total").alias("n"))
+
+
 def geometric_leaf(shapes: DataFrame, tile: float, keys: list[str] | None = None) -> DataFrame:
     """Regions into which no smaller region's centroid falls."""
     keys = keys or []
     shapes, ring = _prepare(shapes)
     middle = lambda c: (F.col(f"{c}0") + F.col(f"{c}1")) / 2
     centre = lambda c: F.coalesce(ring_centre(F.col("ring"), c), middle(c)) if ring else middle(c)
-    own = shapes.select(*keys, F.col("region_id").alias("small_id"), F.col("area").alias("small_area"), centre("x").alias("x"), centre("y").alias("y"))
-    lists, levels, _ = shape_index(shapes, tile, keys, ["area", "region_id"])
-    hit = _lookup(own, lists, levels, tile, keys, ring)
-    parents = (hit.select(*keys, "small_id", "small_area", F.explode("hits").alias("s"))
-               .where((F.col("s.area") > F.col("small_area")) & (F.col("s.region_id") != F.col("small_id")))
-               .select(*keys, F.col("s.region_id").alias("region_id")).distinct())
+    own = shapes.select(*keys, F.col("area").alias("small_area"), centre("x").alias("x"), centre("y").alias("y"))
+    rows = shapes.select(*keys, "region_id", "area", "x0", "x1", "y0", "y1", *(["ring"] if ring else []))
+    held = totals_in_shapes(own.where("small_area IS NOT NULL"), rows, tile, keys, least="small_area")
+    parents = held.where(F.col("area") > F.col("total")).select(*keys, "region_id").distinct()
     return shapes.select(*keys, "region_id").join(parents, keys + ["region_id"], "left_anti")
 
 
@@ -311,7 +318,7 @@ def count_in_boxes(boxes: DataFrame, points: DataFrame, tile: float) -> DataFram
     ids = boxes.withColumn("shape_id", F.concat_ws("/", "region_id", "box"))
     shapes = ids.select("shape_id", F.lit("").alias("roi_name"), F.col("bx").alias("x0"), (F.col("bx") + F.col("side")).alias("x1"),
                         F.col("by").alias("y0"), (F.col("by") + F.col("side")).alias("y1"))
-    n = cells_in_shape(points.select("x", "y"), shapes, tile).groupBy("shape_id").agg(F.count("*").alias("machine"))
+    n = count_in_shapes(points.select("x", "y"), shapes, tile).select("shape_id", F.col("n").alias("machine"))
     out = ids.join(n, "shape_id", "left").withColumn("machine", F.coalesce("machine", F.lit(0)).cast("long"))
     return out.select("region_id", "box", "side", "bx", "by", "machine",
                       (F.col("machine") / (F.col("side") * F.col("side") / 1e6)).alias("machine_per_mm2"))

@@ -107,8 +107,7 @@ def leaf_annotations_only(spark, d):
 
 @query("cells_in_shape", f"SELECT shape_id, roi_name, count(*) AS n FROM fx_cells JOIN fx_drawn s ON {_IN_S} GROUP BY shape_id, roi_name")
 def cells_in_shape(spark, d):
-    hit = S.cells_in_shape(cells(spark, d).select("cell_id", "x", "y"), drawn(spark, d), 500.0)
-    return tidy(hit.groupBy("shape_id", "roi_name").agg(F.count("*").alias("n")))
+    return tidy(S.count_in_shapes(cells(spark, d).select("x", "y"), drawn(spark, d), 500.0))
 
 
 @query("first_owner_shape", f"""SELECT owner, count(*) AS n FROM (SELECT (SELECT min(shape_id) FROM fx_drawn s WHERE {_IN_S}) AS owner FROM fx_cells) GROUP BY owner""")
@@ -130,8 +129,8 @@ def shape_overlap_pairs(spark, d):
 
 @query("marker_object_counts", f"SELECT shape_id, concat(marker, '_obj') AS marker, count(*) AS n FROM fx_objects JOIN fx_drawn s ON {_IN_S} GROUP BY shape_id, marker")
 def marker_object_counts(spark, d):
-    hit = S.cells_in_shape(view(spark, d, "fx_objects").select("marker", "x", "y"), drawn(spark, d), 500.0)
-    return tidy(hit.groupBy("shape_id", F.concat("marker", F.lit("_obj")).alias("marker")).agg(F.count("*").alias("n")))
+    hit = S.count_in_shapes(view(spark, d, "fx_objects").select("marker", "x", "y"), drawn(spark, d), 500.0, ["marker"])
+    return tidy(hit.select("shape_id", F.concat("marker", F.lit("_obj")).alias("marker"), "n"))
 
 
 @query("overlap_share", f"""WITH s AS (SELECT shape_id, marker, count(*) AS in_shape FROM fx_objects JOIN fx_drawn s ON {_IN_S} GROUP BY shape_id, marker),
@@ -139,7 +138,7 @@ def marker_object_counts(spark, d):
     SELECT shape_id, s.marker, in_shape, objects, matched, CAST(round(matched * (in_shape / objects)) AS BIGINT) AS share FROM s JOIN t ON t.marker = s.marker""")
 def overlap_share(spark, d):
     obj = view(spark, d, "fx_objects")
-    inside = S.cells_in_shape(obj.select("marker", "x", "y"), drawn(spark, d), 500.0).groupBy("shape_id", "marker").agg(F.count("*").alias("in_shape"))
+    inside = S.count_in_shapes(obj.select("marker", "x", "y"), drawn(spark, d), 500.0, ["marker"]).select("shape_id", "marker", F.col("n").alias("in_shape"))
     totals = obj.groupBy("marker").agg(F.count("*").alias("objects"), F.floor(F.count("*") / 7).cast("long").alias("matched"))
     return tidy(T.overlap_share(inside, totals).select("shape_id", "marker", "in_shape", "objects", "matched", "share"))
 
@@ -204,8 +203,8 @@ def greedy_outline_match(spark, d):
 def cells_in_outline(spark, d):
     """Cells in every outline, on a fine index: large outlines are listed in few cells of a higher level."""
     drawn_outlines = outlines(spark, d).withColumnRenamed("region_id", "shape_id").withColumn("roi_name", F.lit(""))
-    hit = S.cells_in_shape(cells(spark, d).select("cell_id", "x", "y"), drawn_outlines, 50.0)
-    return tidy(hit.groupBy("shape_id").agg(F.count("*").alias("n")))
+    hit = S.count_in_shapes(cells(spark, d).select("x", "y"), drawn_outlines, 50.0)
+    return tidy(hit.select("shape_id", "n"))
 
 
 _NN = """SELECT t.section, t.cell_id, p.activity, row_number() OVER (PARTITION BY t.cell_id ORDER BY (t.x - p.x) ** 2 + (t.y - p.y) ** 2, p.cell_id) AS rn,
