@@ -23,6 +23,7 @@ from ..session import settle
 RATIO, SPAN = 4, 4               # side ratio of levels; cells a shape may span at its top level
 EDGE_LIMIT, DEPTH = 16, 4        # edges that make a cell split, levels below a shape's top level
 LIST_LIMIT = 4096                # shapes one row of the index may list
+FIRST = 32                       # shapes a cell may list before it is split, where only the first is wanted
 BLOCK = 4096                     # boxes of one side that one join key may hold
 COVER = ("array<struct<level:int,tx:long,ty:long,inner:boolean,odd:boolean,turns:array<double>,"
          "edges:array<struct<ax:double,ay:double,bx:double,by:double>>>>")
@@ -170,14 +171,69 @@ def shape_cells(shapes: DataFrame, tile: float, keys: list[str], order: list[str
     return boxed(shapes.where("ring IS NULL"), *whole).unionByName(drawn)
 
 
-def shape_index(shapes: DataFrame, tile: float, keys: list[str], order: list[str], limit: int | None = None) -> tuple[DataFrame, list[int], bool]:
+def _first_only(rows: DataFrame, tile: float, keys: list[str], order: list[str]) -> DataFrame:
+    """Cells with the shapes that can be the first for one of their points: those behind the first shape that holds the whole cell cannot.
+
+    Cells left with more than FIRST shapes are split, down to DEPTH levels below.
+    """
+    spot, rank = [*keys, "level", "tx", "ty"], F.struct(*[F.col(f"shape.{c}") for c in order])
+    s, ringed, done, cut = F.col("shape"), "edges" in rows.schema["shape"].dataType.fieldNames(), None, None
+    for depth in range(DEPTH + 1):
+        side = side_of(F.col("level"), tile)
+        inner = (s["x0"] <= F.col("tx") * side) & (s["x1"] >= (F.col("tx") + 1) * side) & (s["y0"] <= F.col("ty") * side) & (s["y1"] >= (F.col("ty") + 1) * side)
+        inner = inner & s["inner"] if ringed else inner
+        best = settle(rows.where(inner).groupBy(*spot).agg(F.min(rank).alias("_first")), "first")
+        cut = settle(rows.join(best, spot, "left").where(F.col("_first").isNull() | (rank <= F.col("_first"))).drop("_first"), "cover")
+        long = settle(cut.groupBy(*spot).agg(F.count("*").alias("_n")).where(F.col("_n") > FIRST).drop("_n"), "long")
+        if depth == DEPTH or long.isEmpty():
+            break
+        short = cut.join(long, spot, "left_anti")
+        done = short if done is None else done.unionByName(short)
+        open_ = cut.join(long, spot, "left_semi")
+        if ringed:
+            flat = F.flatten(F.transform(s["edges"], lambda e: F.array(e["ax"], e["ay"], e["bx"], e["by"])))
+            kids = open_.withColumn("_c", F.explode(_children(F.col("level"), F.col("tx"), F.col("ty"), s["inner"], s["odd"], s["turns"], flat, tile)))
+            kids = kids.withColumn("shape", s.withField("inner", F.col("_c.inner"))).withColumn("tx", F.col("_c.tx")).withColumn("ty", F.col("_c.ty")).drop("_c")
+        else:
+            kids = open_.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(RATIO * RATIO - 1))))
+            kids = kids.withColumn("tx", F.col("tx") * RATIO + F.col("_c") % RATIO).withColumn("ty", F.col("ty") * RATIO + F.floor(F.col("_c") / RATIO)).drop("_c")
+        side = side_of(F.col("level"), tile)
+        meets = (s["x0"] <= (F.col("tx") + 1) * side) & (s["x1"] >= F.col("tx") * side) & (s["y0"] <= (F.col("ty") + 1) * side) & (s["y1"] >= F.col("ty") * side)
+        rows = settle(kids.withColumn("level", (F.col("level") - 1).cast("int")).where(meets).select(*rows.columns), "cover")
+    return cut if done is None else done.unionByName(cut)
+
+
+def _children(level, tx, ty, inner, odd, turns, edges, tile: float) -> Column:
+    """Cells one level below, as an array of structs (tx, ty, inner)."""
+    @pandas_udf("array<struct<tx:long,ty:long,inner:boolean>>")
+    def kids(level: pd.Series, tx: pd.Series, ty: pd.Series, inner: pd.Series, odd: pd.Series, turns: pd.Series, edges: pd.Series) -> pd.Series:
+        odd = inner.to_numpy(dtype=bool) | odd.to_numpy(dtype=bool)
+        at, x, y, whole = children(*[c.to_numpy() for c in (level, tx, ty)], odd, turns.to_numpy(), edges.to_numpy(), tile)
+        out = [[] for _ in range(len(tx))]
+        for i, a, b, w in zip(at.tolist(), x.tolist(), y.tolist(), whole.tolist()):
+            out[i].append({"tx": a, "ty": b, "inner": w})
+        return pd.Series(out, dtype=object)
+
+    return kids(level, tx, ty, inner, odd, turns, edges)
+
+
+def shape_index(shapes: DataFrame, tile: float, keys: list[str], order: list[str], limit: int | None = None,
+                first: bool = False) -> tuple[DataFrame, list[int], bool]:
     """(written rows (keys, level, tx, ty, shapes[]) with the best first, levels in use, whether any list was split).
 
+    With ``first``, lists hold only what can be the best shape of a point: of equal outlines the first, and nothing behind a shape that holds the cell.
+
     A cell that more than ``limit`` shapes reach is spread over several rows, so no list grows with the data; its points then
     meet several rows and their answers are merged.
     """
     limit = limit or LIST_LIMIT
+    if first:
+        form = [*keys, "x0", "x1", "y0", "y1", *(["ring"] if "ring" in shapes.columns else [])]
+        rest = [c for c in shapes.columns if c not in form]
+        shapes = shapes.groupBy(*form).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_s")).select(*form, "_s.*").select(*shapes.columns)
     rows = settle(shape_cells(shapes, tile, keys, order), "cover")
+    if first:
+        rows = settle(_first_only(rows, tile, keys, order), "cover")
     spot = [*keys, "level", "tx", "ty"]
     crowded = settle(rows.groupBy(*spot).agg(F.count("*").alias("_n")).where(F.col("_n") > limit), "crowded")
     split = not crowded.isEmpty()

@@ -78,7 +78,7 @@ def _best(points: DataFrame, shapes: DataFrame, tile: float, keys: list[str], or
     Where tiles were split, positions are looked up and merged, and points join their position's
     answer: equal point rows stay, and points may have columns of any type.
     """
-    lists, levels, split = shape_index(shapes, tile, keys, order, limit)
+    lists, levels, split = shape_index(shapes, tile, keys, order, limit, first=True)
     spot = [*keys, "x", "y"]
     rows = points.select(*spot).distinct() if split else points
     hit = _lookup(rows, lists, levels, tile, keys, ring).withColumn("best", F.get("hits", F.lit(0))).drop("hits")

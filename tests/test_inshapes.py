@@ -5,6 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from cytolattice.operators import inshapes as I
+from cytolattice.operators import shapeindex as X
 from cytolattice.operators import spatial as S
 
 
@@ -67,3 +68,23 @@ def test_no_shapes_and_no_points(spark):
     _, _, df, pts = _world(spark)
     assert S.count_in_shapes(pts, df.limit(0), 3.0, ["marker"]).count() == 0
     assert S.count_in_shapes(pts.limit(0), df, 3.0).count() == 0
+
+
+def test_first_shape_lists_stop_behind_a_shape_that_holds_the_cell(spark):
+    """600 boxes and outlines over one another: lists stay short, and the first shape of every point is still found."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(600):
+        x, y, r = float(rng.integers(0, 60)), float(rng.integers(0, 60)), float(rng.integers(15, 40))
+        ring = [(x + r, y), (x + 2 * r, y + r), (x + r, y + 2 * r), (x, y + r)] if i % 2 else None
+        rows.append((i, "R", x, x + 2 * r, y, y + 2 * r, ring))
+    points = [(k, float(a), float(b)) for k, (a, b) in enumerate(rng.integers(0, 140, (300, 2)))]
+    df = spark.createDataFrame(rows, "shape_id long, roi_name string, x0 double, x1 double, y0 double, y1 double, ring array<struct<x:double,y:double>>")
+    pts = spark.createDataFrame(points, "cell_id long, x double, y double")
+    for shapes, held in ((df, rows), (df.drop("ring"), [(*r[:6], None) for r in rows])):
+        want = {p[0]: min((s[0] for s in held if _held(s, p)), default=None) for p in points}
+        assert {r.cell_id: r.owner for r in S.first_owner_shape(pts, shapes, 40.0).collect()} == want
+        lists = X.shape_index(shapes, 40.0, [], ["shape_id"], first=True)[0]
+        whole = X.shape_index(shapes, 40.0, [], ["shape_id"])[0]
+        longest = lambda t: t.agg(F.max(F.size("shapes"))).first()[0]
+        assert longest(lists) <= X.FIRST < longest(whole)
