@@ -17,6 +17,7 @@ from .outlines import box_ring, ring_edges, with_intersection_area
 from .shapeindex import in_cell, look_up, meeting_boxes, shape_index
 
 
+MEMBERS = 1024            # ids of equal boxes in one list
 RING = "array<struct<x:double,y:double>>"
 
 
@@ -182,11 +183,25 @@ def bbox_overlap_pairs(boxes: DataFrame, tile: float, keys: list[str] | None = N
     """
     keys = keys or []
     extra = ["ring"] if "ring" in boxes.columns else []
-    b = settle(boxes.select(*keys, box_id, "x0", "x1", "y0", "y1", *extra), "boxes")
-    pairs = meeting_boxes(b, b, tile, keys, box_id, **({"block": block} if block else {})).where(F.col(f"a_{box_id}") < F.col(f"b_{box_id}"))
+    form = [*keys, "x0", "x1", "y0", "y1", *extra]
+    every = settle(boxes.select(*form, box_id).where("x0 < x1 AND y0 < y1"), "boxes")
+    # Equal boxes are compared once; ids come back in lists of bounded length.
+    size = every.groupBy(*form).agg(F.ceil(F.count("*") / MEMBERS).alias("_lists"))
+    size = settle(size.withColumn("_form", F.monotonically_increasing_id()), "forms")
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in form]
+    lists = every.alias("l").join(size.alias("r"), same).select("r._form", "r._lists", F.col(f"l.{box_id}").alias("_id")).withColumn("_part", F.pmod(F.xxhash64("_id"), F.col("_lists")))
+    lists = settle(lists.groupBy("_form", "_part").agg(F.collect_list("_id").alias("_ids")), "members")
+    f = size.drop("_lists")
+    pairs = meeting_boxes(f, f, tile, keys, "_form", **({"block": block} if block else {})).where("a__form <= b__form")
     if extra:
         pairs = pairs.where(F.col("a_ring").isNull() | F.col("b_ring").isNull() | rings_meet(F.col("a_ring"), F.col("b_ring")))
-    return pairs.select(*keys, F.col(f"a_{box_id}").alias("first"), F.col(f"b_{box_id}").alias("second"))
+    pairs = pairs.select(*keys, "a__form", "b__form")
+    for t in "ab":
+        pairs = pairs.join(lists.select(F.col("_form").alias(f"{t}__form"), F.col("_ids").alias(f"_{t}")), f"{t}__form")
+    twins = F.col("a__form") == F.col("b__form")
+    pairs = pairs.select(*keys, twins.alias("_twins"), F.explode("_a").alias("_i"), "_b").select(*keys, "_twins", "_i", F.explode("_b").alias("_j"))
+    pairs = pairs.where((F.col("_i") < F.col("_j")) | (~F.col("_twins") & (F.col("_i") > F.col("_j"))))
+    return pairs.select(*keys, F.least("_i", "_j").alias("first"), F.greatest("_i", "_j").alias("second"))
 
 
 def shape_overlap_pairs(shapes: DataFrame, tile: float) -> DataFrame:

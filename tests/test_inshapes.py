@@ -88,3 +88,12 @@ def test_first_shape_lists_stop_behind_a_shape_that_holds_the_cell(spark):
         whole = X.shape_index(shapes, 40.0, [], ["shape_id"])[0]
         longest = lambda t: t.agg(F.max(F.size("shapes"))).first()[0]
         assert longest(lists) <= X.FIRST < longest(whole)
+
+
+def test_equal_boxes_are_compared_once(spark, monkeypatch):
+    met, whole = [], S.meeting_boxes
+    monkeypatch.setattr(S, "meeting_boxes", lambda a, b, *rest, **more: (met.append(a.count()), whole(a, b, *rest, **more))[1])
+    boxes = spark.range(60).select(F.col("id").alias("shape_id"), *[F.when(F.col("id") % 3 == 0, F.lit(u)).otherwise(F.lit(v)).alias(c)
+                                   for c, u, v in (("x0", 0.0, 5.0), ("x1", 10.0, 15.0), ("y0", 0.0, 5.0), ("y1", 10.0, 15.0))])
+    got = sorted((r.first, r.second) for r in S.bbox_overlap_pairs(boxes, 4.0).select("first", "second").toLocalIterator())
+    assert got == [(i, j) for i in range(60) for j in range(i + 1, 60)] and met == [2]
