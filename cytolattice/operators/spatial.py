@@ -267,6 +267,10 @@ def outline_background(cells: DataFrame, pixels: DataFrame, gap: float, width: f
     box and band only, so the work is that of an equi-join on pixel positions.  Without a pixel in the band the background is NULL.
     """
     reach = gap + width
+    # Equal outlines of a section have one answer: they are measured once.
+    every = settle(cells.where("ring IS NOT NULL").select("section", "cell_id", "ring").distinct(), "outlines")
+    cells = settle(every.select("section", "ring").distinct().withColumn("cell_id", F.monotonically_increasing_id()), "forms")
+    members = every.join(cells.withColumnRenamed("cell_id", "_form"), ["section", "ring"]).select(F.col("section").alias("_section"), "_form", F.col("cell_id").alias("_cell"))
     at = lambda c, f: f(F.transform("ring", lambda p: p[c]))
     spots = cells.where("ring IS NOT NULL").select("section", "cell_id", ring_edges(F.col("ring")).alias("_e"), *[
         F.floor(v).cast("long").alias(n) for n, v in (("_x0", at("x", F.array_min) - reach), ("_x1", at("x", F.array_max) + reach),
@@ -281,7 +285,8 @@ def outline_background(cells: DataFrame, pixels: DataFrame, gap: float, width: f
     flat = pixels.select("section", "channel", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "v")
     mean = lambda part, name: part.join(flat, ["section", "x", "y"]).groupBy("section", "cell_id", "channel").agg(F.avg("v").alias(name))
     out = mean(disc, "raw_mean").join(mean(clean, "background"), ["section", "cell_id", "channel"], "left")
-    return out.withColumn("bgsub", F.col("raw_mean") - F.col("background"))
+    out = settle(out, "backgrounds").join(members, (F.col("section") == F.col("_section")) & (F.col("cell_id") == F.col("_form")))
+    return out.select("section", F.col("_cell").alias("cell_id"), "channel", "raw_mean", "background", (F.col("raw_mean") - F.col("background")).alias("bgsub"))
 
 
 BOX_LADDER = (150.0, 120.0, 100.0, 80.0, 60.0, 50.0, 40.0)          # micrometres, largest first

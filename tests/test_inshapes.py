@@ -97,3 +97,16 @@ def test_equal_boxes_are_compared_once(spark, monkeypatch):
                                    for c, u, v in (("x0", 0.0, 5.0), ("x1", 10.0, 15.0), ("y0", 0.0, 5.0), ("y1", 10.0, 15.0))])
     got = sorted((r.first, r.second) for r in S.bbox_overlap_pairs(boxes, 4.0).select("first", "second").toLocalIterator())
     assert got == [(i, j) for i in range(60) for j in range(i + 1, 60)] and met == [2]
+
+
+def test_equal_outlines_are_measured_once(spark, monkeypatch):
+    sizes, whole = {}, S.settle
+    monkeypatch.setattr(S, "settle", lambda df, name="settled": (lambda t: (sizes.__setitem__(name, t.count()), t)[1])(whole(df, name)))
+    ring = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((4.0, 4.0), (8.0, 4.0), (8.0, 8.0), (4.0, 8.0))])
+    pixels = spark.range(400).select(F.lit("s").alias("section"), F.lit("c").alias("channel"), (F.col("id") % 20).alias("x"), F.floor(F.col("id") / 20).alias("y"), F.lit(3.0).alias("v"))
+    cells = lambda n: spark.range(n).select(F.lit("s").alias("section"), F.col("id").alias("cell_id"), ring.alias("ring"))
+    one = S.outline_background(cells(1), pixels, 1.0, 2.0).collect()
+    alone = sizes["bands"]
+    many = S.outline_background(cells(50), pixels, 1.0, 2.0).collect()
+    assert sizes["bands"] == alone and sorted(r.cell_id for r in many) == list(range(50))
+    assert {tuple(r)[2:] for r in many} == {tuple(one[0])[2:]}
