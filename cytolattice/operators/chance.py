@@ -17,6 +17,7 @@ from ..functions import above_chance, count_where, dbl, finite, ratio
 from ..session import settle
 from . import logit, markers
 from .draws import SCRAMBLE as PRIME, STEP, scramble as mix
+from .gridsearch import inside, summaries
 from .quantiles import grouped_quantiles
 
 HALF, LOW = 1 << 32, 1 << 12
@@ -303,35 +304,99 @@ def local_table(rows: DataFrame, k: int, n_boot: int = 1000, seed: int = 0, mini
 
 # ---- rotation ---------------------------------------------------------------------------------------
 
+RINGS = 64                # rings across a section's side, by distance from its centroid
+TURN_CHUNK = 4096         # tagged cells turned in one task group
+TURN_RIM = 0.25           # turned cells also land outside their section, where circles are wide
+
+
+def _turned(leaves: DataFrame, mid: DataFrame, tagged: DataFrame, n_rot: int, seed: int, near: int) -> tuple[DataFrame, DataFrame]:
+    """(tagged cells per leaf that some turn may bring them to, what each leaf has to know).
+
+    A turn keeps the distance from the centroid, so a leaf needs the cells of the rings that its box crosses; boxes at the section's
+    end reach to infinity.
+    """
+    # Sections turn independently: the draw starts from the section's name.
+    own = F.conv(F.substring(F.md5("section"), 1, 7), 16, 10).cast("long")
+    angle = lambda rot: 2 * F.pi() * mix(((rot + 1).cast("long") * 1_000_003 + own + seed) % PRIME) / F.lit(float(PRIME))
+    turns = F.sequence(F.lit(0), F.lit(n_rot - 1))
+    wide = F.col("_side") / F.pow(F.lit(2.0), F.col("level"))
+    last = F.pow(F.lit(2.0), F.col("level")) - 1
+    ends, near_, far = {}, {}, {}
+    for c in "xy":
+        lo, hi = F.col(f"_{c}0") + F.col(f"c{c}") * wide, F.col(f"_{c}0") + (F.col(f"c{c}") + 1) * wide
+        ends[c] = (F.when(F.col(f"c{c}") == 0, float("-inf")).otherwise(lo), F.when(F.col(f"c{c}") == last, float("inf")).otherwise(hi))
+        near_[c] = F.greatest(ends[c][0] - F.col(f"_c{c}"), F.col(f"_c{c}") - ends[c][1], F.lit(0.0))
+        far[c] = F.greatest(F.abs(F.col(f"_c{c}") - ends[c][0]), F.abs(ends[c][1] - F.col(f"_c{c}")))
+    ring, sliver = F.col("_side") / RINGS, 1e-9
+    # No cell is farther from the centroid than twice the section's side.
+    inner = F.floor((F.hypot(near_["x"], near_["y"]) * (1 - sliver) - sliver * F.col("_side")) / ring)
+    outer = F.floor((F.least(F.hypot(far["x"], far["y"]), 2 * F.col("_side")) * (1 + sliver) + sliver * F.col("_side")) / ring)
+    known = leaves.join(mid, "section")
+    rings = known.select("_id", "section", F.explode(F.sequence(inner.cast("long"), outer.cast("long"))).alias("_ring"))
+    heads = known.select("_id", F.concat("_see", F.array(*[F.col(c).cast("double") for c in ("level", "cx", "cy", "_x0", "_y0", "_side", "_cx", "_cy")], F.least(F.lit(near), F.col("_n") - 1).cast("double")),
+                                         F.transform(turns, lambda r: F.cos(angle(r))), F.transform(turns, lambda r: F.sin(angle(r)))).alias("head"))
+    dx, dy = F.col("x") - F.col("_cx"), F.col("y") - F.col("_cy")
+    cells = (tagged.join(mid, "section").join(leaves.select("section", "_side").distinct(), "section")
+             .select("section", "cell_id", dx.alias("dx"), dy.alias("dy"), F.floor(F.hypot(dx, dy) / ring).alias("_ring")))
+    return cells.join(rings, ["section", "_ring"]).select("_id", "cell_id", "dx", "dy"), settle(heads, "heads")
+
+
+def _turn(head: np.ndarray, cells: pd.DataFrame, points: pd.DataFrame, n_rot: int) -> pd.DataFrame:
+    """Sums per turn over the turned cells that land in a leaf, and by themselves those whose circle leaves what it sees."""
+    level, cx, cy, x0, y0, side, mx, my, m = head[8:17]
+    cos, sin = head[17:17 + n_rot], head[17 + n_rot:]
+    dx, dy, ids = (cells[c].to_numpy() for c in ("dx", "dy", "cell_id"))
+    n, m = 2 ** int(level), int(m)
+    rots, whos, xs, ys = [], [], [], []
+    at = lambda v, origin: np.clip(np.floor((v - origin) / side * n), 0, n - 1)
+    for rot in range(n_rot):
+        x, y = mx + dx * cos[rot] - dy * sin[rot], my + dx * sin[rot] + dy * cos[rot]
+        who = np.flatnonzero((at(x, x0) == cx) & (at(y, y0) == cy))
+        rots.append(np.full(len(who), rot)), whos.append(who), xs.append(x[who]), ys.append(y[who])
+    rot, who, x, y = (np.concatenate(v) for v in (rots, whos, xs, ys))
+    found, d2, _, total = summaries(x, y, *[points[c].to_numpy() for c in ("x", "y", "w")], m)
+    shut = inside(x, y, d2, head[:4], head[4:8])
+    n_shut = np.bincount(rot[shut], minlength=n_rot)
+    some, far = np.flatnonzero(n_shut), np.flatnonzero(~shut)
+    whole = pd.DataFrame({"rot": some, "cell_id": pd.array([None] * len(some), dtype="Int64"), "x": np.nan, "y": np.nan,
+                          "act": np.bincount(rot[shut], weights=total[shut], minlength=n_rot)[some] / m, "n": n_shut[some]})
+    rest = pd.DataFrame({"rot": rot[far], "cell_id": pd.array(ids[who[far]], dtype="Int64"), "x": x[far], "y": y[far], "act": 0.0, "n": 0})
+    out = pd.concat([f for f in (whole, rest) if len(f)], ignore_index=True) if len(whole) or len(rest) else whole
+    out.insert(0, "_id", cells["_id"].iloc[0])
+    return out
+
+
 def rotation_null(cells: DataFrame, n_rot: int = 200, near: int = 25, seed: int = 0, cap: int | None = None) -> DataFrame:
     """Tagged points rotated about their section's centroid; activity of the nearest cells there.
 
     Cells carry ``region``.  One angle per section and rotation.  A section needs ten cells.  Rates equal up to
-    rounding (1e-12) count as equal.
+    rounding (1e-12) count as equal.  Cells are turned inside the tasks that hold the points they may land among, and only sums per
+    turn are written.
     """
-    from .neighbours import knn_join
+    from .neighbours import WIDE_CAP, knn_join, limited, visits, wide_leaves
     rows = cells.select("region", F.concat_ws("\u0001", "region", "section").alias("section"), "cell_id", dbl("x").alias("x"),
                         dbl("y").alias("y"), "tagged", "activity")
     rows = settle(rows, "rotate")
     mid = rows.groupBy("region", "section").agg(F.avg("x").alias("_cx"), F.avg("y").alias("_cy"), F.count("*").alias("_n"),
                                                  count_where(F.col("tagged")).alias("_t"))
     mid = settle(mid.where((F.col("_n") >= 10) & (F.col("_t") > 0)))
-    q = rows.where("tagged").join(mid.drop("region"), "section").select(
-        "section", "cell_id", "x", "y", "_cx", "_cy", "_n", F.explode(F.sequence(F.lit(0), F.lit(n_rot - 1))).alias("rot"))
-    # Sections turn independently: the draw starts from the section's name.
-    own = F.conv(F.substring(F.md5("section"), 1, 7), 16, 10).cast("long")
-    u = mix(((F.col("rot") + 1).cast("long") * 1_000_003 + own + seed) % PRIME)
-    th = 2 * F.pi() * u / F.lit(float(PRIME))
-    dx, dy = F.col("x") - F.col("_cx"), F.col("y") - F.col("_cy")
+    pool = limited(rows.join(mid.select("section"), "section", "left_semi").select(
+        "section", F.col("cell_id").alias("pid"), "x", "y", F.col("activity").cast("double").alias("w")), near)
+    extent, leaves, levels, seen = wide_leaves(pool, max(cap or WIDE_CAP, 2 * near), TURN_RIM)
+    tagged = rows.where("tagged").select("section", F.col("cell_id").cast("long").alias("cell_id"), "x", "y")
+    q, heads = _turned(leaves, mid.drop("region"), tagged, n_rot, seed, near)
+    out = visits(settle(q, "rings"), seen, heads, TURN_CHUNK, ["cell_id"], lambda head, left, right: _turn(head, left, right, n_rot),
+                 "_id long, rot int, cell_id long, x double, y double, act double, n long")
+    out = settle(out, "turned").join(leaves.select("_id", "section"), "_id").join(mid.select("section", "region", "_n"), "section")
+    sums = out.where("cell_id IS NULL").select("region", "rot", "act", "n")
     # Query ids carry the rotation so that one search serves all rotations.
-    q = q.select("section", F.concat_ws("/", "rot", "cell_id").alias("qid"),
-                 (F.col("_cx") + dx * F.cos(th) - dy * F.sin(th)).alias("x"), (F.col("_cy") + dx * F.sin(th) + dy * F.cos(th)).alias("y"))
-    pool = rows.join(mid.select("section"), "section", "left_semi").select(
-        "section", F.col("cell_id").alias("pid"), "x", "y", F.col("activity").cast("double").alias("w"))
-    nn = knn_join(q, pool, near, cap).join(mid.select("section", "region", "_n"), "section")
-    m = F.least(F.lit(near), F.col("_n") - 1).cast("int")
-    act = F.aggregate(F.slice("nn", F.lit(1), m), F.lit(0.0), lambda s, e: s + e["w"]) / m
-    null = nn.select("region", F.substring_index("qid", "/", 1).alias("rot"), act.alias("act")).groupBy("region", "rot").agg(F.avg("act").alias("null_rate"))
+    far = out.where("cell_id IS NOT NULL").select("section", F.concat_ws("/", "rot", "cell_id").alias("qid"), "x", "y")
+    if not far.isEmpty():
+        nn = knn_join(far, pool, near, cap).join(mid.select("section", "region", "_n"), "section")
+        m = F.least(F.lit(near), F.col("_n") - 1).cast("int")
+        act = F.aggregate(F.slice("nn", F.lit(1), m), F.lit(0.0), lambda s, e: s + e["w"]) / m
+        sums = sums.unionByName(nn.select("region", F.substring_index("qid", "/", 1).cast("int").alias("rot"), act.alias("act"), F.lit(1).cast("long").alias("n")))
+    null = sums.groupBy("region", "rot").agg((F.sum("act") / F.sum("n")).alias("null_rate"))
     obs = rows.where("tagged").groupBy("region").agg(F.avg(flag("activity")).alias("observed"))
     out = null.join(obs, "region").groupBy("region", "observed").agg(
         F.avg("null_rate").alias("null_mean"), count_where(F.col("null_rate") >= F.col("observed") - 1e-12).alias("_ge"), F.count("*").alias("_r"))
