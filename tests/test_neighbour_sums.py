@@ -82,3 +82,13 @@ def test_rotations_match_brute_force_and_write_no_row_a_turn(spark, monkeypatch,
     assert got.p == pytest.approx(((null >= obs - 1e-12).sum() + 1) / 61)
     if cap is None:
         assert max(written) <= len(pdf)            # a row per cell or fewer, where 60 turns of every tagged cell were written
+
+
+def test_modelled_cells_are_written_once_and_narrow(spark):
+    from cytolattice import session
+    from cytolattice.plans import chance_queries as Q
+    before = set(session._SETTLED.get(id(spark.sparkContext), []))
+    rows = Q.modelled(spark, "/root/testdata/sf0.001")
+    paths = [p for p in session._SETTLED[id(spark.sparkContext)] if p not in before]
+    wide = [p for p in paths if "x1" in spark.read.parquet(p).columns]
+    assert len(wide) == 1 and "animal" not in spark.read.parquet(wide[0]).columns and rows.where("region = '__ALL__'").count() > 0
