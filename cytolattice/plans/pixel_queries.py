@@ -247,7 +247,7 @@ CTES["ff"] = f"""WITH m AS (SELECT channel, tile_section, tile, avg(v) AS m FROM
 
 def field(spark, d):
     t = tiled(spark, d).withColumn("tile", F.concat_ws("/", "section", "tile"))
-    return P.flat_field(t.select("channel", "tile", "y", "x", "v"), 1.0)
+    return P.flat_field(t.select("channel", "tile", "y", "x", "v", "h", "w"), 1.0)
 
 
 @query("flat_field", "SELECT channel, y::BIGINT AS y, x::BIGINT AS x, round(field, 6) AS field FROM ff")

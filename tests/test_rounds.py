@@ -181,6 +181,22 @@ def test_gaussian_field_equals_numpy_and_falls_back_to_ones(spark):
     assert all(v == 1.0 for k, v in got.items() if k[0] in "BC") and len(got) == 63 + 4 + 2
 
 
+def test_field_of_tiles_with_missing_pixels_has_their_size(spark):
+    rng = np.random.default_rng(3)
+    tiles = rng.uniform(1, 100, (2, 8, 6))
+    kept = np.zeros((2, 8, 6), dtype=bool)
+    kept[0, 1:6, 0:3] = kept[1, 0:7, 1:3] = True
+    rows = [("A", f"t{t}", int(y), int(x), float(tiles[t, y, x]), 8, 6) for t, y, x in np.argwhere(kept)]
+    got = {(r.y, r.x): r.field for r in P.flat_field(spark.createDataFrame(rows, "channel string, tile string, y int, x int, v double, h int, w int"), 1.0).collect()}
+    norm = np.where(kept, tiles / np.array([tiles[t][kept[t]].mean() for t in range(2)])[:, None, None], np.nan)
+    some = kept.any(axis=0)
+    field = np.array([[np.nanmedian(norm[:, y, x]) if some[y, x] else 0.0 for x in range(6)] for y in range(8)])
+    for axis in (1, 0):
+        field = np.where(some, np.apply_along_axis(lambda v: np.convolve(np.pad(v, 4, mode="symmetric"), P.gaussian_weights(1.0), mode="valid"), axis, field), 0.0)
+    want = field / field[some].mean()
+    assert set(got) == {(int(y), int(x)) for y, x in np.argwhere(some)} and all(v == pytest.approx(want[k], rel=1e-9) for k, v in got.items())
+
+
 def test_histogram_loses_no_value(spark):
     df = spark.createDataFrame([("s", "c", v) for v in (0, 99, 100, 129, 130, 999, -4, None)], "section string, channel string, v int")
     for bins in (7, 10, 13):
