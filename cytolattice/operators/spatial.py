@@ -13,6 +13,7 @@ from ..functions import count_where
 from ..session import settle
 from .draws import SCRAMBLE, scramble
 from .inshapes import totals_in_shapes
+from .matching import forms_of, greedy_pairs
 from .outlines import box_ring, ring_edges, with_intersection_area
 from .shapeindex import in_cell, look_up, meeting_boxes, shape_index
 
@@ -369,19 +370,12 @@ def _overlaps(a: DataFrame, b: DataFrame, tile: float, min_frac: float, digits:
     return settle(j.select("a_id", "b_id", frac.alias("frac")), "overlaps").where((F.col("frac") >= min_frac) & (F.col("frac") > 0))
 
 
-def greedy_overlap_match(a: DataFrame, b: DataFrame, tile: float, min_frac: float, digits: int = 9, block: int | None = None) -> DataFrame:
+def greedy_overlap_match(a: DataFrame, b: DataFrame, tile: float, min_frac: float, digits: int = 9, block: int | None = None,
+                         load: int | None = None, limit: int | None = None) -> DataFrame:
     """One-to-one pairs of shapes, best overlap first: area in common over the smaller area.
 
-    Both sides: id, x0, x1, y0, y1 and, for outlines, ring (NULL for a box).  Each round accepts every pair that is the best of both
-    its sides and drops what touches it; under a total order that equals the sequential greedy choice.  Fractions are compared to
-    ``digits`` digits, then by ids.
+    Both sides: id (one row each), x0, x1, y0, y1 and, for outlines, ring (NULL for a box).  Fractions are compared to ``digits`` digits, then
+    by ids.  Equal shapes of a side are compared once, with at most ``limit`` ids a list; the choice is made in blocks of about ``load`` ids and pairs.
     """
-    cand, done = _overlaps(a, b, tile, min_frac, digits, block), None
-    while not cand.isEmpty():
-        order = F.struct(-F.col("frac"), "a_id", "b_id")
-        pa = cand.groupBy("a_id").agg(F.min_by(F.struct("b_id", "frac"), order).alias("m")).select("a_id", "m.b_id", "m.frac")
-        pb = cand.groupBy("b_id").agg(F.min_by("a_id", order).alias("a_id"))
-        won = settle(pa.join(pb, ["a_id", "b_id"]), "matched")
-        done = won if done is None else done.unionByName(won)
-        cand = settle(cand.join(won.select("a_id"), "a_id", "left_anti").join(won.select("b_id"), "b_id", "left_anti"), "overlaps")
-    return done if done is not None else cand
+    a, b = forms_of(a, limit), forms_of(b, limit)
+    return greedy_pairs(_overlaps(a, b, tile, min_frac, digits, block).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "frac"), a, b, load)
