@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from cytolattice.config import Marker, Panel
 from cytolattice.operators import chance as C
 from cytolattice.operators import neighbours as N
+from cytolattice.session import settle, shared_dir
 
 PANEL = Panel(markers=(Marker("fos", "nuclear"), Marker("tdt", "whole-cell")))
 
@@ -86,6 +89,17 @@ def test_fitted_expectation_matches_numpy(make):
     assert over.above_chance_fitted == pytest.approx(got.ratio) and over.ci_lo < over.above_chance_fitted < over.ci_hi
 
 
+def test_comparison_leaves_its_rows_and_a_row_a_region(spark, make):
+    _, df = make(8, n=1200, lift=2.0)
+    dens = N.local_density(df, 20)
+    rows = settle(C.covariates(df.join(dens.select("cell_id", "local_density"), "cell_id"), "tdt_bgsub"))
+    before = set(os.listdir(shared_dir(spark)))
+    out = C.chance_compare(rows, k=20, n_rot=2, n_boot=50)
+    left = [n for n in set(os.listdir(shared_dir(spark))) - before if os.path.exists(f"{shared_dir(spark)}/{n}/_SUCCESS")]
+    assert [n.rsplit("-", 1)[0] for n in left if spark.read.parquet(f"{shared_dir(spark)}/{n}").count() > 1] == ["compare"]
+    assert out.count() == 1 and C.chance_compare(rows, k=20, n_rot=2, n_boot=50, written=True).collect() == out.collect()
+
+
 def test_the_whole_project_is_compared_beside_its_regions(make):
     pdf, df = make(6, n=2400, lift=2.0)
     dens = N.local_density(df, 20)
