@@ -165,8 +165,17 @@ def _best_of_both(pairs: DataFrame, forms: DataFrame) -> DataFrame:
     return settle(pa.join(pb, ["a", "b"]).select("a", "b", "a_id", "b_id", "frac"), "matched")
 
 
+def without_taken(forms: DataFrame, won: DataFrame, sides: str) -> DataFrame:
+    """``forms`` without the ids that ``won`` has of these sides, and without forms that have none left."""
+    taken = won.select(F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("form"), F.col(f"{s}_id").alias("id")) for s in sides])))
+    taken = taken.groupBy("side", "form").agg(F.collect_list("id").alias("_taken"))
+    forms = forms.join(taken, ["side", "form"], "left").withColumn(
+        "ids", F.when(F.col("_taken").isNull(), F.col("ids")).otherwise(F.array_except("ids", "_taken"))).drop("_taken")
+    return settle(forms.where(F.size("ids") > 0), "forms")
+
+
 def greedy_pairs(pairs: DataFrame, a: DataFrame, b: DataFrame, load: int | None = None) -> DataFrame:
-    """(a_id, b_id, frac) of the greedy choice among the ids of pairs of forms, by fraction, a_id and b_id.
+    """(a, b, a_id, b_id, frac) of the greedy choice among the ids of pairs of forms, by fraction, a_id and b_id.
 
     ``pairs``: a, b (ids of forms), frac.  ``a`` and ``b`` come from ``forms_of``.
     """
@@ -182,20 +191,16 @@ def greedy_pairs(pairs: DataFrame, a: DataFrame, b: DataFrame, load: int | None
         won = _sure(pairs, forms, homes, id_type)
         if won.isEmpty():
             won = _best_of_both(pairs, forms)
-        done.append(won.select("a_id", "b_id", "frac"))
+        done.append(won)
         if homes is None:
             break
-        taken = won.select(F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("form"), F.col(f"{s}_id").alias("id")) for s in "ab"])))
-        taken = taken.groupBy("side", "form").agg(F.collect_list("id").alias("_taken"))
-        forms = forms.drop("load").join(taken, ["side", "form"], "left").withColumn(
-            "ids", F.when(F.col("_taken").isNull(), F.col("ids")).otherwise(F.array_except("ids", "_taken"))).drop("_taken")
-        forms = settle(forms.where(F.size("ids") > 0), "forms")
+        forms = without_taken(forms.drop("load"), won, "ab")
         for s in "ab":
             pairs = pairs.join(forms.where(F.col("side") == s).select(F.col("form").alias(s)), s, "left_semi")
         pairs, turn = settle(pairs.select("a", "b", "frac"), "overlaps"), turn + 1
     if not done:
         none = F.lit(None).cast(id_type)
-        return pairs.select(none.alias("a_id"), none.alias("b_id"), "frac")
+        return pairs.select("a", "b", none.alias("a_id"), none.alias("b_id"), "frac")
     out = done[0]
     for won in done[1:]:
         out = out.unionByName(won)

@@ -7,7 +7,10 @@ middle heights are looked at.  Rings are arrays of x/y vertices, closed implicit
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import pandas_udf
 
 
 def box_ring(x0: Column, x1: Column, y0: Column, y1: Column) -> Column:
@@ -56,3 +59,43 @@ def with_intersection_area(pairs: DataFrame, ring_a: Column, ring_b: Column, int
     parts = F.transform("_slabs", lambda s: (s["hi"] - s["lo"]) * _common_width(F.col("_ea"), F.col("_eb"), (s["lo"] + s["hi"]) / 2))
     area = F.when(F.col("_ya").isNotNull() & F.col("_yb").isNotNull(), F.aggregate(parts, F.lit(0.0), lambda s, v: s + v))
     return out.withColumn(into, area).drop("_ya", "_yb", "_ea", "_eb", "_y", "_lo", "_hi", "_slabs")
+
+
+def _area_below(lo, hi, dy, first, cut):
+    """Area of each ring at x <= ``cut``: the integral of min(x, cut) dy along its edges, which go from ``lo`` to ``hi`` either way."""
+    at = np.clip(cut, lo, hi)
+    mean = np.where(hi > lo, ((lo + at) / 2 * (at - lo) + at * (hi - at)) / np.where(hi > lo, hi - lo, 1), lo) + np.minimum(cut - lo, 0)
+    return np.abs(np.add.reduceat(dy * mean, first))
+
+
+def _cut(x, y, first, size, share, steps=24):
+    """An x of each ring with at least ``share`` of its area below, found by halving."""
+    after = np.arange(len(x)) + 1
+    after[first + size - 1] = first
+    lo, hi, dy = np.minimum(x, x[after]), np.maximum(x, x[after]), y[after] - y
+    low, high = np.minimum.reduceat(x, first), np.maximum.reduceat(x, first)
+    start, wanted = low.copy(), share * _area_below(lo, hi, dy, first, np.repeat(high, size))
+    for _ in range(steps):
+        middle = (low + high) / 2
+        less = _area_below(lo, hi, dy, first, np.repeat(middle, size)) <= wanted
+        low, high = np.where(less, middle, low), np.where(less, high, middle)
+    return np.where(wanted > 0, high, start)
+
+
+def core(ring: Column, share: float) -> Column:
+    """Struct (x0, x1, y0, y1): beyond each of them lies at least ``share`` of the outline's area; NULL without one."""
+    @pandas_udf("x0 double, x1 double, y0 double, y1 double")
+    def cuts(xs: pd.Series, ys: pd.Series) -> pd.DataFrame:
+        out = np.full((len(xs), 4), np.nan)
+        on = np.flatnonzero([x is not None and len(x) > 0 for x in xs])
+        if len(on):
+            size = np.array([len(xs.iloc[i]) for i in on])
+            first = np.concatenate([[0], np.cumsum(size)[:-1]])
+            x, y = (np.concatenate([c.iloc[i] for i in on]).astype(float) for c in (xs, ys))
+            x0, y0 = (np.minimum.reduceat(v, first) for v in (x, y))                          # near zero, for exactness
+            x, y = x - np.repeat(x0, size), y - np.repeat(y0, size)
+            out[on] = np.stack([x0 + _cut(x, y, first, size, share), x0 - _cut(-x, y, first, size, share),
+                                y0 + _cut(y, x, first, size, share), y0 - _cut(-y, x, first, size, share)], axis=1)
+        return pd.DataFrame(out, columns=["x0", "x1", "y0", "y1"])
+
+    return cuts(F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"]))

@@ -264,12 +264,13 @@ def look_up(points: DataFrame, lists: DataFrame, levels: list[int], tile: float,
 
 # -- boxes that meet -------------------------------------------------------------------------------------------------
 
-def meeting_boxes(a: DataFrame, b: DataFrame, tile: float, keys: list[str], box_id: str, block: int = BLOCK) -> DataFrame:
+def meeting_boxes(a: DataFrame, b: DataFrame, tile: float, keys: list[str], box_id: str, block: int = BLOCK, parts: int | None = None) -> DataFrame:
     """Pairs (a_*, b_*) of rows of two tables whose boxes overlap with positive area, each once.
 
     Two boxes meet at the level of the larger one, in the cell of their overlap's lower corner.  Where more than ``block`` boxes of a table
     share a cell, they are dealt into blocks and every pair of blocks is a key of its own, so no key holds more than about
-    ``block`` rows of either side.  Ids may repeat and boxes without area meet nothing.
+    ``block`` rows of either side.  Ids may repeat and boxes without area meet nothing.  With ``parts`` the keys are dealt into so many
+    partitions whatever their bytes, for work on the pairs that costs far more than reading them.
     """
     def sized(df, tag):
         df = df.where("x0 < x1 AND y0 < y1").select(*keys, *[F.col(c).alias(f"{tag}_{c}") for c in df.columns if c not in keys])
@@ -298,6 +299,8 @@ def meeting_boxes(a: DataFrame, b: DataFrame, tile: float, keys: list[str], box_
         return out.withColumn("_pb" if tag == "a" else "_pa", F.explode(F.sequence(F.lit(0), m - 1))).drop("_na", "_nb")
 
     left, right = dealt(left, "a", F.col("_na"), F.col("_nb")), dealt(right, "b", F.col("_nb"), F.col("_na"))
+    if parts:
+        left, right = (df.repartition(parts, *spot, "_pa", "_pb") for df in (left, right))
     cx, cy, side = F.greatest("a_x0", "b_x0"), F.greatest("a_y0", "b_y0"), side_of(F.col("level"), tile)
     meet = ((F.greatest("_a", "_b") == F.col("level")) & (cx < F.least("a_x1", "b_x1")) & (cy < F.least("a_y1", "b_y1"))
             & (cell_of(cx, side) == F.col("tx")) & (cell_of(cy, side) == F.col("ty")))

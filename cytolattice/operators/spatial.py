@@ -10,16 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import count_where
-from ..session import settle
+from ..session import settle, settle_alone
 from .draws import SCRAMBLE, scramble
 from .inshapes import totals_in_shapes
-from .matching import forms_of, greedy_pairs
-from .outlines import box_ring, ring_edges, with_intersection_area
+from .matching import forms_of, greedy_pairs, without_taken
+from .outlines import box_ring, core, ring_edges, with_intersection_area
 from .shapeindex import in_cell, look_up, meeting_boxes, shape_index
 
 
 MEMBERS = 1024            # ids of equal boxes in one list
 RING = "array<struct<x:double,y:double>>"
+FEW = 1 << 21             # pairs of boxes that meet, up to which all are compared in one step
+STEPS = (1.0, 0.9, 0.8, 0.65, 0.5, 0.35)                            # least fractions of the steps before
+CROWD = 1 << 14           # boxes of one side that one join key may hold; a cell with more is repeated for every such part of the other side
 
 
 def in_ring(ring: Column, x: Column, y: Column) -> Column:
@@ -345,37 +348,73 @@ def count_in_boxes(boxes: DataFrame, points: DataFrame, tile: float) -> DataFram
                       (F.col("machine") / (F.col("side") * F.col("side") / 1e6)).alias("machine_per_mm2"))
 
 
+def _measured(df: DataFrame, ringed: bool, share: float) -> DataFrame:
+    """Forms with ``area`` and the box beyond each side of which at least ``share`` of it lies (``core_x0`` to ``core_y1``)."""
+    ends = ("x0", "x1", "y0", "y1")
+    width = lambda c: F.col(f"{c}1") - F.col(f"{c}0")
+    inner = {f"{c}{i}": F.col(f"{c}{i}") + (1 - 2 * i) * share * width(c) for c in "xy" for i in (0, 1)}
+    if not ringed:
+        return df.select("id", *ends, (width("x") * width("y")).alias("area"), *[inner[e].alias(f"core_{e}") for e in ends])
+    ring = F.col("ring") if "ring" in df.columns else F.lit(None).cast(RING)
+    out = df.select("id", *ends, ring.alias("ring")).withColumn("_core", core(F.col("ring"), share))
+    own = lambda e: F.when(F.col("ring").isNull(), inner[e]).otherwise(F.col(f"_core.{e}"))
+    out = out.select("id", *ends, "ring", F.coalesce(ring_area(F.col("ring")), width("x") * width("y")).alias("area"), *[own(e).alias(f"core_{e}") for e in ends])
+    return settle(out, "measured")
+
+
 def _overlaps(a: DataFrame, b: DataFrame, tile: float, min_frac: float, digits: int, block: int | None) -> DataFrame:
     """(a_id, b_id, frac): pairs with at least ``min_frac`` of the smaller area in common.  Only pairs with an outline are cut into slabs."""
-    ringed = "ring" in a.columns or "ring" in b.columns
-    shaped = lambda df: df.select("id", "x0", "x1", "y0", "y1", *(["ring"] if "ring" in df.columns else [F.lit(None).alias("ring").cast(RING)] if ringed else []))
-    j = meeting_boxes(shaped(a), shaped(b), tile, [], "id", **({"block": block} if block else {}))
+    ringed, slack = "ring" in a.columns or "ring" in b.columns, 1e-6 + 0.5 * 10.0 ** -digits
+    spark = a.sparkSession
+    parts = 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    j = meeting_boxes(*[_measured(df, ringed, 1 - min_frac + slack) for df in (a, b)], tile, [], "id", block or CROWD, parts)
     common = (F.least("a_x1", "b_x1") - F.greatest("a_x0", "b_x0")) * (F.least("a_y1", "b_y1") - F.greatest("a_y0", "b_y0"))
-    area = lambda t: (F.col(f"{t}_x1") - F.col(f"{t}_x0")) * (F.col(f"{t}_y1") - F.col(f"{t}_y0"))
+    # The smaller outline without what may be missing lies in the box of the other; the boxes' common area bounds that of the outlines.
+    within = lambda s, t: ((F.col(f"{t}_x0") <= F.col(f"{s}_core_x0")) & (F.col(f"{t}_x1") >= F.col(f"{s}_core_x1"))
+                           & (F.col(f"{t}_y0") <= F.col(f"{s}_core_y0")) & (F.col(f"{t}_y1") >= F.col(f"{s}_core_y1")))
+    j = j.where(((F.col("a_area") <= F.col("b_area")) & within("a", "b")) | ((F.col("a_area") > F.col("b_area")) & within("b", "a")))
+    j = j.where(common >= (min_frac - slack) * F.least("a_area", "b_area"))
     if ringed:
-        # The boxes' common area bounds that of the outlines; the pairs left are dealt evenly, since a row costs far more than its bytes tell.
-        for t in "ab":
-            j = j.withColumn(f"_area_{t}", F.coalesce(ring_area(F.col(f"{t}_ring")), area(t)))
-        spark = j.sparkSession
-        parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        j = j.where(common >= (min_frac - 1e-6) * F.least("_area_a", "_area_b")).repartition(parts, "a_id", "b_id")
+        # Cut where they meet: a row costs far more than its bytes tell, and outlines of pairs are not shuffled.
         some = F.col("a_ring").isNotNull() | F.col("b_ring").isNotNull()
         for t in "ab":
             whole = F.coalesce(f"{t}_ring", box_ring(*[F.col(f"{t}_{c}") for c in ("x0", "x1", "y0", "y1")]))
             j = j.withColumn(f"_{t}", F.when(some, whole))
         j = with_intersection_area(j, F.col("_a"), F.col("_b"), "_common")
-        common, area = F.coalesce("_common", common), lambda t: F.col(f"_area_{t}")
-    frac = F.round(common / F.nullif(F.least(area("a"), area("b")), F.lit(0.0)), digits)
+        common = F.coalesce("_common", common)
+    frac = F.round(common / F.nullif(F.least("a_area", "b_area"), F.lit(0.0)), digits)
     # Written before the filter: pushed below it, the area would be computed anew for every comparison.
     return settle(j.select("a_id", "b_id", frac.alias("frac")), "overlaps").where((F.col("frac") >= min_frac) & (F.col("frac") > 0))
 
 
+def _meetings(a: DataFrame, b: DataFrame, tile: float) -> float:
+    """About how many pairs of boxes meet: products of their numbers in cells as wide as a box, one number."""
+    wide = F.greatest(F.lit(float(tile)), *[F.avg(F.col(f"{c}1") - F.col(f"{c}0")) for c in "xy"]).alias("wide")
+    wide = max(df.agg(wide).first()["wide"] for df in (a, b))
+    cells = lambda df, n: df.select(*[F.floor(F.col(f"{c}0") / wide).alias(c) for c in "xy"]).groupBy("x", "y").agg(F.count("*").cast("double").alias(n))
+    return cells(a, "n").join(cells(b, "m"), ["x", "y"]).agg(F.sum(F.col("n") * F.col("m"))).first()[0] or 0.0
+
+
 def greedy_overlap_match(a: DataFrame, b: DataFrame, tile: float, min_frac: float, digits: int = 9, block: int | None = None,
-                         load: int | None = None, limit: int | None = None) -> DataFrame:
+                         load: int | None = None, limit: int | None = None, few: int | None = None) -> DataFrame:
     """One-to-one pairs of shapes, best overlap first: area in common over the smaller area.
 
     Both sides: id (one row each), x0, x1, y0, y1 and, for outlines, ring (NULL for a box).  Fractions are compared to ``digits`` digits, then
     by ids.  Equal shapes of a side are compared once, with at most ``limit`` ids a list; the choice is made in blocks of about ``load`` ids and pairs.
+    While more than ``few`` pairs of boxes meet, only pairs of large fractions are listed: a choice among them is final, and shapes it takes
+    have no pairs in the next, lower step.
     """
-    a, b = forms_of(a, limit), forms_of(b, limit)
-    return greedy_pairs(_overlaps(a, b, tile, min_frac, digits, block).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "frac"), a, b, load)
+    a, b, found = forms_of(a, limit), forms_of(b, limit), []
+    for least in [*(s for s in STEPS if s > min_frac), min_frac]:
+        if least > min_frac and _meetings(a, b, tile) <= (FEW if few is None else few):
+            continue
+        pairs = lambda: _overlaps(a, b, tile, least, digits, block).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "frac")  # noqa: B023, E731
+        won = settle_alone(a.sparkSession, lambda: greedy_pairs(pairs(), a, b, load), "matched")  # noqa: B023
+        found.append(won.select("a_id", "b_id", "frac"))
+        if least > min_frac:
+            a, b = (without_taken(df.select(F.lit(s).alias("side"), F.col("id").alias("form"), *[c for c in df.columns if c != "id"]), won, s)
+                    .drop("side").withColumnRenamed("form", "id") for df, s in ((a, "a"), (b, "b")))
+    out = found[0]
+    for won in found[1:]:
+        out = out.unionByName(won)
+    return out

@@ -83,3 +83,38 @@ def test_no_shapes_no_pairs(spark):
     none = spark.createDataFrame([], COLS)
     some = spark.createDataFrame([(1, 0.0, 2.0, 0.0, 2.0), (2, 5.0, None, 0.0, 2.0)], COLS)
     assert S.greedy_overlap_match(none, some, 6.0, 0.2).collect() == S.greedy_overlap_match(some, none, 6.0, 0.2).collect() == []
+
+
+def test_crowded_distinct_shapes_list_few_pairs(spark, monkeypatch):
+    """400 shapes a side on 36 places, hardly two alike: no step lists a third of the pairs that one step lists, and the choice is the same."""
+    rng = random.Random(5)
+
+    def side():
+        rows = []
+        for i in range(400):
+            x, y, h = 20.0 * rng.randint(0, 5), 20.0 * rng.randint(0, 5), 40 + rng.randint(0, 400) / 20
+            v, diamond = 0.75 * h, i % 2
+            ring = [(x - h, y), (x, y - v), (x + h, y), (x, y + v)] if diamond else None
+            rows.append((i, x - h, x + h, y - v, y + v, ring))
+        return spark.createDataFrame(rows, f"{COLS}, ring {S.RING}")
+
+    a, b, sizes, settle = side(), side(), [], S.settle
+
+    def counted(df, name="settled"):
+        out = settle(df, name)
+        sizes.extend([out.count()] if name == "overlaps" else [])
+        return out
+
+    monkeypatch.setattr(S, "settle", counted)
+    rows = lambda few: sorted(tuple(r) for r in S.greedy_overlap_match(a, b, 200.0, 0.2, few=few).collect())
+    whole = rows(1 << 40)
+    every, sizes[:] = sizes[0], []
+    assert rows(0) == whole and len(whole) > 350
+    assert len(sizes) == 7 and max(sizes) < every / 3
+
+
+def test_core_of_outlines(spark):
+    """What lies beyond the sides of a diamond's core is the given share of it, or a little more."""
+    df = spark.createDataFrame([([(-10.0, 0.0), (0.0, -5.0), (10.0, 0.0), (0.0, 5.0)],), (None,)], f"ring {S.RING}")
+    got = [r[0] for r in df.select(S.core(df["ring"], 0.02)).collect()]
+    assert tuple(got[0]) == pytest.approx((-8, 8, -4, 4), abs=1e-5) and got[0]["x0"] >= -8 and tuple(got[1]) == (None,) * 4
