@@ -12,17 +12,14 @@ like the results are replaced.  The driver holds the list of sources with their
 """
 
 import math
-import re
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import settle
-from .text import parts as batch_parts, row_key
+from .text import row_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS, SHARD_SLOTS, MAX_USES, ROWS_A_BUCKET, SEED = 128, 4096, 3, 4096, 11
@@ -153,22 +150,24 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
                      F.least("size", (F.col("block") + 1) * b - F.col("at")).alias("end")))
     totals = [s[4] for s in sources]
 
+    uses = [F.xxhash64("seed", F.lit(use).cast("long")) for use in range(MAX_USES)]
+    keys = {r["number"]: list(r["keys"]) for r in names.select("number", F.array(*uses).alias("keys")).collect()}      # a row a source
+    blocks, keys = np.array([s[3] for s in sources], np.int64), np.array([keys[i] for i in range(len(sources))], np.int64).reshape(-1, MAX_USES)
+
     def draws(batches):
+        # Drawn and mapped to blocks in one pass: every function in a stage has Python workers of its own.
         for pdf in batches:
             for shard in pdf["id"]:
                 first, n = shard_counts(int(shard), shards, totals, shard_slots, seed)
-                on = np.flatnonzero(n)
-                yield pd.DataFrame({"shard": shard, "number": on.astype(np.int32), "first": first[on], "n": n[on]})
-
-    @pandas_udf(T.LongType())
-    def block_of(index: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
-        return pd.Series(permuted(index.to_numpy(np.int64), n.to_numpy(np.int64), key.to_numpy(np.int64)))
-
-    drawn = spark.range(shards).mapInPandas(draws, "shard long, number int, first long, n long")
-    slots = (drawn.join(names.select("number", "blocks", "seed"), "number")
-             .withColumn("t", F.explode(F.expr("sequence(first, first + n - 1)")))
-             .withColumn("use", F.floor(F.col("t") / F.col("blocks")))
-             .select("number", "shard", "use", block_of(F.col("t") % F.col("blocks"), "blocks", F.xxhash64("seed", "use")).alias("block")))
+                if not n.any():
+                    continue
+                number = np.repeat(np.arange(len(n)), n)
+                t = np.arange(len(number)) + np.repeat(first - (np.cumsum(n) - n), n)
+                use = t // blocks[number]
+                block = permuted(t % blocks[number], blocks[number], keys[number, use])
+                yield pd.DataFrame({"number": number.astype(np.int32), "shard": shard, "use": use, "block": block})
+
+    slots = spark.range(shards).mapInPandas(draws, "number int, shard long, use long, block long")
     parts = (lying.join(slots, ["number", "block"]).groupBy("_row")
              .agg(F.sum(F.col("end") - F.col("first")).alias("taken"), F.sort_array(F.collect_list(F.struct("use", "first", "end", "shard"))).alias("parts")))
     named = names.select("number", "source_size", "target")
@@ -185,32 +184,23 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     return keyed.join(told, same).drop("_told", "_copy", "_copy_no", "_key")
 
 
-def cut_runs(text, size, taken):
-    """The runs of words that ``taken`` lists, neighbouring parts of one use joined."""
-    cuts = []
-    for p in taken:
-        if cuts and cuts[-1][0] == p["use"] and cuts[-1][2] == p["first"]:
-            cuts[-1][2] = p["end"]
-        else:
-            cuts.append([p["use"], p["first"], p["end"]])
-    whole = [c[1] == 0 and c[2] == size for c in cuts]
-    spans = None if all(whole) else [m.span() for m in re.finditer("[^\x20\x09-\x0d]+", text)]
-    return [text if w else text[spans[c[1]][0]:spans[c[2] - 1][1]] for c, w in zip(cuts, whole)]
-
-
 def mixed_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", **how) -> DataFrame:
     """The mixed corpus: one row for each run of neighbouring words of a document that one use takes.
 
     Rows have the documents' columns; ``text`` is the run, cut at word borders, and ``n_chars`` its code points.  A
     document taken as a whole keeps its text as it is.
     """
-    columns = docs.columns
-
-    @pandas_udf(T.ArrayType(T.StringType()))
-    def runs(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, sizes, taken in batches:
-            for t, n, p in zip(batch_parts(texts), batch_parts(sizes), batch_parts(taken)):
-                yield pd.Series([cut_runs(*row) for row in zip(t, n, p)], dtype=object)
-
-    mixed = mix(docs, text, **how).where("taken > 0").withColumn("_run", F.explode(runs(F.col(f"`{text}`"), "size", "parts")))
+    columns, spaces = docs.columns, "\x20\x09\x0a\x0b\x0c\x0d"
+    mixed, whole = mix(docs, text, **how).where("taken > 0"), F.col(f"`{text}`")
+    # Neighbouring parts of one use are one run: from a part that none precedes to the next that none follows.
+    apart = lambda p, q: (p["use"] != q["use"]) | (p["end"] != q["first"])
+    at = lambda i: F.element_at("parts", i.cast("int"))
+    starts = F.filter("parts", lambda p, i: F.when(i == 0, True).otherwise(apart(at(F.greatest(i, F.lit(1))), p)))
+    ends = F.filter("parts", lambda p, i: F.when(i == F.size("parts") - 1, True).otherwise(apart(p, at(F.least(i + 2, F.size("parts"))))))
+    mixed = mixed.withColumn("_runs", F.arrays_zip(F.transform(starts, lambda p: p["first"]).alias("first"), F.transform(ends, lambda p: p["end"]).alias("end")))
+    some = F.exists("_runs", lambda r: (r["first"] > 0) | (r["end"] < F.col("size")))
+    mixed = mixed.withColumn("_words", F.when(some, F.regexp_extract_all(whole, F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)))).withColumn("_run", F.explode("_runs"))
+    first, end = F.col("_run.first"), F.col("_run.end")
+    cut = F.rtrim(F.array_join(F.slice("_words", (first + 1).cast("int"), (end - first).cast("int")), ""), F.lit(spaces))
+    mixed = mixed.withColumn("_run", F.when((first == 0) & (end == F.col("size")), whole).otherwise(cut))
     return mixed.withColumn(text, F.col("_run")).withColumn(n_chars, F.length("_run").cast("long")).select(*columns)
