@@ -167,7 +167,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
                 block = permuted(t % blocks[number], blocks[number], keys[number, use])
                 yield pd.DataFrame({"number": number.astype(np.int32), "shard": shard, "use": use, "block": block})
 
-    slots = spark.range(shards).mapInPandas(draws, "number int, shard long, use long, block long")
+    # Spark takes the shards' numbers for the size of all their slots and would broadcast these through the driver.
+    slots = spark.range(shards).mapInPandas(draws, "number int, shard long, use long, block long").hint("merge")
     parts = (lying.join(slots, ["number", "block"]).groupBy("_row")
              .agg(F.sum(F.col("end") - F.col("first")).alias("taken"), F.sort_array(F.collect_list(F.struct("use", "first", "end", "shard"))).alias("parts")))
     named = names.select("number", "source_size", "target")
