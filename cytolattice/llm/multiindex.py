@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import settle
 
 SAMPLE, CENTROIDS, ROUNDS, BUCKET, QUERY_BLOCK, SHARE, LEAST_CANDIDATES = 20_000, 64, 12, 4096, 8192, 0.5, 2000
+QUERIES_AT_ONCE = 128
 
 
 def nearest_centroid(x, centroids):
@@ -49,12 +50,12 @@ def cells_for(query, books, counts, enough):
     """Cells in the order of their centroids' summed inner product with the query, until they hold ``enough`` rows."""
     half = books[0].shape[1]
     scores = [b @ q for b, q in zip(books, (query[:half], query[half:]))]
-    orders = [np.argsort(-s, kind="stable") for s in scores]
-    sums = [s[o] for s, o in zip(scores, orders)]
+    orders = [np.argsort(-s, kind="stable").tolist() for s in scores]
+    sums = [s[o].tolist() for s, o in zip(scores, orders)]
     heap, got, out, second = [(-(sums[0][0] + sums[1][0]), 0, 0)], 0, [], len(books[1])
     while heap and got < enough:
         _, i, j = heapq.heappop(heap)
-        cell = int(orders[0][i]) * second + int(orders[1][j])
+        cell = orders[0][i] * second + orders[1][j]
         n = counts.get(cell, 0)
         if n:
             out.append(cell)
@@ -66,6 +67,28 @@ def cells_for(query, books, counts, enough):
     return out
 
 
+def best_rows(q, asked, open_, x, ids, k):
+    """(query, row, score) of each query's ``k`` best rows among those that ``open_`` allows, by score and then id; never a row of its own id.
+
+    A matrix product picks the rows that can be among the best, with slack for its rounding; their scores are summed component by component.
+    """
+    rough = q @ x.T
+    allowed = open_ & (asked[:, None] != ids)
+    near = allowed
+    if len(ids) > k and np.isfinite(rough).all():
+        rough[~allowed] = -np.inf
+        kth = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k]
+        slack = 8 * x.shape[1] * np.finfo(float).eps * np.sqrt((q**2).sum(axis=1)) * np.sqrt((x**2).sum(axis=1).max()) + np.finfo(float).tiny
+        near = allowed & (rough >= (kth - slack)[:, None])
+    query, row = np.nonzero(near)
+    score = (x[row] * q[query]).sum(axis=1)
+    order = np.lexsort((ids[row], -score, query))
+    query, row, score = query[order], row[order], score[order]
+    n = np.bincount(query, minlength=len(q))
+    first = np.arange(len(query)) - (np.cumsum(n) - n)[query] < k
+    return query[first], row[first], score[first]
+
+
 def buckets_of(counts, size):
     """{cell: (first bucket, buckets)}: neighbouring cells share a bucket, a full cell has several of its own."""
     out, bucket, load = {}, 0, 0
@@ -151,15 +174,17 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", v
 
     def score(pdf):
         entries, queries = pdf[~pdf["query"]].sort_values(["cell", "id"]), pdf[pdf["query"]]
-        out = []
+        out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []})]
         if len(entries) and len(queries):
-            x, cell, ids = matrix(entries["v"]), entries["cell"].to_numpy(), entries["id"].to_numpy()
-            for query_id, v, cells in zip(queries["id"], queries["v"], queries["cells"]):
-                on = np.flatnonzero(np.isin(cell, cells) & (ids != query_id))
-                s = (x[on] * np.asarray(v)).sum(axis=1)
-                best = on[np.lexsort((ids[on], -s))[:k]] if len(on) else on
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[best], "score": (x[best] * np.asarray(v)).sum(axis=1)}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            x, ids = matrix(entries["v"]), entries["id"].to_numpy()
+            names, name = np.unique(entries["cell"], return_inverse=True)
+            for start in range(0, len(queries), QUERIES_AT_ONCE):
+                part = queries.iloc[start:start + QUERIES_AT_ONCE]
+                looked = np.array([np.isin(names, cells) for cells in part["cells"]])
+                asked = part["id"].to_numpy()
+                query, row, found = best_rows(matrix(part["v"]), asked, looked[:, name], x, ids, k)
+                out.append(pd.DataFrame({"query_id": asked[query], "vec_id": ids[row], "score": found}))
+        return pd.concat(out[1:] or out)
 
     found = rows.groupBy("bucket", "block").applyInPandas(score, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
