@@ -52,18 +52,21 @@ def cells_for(query, books, counts, enough):
     scores = [b @ q for b, q in zip(books, (query[:half], query[half:]))]
     orders = [np.argsort(-s, kind="stable").tolist() for s in scores]
     sums = [s[o].tolist() for s, o in zip(scores, orders)]
-    heap, got, out, second = [(-(sums[0][0] + sums[1][0]), 0, 0)], 0, [], len(books[1])
+    (first, other), second = sums, len(books[1])
+    heap, got, out = [(-(first[0] + other[0]), 0, 0)], 0, []
     while heap and got < enough:
-        _, i, j = heapq.heappop(heap)
+        _, i, j = heap[0]
         cell = orders[0][i] * second + orders[1][j]
         n = counts.get(cell, 0)
         if n:
             out.append(cell)
             got += n
         if j + 1 < second:
-            heapq.heappush(heap, (-(sums[0][i] + sums[1][j + 1]), i, j + 1))
-        if j == 0 and i + 1 < len(books[0]):
-            heapq.heappush(heap, (-(sums[0][i + 1] + sums[1][0]), i + 1, 0))
+            heapq.heapreplace(heap, (-(first[i] + other[j + 1]), i, j + 1))
+        else:
+            heapq.heappop(heap)
+        if j == 0 and i + 1 < len(first):
+            heapq.heappush(heap, (-(first[i + 1] + other[0]), i + 1, 0))
     return out
 
 
