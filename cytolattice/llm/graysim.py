@@ -42,19 +42,20 @@ class Scheme:
 
     ``blocks`` are (first bit, width) of the leading blocks, ``radius`` the greatest number of differing bits.  With
     ``least``, a fraction (numerator, denominator), fingerprints are of shingle sets and only find candidates; sets are
-    linked from that Jaccard similarity on.
+    linked from that Jaccard similarity on; candidates of any of ``families`` fingerprints, independent of each other, count.
     """
 
-    def __init__(self, shingle, words, blocks, radius, least=None):
-        self.shingle, self.words, self.blocks, self.radius, self.least = shingle, words, blocks, radius, least
-        self.columns = [f"f{i}" for i in range(words)]
+    def __init__(self, shingle, words, blocks, radius, least=None, families=1):
+        self.shingle, self.words, self.blocks, self.radius, self.least, self.families = shingle, words, blocks, radius, least, families
+        self.columns = [f"f{i}" for i in range(words * families)]
 
 
 #: 64 bits over three-word shingles, links at two bits or fewer; three blocks make the search exact.
 STRICT = Scheme(3, 1, [(0, 22), (22, 21), (43, 21)], 2)
-#: 256 bits over sets of five-word shingles, linked at Jaccard similarity 0.8.  Sets of that similarity differ in 15 % of
-#: the bits on average (39 of 256, deviation 6) and share none of 32 blocks of 8 bits in one of 20,000 cases.
-SIMILAR = Scheme(5, 4, [(8 * i, 8) for i in range(32)], 72, (4, 5))
+#: Twice 256 bits over sets of five-word shingles, linked at Jaccard similarity 0.8.  Sets of that similarity differ in 15 % of
+#: the bits on average (39 of 256, deviation 6) and share none of 32 blocks of 8 bits in one of 20,000 cases, so none in both families
+#: in one of 400 million.
+SIMILAR = Scheme(5, 4, [(8 * i, 8) for i in range(32)], 72, (4, 5), families=2)
 
 
 def shingle_hashes(text, shingle):
@@ -96,7 +97,7 @@ def remix(hashes, number):
 
 def with_fingerprint(docs: DataFrame, scheme: Scheme, text: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with the words of the fingerprint as long columns ``<prefix>f0``, ``<prefix>f1`` ..."""
-    shingle, words = scheme.shingle, scheme.words
+    shingle, words = scheme.shingle, len(scheme.columns)
 
     @pandas_udf(T.ArrayType(T.LongType()))
     def fingerprint(batch: pd.Series) -> pd.Series:
@@ -112,7 +113,7 @@ def with_fingerprint(docs: DataFrame, scheme: Scheme, text: str = "text", prefix
 
 def with_shingle_set(docs: DataFrame, scheme: Scheme, text: str = "text") -> DataFrame:
     """``docs`` with the fingerprint and ``set``, a 128-bit digest that names the text's set of shingles."""
-    shingle, words = scheme.shingle, scheme.words
+    shingle, words = scheme.shingle, len(scheme.columns)
 
     @pandas_udf("fp array<long>, name binary")
     def fingerprint(batch: pd.Series) -> pd.DataFrame:
@@ -230,10 +231,10 @@ def fingerprint_links(prints: DataFrame, scheme: Scheme, n: int) -> DataFrame:
 
     The links of a node are given as a spanning forest.
     """
-    columns, radius, blocks = scheme.columns, scheme.radius, scheme.blocks
+    radius, blocks, columns = scheme.radius, scheme.blocks, [f"w{i}" for i in range(scheme.words)]
     top = max(0, math.ceil(math.log2(max(1, n) / (NODE_CAP / 2))))
 
-    def upper(i, first, width):
+    def upper(first, width):
         p = min(top, width)
         if p == 0:
             return F.lit(0).cast("long")
@@ -243,7 +244,12 @@ def fingerprint_links(prints: DataFrame, scheme: Scheme, n: int) -> DataFrame:
             left = left.bitwiseOR(F.shiftrightunsigned(F.col(columns[word + 1]), 64 - at))
         return F.shiftrightunsigned(left, 64 - p)
 
-    nodes = prints.select("k", *columns, F.posexplode(F.array(*[upper(i, *b) for i, b in enumerate(blocks)])).alias("block", "node"))
+    nodes = None
+    for family in range(scheme.families):
+        words = [F.col(f"f{family * scheme.words + i}").alias(c) for i, c in enumerate(columns)]
+        own = prints.select("k", *words).select("k", *columns, F.posexplode(F.array(*[upper(*b) for b in blocks])).alias("block", "node"))
+        own = own.withColumn("block", F.col("block") + family * len(blocks))
+        nodes = own if nodes is None else nodes.unionByName(own)
     sizes = settle(nodes.groupBy("block", "node").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     chunks = F.ceil(F.col("n") / NODE_CAP)
     # The table of sizes has 2^top nodes of each block; it is written, so Spark broadcasts it where it is small.
@@ -255,7 +261,7 @@ def fingerprint_links(prints: DataFrame, scheme: Scheme, n: int) -> DataFrame:
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("k")
         words = [pdf[c].to_numpy(np.int64).view(np.uint64) for c in columns]
-        to = linked_classes(words, blocks[pdf["block"].iloc[0]], radius)
+        to = linked_classes(words, blocks[pdf["block"].iloc[0] % len(blocks)], radius)
         k = pdf["k"].to_numpy()
         on = np.flatnonzero(to != np.arange(len(k)))
         return pd.DataFrame({"a": k[on], "b": k[to[on]]})
